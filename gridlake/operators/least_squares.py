@@ -13,7 +13,7 @@ RIDGE = 1e-8
 DAY = 86_400_000_000
 
 
-def _features(at: np.ndarray, start: float, length: float, level: int) -> np.ndarray:
+def _features(at: np.ndarray, start: int, length: int, level: int) -> np.ndarray:
     """Columns: 1, trend, then the Fourier pairs of the first ``level`` seasons."""
     columns = [np.ones_like(at, dtype=float), (at - start) / length]
     for period, pairs, _ in SEASONS[:level]:
@@ -35,9 +35,20 @@ def _level(n: int, days: float) -> int:
 
 
 def fit_predict(
-    at: np.ndarray, y: np.ndarray, weight: np.ndarray, origins: np.ndarray, window: int, step: int, horizon: int, min_points: int
+    at: np.ndarray,
+    y: np.ndarray,
+    weight: np.ndarray,
+    origins: np.ndarray,
+    window: int,
+    step: int,
+    horizon: int,
+    min_points: int,
+    seasonal: bool = True,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forecasts from every origin: ``(origin, n, yhat[origin, horizon])``. ``at`` must be ascending and unique."""
+    """Forecasts from every origin: ``(origin, n, yhat[origin, horizon])``. ``at`` must be ascending and unique.
+
+    Moments are summed once along the series; the window of an origin is the difference of two of them.
+    """
     first = np.searchsorted(at, origins - window, side="left")
     last = np.searchsorted(at, origins, side="right")
     counts = np.concatenate([[0], np.cumsum(weight)])
@@ -47,7 +58,7 @@ def fit_predict(
     yhat = np.empty((len(origins), horizon))
     if not len(origins):
         return origins, n, yhat
-    levels = np.array([_level(b - a, (at[b - 1] - at[a]) / DAY) for a, b in zip(first, last)])
+    levels = np.array([_level(b - a, (at[b - 1] - at[a]) / DAY) if seasonal else 0 for a, b in zip(first, last)])
     ahead = step * np.arange(1, horizon + 1)
     for level in np.unique(levels):
         chosen = np.flatnonzero(levels == level)
@@ -58,7 +69,8 @@ def fit_predict(
         cross = np.concatenate([np.zeros_like(cross[:1]), cross])
         left = gram[last[chosen]] - gram[first[chosen]]
         right = cross[last[chosen]] - cross[first[chosen]]
-        left += RIDGE * np.eye(x.shape[1])
+        if level:
+            left += RIDGE * np.eye(x.shape[1])
         beta = np.linalg.solve(left, right[:, :, None])[:, :, 0]
         times = origins[chosen][:, None] + ahead
         future = _features(times.ravel(), at[0], window, level).reshape(len(chosen), horizon, -1)

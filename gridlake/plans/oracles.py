@@ -438,4 +438,42 @@ ORACLES: dict[str, str] = {
         select event_id, user_id, event_type
         from (select *, lag(event_type) over (partition by user_id order by ts, event_id) as before from events) q
         where event_type is distinct from before""",
+    "bronze_stream": f"""with {DISPATCH}
+        select trading_interval, unit_id, generated_mw, case when fuel_type <> 'Wind' then fuel_type end as fuel_type,
+               case when fuel_type <> 'Wind' then cast(trading_interval as date) end as trading_date,
+               fuel_type = 'Wind' as quarantined
+        from dispatch""",
+    "stream_dedupe": f"with {DISPATCH} select distinct trading_interval, unit_id from dispatch",
+    "changed_payloads_stream": """
+        select event_id, user_id, event_type
+        from (select *, lag(event_type) over (partition by user_id order by ts, event_id) as before from events) q
+        where event_type is distinct from before""",
+    "stream_upsert": f"with {DEDUPED} select {MESSAGE} from d",
+    "forecast_stream": f"""with {SHARES}, {LINEAR}
+        select origin_time, n, cast(s as integer) as step, origin_time + s * interval '30 minutes' as event_time,
+               round(base + slope * (x + s), 6) as forecast_solar_share
+        from fits, range(1, 49) r(s) where n >= 2""",
+    # The stream judges the intervals its watermark (one hour behind the newest row) has closed.
+    "stream_alert": f"""with {DISPATCH},
+        closed as (
+          select trading_interval as t,
+                 100 * sum(case when fuel_type = 'Coal' then generated_mw end) / nullif(sum(generated_mw), 0) as p
+          from dispatch group by 1
+          having trading_interval + interval '30 minutes'
+                 <= date_trunc('milliseconds', (select max(ts) from events)) - interval '1 hour'),
+        judged as (select t, coalesce(p > 30, false) as br from closed),
+        seen as (select *, lag(t) over (order by t) as pt, lag(br) over (order by t) as pb,
+                        lead(t) over (order by t) as nt from judged),
+        marked as (select *, sum(case when br and coalesce(pb, false) and t - pt <= interval '30 minutes'
+                                      then 0 else 1 end) over (order by t rows unbounded preceding) as isl from seen),
+        numbered as (select *, row_number() over (partition by isl order by t) as k,
+                            count(*) over (partition by isl) as n, min(t) over (partition by isl) as started_at
+                     from marked where br)
+        select 'HighCoalPercentage' as alertname, 'warning' as severity, 'firing' as state, t as at, started_at,
+               cast(3 as bigint) as n
+        from numbered where k = 3
+        union all
+        select 'HighCoalPercentage', 'warning', 'resolved',
+               case when nt - t <= interval '30 minutes' then nt else t + interval '5 minutes' end, started_at, n
+        from numbered where k = n and n >= 3 and nt is not null""",
 }

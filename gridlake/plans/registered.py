@@ -16,6 +16,12 @@ from gridlake.operators import alerts, bronze, feed, forecast, gold, metrics, qu
 from gridlake.plans.views import dispatch, payloads, regions, table, units
 from gridlake.session import apply_settings, scratch_dir
 from gridlake.sources import readers, sinks
+from gridlake.streaming import alerts as stream_alerts
+from gridlake.streaming import bronze as stream_bronze
+from gridlake.streaming import feed as stream_feed
+from gridlake.streaming import forecast as stream_forecasts
+from gridlake.streaming import tables as stream_tables
+from gridlake.streaming.runner import start
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -548,3 +554,145 @@ def changed_payloads_by_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events")
     found = feed.changed_payloads(rows, ["user_id"], "ts", "event_type", width="1 day", ties=["event_id"])
     return found.select("event_id", "user_id", "event_type")
+
+
+# --- streams ----------------------------------------------------------------------------------------------------------
+# Each lands the whole input in three parts by time and runs the stream after every part, on one checkpoint.
+
+PARTS = 3
+
+
+def in_parts(rows: DataFrame, by: str, folder: str, run: Callable[[], object], fmt: str = "parquet") -> None:
+    """Append ``rows`` to ``folder`` in ``PARTS`` stretches of ``by`` and call ``run`` after each."""
+    low, high = rows.agg(F.min(by), F.max(by)).first()
+    edges = [low + (high - low) * part / PARTS for part in range(1, PARTS)]
+    for part in range(PARTS):
+        chosen = rows
+        if part:
+            chosen = chosen.where(F.col(by) >= F.lit(edges[part - 1]).cast(rows.schema[by].dataType))
+        if part < PARTS - 1:
+            chosen = chosen.where(F.col(by) < F.lit(edges[part]).cast(rows.schema[by].dataType))
+        written = chosen.select("value") if fmt == "text" else chosen
+        written.write.mode("append").format(fmt).save(folder)
+        run()
+
+
+def zoneless(df: DataFrame) -> DataFrame:
+    """Timestamps as TIMESTAMP_NTZ, like the given tables."""
+    return df.withColumns(
+        {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema if isinstance(f.dataType, T.TimestampType)}
+    )
+
+
+@query
+def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dispatch rows as CSV messages through the bronze stream; wind messages lack their fuel and are quarantined."""
+    root, database = scratch_dir(spark, "bronze"), new_database(spark)
+    rows = dispatch(spark, sf_dir)
+    line = F.when(F.col("fuel_type") == "Wind", F.to_csv(F.struct(*MESSAGE[:3]))).otherwise(F.to_csv(F.struct(*MESSAGE)))
+    source, target, rejected = f"{root}/topic", f"{database}.bronze_dispatch", f"{database}.bronze_rejected"
+
+    def run() -> None:
+        lines = readers.message_stream(spark, "text", source)
+        stream_bronze.run_bronze(spark, lines, target, f"{root}/checkpoint", rejected)
+
+    in_parts(rows.withColumn("value", line), "ingested_at", source, run, "text")
+    kept = spark.table(target).select(*MESSAGE, "trading_date", F.lit(False).alias("quarantined"))
+    bad = spark.table(rejected).select(
+        *MESSAGE, F.lit(None).cast("date").alias("trading_date"), F.lit(True).alias("quarantined")
+    )
+    return zoneless(kept.unionByName(bad))
+
+
+@query
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "dedupe")
+    rows = dispatch(spark, sf_dir)
+
+    def run() -> None:
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        unique = stream_tables.dedupe_stream(stream, KEY, "trading_interval")
+        start(unique.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint")
+
+    in_parts(rows, "ingested_at", f"{root}/topic", run)
+    # Which of several rows arrives first is not fixed within a batch, so only the keys are compared.
+    return zoneless(spark.read.parquet(f"{root}/out").select(*KEY))
+
+
+@query
+def changed_payloads_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "feed")
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+
+    def run() -> None:
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        stream_feed.changed_payloads_stream(
+            stream,
+            ["user_id"],
+            "ts",
+            "event_type",
+            "1 day",
+            output=f"{root}/out",
+            state=f"{root}/state",
+            checkpoint=f"{root}/checkpoint",
+            ties=["event_id"],
+        )
+
+    in_parts(rows, "ts", f"{root}/topic", run)
+    return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "event_type")
+
+
+@query
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections by arrival: the last reading of an interval and unit stays."""
+    root, database = scratch_dir(spark, "upsert"), new_database(spark)
+    rows = dispatch(spark, sf_dir).withColumn("trading_date", F.to_date("trading_interval"))
+
+    def run() -> None:
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        stream_tables.upsert_stream(
+            stream, f"{database}.dispatch", KEY, ORDER, f"{root}/checkpoint", partition_by=["trading_date"]
+        )
+
+    in_parts(rows, "ingested_at", f"{root}/topic", run)
+    return spark.table(f"{database}.dispatch").select(*MESSAGE)
+
+
+@query
+def forecast_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares as JSON messages through the forecast stream, into a topic and a table; the table's rows."""
+    root = scratch_dir(spark, "forecast")
+    found = shares(spark, sf_dir).withColumn("at", F.col("event_time")).withColumn(
+        "event_time", F.col("event_time").cast("string")
+    )
+    rows = found.select("at", F.to_json(F.struct("event_time", "solar_share")).alias("value"))
+
+    def run() -> None:
+        lines = readers.message_stream(spark, "text", f"{root}/topic")
+        received = parse_shares(lines, schemas.SHARE_MESSAGE, "event_time", "solar_share")
+        writers = {
+            "topic": stream_forecasts.topic_writer("text", f"{root}/forecasts"),
+            "table": stream_forecasts.table_writer(f"{root}/table"),
+        }
+        stream_forecasts.run_forecast(received, writers, f"{root}/checkpoint", model="linear", emit="every")
+
+    in_parts(rows, "at", f"{root}/topic", run, "text")
+    written = zoneless(spark.read.parquet(f"{root}/table"))
+    return written.select(
+        "origin_time", "n", "step", "event_time", rounded("forecast_solar_share").alias("forecast_solar_share")
+    )
+
+
+@query
+def stream_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "alert")
+    rows = dispatch(spark, sf_dir)
+
+    def run() -> None:
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        stream_alerts.run_alerts(
+            spark, stream, COAL_30, "30 minutes", root, "ingested_at", "fuel_type", "coal", "generated_mw"
+        )
+
+    in_parts(rows, "ingested_at", f"{root}/topic", run)
+    return zoneless(spark.read.parquet(f"{root}/changes"))

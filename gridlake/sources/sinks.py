@@ -7,6 +7,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from gridlake.streaming.runner import start
 
 # Table formats with row-level MERGE and atomic replacement.
 TRANSACTIONAL = ("iceberg", "delta")
@@ -77,7 +80,9 @@ def publish(messages: DataFrame, fmt: str = "kafka", path: str | None = None, mo
 Writer = Callable[[DataFrame, int], None]
 
 
-def fan_out(stream: DataFrame, writers: Mapping[str, Writer], checkpoint: str, trigger: Mapping[str, object] | None = None):
+def fan_out(
+    stream: DataFrame, writers: Mapping[str, Writer], checkpoint: str, trigger: Mapping[str, object] | None = None
+) -> StreamingQuery:
     """Feed one stream to several sinks; the source is read and the plan run once per batch.
 
     Each writer gets the batch and its id. A writer that overwrites the place belonging to that id makes a replayed
@@ -90,12 +95,7 @@ def fan_out(stream: DataFrame, writers: Mapping[str, Writer], checkpoint: str, t
         for writer in writers.values():
             writer(rows, batch_id)
 
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return start(stream.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
 def batch_folder(root: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> Writer:
