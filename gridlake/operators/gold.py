@@ -16,26 +16,39 @@ EARLIEST = "1900-01-01"
 
 
 def incremental_slice(
-    source: DataFrame, target: DataFrame | None, column: str, lookback: str | None = None
+    source: DataFrame,
+    target: DataFrame | None,
+    column: str,
+    lookback: str | None = None,
+    date_column: str | None = None,
 ) -> DataFrame:
     """Source rows at or after the newest value in the target, less ``lookback`` (an interval such as ``"2 days"``).
 
     ``target=None`` (first load or full refresh) keeps every row, also those with a NULL ``column``. The bound stays a
-    scalar subquery, so on a partition column it prunes partitions at run time.
+    scalar subquery. When the tables are partitioned by the date of ``column``, name that column as ``date_column``: the
+    source then reads only partitions from the bound on, and the target only its last one.
     """
     if target is None:
         return source
-    return source.where(F.col(column) >= _bound(target, column, lookback).scalar())
+    bound = _bound(target, column, lookback, date_column)
+    rows = source.where(F.col(column) >= bound.scalar())
+    if date_column:
+        rows = rows.where(F.col(date_column) >= bound.select(F.to_date("bound")).scalar())
+    return rows
 
 
-def late_rows(source: DataFrame, target: DataFrame, column: str, lookback: str | None = None) -> DataFrame:
+def late_rows(
+    source: DataFrame, target: DataFrame, column: str, lookback: str | None = None, date_column: str | None = None
+) -> DataFrame:
     """Source rows that :func:`incremental_slice` leaves out: older than its bound, or with a NULL ``column``."""
-    bound = _bound(target, column, lookback).scalar()
+    bound = _bound(target, column, lookback, date_column).scalar()
     return source.where((F.col(column) < bound) | F.col(column).isNull())
 
 
-def _bound(target: DataFrame, column: str, lookback: str | None) -> DataFrame:
+def _bound(target: DataFrame, column: str, lookback: str | None, date_column: str | None = None) -> DataFrame:
     kind = target.schema[column].dataType
+    if date_column and date_column != column:
+        target = target.where(F.col(date_column) == target.agg(F.max(date_column)).scalar())
     newest = F.coalesce(F.max(column), F.lit(EARLIEST).cast(kind))
     if lookback:
         newest = (newest - F.expr(f"INTERVAL {lookback}")).cast(kind)
@@ -159,6 +172,7 @@ def build_incremental(
     column: str,
     partition_by: Sequence[str] = (),
     lookback: str | None = None,
+    date_column: str | None = None,
     full_refresh: bool = False,
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
@@ -170,7 +184,7 @@ def build_incremental(
     if full_refresh or not exists:
         replace_table(unique_batch(source, keys, on_duplicate, order_by), table, partition_by, fmt)
         return
-    rows = incremental_slice(source, spark.table(table), column, lookback)
+    rows = incremental_slice(source, spark.table(table), column, lookback, date_column)
     upsert_table(spark, table, rows, keys, partition_by, on_duplicate, order_by, key_moves, fmt)
 
 

@@ -95,7 +95,7 @@ ends as (
   from lagged group by source),
 instants as (select source, unnest(generate_series(a, b, interval '30 minutes')) as ts from ends where a <= b),
 rates as (
-  select i.source, i.ts, sum(p.inc) / 21600 as rate
+  select i.source, i.ts, round(sum(p.inc) / 21600, 8) as rate
   from instants i join pairs p
     on p.source = i.source and p.ts <= i.ts and p.pts >= i.ts - interval '6 hours'
   group by i.source, i.ts)"""
@@ -354,7 +354,7 @@ ORACLES: dict[str, str] = {
         select source, ts,
                round(greatest(s - case when p0 < ts - interval '6 hours' then i0 else 0 end, 0) / 21600, 8) as rate
         from sums where pts >= ts - interval '6 hours'""",
-    "generation_mix_rate": f"with {INSTANTS} select source, ts, round(rate, 8) as rate from rates",
+    "generation_mix_rate": f"with {INSTANTS} select source, ts, rate from rates",
     "coal_share_rate": f"""with {INSTANTS}
         select ts, round(100 * sum(case when source = 'coal' then rate end) / nullif(sum(rate), 0), 4) as percent
         from rates group by ts""",

@@ -222,6 +222,7 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = f"{database}.fact_dispatch"
     rows = gold.fact_rows(silver_rows(spark, sf_dir))
     options = {"keys": KEY, "column": "trading_interval", "partition_by": ["trading_date"]}
+    options["date_column"] = "trading_date"
     gold.build_incremental(spark, first_load(rows), fact, **options)
     corrected = rows.withColumn("generated_mw", F.col("generated_mw") + 1)
     gold.build_incremental(spark, corrected, fact, **options)
@@ -396,9 +397,7 @@ def generation_mix_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def coal_share_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of the coal series in the sum of all rates, at instants 30 minutes apart."""
-    rows = power_metric(spark, sf_dir)
-    instants = metrics.evaluation_times(rows, ["source"], "ts", "30 minutes")
-    by_source = metrics.rate_by(rows, ["source"], ["source"], "ts", "value", RATE_WINDOW, instants)
+    by_source = generation_mix_rate(spark, sf_dir)
     return metrics.label_share(by_source, ["ts"], "source", "coal", "rate").withColumn("percent", rounded("percent", 4))
 
 

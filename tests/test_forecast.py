@@ -1,0 +1,146 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gridlake.operators import forecast
+from gridlake.operators.least_squares import _features, _level, fit_predict
+from tests.conftest import rows
+
+T0 = datetime(2024, 1, 1)
+HALF_HOUR = timedelta(minutes=30)
+
+
+def series(spark, values, key="a"):
+    data = [(key, T0 + i * HALF_HOUR, v) for i, v in values]
+    return spark.createDataFrame(data, "key string, ts timestamp_ntz, y double")
+
+
+def uneven(seed, size=200):
+    rng = random.Random(seed)
+    out, now = [], 0
+    for _ in range(size):
+        now += rng.choice([1, 1, 1, 2, 7, 400 if rng.random() < 0.05 else 1])
+        out.append((now, rng.random() if rng.random() > 0.05 else None))
+    return out
+
+
+def test_history_bounds_are_inclusive(spark):
+    df = series(spark, [(0, 1.0), (1, None), (14 * 48, 2.0), (14 * 48 + 1, 4.0)])
+    found = forecast.history(df, ["key"], "ts", "y").orderBy("ts").collect()
+    assert [(r.n, r.sum_y, r.mean_y) for r in found] == [
+        (1, 1.0, 1.0),
+        (1, 1.0, 1.0),
+        (2, 3.0, 1.5),
+        (2, 6.0, 3.0),
+    ]
+
+
+def test_future_frame(spark):
+    df = spark.createDataFrame([(T0,)], "o timestamp_ntz")
+    found = forecast.future_frame(df, "o").orderBy("step").collect()
+    assert [r.step for r in found] == list(range(1, 49))
+    assert found[0].event_time == T0 + HALF_HOUR and found[-1].event_time == T0 + timedelta(days=1)
+
+
+@pytest.mark.parametrize("model", list(forecast.MODELS))
+@pytest.mark.parametrize("origins", ["last", "all"])
+def test_one_point_gives_no_forecast(spark, model, origins):
+    df = series(spark, [(0, 1.0), (1, None)])
+    assert forecast.MODELS[model](df, ["key"], "ts", "y", origins=origins).count() == 0
+
+
+@pytest.mark.parametrize("model", list(forecast.MODELS))
+def test_last_origin_of_the_backtest_equals_the_last_forecast(spark, model):
+    df = series(spark, uneven(1)).unionByName(series(spark, uneven(2), None)).unionByName(series(spark, uneven(3), "c"))
+    options = {"horizon": 5}
+    last = forecast.MODELS[model](df, ["key"], "ts", "y", **options).collect()
+    every = forecast.MODELS[model](df, ["key"], "ts", "y", origins="all", **options).collect()
+    known = {(r.key, r.origin_time, r.step): (r.n, r.event_time, r.yhat) for r in every}
+    assert len(last) >= (15 if model != "seasonal_mean" else 1)
+    for r in last:
+        n, event_time, yhat = known[r.key, r.origin_time, r.step]
+        assert (r.n, r.event_time) == (n, event_time) and r.yhat == pytest.approx(yhat, abs=1e-6)
+
+
+def test_linear_backtest_against_polyfit(spark):
+    values = uneven(4)
+    found = forecast.linear(series(spark, values), ["key"], "ts", "y", horizon=3, origins="all").collect()
+    points = [(i, v) for i, v in values if v is not None]
+    expected = {}
+    for origin, _ in points:
+        inside = [(i, v) for i, v in points if origin - 672 <= i <= origin]
+        if len(inside) >= 2:
+            slope, base = np.polyfit([i - origin for i, _ in inside], [v for _, v in inside], 1)
+            for step in (1, 2, 3):
+                expected[T0 + origin * HALF_HOUR, step] = (len(inside), base + slope * step)
+    assert {(r.origin_time, r.step) for r in found} == set(expected)
+    for r in found:
+        n, yhat = expected[r.origin_time, r.step]
+        assert r.n == n and r.yhat == pytest.approx(yhat, abs=1e-9)
+
+
+def test_seasonal_backtest_against_a_loop(spark):
+    values = uneven(6)
+    found = forecast.seasonal_mean(series(spark, values), ["key"], "ts", "y", origins="all").collect()
+    points = [(i, v) for i, v in values if v is not None]
+    expected = {}
+    for origin, _ in points:
+        inside = [(i, v) for i, v in points if origin - 672 <= i <= origin]
+        for step in range(1, 49):
+            slot = [v for i, v in inside if i % 48 == (origin + step) % 48]
+            if len(inside) >= 2 and slot:
+                expected[T0 + origin * HALF_HOUR, step] = (len(inside), sum(slot) / len(slot))
+    assert {(r.origin_time, r.step) for r in found} == set(expected)
+    for r in found:
+        assert (r.n, r.yhat) == (expected[r.origin_time, r.step][0], pytest.approx(expected[r.origin_time, r.step][1]))
+
+
+def test_additive_recovers_trend_and_seasons(spark):
+    steps = np.arange(48 * 20)
+    days = steps / 48
+    signal = 0.3 + 0.01 * days + 0.1 * np.sin(2 * np.pi * days) + 0.05 * np.cos(2 * np.pi * days / 7)
+    df = series(spark, [(int(i), float(v)) for i, v in zip(steps[:-48], signal[:-48])])
+    found = forecast.additive(df, ["key"], "ts", "y").orderBy("step").collect()
+    assert [r.step for r in found] == list(range(1, 49))
+    assert [r.yhat for r in found] == pytest.approx(signal[-48:].tolist(), abs=1e-6)
+
+
+def test_additive_against_one_least_squares_fit_per_origin():
+    rng = np.random.default_rng(0)
+    step, window = 1_800_000_000, 14 * 86_400_000_000
+    at = np.cumsum(rng.choice([1, 1, 2], 900)) * step
+    y, weight = rng.random(len(at)), np.ones(len(at))
+    origins, n, yhat = fit_predict(at, y, weight, at, window, step, 4, 2)
+    assert len(origins) == len(at) - 1
+    for index in range(0, len(origins), 97):
+        chosen = (at >= origins[index] - window) & (at <= origins[index])
+        level = _level(chosen.sum(), (at[chosen][-1] - at[chosen][0]) / 86_400_000_000)
+        beta, *_ = np.linalg.lstsq(_features(at[chosen], at[0], window, level), y[chosen], rcond=None)
+        future = _features(origins[index] + step * np.arange(1, 5), at[0], window, level)
+        assert n[index] == chosen.sum()
+        assert yhat[index] == pytest.approx(future @ beta, abs=1e-5)
+
+
+def test_copies_of_a_point_weigh_like_points(spark):
+    df = series(spark, [(0, 1.0), (1, 2.0), (2, 5.0)])
+    twice = df.unionByName(df.where("y = 5"))
+    once = forecast.linear(twice, ["key"], "ts", "y", horizon=1).first()
+    every = forecast.linear(twice, ["key"], "ts", "y", horizon=1, origins="all").orderBy(F.desc("origin_time")).first()
+    slope, base = np.polyfit([0, 1, 2, 2], [1.0, 2.0, 5.0, 5.0], 1)
+    assert once.n == every.n == 4
+    assert once.yhat == pytest.approx(base + 3 * slope) and every.yhat == pytest.approx(base + 3 * slope)
+
+
+def test_score_leaves_zero_actuals_out(spark):
+    actual = series(spark, [(1, 2.0), (2, 0.0), (3, 4.0)])
+    made = spark.createDataFrame(
+        [("a", T0, s, T0 + i * HALF_HOUR, v) for s, i, v in [(1, 1, 1.0), (1, 2, 5.0), (1, 3, 4.0), (2, 3, 9.0)]],
+        "key string, origin_time timestamp_ntz, step int, event_time timestamp_ntz, yhat double",
+    )
+    assert rows(forecast.score(made, actual, ["key"], "ts", "y")) == [("a", 2, 25.0, True)]
+    assert rows(forecast.score(made, actual, ["key"], "ts", "y", threshold=25.0)) == [("a", 2, 25.0, False)]
