@@ -56,15 +56,19 @@ def _bound(target: DataFrame, column: str, lookback: str | None, date_column: st
 
 
 def unique_batch(
-    batch: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order_by: Sequence[str] = ()
+    batch: DataFrame,
+    keys: Sequence[str],
+    on_duplicate: str = "error",
+    order_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """The batch with one row per key.
 
-    ``latest`` keeps the last row by ``order_by``. ``error`` fails the job on a repeated key. A NULL key always fails
-    it: such rows match nothing in the target and would pile up with every replay.
+    ``latest`` keeps the last row by ``order_by``. ``error`` fails the job on a repeated key. A NULL key or partition
+    always fails it: such rows match nothing in the target and would pile up with every replay.
     """
     missing = F.lit(False)
-    for key in keys:
+    for key in [*keys, *partition_by]:
         missing = missing | F.col(key).isNull()
     if on_duplicate == "latest":
         rows, repeated = dedupe(batch, keys, order_by, "latest"), F.lit(False)
@@ -120,7 +124,7 @@ def upsert_table(
     are staged on shared storage before the table is touched, as a job must not overwrite what it reads.
     """
     if not spark.catalog.tableExists(table):
-        replace_table(unique_batch(batch, keys, on_duplicate, order_by), table, partition_by, fmt)
+        replace_table(unique_batch(batch, keys, on_duplicate, order_by, partition_by), table, partition_by, fmt)
         return
     if fmt in TRANSACTIONAL:
         _merge(spark, table, unique_batch(batch, keys, on_duplicate, order_by), keys)
@@ -130,14 +134,33 @@ def upsert_table(
     if rewrite_all:
         _overwrite(spark, _staged(spark, upsert(target, batch, keys, on_duplicate, order_by)), table, "static")
         return
-    batch = _staged(spark, unique_batch(batch, keys, on_duplicate, order_by))
-    touched = batch.select(*partition_by).distinct()
-    affected = target.join(touched, list(partition_by), "left_semi")
-    kept = affected.join(batch.select(*keys), list(keys), "left_anti")
+    batch = _staged(spark, unique_batch(batch, keys, on_duplicate, order_by, partition_by))
+    kept = _touched(target, batch, partition_by).join(batch.select(*keys), list(keys), "left_anti")
     rewritten = _staged(spark, kept.unionByName(batch.select(*target.columns)))
     _overwrite(spark, rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
 
 
+# Longest list of partition values put into a filter.
+LISTED = 1000
+
+
+def _touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Target rows of the partitions the batch names.
+
+    A list of the values (or their range, when there are too many to list) prunes the partitions that are read; the
+    semi-join makes the choice exact.
+    """
+    touched = batch.select(*partition_by).distinct()
+    first = partition_by[0]
+    listed = [row[0] for row in touched.select(first).distinct().limit(LISTED + 1).collect()]
+    if len(listed) <= LISTED:
+        near = target.where(F.col(first).isin(listed))
+    else:
+        low, high = batch.agg(F.min(first), F.max(first)).first()
+        near = target.where(F.col(first).between(low, high))
+    return near.join(touched, list(partition_by), "left_semi")
+
+
 def _overwrite(spark: SparkSession, rows: DataFrame, table: str, mode: str) -> None:
     """Replace the whole table (``static``) or the partitions that ``rows`` names (``dynamic``)."""
     # insertInto takes the mode from the session only.
@@ -182,7 +205,7 @@ def build_incremental(
     """An incremental model: slice the source against the table as it is, then upsert the slice."""
     exists = spark.catalog.tableExists(table)
     if full_refresh or not exists:
-        replace_table(unique_batch(source, keys, on_duplicate, order_by), table, partition_by, fmt)
+        replace_table(unique_batch(source, keys, on_duplicate, order_by, partition_by), table, partition_by, fmt)
         return
     rows = incremental_slice(source, spark.table(table), column, lookback, date_column)
     upsert_table(spark, table, rows, keys, partition_by, on_duplicate, order_by, key_moves, fmt)

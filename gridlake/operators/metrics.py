@@ -38,6 +38,8 @@ def _increases(
     samples = df.select(*series, ts, *ties, F.col(value).alias("__value"))
     if ties:
         samples = dedupe(samples, [*series, ts], list(ties))
+    else:
+        samples = samples.groupBy(*series, ts).agg(F.max("__value").alias("__value"))
     pairs = previous(samples, series, ts, {"__before": "__value", "__since": ts}, width)
     # A counter that fell was reset, so its whole new value is increase.
     grown = F.when(F.col("__value") >= F.col("__before"), F.col("__value") - F.col("__before")).otherwise(
@@ -56,17 +58,19 @@ def rate(
     window: str = "5 minutes",
     at: DataFrame | None = None,
     ties: Sequence[str] = (),
-    width: str | int = "1 hour",
+    width: str | None = None,
 ) -> DataFrame:
     """Per-second increase of a counter over the trailing window, at every sample or at the instants in ``at``.
 
     A drop is a reset. Only increases between two samples inside the window count; instants with fewer than two samples
-    give no row. The increase is divided by the window and not extrapolated to its edges. Samples of a series must
-    differ in ``ts``; with ``ties`` the last one by those columns is taken. ``at`` has the series columns and ``ts``.
+    give no row. The increase is divided by the window and not extrapolated to its edges. Of several samples of a series
+    at one time the last by ``ties`` is taken, or the largest. ``at`` has the series columns and ``ts``. One task gets
+    the samples of one series and ``width`` (by default the window, but an hour at least).
     """
+    width = width or max(window, "1 hour", key=micros)
     spans = _increases(df, series, ts, value, window, ties, width)
     measures = {"__n": F.lit(1).cast("bigint"), "__sum": F.col("__increase")}
-    found = sweep(spans, series, ts, "__leave", measures, width, probes=at)
+    found = sweep(spans, series, ts, "__leave", measures, width, probes=at, reach=window, merge=False)
     per_second = F.greatest(F.col("__sum"), F.lit(0.0)) / F.lit(micros(window) / 1e6)
     return found.where("__n > 0").select(*series, ts, per_second.alias("rate"))
 

@@ -88,8 +88,9 @@ def running_sum(
     )
 
 
-# Order of the kinds of rows that meet at one instant of a sweep: a span holds both its ends.
-ENTER, PROBE, LEAVE = 0, 1, 2
+# Order of the kinds of rows that meet at one instant of a sweep: a span holds both its ends. BEFORE enters a span that
+# began in an earlier bucket.
+BEFORE, ENTER, PROBE, LEAVE = -1, 0, 1, 2
 
 
 def sweep(
@@ -101,33 +102,79 @@ def sweep(
     width: str | int,
     probes: DataFrame | None = None,
     extra: Sequence[str] = (),
+    reach: str | int | None = None,
+    merge: bool = True,
 ) -> DataFrame:
     """Sums of ``measures`` over all spans that hold an instant, ends included.
 
     Every span adds its measures when it is entered and takes them away after it is left, so a window of any length
-    costs two rows per span instead of one pass over the window per row. Equal spans are added up first, before the
-    exchange, which also takes care of copies. Without ``probes`` the result has one row per span, and spans that enter
-    at one instant must end at one instant. ``probes`` carries ``keys``, ``enter`` and the ``extra`` columns, and gives
-    one row per probe.
+    costs two rows per span instead of one pass over the window per row. Without ``probes`` the result has one row per
+    span, and spans that enter at one instant must end at one instant. ``probes`` carries ``keys``, ``enter`` and the
+    ``extra`` columns, and gives one row per probe.
+
+    Equal spans are added up first, before the exchange, which also takes care of copies; ``merge=False`` skips that for
+    spans known to differ. When ``reach``, the length of the longest span, is no more than ``width``, a span meets at
+    most two buckets and is put into both; then no sums need to be carried from bucket to bucket.
     """
     names = list(measures)
-    totals = spans.groupBy(*keys, enter, leave).agg(*[F.sum(value).alias(name) for name, value in measures.items()])
-    entering = F.col("__side") == ENTER
-    events = totals.withColumn("__side", F.explode(F.array(F.lit(ENTER), F.lit(LEAVE)))).select(
-        *keys,
-        F.when(entering, F.col(enter)).otherwise(F.col(leave)).alias(enter),
-        "__side",
-        *[F.when(entering, F.col(name)).otherwise(-F.col(name)).alias(f"__m_{name}") for name in names],
-    )
+    if merge:
+        spans = spans.groupBy(*keys, enter, leave).agg(*[F.sum(value).alias(n) for n, value in measures.items()])
+    else:
+        spans = spans.select(*keys, enter, leave, *[value.alias(n) for n, value in measures.items()])
+    short = reach is not None and span(reach) <= span(width)
+    events = _events(spans, keys, enter, leave, names, span(width) if short else None)
     wanted = ENTER
     if probes is not None:
         wanted = PROBE
         marks = probes.select(*keys, enter, *extra).withColumn("__side", F.lit(PROBE))
+        if short:
+            marks = marks.withColumn("__bucket", floor_to(position(marks, enter), span(width)))
         events = events.unionByName(marks, allowMissingColumns=True)
-    sums = running_sum(events, keys, enter, {n: F.col(f"__m_{n}") for n in names}, width, ties=["__side"])
+    if short:
+        window = (
+            Window.partitionBy(*keys, "__bucket")
+            .orderBy(enter, "__side")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        kinds = {n: events.schema[n].dataType for n in names}
+        sums = events.withColumns({n: F.coalesce(F.sum(n).over(window), F.lit(0).cast(kinds[n])) for n in names})
+    else:
+        moved = events.withColumnsRenamed({n: f"__m_{n}" for n in names})
+        sums = running_sum(moved, keys, enter, {n: F.col(f"__m_{n}") for n in names}, width, ties=["__side"])
     return sums.where(F.col("__side") == wanted).select(*keys, enter, *extra, *names)
 
 
+def _events(
+    spans: DataFrame, keys: Sequence[str], enter: str, leave: str, names: Sequence[str], width: int | None
+) -> DataFrame:
+    """An entering and a leaving row per span; ``enter`` becomes the time of either.
+
+    With ``width`` the rows also get their bucket, and a span that ends in the next bucket is entered there too.
+    """
+    side = F.col("__side")
+    if width is None:
+        rows = spans.withColumn("__side", F.explode(F.array(F.lit(ENTER), F.lit(LEAVE))))
+        placed = []
+    else:
+        first = floor_to(position(spans, enter), width)
+        last = floor_to(position(spans, leave), width)
+        own, carried, end = _place(ENTER, first), _place(BEFORE, last), _place(LEAVE, last)
+        places = F.when(first == last, F.array(own, end)).otherwise(F.array(own, carried, end))
+        rows = spans.withColumn("__place", F.explode(places)).select("*", "__place.*")
+        placed = ["__bucket"]
+    return rows.select(
+        *keys,
+        F.when(side == LEAVE, F.col(leave)).otherwise(F.col(enter)).alias(enter),
+        "__side",
+        *placed,
+        *[F.when(side == LEAVE, -F.col(n)).otherwise(F.col(n)).alias(n) for n in names],
+    )
+
+
+def _place(side: int, bucket: Column) -> Column:
+    return F.struct(F.lit(side).alias("__side"), bucket.alias("__bucket"))
+
+
 def overlapping_chunks(df: DataFrame, keys: Sequence[str], ts: str, window: str) -> DataFrame:
     """Cut series into chunks as long as ``window`` and give every chunk the rows its trailing windows reach back to.
 

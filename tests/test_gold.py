@@ -98,6 +98,23 @@ def test_fact_upsert_rewrites_only_the_dates_it_names(spark, database):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_upsert_reads_only_the_dates_it_names(spark, database, monkeypatch):
+    table = f"{database}.fact"
+    data = dim(spark, *[(f"u{d}", d, "x") for d in range(1, 9)])
+    gold.upsert_table(spark, table, data, ["unit_id"], ["trading_date"])
+    batch = dim(spark, ("u3", 3, "y"), ("u5", 5, "y"))
+    for limit in (1000, 1):
+        monkeypatch.setattr(gold, "LISTED", limit)
+        near = gold._touched(spark.table(table), batch, ["trading_date"])
+        assert sorted(r.unit_id for r in near.collect()) == ["u3", "u5"]
+        scan = next(line for line in plan(near).splitlines() if "FileScan" in line and "fact" in line)
+        assert "trading_date" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    with pytest.raises(Exception, match="NULL in upsert key"):
+        gold.upsert_table(
+            spark, table, spark.createDataFrame([("u1", None, "x")], SCHEMA), ["unit_id"], ["trading_date"]
+        )
+
+
 def test_star_does_not_multiply_rows(spark):
     fact = spark.createDataFrame(
         [("u1", "Coal", 1.0), ("u1", "Coal", 2.0), ("u9", "Gas", 4.0)], "unit_id string, fuel_type string, generated_mw double"

@@ -61,12 +61,14 @@ def test_running_sum(spark, width):
 
 
 @pytest.mark.parametrize("width", ["10 minutes", "1 day"])
-@pytest.mark.parametrize("window", [timedelta(minutes=15), timedelta(hours=30)])
-def test_sweep_is_the_inclusive_trailing_window(spark, width, window):
+@pytest.mark.parametrize("window", [timedelta(minutes=10), timedelta(hours=24), timedelta(hours=30)])
+@pytest.mark.parametrize("tell", [True, False])
+def test_sweep_is_the_inclusive_trailing_window(spark, width, window, tell):
     data = series(3)
     df = frame(spark, data + data[:50])
     spans = df.withColumn("leave", F.col("ts") + F.lit(window))
-    found = sweep(spans, ["key"], "ts", "leave", {"n": F.lit(1), "total": F.col("v")}, width)
+    reach = f"{int(window.total_seconds())} seconds" if tell else None
+    found = sweep(spans, ["key"], "ts", "leave", {"n": F.lit(1), "total": F.col("v")}, width, reach=reach)
     expected = set()
     for key, group in by_key(data + data[:50]).items():
         for row in group:
@@ -75,12 +77,13 @@ def test_sweep_is_the_inclusive_trailing_window(spark, width, window):
     assert rows(found) == sorted(expected, key=repr)
 
 
-def test_sweep_probes_lie_between_entering_and_leaving(spark):
+@pytest.mark.parametrize("reach", [None, "5 minutes"])
+def test_sweep_probes_lie_between_entering_and_leaving(spark, reach):
     data = [(1, "a", START, 2.0), (2, "a", START + timedelta(minutes=5), 3.0)]
     spans = frame(spark, data).withColumn("leave", F.col("ts") + F.expr("INTERVAL 5 MINUTES"))
     times = [START - timedelta(1), START, START + timedelta(minutes=5), START + timedelta(minutes=10), START + timedelta(1)]
     probes = spark.createDataFrame([("a", t, i) for i, t in enumerate(times)], "key string, ts timestamp_ntz, tag int")
-    found = sweep(spans, ["key"], "ts", "leave", {"total": F.col("v")}, "1 minute", probes, ["tag"])
+    found = sweep(spans, ["key"], "ts", "leave", {"total": F.col("v")}, "7 minutes", probes, ["tag"], reach)
     assert sorted((r.tag, r.total) for r in found.collect()) == [(0, 0.0), (1, 2.0), (2, 5.0), (3, 3.0), (4, 0.0)]
 
 
