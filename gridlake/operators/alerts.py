@@ -39,17 +39,19 @@ def sustained(
     for_duration: str | None = None,
     min_count: int | None = None,
     value: str | None = None,
-    width: str = "30 days",
+    width: str = "1 day",
     resolve_timeout: str = RESOLVE_TIMEOUT,
 ) -> DataFrame:
     """Stretches in which ``condition`` (boolean; NULL is false) holds in every sample and no gap exceeds ``step``.
 
     One row per stretch: ``started_at`` and ``ended_at`` (first and last true sample), ``n``, ``peak`` of ``value``, and
     ``resolved_at``: the false sample that ended it, or ``resolve_timeout`` after the last sample when data stopped.
-    ``for_duration`` keeps stretches at least that long, ``min_count`` those with that many samples. Samples of one
-    label set must differ in ``ts``.
+    ``for_duration`` keeps stretches at least that long, ``min_count`` those with that many samples. Several samples of
+    one label set at one time are taken as one, which holds when all of them do.
     """
-    rows = df.withColumn("__true", F.coalesce(F.col(condition), F.lit(False)))
+    peak = [F.max(value).alias("__value")] if value else []
+    holds = F.bool_and(F.coalesce(F.col(condition), F.lit(False))).alias("__true")
+    rows = df.groupBy(*labels, ts).agg(holds, *peak)
     rows = previous(rows, labels, ts, {"__before": "__true", "__since": ts}, width)
     near = F.col(ts) <= shift(F.col("__since"), step)
     follows = F.coalesce(F.col("__before") & near, F.lit(False))
@@ -64,7 +66,7 @@ def sustained(
             F.min(F.when(is_true, F.col(ts))).alias("started_at"),
             F.max(F.when(is_true, F.col(ts))).alias("ended_at"),
             F.count(F.when(is_true, F.lit(1))).alias("n"),
-            *([F.max(F.when(is_true, F.col(value))).alias("peak")] if value else []),
+            *([F.max(F.when(is_true, F.col("__value"))).alias("peak")] if value else []),
             F.min(F.when(F.col("__ends"), F.col(ts))).alias("__false_at"),
         )
     )
@@ -79,7 +81,7 @@ def sustained(
 
 
 def threshold_alert(
-    df: DataFrame, labels: Sequence[str], ts: str, value: str, rule: Rule, step: str, width: str = "30 days"
+    df: DataFrame, labels: Sequence[str], ts: str, value: str, rule: Rule, step: str, width: str = "1 day"
 ) -> DataFrame:
     """Alert rows of a rule "value above threshold, sustained"."""
     judged = df.withColumn("__over", F.col(value) > F.lit(rule.threshold))
@@ -88,7 +90,7 @@ def threshold_alert(
 
 
 def status_alert(
-    df: DataFrame, labels: Sequence[str], ts: str, status: str, step: str, rule: Rule = RUN_FAILURE, width: str = "30 days"
+    df: DataFrame, labels: Sequence[str], ts: str, status: str, step: str, rule: Rule = RUN_FAILURE, width: str = "1 day"
 ) -> DataFrame:
     """Alert rows of a rule "status equals the threshold, sustained"."""
     judged = df.withColumn("__failed", F.col(status) == F.lit(rule.threshold))

@@ -1,10 +1,10 @@
 """Exact ordered scans over long series: previous value, running sum, trailing-window sum.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole series into one task, so one hot series decides the run
-time. Here every series is cut into buckets of a fixed width on its ordering axis. Rows are shuffled by
-(series, bucket), the window runs inside the bucket, and what crosses a bucket edge (the last value before it, the sum
-before it) comes from a table with one row per (series, bucket), built with a partial aggregate. The result is the same
-for every width; the width only sets how much work one task may get.
+time. Here every series is cut into buckets of a fixed width on its ordering axis, and the window runs inside the
+bucket. What crosses a bucket edge (the last value before it, the sum before it) comes from a table with one row per
+(series, bucket), built with a partial aggregate, and enters the window as the bucket's first row. The result is the
+same for every width; the width only sets how much work one task may get.
 """
 
 from __future__ import annotations
@@ -16,15 +16,21 @@ from pyspark.sql import functions as F
 
 from gridlake.functions.timeaxis import floor_to, position, span
 
-_SERIES = "__series"
 _BUCKET = "__bucket"
-_CARRY = "__carry"
+_SEED = "__seed"
 
 
-def _with_bucket(df: DataFrame, keys: Sequence[str], order: str, width: str | int) -> DataFrame:
-    # A struct compares field by field with NULL equal to NULL, so series with NULL labels join to themselves.
-    series = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
-    return df.withColumns({_SERIES: series, _BUCKET: floor_to(position(df, order), span(width))})
+def _with_bucket(df: DataFrame, order: str, width: str | int) -> DataFrame:
+    return df.withColumns({_BUCKET: floor_to(position(df, order), span(width)), _SEED: F.lit(0)})
+
+
+def _seeded(rows: DataFrame, seeds: DataFrame) -> DataFrame:
+    return rows.unionByName(seeds.withColumn(_SEED, F.lit(1)), allowMissingColumns=True)
+
+
+def _inside(keys: Sequence[str], order: str, ties: Sequence[str]):
+    """Order within a bucket: its seed comes first."""
+    return Window.partitionBy(*keys, _BUCKET).orderBy(F.desc(_SEED), order, *ties)
 
 
 def previous(
@@ -36,21 +42,27 @@ def previous(
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add, for every ``new: old`` in ``columns``, the value of ``old`` in the row before (NULL in a series' first)."""
-    rows = _with_bucket(df, keys, order, width)
-    value = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
-    by_bucket = Window.partitionBy(_SERIES).orderBy(_BUCKET)
-    carry = (
-        rows.groupBy(_SERIES, _BUCKET)
-        .agg(F.max_by(value, F.struct(order, *ties)).alias(_CARRY))
-        .withColumn(_CARRY, F.lag(_CARRY).over(by_bucket))
-    )
-    inside = Window.partitionBy(_SERIES, _BUCKET).orderBy(order, *ties)
-    found = (
-        rows.withColumn("__lag", F.lag(value).over(inside))
-        .join(carry, [_SERIES, _BUCKET], "left")
-        .withColumn("__lag", F.coalesce("__lag", _CARRY))
+    rows = _with_bucket(df, order, width)
+    olds = list(dict.fromkeys(columns.values()))
+    if ties:
+        last = [F.max_by(F.struct(*olds), F.struct(order, *ties)).alias("__last")]
+        carried = ["__last"]
+    else:
+        # A plain ordering column lets Spark use a hash aggregate.
+        last = [F.max_by(old, order).alias(f"__last_{old}") for old in olds]
+        carried = [f"__last_{old}" for old in olds]
+    before = Window.partitionBy(*keys).orderBy(_BUCKET)
+    earlier = {name: F.lag(name).over(before) for name in carried}
+    seeds = rows.groupBy(*keys, _BUCKET).agg(*last).select(
+        *keys, _BUCKET, *[value.alias(name) for name, value in earlier.items()], F.lag(_BUCKET).over(before).alias("__at")
     )
-    return found.select(*df.columns, *[F.col("__lag")[new].alias(new) for new in columns])
+    values = [
+        (F.col("__last")[old] if ties else F.col(f"__last_{old}")).alias(old) for old in olds if old not in keys
+    ]
+    seeds = seeds.where("__at IS NOT NULL").select(*keys, _BUCKET, *values)
+    inside = _inside(keys, order, ties)
+    marked = _seeded(rows, seeds).withColumns({new: F.lag(old).over(inside) for new, old in columns.items()})
+    return marked.where(F.col(_SEED) == 0).select(*df.columns, *columns)
 
 
 def running_sum(
@@ -62,30 +74,20 @@ def running_sum(
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add running sums (up to and with the row itself) of the given expressions; NULL counts as 0."""
-    rows = _with_bucket(df, keys, order, width)
-    for name, value in columns.items():
-        rows = rows.withColumn(f"__v_{name}", value)
-    before = Window.partitionBy(_SERIES).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        rows.groupBy(_SERIES, _BUCKET)
-        .agg(*[F.sum(f"__v_{name}").alias(f"__t_{name}") for name in columns])
-        .select(_SERIES, _BUCKET, *[F.sum(f"__t_{name}").over(before).alias(f"__c_{name}") for name in columns])
-    )
-    inside = (
-        Window.partitionBy(_SERIES, _BUCKET)
-        .orderBy(order, *ties)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    summed = rows.withColumns({f"__s_{name}": F.sum(f"__v_{name}").over(inside) for name in columns})
-    joined = summed.join(carry, [_SERIES, _BUCKET], "left")
-    zero = {name: F.lit(0).cast(summed.schema[f"__s_{name}"].dataType) for name in columns}
-    return joined.select(
-        *df.columns,
-        *[
-            (F.coalesce(f"__s_{name}", zero[name]) + F.coalesce(f"__c_{name}", zero[name])).alias(name)
-            for name in columns
-        ],
+    rows = _with_bucket(df, order, width)
+    kinds = df.select(*[value.alias(name) for name, value in columns.items()]).agg(*[F.sum(n).alias(n) for n in columns])
+    zero = {name: F.lit(0).cast(kinds.schema[name].dataType) for name in columns}
+    rows = rows.withColumns(
+        {f"__v_{n}": F.coalesce(value.cast(kinds.schema[n].dataType), zero[n]) for n, value in columns.items()}
     )
+    values = [f"__v_{name}" for name in columns]
+    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*keys, _BUCKET).agg(*[F.sum(v).alias(v) for v in values])
+    seeds = totals.select(*keys, _BUCKET, *[F.sum(v).over(before).alias(v) for v in values])
+    seeds = seeds.where(F.col(values[0]).isNotNull())
+    inside = _inside(keys, order, ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = _seeded(rows, seeds).withColumns({name: F.sum(f"__v_{name}").over(inside) for name in columns})
+    return summed.where(F.col(_SEED) == 0).select(*df.columns, *columns)
 
 
 # Order of the kinds of rows that meet at one instant of a sweep: a span holds both its ends. BEFORE enters a span that
