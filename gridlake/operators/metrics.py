@@ -59,20 +59,52 @@ def rate(
     at: DataFrame | None = None,
     ties: Sequence[str] = (),
     width: str | None = None,
+    extrapolate: bool = False,
 ) -> DataFrame:
     """Per-second increase of a counter over the trailing window, at every sample or at the instants in ``at``.
 
     A drop is a reset. Only increases between two samples inside the window count; instants with fewer than two samples
-    give no row. The increase is divided by the window and not extrapolated to its edges. Of several samples of a series
+    give no row. The increase is divided by the window; with ``extrapolate`` it is first stretched to the window's
+    edges, as monitoring systems do for counters scraped at intervals (:func:`_stretch`). Of several samples of a series
     at one time the last by ``ties`` is taken, or the largest. ``at`` has the series columns and ``ts``. One task gets
     the samples of one series and ``width`` (by default the window, but an hour at least).
     """
     width = width or max(window, "1 hour", key=micros)
     spans = _increases(df, series, ts, value, window, ties, width)
     measures = {"__n": F.lit(1).cast("bigint"), "__sum": F.col("__increase")}
-    found = sweep(spans, series, ts, "__leave", measures, width, probes=at, reach=window, merge=False)
-    per_second = F.greatest(F.col("__sum"), F.lit(0.0)) / F.lit(micros(window) / 1e6)
-    return found.where("__n > 0").select(*series, ts, per_second.alias("rate"))
+    newest: list[str] = []
+    if extrapolate:
+        spans = spans.withColumns({"__last_at": position(spans, ts), "__last": F.col("__value")})
+        measures["__covered"] = F.col("__last_at") - position(spans, "__since")
+        measures["__net"] = F.col("__value") - F.col("__before")
+        newest = ["__last_at", "__last"]
+    found = sweep(
+        spans, series, ts, "__leave", measures, width, probes=at, reach=window, merge=False, newest=newest
+    ).where("__n > 0")
+    increase = F.greatest(F.col("__sum"), F.lit(0.0))
+    if extrapolate:
+        increase = increase * _stretch(position(found, ts), micros(window), increase)
+    return found.select(*series, ts, (increase / F.lit(micros(window) / 1e6)).alias("rate"))
+
+
+def _stretch(now: Column, window: int, increase: Column) -> Column:
+    """Factor from the time between the first and last sample to the part of the window they stand for.
+
+    Each side is stretched to the window's edge when the edge is nearer than 1.1 mean sample distances, else by half a
+    distance; to the left never beyond the time at which the counter would have been zero.
+    """
+    covered = F.col("__covered").cast("double")
+    distance = covered / F.col("__n")
+    first_at = F.col("__last_at") - F.col("__covered")
+    to_start = (first_at - now + F.lit(window)).cast("double")
+    to_end = (now - F.col("__last_at")).cast("double")
+    near = distance * 1.1
+    first = F.col("__last") - F.col("__net")
+    to_zero = covered * F.try_divide(first, increase)
+    start = F.when(to_start >= near, distance / 2).otherwise(to_start)
+    start = F.when((increase > 0) & (first >= 0) & (to_zero < start), to_zero).otherwise(start)
+    end = F.when(to_end >= near, distance / 2).otherwise(to_end)
+    return F.coalesce(F.try_divide(covered + start + end, covered), F.lit(1.0))
 
 
 def evaluation_times(df: DataFrame, series: Sequence[str], ts: str, step: str) -> DataFrame:

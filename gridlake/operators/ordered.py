@@ -106,6 +106,7 @@ def sweep(
     extra: Sequence[str] = (),
     reach: str | int | None = None,
     merge: bool = True,
+    newest: Sequence[str] = (),
 ) -> DataFrame:
     """Sums of ``measures`` over all spans that hold an instant, ends included.
 
@@ -116,14 +117,18 @@ def sweep(
 
     Equal spans are added up first, before the exchange, which also takes care of copies; ``merge=False`` skips that for
     spans known to differ. When ``reach``, the length of the longest span, is no more than ``width``, a span meets at
-    most two buckets and is put into both; then no sums need to be carried from bucket to bucket.
+    most two buckets and is put into both; then no sums need to be carried from bucket to bucket, and ``newest`` adds
+    columns of the span that was entered last (with ``merge=False`` only).
     """
     names = list(measures)
+    short = reach is not None and span(reach) <= span(width)
+    if newest and (merge or not short):
+        raise ValueError("newest needs merge=False and a reach within the width")
     if merge:
         spans = spans.groupBy(*keys, enter, leave).agg(*[F.sum(value).alias(n) for n, value in measures.items()])
     else:
-        spans = spans.select(*keys, enter, leave, *[value.alias(n) for n, value in measures.items()])
-    short = reach is not None and span(reach) <= span(width)
+        last = [F.col(c).alias(f"__newest_{c}") for c in newest]
+        spans = spans.select(*keys, enter, leave, *[value.alias(n) for n, value in measures.items()], *last)
     events = _events(spans, keys, enter, leave, names, span(width) if short else None)
     wanted = ENTER
     if probes is not None:
@@ -139,11 +144,14 @@ def sweep(
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         kinds = {n: events.schema[n].dataType for n in names}
-        sums = events.withColumns({n: F.coalesce(F.sum(n).over(window), F.lit(0).cast(kinds[n])) for n in names})
+        seen = {c: F.last(f"__newest_{c}", ignorenulls=True).over(window) for c in newest}
+        sums = events.withColumns(
+            {**{n: F.coalesce(F.sum(n).over(window), F.lit(0).cast(kinds[n])) for n in names}, **seen}
+        )
     else:
         moved = events.withColumnsRenamed({n: f"__m_{n}" for n in names})
         sums = running_sum(moved, keys, enter, {n: F.col(f"__m_{n}") for n in names}, width, ties=["__side"])
-    return sums.where(F.col("__side") == wanted).select(*keys, enter, *extra, *names)
+    return sums.where(F.col("__side") == wanted).select(*keys, enter, *extra, *names, *newest)
 
 
 def _events(
@@ -170,6 +178,7 @@ def _events(
         "__side",
         *placed,
         *[F.when(side == LEAVE, -F.col(n)).otherwise(F.col(n)).alias(n) for n in names],
+        *[F.when(side != LEAVE, F.col(c)).alias(c) for c in spans.columns if c.startswith("__newest_")],
     )
 
 

@@ -83,7 +83,7 @@ lagged as (
          lag(generated_mw) over w as pv, lag(ingested_at) over w as pts
   from dispatch window w as (partition by fuel_type order by ingested_at)),
 pairs as (
-  select source, ts, pts, case when v >= pv then v - pv else v end as inc from lagged where pts is not null)"""
+  select source, ts, pts, pv, case when v >= pv then v - pv else v end as inc from lagged where pts is not null)"""
 )
 
 INSTANTS = (
@@ -355,6 +355,24 @@ ORACLES: dict[str, str] = {
                round(greatest(s - case when p0 < ts - interval '6 hours' then i0 else 0 end, 0) / 21600, 8) as rate
         from sums where pts >= ts - interval '6 hours'""",
     "generation_mix_rate": f"with {INSTANTS} select source, ts, rate from rates",
+    "counter_rate_extrapolated": f"""with {INSTANTS.rsplit("rates as", 1)[0]}
+        inside as (
+          select i.source, i.ts, sum(p.inc) as inc, count(*) as n, min(p.pts) as t0, max(p.ts) as t1,
+                 min_by(p.pv, p.pts) as v0
+          from instants i join pairs p
+            on p.source = i.source and p.ts <= i.ts and p.pts >= i.ts - interval '6 hours'
+          group by i.source, i.ts),
+        timed as (
+          select *, epoch_us(t1) - epoch_us(t0) as covered, (epoch_us(t1) - epoch_us(t0)) / n as gap,
+                 epoch_us(t0) - epoch_us(ts) + 21600000000 as to_start, epoch_us(ts) - epoch_us(t1) as to_end
+          from inside),
+        sides as (
+          select *, case when to_start >= 1.1 * gap then gap / 2 else to_start end as l,
+                 case when to_end >= 1.1 * gap then gap / 2 else to_end end as r from timed)
+        select source, ts,
+               round(inc * (covered + case when inc > 0 and covered * v0 / inc < l then covered * v0 / inc else l end + r)
+                     / covered / 21600 + 1e-12, 8) as rate
+        from sides""",
     "coal_share_rate": f"""with {INSTANTS}
         select ts, round(100 * sum(case when source = 'coal' then rate end) / nullif(sum(rate), 0), 4) as percent
         from rates group by ts""",

@@ -35,12 +35,12 @@ def changed_payloads_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = with_checksum(batch, content, "__crc").withColumn("__seed", F.lit(False))
+        rows = with_checksum(batch, content, "__crc").withColumn("__known", F.lit(False))
         if batch_id:
-            seeds = spark.read.parquet(f"{state}/{(batch_id - 1) % 2}").withColumn("__seed", F.lit(True))
-            rows = rows.unionByName(seeds, allowMissingColumns=True)
+            known = spark.read.parquet(f"{state}/{(batch_id - 1) % 2}").withColumn("__known", F.lit(True))
+            rows = rows.unionByName(known, allowMissingColumns=True)
         marked = previous(rows, feed, arrival, {"__before": "__crc"}, width, ties)
-        changed = marked.where(~F.col("__seed") & ~F.col("__crc").eqNullSafe(F.col("__before")))
+        changed = marked.where(~F.col("__known") & ~F.col("__crc").eqNullSafe(F.col("__before")))
         changed.select(*batch.columns).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
         newest = F.max_by(F.struct(arrival, *ties, "__crc"), F.struct(arrival, *ties)).alias("__last")
         last = rows.select(*key, "__crc").groupBy(*feed).agg(newest).select(*feed, "__last.*")

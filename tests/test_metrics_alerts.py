@@ -70,6 +70,22 @@ def test_rate_against_a_loop_at_samples_and_instants(spark):
     assert [r[2] for r in have] == pytest.approx([r[2] for r in want])
 
 
+def test_extrapolated_rate(spark):
+    # Scraped each minute, seen 30 s after the last scrape: 4 minutes covered, both edges half a minute away.
+    df = samples(spark, *[("a", m, 100 + 60 * m) for m in range(10)])
+    at_instant = spark.createDataFrame([("a", at(9.5))], "s string, ts timestamp_ntz")
+    found = metrics.rate(df, ["s"], "ts", "v", at=at_instant, extrapolate=True).collect()
+    assert [r.rate for r in found] == [pytest.approx(1.0)]
+    # A counter that starts at zero is not stretched to before its start.
+    young = samples(spark, ("b", 4, 0), ("b", 5, 60))
+    assert metrics.rate(young, ["s"], "ts", "v", extrapolate=True).first().rate == pytest.approx(60 / 300)
+    # Half a sample distance is added towards edges that are far away.
+    sparse = samples(spark, ("c", 5.5, 1000), ("c", 6.5, 1010))
+    probe = spark.createDataFrame([("c", at(9))], "s string, ts timestamp_ntz")
+    found = metrics.rate(sparse, ["s"], "ts", "v", at=probe, extrapolate=True).first().rate
+    assert found == pytest.approx(10 * (60 + 30 + 30) / 60 / 300)
+
+
 def test_rate_takes_the_last_of_samples_at_one_time(spark):
     df = samples(spark, ("a", 0, 1), ("a", 1, 9), ("a", 1, 3)).withColumn("n", F.monotonically_increasing_id())
     df = df.withColumn("n", F.when(F.col("v") == 3, 100).otherwise(1))
