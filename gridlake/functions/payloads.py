@@ -19,7 +19,16 @@ def to_time(text: Column | str, zoneless: bool = False) -> Column:
     return (F.col(text) if isinstance(text, str) else text).try_cast(kind)
 
 
-def parse_shares(df: DataFrame, schema: T.StructType, time: str, share: str, zoneless: bool = False) -> DataFrame:
-    """Share messages as ``(time, share)``. Messages without a time or a share cannot be used and are left out."""
+def parse_shares(
+    df: DataFrame, schema: T.StructType, time: str, share: str, zoneless: bool = False, observed_as: str | None = None
+) -> DataFrame:
+    """Share messages as ``(time, share)``. Messages without a time or a share cannot be used and are left out.
+
+    With ``observed_as`` a stream reports, per batch and under that name, how many were ``received`` and ``unusable``.
+    """
     parsed = parse_json(df, schema).withColumn(time, to_time(time, zoneless))
-    return parsed.where(F.col(time).isNotNull() & F.col(share).isNotNull())
+    usable = F.col(time).isNotNull() & F.col(share).isNotNull()
+    if observed_as:
+        received, unusable = F.count(F.lit(1)).alias("received"), F.count_if(~usable).alias("unusable")
+        parsed = parsed.observe(observed_as, received, unusable)
+    return parsed.where(usable)

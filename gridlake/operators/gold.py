@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators.silver import dedupe
 from gridlake.session import scratch_dir
-from gridlake.sources.sinks import TRANSACTIONAL, replace_table
+from gridlake.sources.sinks import TRANSACTIONAL, overwrite_table, replace_table
 
 # Fixed value: lower bound used while the target is empty.
 EARLIEST = "1900-01-01"
@@ -132,12 +132,12 @@ def upsert_table(
     target = spark.table(table)
     rewrite_all = key_moves or not partition_by
     if rewrite_all:
-        _overwrite(spark, _staged(spark, upsert(target, batch, keys, on_duplicate, order_by)), table, "static")
+        overwrite_table(_staged(spark, upsert(target, batch, keys, on_duplicate, order_by)), table, "static")
         return
     batch = _staged(spark, unique_batch(batch, keys, on_duplicate, order_by, partition_by))
     kept = _touched(target, batch, partition_by).join(batch.select(*keys), list(keys), "left_anti")
     rewritten = _staged(spark, kept.unionByName(batch.select(*target.columns)))
-    _overwrite(spark, rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
+    overwrite_table(rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
 
 
 # Longest list of partition values put into a filter.
@@ -161,18 +161,6 @@ def _touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -
     return near.join(touched, list(partition_by), "left_semi")
 
 
-def _overwrite(spark: SparkSession, rows: DataFrame, table: str, mode: str) -> None:
-    """Replace the whole table (``static``) or the partitions that ``rows`` names (``dynamic``)."""
-    # insertInto takes the mode from the session only.
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, mode)
-    try:
-        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(setting, before)
-
-
 def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
     folder = scratch_dir(spark, "stage")
     df.write.parquet(folder)

@@ -279,6 +279,15 @@ ORACLES: dict[str, str] = {
         select r.region_name, s.fuel_type, round(sum(s.generated_mw), 4) as generated_mw, count(*) as n
         from silver s left join units u on s.unit_id = u.unit_id left join regions r on u.region_id = r.region_id
         group by all""",
+    "daily_run": f"""with {DISPATCH}, {UNITS}, {REGIONS},
+        f as (
+          select * from (
+            select *, row_number() over (partition by trading_interval, unit_id order by generated_mw desc) as rn
+            from dispatch) z
+          where rn = 1)
+        select f.trading_interval, f.unit_id, f.generated_mw, f.fuel_type, cast(f.trading_interval as date) as trading_date,
+               u.station_name as unit_name, r.region_name
+        from f left join units u on f.unit_id = u.unit_id left join regions r on u.region_id = r.region_id""",
     "dq_bronze": f"with {DISPATCH} {BRONZE_CHECKS}",
     "dq_silver": f"""with {SILVER} {suite("silver", {"trading_interval": "0.99", "unit_id": "0.99",
                                                        "generated_mw": "0.98", "fuel_type": "0.95"})}""",

@@ -47,6 +47,19 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (), f
     rows.write.format(fmt).mode("overwrite").partitionBy(*partition_by).saveAsTable(table)
 
 
+def overwrite_table(rows: DataFrame, table: str, mode: str = "dynamic") -> None:
+    """Replace the whole content of a table (``static``) or only the partitions that ``rows`` names (``dynamic``)."""
+    spark = rows.sparkSession
+    # insertInto takes the mode from the session only.
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, mode)
+    try:
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def replace_view(df: DataFrame, name: str) -> None:
     """A model that is only a view."""
     df.createOrReplaceTempView(name)
