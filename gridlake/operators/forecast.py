@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from gridlake.functions.timeaxis import micros, position, shift, slot_of_day, steps_after
 from gridlake.operators.least_squares import additive_forecast
+from gridlake.operators.lookup import lookup_join
 from gridlake.operators.ordered import ENTER, LEAVE, overlapping_chunks, sweep
 
 # History length, horizon, step and the smallest history that is fitted.
@@ -57,9 +58,10 @@ def _last_history(
     """Rows of each series within ``window`` of its last one, with that time as ``origin_time``."""
     rows = df.where(F.col(y).isNotNull() & F.col(ts).isNotNull()).select(*keys, ts, y, *extra)
     if keys:
-        last = rows.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.max(ts).alias("origin_time"))
-        same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-        joined = rows.join(last, same).select(*rows.columns, "origin_time")
+        # A struct is never NULL itself, so series with NULL labels find their own last time.
+        series = F.struct(*keys).alias("__series")
+        last = rows.groupBy(series).agg(F.max(ts).alias("origin_time"))
+        joined = lookup_join(rows.select("*", series), last, ["__series"], ["origin_time"]).drop("__series")
     else:
         joined = rows.withColumn("origin_time", rows.agg(F.max(ts)).scalar())
     return joined.where(F.col(ts) >= shift(F.col("origin_time"), "-" + window))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.operators.lookup import lookup_join
 from gridlake.operators.silver import dedupe
 from gridlake.session import scratch_dir
 from gridlake.sources.sinks import TRANSACTIONAL, overwrite_table, replace_table
@@ -145,20 +146,17 @@ LISTED = 1000
 
 
 def _touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Target rows of the partitions the batch names.
+    """Target rows that may have to be rewritten: those with a value of the first partition column that the batch names.
 
-    A list of the values (or their range, when there are too many to list) prunes the partitions that are read; the
-    semi-join makes the choice exact.
+    The values are put into the filter as a list, or as a range when there are too many, so only those partitions are
+    read. Partitions in between are written back as they are.
     """
-    touched = batch.select(*partition_by).distinct()
     first = partition_by[0]
-    listed = [row[0] for row in touched.select(first).distinct().limit(LISTED + 1).collect()]
+    listed = [row[0] for row in batch.select(first).distinct().limit(LISTED + 1).collect()]
     if len(listed) <= LISTED:
-        near = target.where(F.col(first).isin(listed))
-    else:
-        low, high = batch.agg(F.min(first), F.max(first)).first()
-        near = target.where(F.col(first).between(low, high))
-    return near.join(touched, list(partition_by), "left_semi")
+        return target.where(F.col(first).isin(listed))
+    low, high = batch.agg(F.min(first), F.max(first)).first()
+    return target.where(F.col(first).between(low, high))
 
 
 def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -215,9 +213,8 @@ def dim_region_rows(register: DataFrame) -> DataFrame:
 
 def star(fact: DataFrame, dim_unit: DataFrame, dim_region: DataFrame) -> DataFrame:
     """Fact rows with unit and region names. Both dimensions are unique on their key, so no row is multiplied."""
-    regions = dim_region.select("region_id", "region_name")
-    units = dim_unit.select("unit_id", "unit_name", "region_id").join(regions, "region_id", "left")
-    return fact.join(units, "unit_id", "left")
+    units = lookup_join(dim_unit.select("unit_id", "unit_name", "region_id"), dim_region, ["region_id"], ["region_name"])
+    return lookup_join(fact, units, ["unit_id"], ["unit_name", "region_id", "region_name"])
 
 
 def star_generation(fact: DataFrame, dim_unit: DataFrame, dim_region: DataFrame) -> DataFrame:

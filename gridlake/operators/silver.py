@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.operators.lookup import lookup_join
+
 
 def dedupe(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), keep: str = "latest"
@@ -35,14 +37,12 @@ def enrich(
 ) -> DataFrame:
     """Left join of ``columns`` from a lookup table; never changes the number of input rows.
 
-    The lookup is reduced to one row per key first. The join carries no broadcast hint: Spark broadcasts the lookup
-    while its size is below ``spark.sql.autoBroadcastJoinThreshold`` (checked from statistics, and again at run time by
-    AQE); above that it is a sort-merge join whose oversized input partitions AQE splits, as a left join allows.
+    The lookup is reduced to one row per key first: the latest by ``dim_order``, or the first by its columns. See
+    :func:`gridlake.operators.lookup.lookup_join` for how hot keys and large lookups are joined.
     """
-    order = list(dim_order) if dim_order else list(columns)
-    lookup = dedupe(dim.select(on, *dict.fromkeys([*columns, *order])), [on], order, keep="first" if not dim_order else "latest")
-    # A NULL key matches nothing, so its lookup row is dropped before the join.
-    return df.join(lookup.where(F.col(on).isNotNull()).select(on, *columns), on, "left").select(*df.columns, *columns)
+    order, keep = (list(dim_order), "latest") if dim_order else (list(columns), "first")
+    lookup = dedupe(dim.select(on, *dict.fromkeys([*columns, *order])), [on], order, keep)
+    return lookup_join(df, lookup, [on], columns)
 
 
 def share_expression(value: str, label: str, match: str, fill_zero: bool = False) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from gridlake import schemas
 from gridlake.functions.payloads import parse_json, parse_shares
 from gridlake.operators import alerts, bronze, feed, forecast, gold, metrics, quality, silver
+from gridlake.operators.lookup import lookup_join
 from gridlake.plans import daily
 from gridlake.plans.views import dispatch, payloads, regions, table, units
 from gridlake.session import apply_settings, scratch_dir
@@ -185,7 +186,7 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.replace_table(clean, f"{database}.silver_dispatch_clean", ["trading_date"])
     written = spark.table(f"{database}.silver_dispatch_clean")
     found = silver.fuel_share(written, time_name="trading_interval")
-    return written.join(found, "trading_interval").select(
+    return lookup_join(written, found, ["trading_interval"], ["solar_share"]).select(
         *MESSAGE, "trading_date", "station_name", rounded("solar_share").alias("solar_share")
     )
 

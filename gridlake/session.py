@@ -8,13 +8,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the operators rely on. Time arithmetic is done on UTC instants, AQE splits skewed join partitions even when
-# that costs one more exchange, and shuffle partitions are only an upper start value that AQE coalesces.
+# that costs one more exchange, and stream state lives in RocksDB on local disk, with its changes in the checkpoint, so
+# that many keys do not fill the heap.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

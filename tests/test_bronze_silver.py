@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.operators import bronze, silver
+from gridlake.operators import bronze, lookup, silver
 from gridlake.plans.registered import REGISTRY
 from gridlake.sources import readers, sinks
 from tests.conftest import SMALL, plan, rows
@@ -90,18 +90,28 @@ def test_enrich_keeps_the_number_of_rows(spark, dispatch):
     assert {(r.unit_id, r.station_name) for r in latest.collect()} == {("UNIT1", "B"), ("UNIT2", None), (None, None)}
 
 
-def test_small_lookup_is_broadcast_and_large_one_is_not(spark, dispatch, metadata, tmp_path):
-    metadata.write.parquet(str(tmp_path / "units"))
-    metadata = spark.read.parquet(str(tmp_path / "units"))
-    setting = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(setting)
-    joined = silver.enrich(dispatch, metadata, "unit_id", ["station_name"])
-    assert "BroadcastHashJoin" in plan(joined)
-    try:
-        spark.conf.set(setting, "1")
-        assert "SortMergeJoin" in plan(silver.enrich(dispatch, metadata, "unit_id", ["station_name"]))
-    finally:
-        spark.conf.set(setting, before)
+def test_small_lookup_is_broadcast(spark, dispatch, metadata):
+    assert "BroadcastHashJoin" in plan(silver.enrich(dispatch, metadata, "unit_id", ["station_name"]))
+
+
+def test_a_large_lookup_is_shuffled_without_its_hot_keys(spark, monkeypatch):
+    fact = spark.range(0, 30_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit("7"))
+        .when(F.col("id") % 5 == 0, F.lit(None))
+        .when(F.col("id") % 7 == 0, F.lit("unknown"))
+        .otherwise((F.col("id") % 2000).cast("string"))
+        .alias("unit_id"),
+        "id",
+    )
+    dim = spark.range(1500).select(
+        F.col("id").cast("string").alias("unit_id"), F.concat(F.lit("s"), "id").alias("station_name")
+    )
+    small = silver.enrich(fact, dim, "unit_id", ["station_name"])
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 100)
+    large = silver.enrich(fact, dim, "unit_id", ["station_name"])
+    assert "SortMergeJoin" in plan(large)
+    assert rows(lookup.hot_keys(fact.where("unit_id IS NOT NULL"), ["unit_id"])) == [("7",), ("unknown",)]
+    assert rows(large) == rows(small) and large.count() == 30_000
 
 
 def test_share_of_intervals_without_solar_or_without_generation(spark):

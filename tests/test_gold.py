@@ -103,12 +103,15 @@ def test_upsert_reads_only_the_dates_it_names(spark, database, monkeypatch):
     data = dim(spark, *[(f"u{d}", d, "x") for d in range(1, 9)])
     gold.upsert_table(spark, table, data, ["unit_id"], ["trading_date"])
     batch = dim(spark, ("u3", 3, "y"), ("u5", 5, "y"))
-    for limit in (1000, 1):
+    for limit, read in ((1000, ["u3", "u5"]), (1, ["u3", "u4", "u5"])):
         monkeypatch.setattr(gold, "LISTED", limit)
         near = gold._touched(spark.table(table), batch, ["trading_date"])
-        assert sorted(r.unit_id for r in near.collect()) == ["u3", "u5"]
+        assert sorted(r.unit_id for r in near.collect()) == read
         scan = next(line for line in plan(near).splitlines() if "FileScan" in line and "fact" in line)
         assert "trading_date" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    gold.upsert_table(spark, table, batch, ["unit_id"], ["trading_date"])
+    names = {r.unit_id: r.unit_name for r in spark.table(table).collect()}
+    assert names == {f"u{d}": "y" if d in (3, 5) else "x" for d in range(1, 9)}
     with pytest.raises(Exception, match="NULL in upsert key"):
         gold.upsert_table(
             spark, table, spark.createDataFrame([("u1", None, "x")], SCHEMA), ["unit_id"], ["trading_date"]
