@@ -6,6 +6,7 @@ forecast function first adds up points that share a time, and works on what is l
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.timeaxis import micros, position, shift, slot_of_day, steps_after
-from gridlake.operators.least_squares import additive_forecast
+from gridlake.operators.least_squares import DAY, SEASONS, additive_forecast, solve_moments
 from gridlake.operators.lookup import lookup_join
 from gridlake.operators.ordered import ENTER, LEAVE, overlapping_chunks, sweep
 
@@ -52,11 +53,9 @@ def _points(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
     )
 
 
-def _last_history(
-    df: DataFrame, keys: Sequence[str], ts: str, y: str, window: str, extra: Sequence[str] = ()
-) -> DataFrame:
+def _last_history(df: DataFrame, keys: Sequence[str], ts: str, y: str, window: str) -> DataFrame:
     """Rows of each series within ``window`` of its last one, with that time as ``origin_time``."""
-    rows = df.where(F.col(y).isNotNull() & F.col(ts).isNotNull()).select(*keys, ts, y, *extra)
+    rows = df.where(F.col(y).isNotNull() & F.col(ts).isNotNull()).select(*keys, ts, y)
     if keys:
         # A struct is never NULL itself, so series with NULL labels find their own last time.
         series = F.struct(*keys).alias("__series")
@@ -211,21 +210,21 @@ def additive(
 ) -> DataFrame:
     """Forecast by a straight trend plus daily and weekly Fourier terms, fitted by least squares.
 
-    ``"last"`` hands each series' last window to one call, ``"all"`` each (series, chunk) of two windows, in which every
-    point is an origin. Either way a call gets a bounded number of points.
+    ``"last"`` adds up the moments of the fit by a grouped aggregate, so only one small matrix per series reaches
+    Python. ``"all"`` hands every (series, chunk) of two windows to one call, in which each point is an origin.
     """
-    points = _points(df, keys, ts, y).withColumn("__y", F.col("__y") / F.col("__n"))
+    fields = [T.StructField(k, df.schema[k].dataType) for k in keys] + [
+        T.StructField("__origin_at", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("step", T.IntegerType()),
+        T.StructField("yhat", T.DoubleType()),
+    ]
+    sizes = (micros(window), micros(step), horizon, min_points)
     if origins == "last":
-        recent = _last_history(points, keys, ts, "__y", window, ["__n"])
-        placed = recent.select(
-            *keys,
-            F.lit(0).cast("bigint").alias("__chunk"),
-            position(recent, ts).alias("__at"),
-            (F.col(ts) == F.col("origin_time")).alias("__origin"),
-            "__y",
-            "__n",
-        )
+        moments = _moments(_last_history(df, keys, ts, y, window), keys, ts, y, micros(window))
+        found = moments.mapInPandas(solve_moments(list(keys), *sizes), T.StructType(fields))
     else:
+        points = _points(df, keys, ts, y).withColumn("__y", F.col("__y") / F.col("__n"))
         placed = overlapping_chunks(points, keys, ts, window).select(
             *keys,
             "__chunk",
@@ -234,24 +233,33 @@ def additive(
             "__y",
             "__n",
         )
-    fields = [T.StructField(k, df.schema[k].dataType) for k in keys] + [
-        T.StructField("__origin_at", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("step", T.IntegerType()),
-        T.StructField("yhat", T.DoubleType()),
-    ]
-    fit = additive_forecast(list(keys), micros(window), micros(step), horizon, min_points)
-    found = placed.groupBy(*keys, "__chunk").applyInPandas(fit, T.StructType(fields))
-    kind = df.schema[ts].dataType
-    origin_time = F.timestamp_micros("__origin_at").cast(kind)
-    timed = found.withColumn("origin_time", origin_time)
-    return timed.select(
-        *keys,
-        "origin_time",
-        "n",
-        "step",
-        steps_after(F.col("origin_time"), step, F.col("step")).alias("event_time"),
-        "yhat",
+        found = placed.groupBy(*keys, "__chunk").applyInPandas(
+            additive_forecast(list(keys), *sizes), T.StructType(fields)
+        )
+    timed = found.withColumn("origin_time", F.timestamp_micros("__origin_at").cast(df.schema[ts].dataType))
+    event_time = steps_after(F.col("origin_time"), step, F.col("step")).alias("event_time")
+    return timed.select(*keys, "origin_time", "n", "step", event_time, "yhat")
+
+
+def _moments(rows: DataFrame, keys: Sequence[str], ts: str, y: str, window: int) -> DataFrame:
+    """Upper triangle of X'X, X'y, the number of rows and the time span of each series' history."""
+    at, origin = position(rows, ts), position(rows, "origin_time")
+    terms = [F.lit(1.0), (at - origin) / F.lit(float(window)) + 1]
+    for period, pairs, _ in SEASONS:
+        length = int(period * DAY)
+        angle = F.pmod(at, F.lit(length)) / F.lit(float(length)) * (2 * math.pi)
+        for k in range(1, pairs + 1):
+            terms += [F.sin(angle * k), F.cos(angle * k)]
+    names = [f"__x{i}" for i in range(len(terms))]
+    rows = rows.select(
+        *keys, origin.alias("__origin_at"), at.alias("__at"), F.col(y).alias("__y"), *[t.alias(n) for t, n in zip(terms, names)]
+    )
+    gram = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(names) for b in names[i:]]
+    return rows.groupBy(*keys, "__origin_at").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.max("__at") - F.min("__at")).alias("__span"),
+        F.array(*gram).alias("__gram"),
+        F.array(*[F.sum(F.col("__y") * F.col(n)) for n in names]).alias("__cross"),
     )
 
 

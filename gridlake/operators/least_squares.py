@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -58,7 +58,8 @@ def fit_predict(
     yhat = np.empty((len(origins), horizon))
     if not len(origins):
         return origins, n, yhat
-    levels = np.array([_level(b - a, (at[b - 1] - at[a]) / DAY) if seasonal else 0 for a, b in zip(first, last)])
+    spans = (at[last - 1] - at[first]) / DAY
+    levels = np.array([_level(count, days) if seasonal else 0 for count, days in zip(n, spans)])
     ahead = step * np.arange(1, horizon + 1)
     for level in np.unique(levels):
         chosen = np.flatnonzero(levels == level)
@@ -78,6 +79,39 @@ def fit_predict(
     return origins, n, yhat
 
 
+def solve_moments(
+    keys: Sequence[str], window: int, step: int, horizon: int, min_points: int
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Function for ``mapInPandas`` over one row of moments per series: solve, and predict from its origin."""
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        size = 2 + 2 * sum(pairs for _, pairs, _ in SEASONS)
+        upper = np.triu_indices(size)
+        ahead = step * np.arange(1, horizon + 1)
+        for batch in batches:
+            batch = batch[(batch["n"] >= min_points) & (batch["__span"] > 0)].reset_index(drop=True)
+            if batch.empty:
+                continue
+            gram = np.zeros((len(batch), size, size))
+            gram[:, upper[0], upper[1]] = np.stack(batch["__gram"].to_numpy())
+            gram[:, upper[1], upper[0]] = gram[:, upper[0], upper[1]]
+            cross = np.stack(batch["__cross"].to_numpy())
+            origins = batch["__origin_at"].to_numpy(dtype=np.int64)
+            levels = np.array([_level(n, span / DAY) for n, span in zip(batch["n"], batch["__span"])])
+            yhat = np.empty((len(batch), horizon))
+            for row, level in enumerate(levels):
+                used = 2 + 2 * sum(pairs for _, pairs, _ in SEASONS[:level])
+                left = gram[row, :used, :used] + (RIDGE if level else 0.0) * np.eye(used)
+                future = _features(origins[row] + ahead, origins[row] - window, window, level)
+                yhat[row] = future @ np.linalg.solve(left, cross[row, :used])
+            out = batch.loc[batch.index.repeat(horizon), [*keys, "__origin_at", "n"]].reset_index(drop=True)
+            out["step"] = np.tile(np.arange(1, horizon + 1, dtype=np.int32), len(batch))
+            out["yhat"] = yhat.ravel()
+            yield out
+
+    return solve
+
+
 def additive_forecast(
     keys: Sequence[str], window: int, step: int, horizon: int, min_points: int
 ) -> Callable[[pd.DataFrame], pd.DataFrame]:
