@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.functions.timeaxis import floor_to, micros, position, shift
+from gridlake.functions.timeaxis import MICROS, floor_to, micros, position, shift
 from gridlake.operators.ordered import previous, sweep
 from gridlake.operators.silver import dedupe
 
@@ -110,16 +110,20 @@ def _stretch(now: Column, window: int, increase: Column) -> Column:
 def evaluation_times(df: DataFrame, series: Sequence[str], ts: str, step: str) -> DataFrame:
     """Instants every ``step`` (aligned to the epoch) from the first to the last sample of each series.
 
-    Their number depends on the time covered and the number of series, not on the number of samples.
+    Their number depends on the time covered and the number of series, not on the number of samples. They are listed day
+    by day, so a long series does not become one long array.
     """
     pos = position(df, ts)
-    width = micros(step)
+    width, day = micros(step), MICROS["day"]
     ends = df.groupBy(*series).agg(F.min(pos).alias("__first"), F.max(pos).alias("__last"))
-    first = floor_to(F.col("__first") + F.lit(width - 1), width)
-    last = floor_to(F.col("__last"), width)
+    days = F.sequence(floor_to(F.col("__first"), day), F.col("__last"), F.lit(day))
+    by_day = ends.withColumn("__day", F.explode(days))
+    start = F.greatest("__first", "__day")
+    first = floor_to(start + F.lit(width - 1), width)
+    last = floor_to(F.least(F.col("__last"), F.col("__day") + F.lit(day - 1)), width)
     instants = F.when(first <= last, F.sequence(first, last, F.lit(width)))
     kind = df.schema[ts].dataType
-    return ends.select(*series, F.explode(instants).alias("__at")).select(
+    return by_day.select(*series, F.explode(instants).alias("__at")).select(
         *series, F.timestamp_micros("__at").cast(kind).alias(ts)
     )
 
@@ -155,8 +159,19 @@ def latest(df: DataFrame, series: Sequence[str], ts: str, value: str, ties: Sequ
 
 
 def instant(
-    df: DataFrame, series: Sequence[str], ts: str, value: str, agg: str = "sum", ties: Sequence[str] = ()
+    df: DataFrame,
+    series: Sequence[str],
+    ts: str,
+    value: str,
+    agg: str = "sum",
+    ties: Sequence[str] = (),
+    lookback: str | None = None,
 ) -> DataFrame:
-    """Sum or average of the newest values of all series."""
+    """Sum or average of the newest values of all series.
+
+    With ``lookback`` series without a sample that close to the newest of all samples are stale and do not count.
+    """
     function: Column = {"sum": F.sum, "avg": F.avg}[agg](value)
+    if lookback:
+        df = df.where(F.col(ts) >= shift(df.agg(F.max(ts)).scalar(), "-" + lookback))
     return latest(df, series, ts, value, ties).agg(function.alias("value"))

@@ -470,6 +470,7 @@ ORACLES: dict[str, str] = {
                case when fuel_type <> 'Wind' then cast(trading_interval as date) end as trading_date,
                fuel_type = 'Wind' as quarantined
         from dispatch""",
+    "feed_stream": f"with {DISPATCH} select {MESSAGE} from dispatch",
     "stream_dedupe": f"with {DISPATCH} select distinct trading_interval, unit_id from dispatch",
     "changed_payloads_stream": """
         select event_id, user_id, event_type

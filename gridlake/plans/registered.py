@@ -597,7 +597,9 @@ def changed_payloads_by_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTS = 3
 
 
-def in_parts(rows: DataFrame, by: str, folder: str, run: Callable[[], object], fmt: str = "parquet") -> None:
+def in_parts(
+    rows: DataFrame, by: str, folder: str, run: Callable[[], object], fmt: str = "parquet", **options: object
+) -> None:
     """Append ``rows`` to ``folder`` in ``PARTS`` stretches of ``by`` and call ``run`` after each."""
     low, high = rows.agg(F.min(by), F.max(by)).first()
     edges = [low + (high - low) * part / PARTS for part in range(1, PARTS)]
@@ -608,7 +610,7 @@ def in_parts(rows: DataFrame, by: str, folder: str, run: Callable[[], object], f
         if part < PARTS - 1:
             chosen = chosen.where(F.col(by) < F.lit(edges[part]).cast(rows.schema[by].dataType))
         written = chosen.select("value") if fmt == "text" else chosen
-        written.write.mode("append").format(fmt).save(folder)
+        written.write.mode("append").format(fmt).options(**options).save(folder)
         run()
 
 
@@ -639,6 +641,23 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(kept.unionByName(bad))
 
 
+@query
+def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed CSV documents to a topic, one line per record, as they arrive; the topic's records."""
+    root = scratch_dir(spark, "producer")
+    header = ["fuel_type", "event_id", "generated_mw", "unit_id", "trading_interval", "ingested_at"]
+    rows = dispatch(spark, sf_dir).select(*header)
+
+    def run() -> None:
+        picked = readers.landing_feed(spark, f"{root}/landing", NTZ_MESSAGE, header, streaming=True)
+        lines = sinks.encode_csv(picked, MESSAGE, key="unit_id")
+        stream_feed.publish_stream(lines, f"{root}/checkpoint", "text", f"{root}/topic")
+
+    in_parts(rows, "ingested_at", f"{root}/landing", run, "csv", header=True)
+    good, _ = bronze.parse_dispatch(readers.messages(spark, "text", f"{root}/topic"), NTZ_MESSAGE)
+    return good.select(*MESSAGE)
+
+
 @query
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "dedupe")

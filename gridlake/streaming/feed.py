@@ -47,3 +47,17 @@ def changed_payloads_stream(
         last.write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
 
     return start(stream.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def publish_stream(
+    messages: DataFrame,
+    checkpoint: str,
+    fmt: str = "kafka",
+    path: str | None = None,
+    trigger: Mapping[str, object] | None = None,
+    **options: str,
+) -> StreamingQuery:
+    """Send a stream of encoded messages to a topic (at least once) or to text files that stand for one."""
+    out = messages.select("value") if fmt == "text" else messages
+    writer = out.writeStream.format(fmt).outputMode("append").options(**options)
+    return start(writer.option("path", path) if path else writer, checkpoint, trigger)

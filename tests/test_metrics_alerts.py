@@ -104,6 +104,17 @@ def test_instant_uses_the_newest_value_of_each_series(spark):
     df = samples(spark, ("a", 0, 100), ("a", 2, 1), ("b", 1, 4))
     assert metrics.instant(df, ["s"], "ts", "v").first()[0] == 5.0
     assert metrics.instant(df, ["s"], "ts", "v", "avg").first()[0] == 2.5
+    stale = samples(spark, ("a", 0, 100), ("b", 6, 4))
+    assert metrics.instant(stale, ["s"], "ts", "v", lookback="5 minutes").first()[0] == 4.0
+
+
+def test_instants_over_several_days(spark):
+    df = samples(spark, ("a", 7, 1), ("a", 60 * 50, 1), ("b", 3, 1), ("b", 4, 1))
+    found = rows(metrics.evaluation_times(df, ["s"], "ts", "7 hours"))
+    # Aligned to the epoch: the days do not start a new count.
+    first = (T0 - datetime(1970, 1, 1)) // timedelta(hours=7)
+    grid = [datetime(1970, 1, 1) + timedelta(hours=7) * (first + i) for i in range(12)]
+    assert found == sorted([("a", t) for t in grid if at(7) <= t <= at(60 * 50)], key=repr)
 
 
 def test_mix_and_share_of_an_interval_without_generation(spark):

@@ -169,6 +169,18 @@ def test_forecast_fans_out_to_topic_and_table(spark, tmp_path):
     )
 
 
+def test_unusable_shares_are_counted(spark, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    (topic / "a.txt").write_text('{"event_time": "2024-01-01 00:00:00", "solar_share": 0.5}\n{"event_time": "x"}\nno json\n')
+    lines = readers.message_stream(spark, "text", str(topic))
+    used = parse_shares(lines, schemas.SHARE_MESSAGE, "event_time", "solar_share", observed_as="shares")
+    query = start(used.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "checkpoint"))
+    counts = query.lastProgress["observedMetrics"]["shares"]
+    assert (counts["received"], counts["unusable"]) == (3, 2)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
 def test_alert_stream(spark, tmp_path):
     schema = "ts timestamp, fuel string, mw double"
     percents = [70, 70, 70, 10, 70, 70, 70, 70, None, 70, 70, 70, 10, 10, 10]
