@@ -21,11 +21,13 @@ class Rule:
     min_count: int | None = None
 
 
-# The alert rules. The share rule also exists as "above 70 % for 3 intervals".
+# The alert rules. The share rule also exists as "above 70 % for 3 intervals", the forecast rule also with
+# 25 %.
 HIGH_COAL = Rule("HighCoalPercentage", "warning", threshold=60.0, for_duration="5 minutes")
 HIGH_COAL_INTERVALS = Rule("HighCoalPercentage", "warning", threshold=70.0, min_count=3)
 RUN_FAILURE = Rule("PipelineFailure", "critical", threshold=0.0, for_duration="1 minute")
 FORECAST_ERROR = Rule("ForecastError", "warning", threshold=20.0)
+FORECAST_ERROR_25 = Rule("ForecastError", "warning", threshold=25.0)
 SLOW_BATCH = Rule("BatchDuration", "critical", for_duration="10 minutes")
 RESOLVE_TIMEOUT = "5 minutes"
 
@@ -101,6 +103,11 @@ def _named(stretches: DataFrame, rule: Rule) -> DataFrame:
     return stretches.select(F.lit(rule.alertname).alias("alertname"), F.lit(rule.severity).alias("severity"), "*")
 
 
+def drift_alert(scores: DataFrame, error: str = "mape", rule: Rule = FORECAST_ERROR) -> DataFrame:
+    """Alert rows for scored series whose error is above the threshold."""
+    return _named(scores.where(F.col(error) > rule.threshold), rule)
+
+
 def slow_runs(runs: DataFrame, started: str, finished: str, limit: str = "10 minutes") -> DataFrame:
     """Runs that took longer than ``limit``."""
     return runs.where(F.col(finished) > shift(F.col(started), limit))

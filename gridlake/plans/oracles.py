@@ -457,6 +457,19 @@ ORACLES: dict[str, str] = {
         select count(nullif(y, 0)) as pairs, round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 4) as mape,
                avg(abs((y - yhat) / nullif(y, 0))) * 100 > 20 as drifted
         from p""",
+    "forecast_drift_alert": f"""with {MIX},
+        h as (select source, trading_interval as t, percent as y, epoch(trading_interval) / 1800 - 946728 as x
+              from mix where percent is not null),
+        fits as (select source, t, x, count(y) over w as n, regr_slope(y, x) over w as slope,
+                        regr_intercept(y, x) over w as base
+                 from h
+                 window w as (partition by source order by t range between interval '14 days' preceding
+                              and current row)),
+        p as (select f.source, h.y, f.base + f.slope * (f.x + 1) as yhat
+              from fits f join h on h.source = f.source and h.t = f.t + interval '30 minutes' where f.n >= 2)
+        select 'ForecastError' as alertname, 'warning' as severity, source, count(nullif(y, 0)) as pairs,
+               round(avg(abs((y - yhat) / nullif(y, 0))) * 100, 4) as mape
+        from p group by source having avg(abs((y - yhat) / nullif(y, 0))) * 100 > 20""",
     "changed_payloads": """
         select page_id from (select page_id, html, lag(html) over (order by page_id) as before,
                                     row_number() over (order by page_id) as rn from pages) q

@@ -575,6 +575,17 @@ def forecast_mape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("mape", rounded("mape", 4))
 
 
+@query
+def forecast_drift_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources whose straight-line forecast, one step ahead, misses their percentage by too much on average."""
+    mix = metrics.generation_mix(deduped(spark, sf_dir))
+    made = forecast.linear(mix, ["source"], "trading_interval", "percent", horizon=1, origins="all")
+    scores = forecast.score(made, mix, ["source"], "trading_interval", "percent")
+    return alerts.drift_alert(scores).select(
+        "alertname", "severity", "source", "pairs", rounded("mape", 4).alias("mape")
+    )
+
+
 # --- feeds ------------------------------------------------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.operators.bronze import CORRUPT, derive_columns, is_quarantined, parse_messages
 from gridlake.schemas import BRONZE, DISPATCH_MESSAGE
@@ -22,11 +23,11 @@ def run_bronze(
     schema: T.StructType = DISPATCH_MESSAGE,
     trigger: Mapping[str, object] | None = None,
     fmt: str = "parquet",
-) -> None:
+) -> list[StreamingQuery]:
     """Append parsed messages to ``table``, each exactly once per checkpoint.
 
     With ``quarantine_table`` messages that do not parse go there instead, by a second stream with a checkpoint of its
-    own, so both tables keep the guarantee. A service trigger returns while the streams run.
+    own, so both tables keep the guarantee. With a service trigger the returned streams are still running.
     """
     ensure_table(spark, table, BRONZE, ["trading_date"], fmt)
     parsed = parse_messages(lines, schema)
@@ -40,9 +41,12 @@ def run_bronze(
     if (trigger or CHAINED).get("availableNow"):
         for query in running:
             query.awaitTermination()
+    return running
 
 
-def _append(df: DataFrame, table: str, checkpoint: str, fmt: str, trigger, by_date: bool):
+def _append(
+    df: DataFrame, table: str, checkpoint: str, fmt: str, trigger: Mapping[str, object] | None, by_date: bool
+) -> StreamingQuery:
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if by_date:
         writer = writer.partitionBy("trading_date")

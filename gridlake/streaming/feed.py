@@ -57,7 +57,11 @@ def publish_stream(
     trigger: Mapping[str, object] | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Send a stream of encoded messages to a topic (at least once) or to text files that stand for one."""
-    out = messages.select("value") if fmt == "text" else messages
+    """Send a stream of encoded messages to a topic (at least once) or to text files that stand for one.
+
+    Each batch reports the number of messages ``sent`` among its observed metrics.
+    """
+    counted = messages.observe("published", F.count(F.lit(1)).alias("sent"))
+    out = counted.select("value") if fmt == "text" else counted
     writer = out.writeStream.format(fmt).outputMode("append").options(**options)
     return start(writer.option("path", path) if path else writer, checkpoint, trigger)

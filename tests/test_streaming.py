@@ -63,6 +63,39 @@ def test_bronze_stream_without_quarantine_keeps_every_message(spark, database, t
     ]
 
 
+def test_bronze_service_keeps_running(spark, database, tmp_path):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    lines = readers.message_stream(spark, "text", str(topic))
+    table = f"{database}.bronze_dispatch"
+    running = bronze.run_bronze(
+        spark, lines, table, str(tmp_path / "checkpoint"), trigger={"processingTime": "1 second"}
+    )
+    try:
+        assert [q.isActive for q in running] == [True]
+        (topic / "a.txt").write_text("2024-01-01 00:00:00,U1,10.5,Coal\n")
+        running[0].processAllAvailable()
+        assert spark.table(table).count() == 1
+    finally:
+        for q in running:
+            q.stop()
+
+
+def test_producer_counts_what_it_sends(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    header = ["unit_id", "fuel_type", "generated_mw", "trading_interval"]
+    for part in range(2):
+        (landing / f"{part}.csv").write_text(
+            ",".join(header) + f'\n"a,b",Coal,{part},2024-01-01 00:00:00\nU2,Gas,2,2024-01-01 00:05:00\n'
+        )
+        picked = readers.landing_feed(spark, str(landing), schemas.DISPATCH_MESSAGE, header, streaming=True)
+        lines = sinks.encode_csv(picked, [f.name for f in schemas.DISPATCH_MESSAGE], key="unit_id")
+        query = stream_feed.publish_stream(lines, str(tmp_path / "checkpoint"), "text", str(tmp_path / "topic"))
+        assert query.lastProgress["observedMetrics"]["published"]["sent"] == 2
+    assert spark.read.text(str(tmp_path / "topic")).where("value LIKE '%\"a,b\"%'").count() == 2
+
+
 @pytest.mark.parametrize("salts", [1, 8])
 def test_stream_dedupe(spark, tmp_path, salts):
     schema = "k string, ts timestamp, v int"
