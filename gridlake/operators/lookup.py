@@ -6,24 +6,43 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Lookups up to this many rows are broadcast. Beyond, keys with more than one in HOT_SHARE of all rows are joined apart;
-# there can be no more than HOT_SHARE of them.
+# Lookups up to this size are broadcast. Beyond, keys with more than one in HOT_SHARE of all rows are joined apart; there
+# can be no more than HOT_SHARE of them.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1000
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df`` has at most ``BROADCAST_ROWS`` rows and about ``BROADCAST_BYTES``; looks no further than that."""
+    width = F.lit(0).cast("bigint")
+    for field in df.schema:
+        value = F.col(field.name)
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            value = F.to_json(value)
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + 8
+            continue
+        width = width + F.coalesce(F.octet_length(value), F.lit(0))
+    seen = df.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    return seen["n"] <= BROADCAST_ROWS and (seen["size"] or 0) <= BROADCAST_BYTES
+
+
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, on: Sequence[str], columns: Sequence[str], small: bool | None = None
+) -> DataFrame:
     """``df`` with ``columns`` of ``lookup``, which must be unique on ``on``; a NULL in ``on`` matches nothing.
 
-    The rows of the lookup are counted first (no further than the limit). A small one is broadcast. With a large one,
-    rows of hot keys meet a broadcast of just those keys, rows without a key skip the join, and the rest, in which no
-    key is hot any more, goes through an ordinary shuffled join. (AQE alone does not split such a join, as the lookup's
-    own de-duplication already fixes its partitioning.)
+    The lookup is measured first, unless the caller has measured what it comes from and says that it is ``small``. A
+    small one is broadcast. With a large one, rows of hot keys meet a broadcast of just those keys, rows without a key
+    skip the join, and the rest, in which no key is hot any more, goes through an ordinary shuffled join. (AQE alone
+    does not split such a join, as the lookup's own de-duplication already fixes its partitioning.)
     """
     keys = list(on)
     lookup = lookup.where(_all_present(keys)).select(*keys, *columns)
-    if lookup.select(*keys).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if small or (small is None and is_small(lookup)):
         return df.join(F.broadcast(lookup), keys, "left").select(*df.columns, *columns)
     keyed = df.where(_all_present(keys))
     hot = F.broadcast(hot_keys(keyed, keys))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.operators.lookup import lookup_join
+from gridlake.operators.lookup import is_small, lookup_join
 
 
 def dedupe(
@@ -42,7 +42,7 @@ def enrich(
     """
     order, keep = (list(dim_order), "latest") if dim_order else (list(columns), "first")
     lookup = dedupe(dim.select(on, *dict.fromkeys([*columns, *order])), [on], order, keep)
-    return lookup_join(df, lookup, [on], columns)
+    return lookup_join(df, lookup, [on], columns, small=is_small(dim.select(on, *columns)) or None)
 
 
 def share_expression(value: str, label: str, match: str, fill_zero: bool = False) -> Column:

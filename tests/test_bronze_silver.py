@@ -94,6 +94,15 @@ def test_small_lookup_is_broadcast(spark, dispatch, metadata):
     assert "BroadcastHashJoin" in plan(silver.enrich(dispatch, metadata, "unit_id", ["station_name"]))
 
 
+def test_size_of_a_lookup(spark, monkeypatch):
+    df = spark.createDataFrame([("a", "x" * 1000, [1, 2], 1)] * 3, "k string, text string, list array<int>, n int")
+    assert lookup.is_small(df) and lookup.is_small(df.limit(0))
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 3000)
+    assert not lookup.is_small(df) and lookup.is_small(df.drop("text"))
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 2)
+    assert not lookup.is_small(df.drop("text"))
+
+
 def test_a_large_lookup_is_shuffled_without_its_hot_keys(spark, monkeypatch):
     fact = spark.range(0, 30_000, 1, 4).select(
         F.when(F.col("id") % 3 == 0, F.lit("7"))
