@@ -127,7 +127,7 @@ def _signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def digest(text: Column) -> Column:
     """16 bytes of the text's SHA-256: the node of all its copies."""
-    return F.substring(F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)), 1, 16)
+    return F.substring(F.unhex(F.sha2(text.cast("binary"), 256)), 1, 16)
 
 
 def needed(hashes: int, threshold: float, tolerance: float) -> int:

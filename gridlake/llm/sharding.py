@@ -72,7 +72,7 @@ def arc_of(key: list[Column], arcs: int = ARCS) -> Column:
 
 def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard``; the law is ``bytes``: sizes are near equal."""
-    text = F.encode(text_or_empty(), "UTF-8")
+    text = text_or_empty().cast("binary")
     rows = written(
         docs.select(
             "doc_id",
