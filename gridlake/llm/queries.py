@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.llm import decontaminate, jaccard, mixing, quality, sharding
+from gridlake.llm import decontaminate, jaccard, lines, mixing, quality, sharding
 from gridlake.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.marked(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,6 +35,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_rules": op2_quality_rules,
+    "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
@@ -75,6 +80,20 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 from rules
 """
 
+_OP3 = r"""
+with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+lines as (select doc_id, unnest(ls) as line, unnest(range(len(ls))) as i from split),
+keyed as (
+    select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+firsts as (select key, min(doc_id) as keeper from keyed where length(key) >= 10 group by key
+           having count(distinct doc_id) > 1),
+fates as (select k.*, keeper is not null and keeper <> doc_id as gone from keyed k left join firsts using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from fates group by doc_id
+"""
+
 _OP4 = r"""
 with dw as (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -101,5 +120,6 @@ from dw left join hits using (doc_id) left join items using (doc_id)
 
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _OP2,
+    "op3_line_dedup": _OP3,
     "op4_decontamination": _OP4,
 }
