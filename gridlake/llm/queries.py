@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.llm import decontaminate, jaccard, lines, mixing, quality, sharding
+from gridlake.llm import decontaminate, jaccard, language, lines, mixing, quality, sharding
 from gridlake.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
+    "op6_language_id": op6_language_id,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
 }
