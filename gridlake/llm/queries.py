@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.llm import decontaminate, jaccard, language, lines, mixing, quality, sharding
+from gridlake.llm import credentials, decontaminate, jaccard, language, lines, mixing, pii, quality, sharding
 from gridlake.llm.common import table
+from gridlake.llm.sql import ORACLE_SQL
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +25,18 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.counted(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted(table(spark, sf_dir, "documents"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.counted(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
@@ -36,95 +45,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality_rules": op2_quality_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontamination": op4_decontamination,
+    "op5_pii": op5_pii,
     "op6_language_id": op6_language_id,
+    "op7_secrets": op7_secrets,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
 }
-
-# DuckDB SQL of the queries that SQL can express.
-_OP2 = r"""
-with words as (
-    select doc_id, coalesce(text, '') as text,
-           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
-    from documents),
-windows as (
-    select doc_id, i, w[i:i + 4] as five, count(*) over (partition by doc_id, w[i:i + 4]) as times
-    from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from words)),
-repeated as (
-    select doc_id, count(distinct p) as n_repeat_words
-    from (select doc_id, unnest(range(i, i + 5)) as p from windows where times > 1) group by doc_id),
-lines as (
-    select doc_id, count(*) as n_lines, count(*) - count(distinct l) as n_dup_lines
-    from (select doc_id, unnest(string_split(text, chr(10))) as l from words)
-    where regexp_matches(l, '[^\x20\x09-\x0D]') group by doc_id),
-measured as (
-    select doc_id, len(w)::bigint as n_words,
-           length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
-           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
-           coalesce(n_dup_lines, 0)::bigint as n_dup_lines,
-           coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
-           coalesce(n_lines, 0) as n_lines,
-           length(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) as n_letters,
-           length(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper,
-           length(regexp_replace(text, '[^!]', '', 'g')) as n_bangs
-    from words left join lines using (doc_id) left join repeated using (doc_id)),
-rules as (
-    select *, (n_words < 10)::bigint + 2 * (100 * n_repeat_words > 20 * n_words)::bigint
-           + 4 * (100 * n_symbols > 10 * word_chars)::bigint + 8 * (word_chars > 15 * n_words)::bigint
-           + 16 * (word_chars < 2 * n_words)::bigint + 32 * (100 * n_letters < 40 * word_chars)::bigint
-           + 64 * (2 * n_upper > n_letters)::bigint + 128 * (5 * n_bangs > n_words)::bigint
-           + 256 * (2 * n_dup_lines > n_lines)::bigint as failed_rules
-    from measured)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_rules & 3) <> 0 as base_failed,
-       failed_rules = 0 as kept, failed_rules
-from rules
-"""
-
-_OP3 = r"""
-with split as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
-lines as (select doc_id, unnest(ls) as line, unnest(range(len(ls))) as i from split),
-keyed as (
-    select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
-           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
-firsts as (select key, min(doc_id) as keeper from keyed where length(key) >= 10 group by key
-           having count(distinct doc_id) > 1),
-fates as (select k.*, keeper is not null and keeper <> doc_id as gone from keyed k left join firsts using (key))
-select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
-from fates group by doc_id
-"""
-
-_OP4 = r"""
-with dw as (
-    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
-bw as (
-    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
-windows as (
-    select distinct item_id, w[i:i + least(len(w), 10) - 1] as g, least(len(w), 10) as n
-    from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as i from bw where len(w) > 0)),
-found as (
-    select doc_id, i, d.n, item_id
-    from (select doc_id, i, n, w[i:i + n - 1] as g
-          from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, (select distinct n from windows))
-         ) d join windows b on d.n = b.n and d.g = b.g),
-hits as (select doc_id, count(distinct p) as n_hit
-         from (select doc_id, unnest(range(i, i + n)) as p from found) group by doc_id),
-items as (select doc_id, count(*) as n_items, string_agg(k, ',' order by k) as ids
-          from (select distinct doc_id, item_id::varchar as k from found) group by doc_id)
-select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
-       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from dw left join hits using (doc_id) left join items using (doc_id)
-"""
-
-ORACLE_SQL: dict[str, str] = {
-    "op2_quality_rules": _OP2,
-    "op3_line_dedup": _OP3,
-    "op4_decontamination": _OP4,
-}
