@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.llm import credentials, decontaminate, jaccard, language, lines, mixing, pii, quality, sharding
+from gridlake.llm import credentials, decontaminate, jaccard, language, lines, mixing, pii, quality, sharding, urls
 from gridlake.llm.common import table
 from gridlake.llm.sql import ORACLE_SQL
 
@@ -37,6 +37,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.counted(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_language_id": op6_language_id,
     "op7_secrets": op7_secrets,
+    "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
 }

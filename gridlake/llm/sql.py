@@ -183,10 +183,71 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
 from d left join told using (rid)
 """
 
+
+
+def _smoothed(k: int) -> str:
+    """Probabilities after contexts of ``k`` signs, from those after one sign less."""
+    size = 32 ** (k + 1)
+    below = "select 0 as gram, 1.0::double / 32 as pa, 1.0::double / 32 as pr" if not k else f"select * from p{k - 1}"
+    return f"""
+p{k} as (
+    select gram, if(sum(a) over w > 0, (a + sum((a > 0)::int) over w * qa) / (sum(a) over w + sum((a > 0)::int) over w), qa)
+           as pa,
+           if(sum(r) over w > 0, (r + sum((r > 0)::int) over w * qr) / (sum(r) over w + sum((r > 0)::int) over w), qr) as pr
+    from (select g.gram, coalesce(a, 0) as a, coalesce(r, 0) as r, b.pa as qa, b.pr as qr
+          from (select unnest(range({size})) as gram) g
+          left join (select gram % {size} as gram, sum(accepted::int) as a, sum((not accepted)::int) as r
+                     from trained group by all) c using (gram)
+          join ({below}) b on b.gram = g.gram % {size // 32})
+    window w as (partition by gram // 32))"""
+
+
+def _fits(host: str, path: str) -> str:
+    return f"((host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{path}'))"
+
+
+_OP8 = f"""
+with u as (
+    select page_id, row_number() over () as rid, url,
+           translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) as path
+    from pages),
+ruled as (
+    select *, case when {_fits("example.net", "/en/")} then 'example.net/en/'
+                   when {_fits("example.com", "/de/")} then 'example.com/de/'
+                   when {_fits("org", "/fr/")} then 'org/fr/' when {_fits("net", "/")} then 'net/' end as rule
+    from u),
+signs as (
+    select rid, list_transform(string_split('```' || translate(regexp_replace(translate(host || path,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9./_-]', chr(127), 'g'),
+           '0123456789./-_', '{{{{{{{{{{{{{{{{{{{{|}}~~') || '`', ''), lambda c: ascii(c) - 96) as s
+    from u),
+grams as (
+    select rid, unnest(list_transform(range(4, len(s) + 1),
+           lambda i: s[i] + 32 * s[i - 1] + 1024 * s[i - 2] + 32768 * s[i - 3])) as gram from signs),
+labelled as (
+    select rid, rule in ('example.net/en/', 'org/fr/') as accepted, url from ruled where rule is not null),
+held as (select rid, accepted from labelled where substr(md5(url), 1, 1) in ('0', '1', '2', '3')),
+trained as (select accepted, gram from labelled join grams using (rid) where rid not in (select rid from held)),
+{_smoothed(0)},{_smoothed(1)},{_smoothed(2)},{_smoothed(3)},
+scores as (select rid, avg(ln(pa) - ln(pr)) as score from grams join p3 using (gram) group by rid),
+bins as (select floor(score / 0.01) as bin, sum(accepted::int) as a, sum((not accepted)::int) as r
+         from held join scores using (rid) group by all),
+cuts as (select bin, sum(a) over w / sum(a) over () - sum(r) over w / sum(r) over () as good
+         from bins window w as (order by bin desc)),
+cut as (select coalesce((select bin from cuts where good is not null order by good desc, bin limit 1), 0) * 0.01 as least)
+select page_id, host, path, rule,
+       case when rule in ('example.net/en/', 'org/fr/') then 'allow' when rule is not null then 'block'
+            when score >= least then 'allow' else 'block' end as verdict
+from ruled join scores using (rid), cut
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _OP2,
     "op3_line_dedup": _OP3,
     "op4_decontamination": _OP4,
     "op5_pii": _OP5,
     "op7_secrets": _OP7,
+    "op8_url_filter": _OP8,
 }
