@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +38,17 @@ def measured(small: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(small) if (small.count() if rows is None else rows) <= BROADCAST_ROWS else small
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A column name that begins like ``name`` and with which none of ``df`` begins."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -47,7 +56,3 @@ def text_or_empty(name: str = "text") -> Column:
 def item_words(text: str | None) -> list[bytes]:
     """Runs of ASCII letters and digits and of anything beyond ASCII, with A-Z lower-cased."""
     return text.encode("utf-8", "replace").translate(_ITEM).split() if text else []
-
-
-def snake(name: str) -> str:
-    return re.sub(r"\W+", "_", name)

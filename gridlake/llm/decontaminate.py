@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import item_words, text_or_empty
+from gridlake.llm.common import columns_of, free, item_words, text_or_empty
 
 WINDOW = 10
 SHARD_BYTES = 4 << 20
@@ -266,11 +266,5 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that hold a benchmark window, columns unchanged."""
-    into = "match"
-    while any(c.startswith(into) for c in docs.columns):
-        into = f"_{into}"
-    return (
-        matches(docs, benchmark, into)
-        .filter(F.col(into)["n_hit"] == 0)
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
-    )
+    into = free(docs, "match")
+    return matches(docs, benchmark, into).filter(F.col(into)["n_hit"] == 0).select(*columns_of(docs))

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import measured, text_or_empty, written
+from gridlake.llm.common import columns_of, free, measured, text_or_empty, written
 from gridlake.llm.components import components
 
 SHINGLE = 5
@@ -385,19 +385,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     held = rows.join(measured(info.select("node"), info.count()), "node").withColumnRenamed("doc_id", "id")
     met = F.col("w.node").eqNullSafe(F.col("h.node")) & F.col("w.rep").eqNullSafe(F.col("h.id"))
     counted = held.groupBy("node", "id").agg(F.count(F.lit(1)).alias("times")).alias("h")
-    fates = written(
-        counted.join(winners.alias("w"), met, "left").select(
-            F.col("h.node").alias("_node"), F.col("h.id").alias("_id"), "times", F.col("w.node").isNotNull().alias("wins")
-        ),
-        "jaccard-fates",
+    # Names that the documents do not have, as their columns go through these joins.
+    node, id_, wins = free(docs, "node_"), free(docs, "id_"), free(docs, "wins_")
+    fates = counted.join(winners.alias("w"), met, "left").select(
+        F.col("h.node").alias(node), F.col("h.id").alias(id_), "times", F.col("w.node").isNotNull().alias(wins)
     )
-    gone = written(fates.filter("not wins or times > 1").select("_node", "_id", "wins"), "jaccard-gone")
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_node") == digest(text_or_empty()))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    gone = written(fates.filter(~F.col(wins) | (F.col("times") > 1)).drop("times"), "jaccard-gone")
+    same = F.col(id_).eqNullSafe(F.col("doc_id")) & (F.col(node) == digest(text_or_empty()))
     kept = docs.join(measured(gone), same, "left_anti")
-    twice = gone.filter("wins")
+    twice = gone.filter(wins)
     if twice.isEmpty():
         return kept
     # A winner whose row is repeated: one of them, whichever comes first.
-    again = docs.join(measured(twice), same).groupBy("_id", "_node").agg(F.first(F.struct(*columns)).alias("row"))
+    again = docs.join(measured(twice), same).groupBy(id_, node).agg(F.first(F.struct(*columns_of(docs))).alias("row"))
     return kept.unionByName(again.select(*(F.col(f"row.`{c}`") for c in docs.columns)))

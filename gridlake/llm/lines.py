@@ -12,8 +12,7 @@ A key is the line without white space at its ends and A-Z lower-cased; keys unde
 
 Defined cases: a null or empty text is one empty line; rows with the same doc_id count as one document, and each loses
 the same lines; rows without a doc_id count as one document, last in order; a line repeated within the first document
-stays there every time; an empty table gives no rows; extra columns are not read by ``marked`` and stay in ``dedupe``, but may not be named ``_id``,
-``_lost``, ``_suspect`` or ``_kept``.
+stays there every time; an empty table gives no rows; extra columns are not read by ``marked`` and stay in ``dedupe``.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import A_TO_Z, BROADCAST_ROWS, LOWER, SPACES, measured, text_or_empty, written
+from gridlake.llm.common import A_TO_Z, BROADCAST_ROWS, LOWER, SPACES, columns_of, free, measured, text_or_empty, written
 
 LEAST = 10
 BITS = 1 << 27
@@ -182,7 +181,7 @@ def _kept(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 
 def lost(docs: DataFrame, bits: int, sent: Broadcast) -> DataFrame:
-    """``_id, _lost``: the digests whose lines a document loses."""
+    """``doc_id, lost``: the digests whose lines a document loses, if any."""
     found = docs.select("doc_id", F.explode(_suspects(bits, sent)(text_or_empty())).alias("digest"))
     suspects = written(found, "line-suspects")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
@@ -194,33 +193,34 @@ def lost(docs: DataFrame, bits: int, sent: Broadcast) -> DataFrame:
         "line-repeats",
     )
     again = (F.col("digest") == F.col("key")) & ~F.col("doc_id").eqNullSafe(F.col("keeper"))
-    gone = suspects.join(measured(first), again).groupBy(F.col("doc_id").alias("_id"))
-    return written(gone.agg(F.collect_set("digest").alias("_lost")), "line-lost")
+    gone = suspects.join(measured(first), again).groupBy("doc_id").agg(F.collect_set("digest").alias("lost"))
+    return written(gone, "line-lost")
 
 
-def without_repeats(docs: DataFrame, into: str = "_kept", most: int = BITS, broadcast: int = BROADCAST_ROWS) -> DataFrame:
+def without_repeats(docs: DataFrame, into: str, most: int = BITS, broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with the struct ``into``: ``n_lines, n_dropped`` and the ``text`` that is left.
 
     If more than ``broadcast`` digests are lost in all, they are not broadcast, and the documents that hold a suspect
     are shuffled by id to meet them; the others never are.
     """
     bits, sent = twice_seen(docs.select(text_or_empty().alias("text")), most)
-    gone = lost(docs, bits, sent)
-    kept = F.arrow_udf(_kept, "n_lines bigint, n_dropped bigint, text string")(text_or_empty(), F.col("_lost"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    if (gone.agg(F.sum(F.size("_lost"))).first()[0] or 0) <= broadcast:
-        met = docs.join(F.broadcast(gone), same, "left").drop("_id")
+    id_, lost_, flag = free(docs, "id_"), free(docs, "lost_"), free(docs, "suspect_")
+    gone = lost(docs, bits, sent).select(F.col("doc_id").alias(id_), F.col("lost").alias(lost_))
+    same = F.col("doc_id").eqNullSafe(F.col(id_))
+    if (gone.agg(F.sum(F.size(lost_))).first()[0] or 0) <= broadcast:
+        met = docs.join(F.broadcast(gone), same, "left")
     else:
-        flagged = docs.withColumn("_suspect", F.size(_suspects(bits, sent)(text_or_empty())) > 0)
-        alone = flagged.filter("not _suspect").withColumn("_lost", F.lit(None).cast("array<binary>"))
-        met = flagged.filter("_suspect").join(gone, same, "left").drop("_id").unionByName(alone).drop("_suspect")
-    return met.withColumn(into, kept).drop("_lost")
+        flagged = docs.withColumn(flag, F.size(_suspects(bits, sent)(text_or_empty())) > 0)
+        alone = flagged.filter(~F.col(flag)).withColumn(lost_, F.lit(None).cast("array<binary>"))
+        met = flagged.filter(flag).join(gone, same, "left").drop(id_).unionByName(alone)
+    kept = F.arrow_udf(_kept, "n_lines bigint, n_dropped bigint, text string")(text_or_empty(), F.col(lost_))
+    return met.select(*columns_of(docs), kept.alias(into))
 
 
 def marked(docs: DataFrame) -> DataFrame:
     """Per document its lines, how many are dropped, and the digest of the rest."""
-    kept = F.col("_kept")
-    return without_repeats(docs.select("doc_id", "text")).select(
+    kept = F.col("kept")
+    return without_repeats(docs.select("doc_id", "text"), "kept").select(
         "doc_id",
         kept["n_lines"].alias("n_lines"),
         kept["n_dropped"].alias("n_dropped"),
@@ -230,5 +230,7 @@ def marked(docs: DataFrame) -> DataFrame:
 
 def dedupe(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated lines dropped from ``text``; a null text stays null."""
-    text = F.when(F.col("text").isNotNull(), F.col("_kept.text")).alias("text")
-    return without_repeats(docs).select(*(text if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    into = free(docs, "kept")
+    text = F.when(F.col("text").isNotNull(), F.col(into)["text"]).alias("text")
+    found = without_repeats(docs, into)
+    return found.select(*(text if c == "text" else F.col(f"`{c}`") for c in docs.columns))

@@ -21,12 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import WORD, measured, text_or_empty, written
+from gridlake.llm.common import WORD, columns_of, free, measured, text_or_empty, written
 
 WEIGHTS = (5, 2, 1)
 COPIES = 3
 SEED = 20
-FREE = "_mix_"
 
 
 def word_count(text: Column) -> Column:
@@ -165,16 +164,17 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, columns unchanged."""
-    copies = (
+    key, times, copy = free(docs, "place_"), free(docs, "copies_"), free(docs, "copy_")
+    copies = written(
         schedule(docs, seed=seed)
         .filter("copies > 0")
-        .groupBy(F.col("place").alias(f"{FREE}place"))
-        .agg(F.max("copies").alias(f"{FREE}copies"))
+        .groupBy(F.col("place").alias(key))
+        .agg(F.max("copies").alias(times)),
+        "mix-copies",
     )
-    found = written(copies, "mix-copies")
     return (
-        docs.withColumn(f"{FREE}place", place(seed))
-        .join(measured(found), f"{FREE}place")
-        .withColumn(f"{FREE}copy", F.explode(F.sequence(F.lit(1), F.col(f"{FREE}copies"))))
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
+        docs.withColumn(key, place(seed))
+        .join(measured(copies), key)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .select(*columns_of(docs))
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import text_or_empty
+from gridlake.llm.common import free, text_or_empty
 from gridlake.llm.spans import any_case, digits, find, written_out
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -121,7 +121,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, least: float = NEEDED) -> DataFrame:
     """``docs`` with every span of at least that score in ``text`` replaced by its kind; overlaps become the first."""
-    into = "_pii"
+    into = free(docs, "pii")
     every = F.filter(F.concat(*spans(text_or_empty()).values()), lambda s: s["score"] >= least)
     order = F.array_sort(
         F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import SPACES
+from gridlake.llm.common import SPACES, columns_of, free
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper", "n_bangs",
@@ -185,7 +185,5 @@ def judged(docs: DataFrame, version: str = "v2") -> DataFrame:
 
 def keep_good(docs: DataFrame, version: str = "v2") -> DataFrame:
     """``docs`` without those that the policy rejects, columns unchanged."""
-    into = "ledger"
-    while into in docs.columns:
-        into = f"_{into}"
-    return apply_policy(ledger(docs, into=into), version, into).select(*(F.col(f"`{c}`") for c in docs.columns))
+    into = free(docs, "ledger")
+    return apply_policy(ledger(docs, into=into), version, into).select(*columns_of(docs))

@@ -111,7 +111,8 @@ def threshold(scored: DataFrame) -> float:
     )
     from_here = Window.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    right = F.sum("a").over(from_here) / F.sum("a").over(whole) - F.sum("r").over(from_here) / F.sum("r").over(whole)
+    share = lambda c: F.try_divide(F.sum(c).over(from_here), F.sum(c).over(whole))
+    right = share("a") - share("r")
     best = bins.withColumn("right", right).filter("right is not null").orderBy(F.desc("right"), "bin").select("bin").first()
     return best["bin"] * BIN if best else 0.0
 
