@@ -55,8 +55,13 @@ def grams(text: Column, order: int = ORDER) -> Column:
     kept = F.regexp_replace(F.translate(text, A_TO_Z, LOWER), "[^a-z0-9./_-]", "\x7f")
     signs = F.split(F.concat(F.lit("`" * order), F.translate(kept, "0123456789./-_", "{{{{{{{{{{|}~~"), F.lit("`")), "")
     numbers = F.transform(signs, lambda c: F.ascii(c) - 96)
-    at = F.sequence(F.lit(order + 1), F.size(numbers))
-    return F.transform(at, lambda i: sum(F.get(numbers, i - 1 - k) * SIGNS**k for k in range(order + 1)))
+
+    def windows(numbers: Column) -> Column:
+        at = F.sequence(F.lit(order + 1), F.size(numbers))
+        return F.transform(at, lambda i: sum(F.get(numbers, i - 1 - k) * SIGNS**k for k in range(order + 1)))
+
+    # As a lambda's variable the numbers are made once for the text and not again for every window.
+    return F.transform(F.array(numbers), windows)[0]
 
 
 def train(labelled: DataFrame, order: int = ORDER) -> DataFrame:
@@ -101,7 +106,9 @@ def as_array(model: DataFrame) -> DataFrame:
 
 
 def mean_ratio(codes: Column, ratios: Column) -> Column:
-    return F.aggregate(codes, F.lit(0.0), lambda s, g: s + F.get(ratios, g)) / F.size(codes)
+    # Named once, so that the optimizer puts grams and ratios in place and no row carries a copy of the model.
+    mean = lambda c: F.aggregate(c, F.lit(0.0), lambda s, g: s + F.get(ratios, g)) / F.size(c)
+    return F.transform(F.array(codes), mean)[0]
 
 
 def threshold(scored: DataFrame) -> float:
