@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.timeaxis import shift
-from gridlake.operators.ordered import previous, running_sum
+from gridlake.operators.ordered import bucket_width, previous, running_sum
 
 
 @dataclass(frozen=True)
@@ -51,15 +51,16 @@ def sustained(
     ``for_duration`` keeps stretches at least that long, ``min_count`` those with that many samples. Several samples of
     one label set at one time are taken as one, which holds when all of them do.
     """
+    cut = bucket_width(df, labels, ts, width)
     peak = [F.max(value).alias("__value")] if value else []
     holds = F.bool_and(F.coalesce(F.col(condition), F.lit(False))).alias("__true")
     rows = df.groupBy(*labels, ts).agg(holds, *peak)
-    rows = previous(rows, labels, ts, {"__before": "__true", "__since": ts}, width)
+    rows = previous(rows, labels, ts, {"__before": "__true", "__since": ts}, cut)
     near = F.col(ts) <= shift(F.col("__since"), step)
     follows = F.coalesce(F.col("__before") & near, F.lit(False))
     starts = F.col("__true") & ~follows
     rows = rows.withColumn("__ends", ~F.col("__true") & follows)
-    numbered = running_sum(rows, labels, ts, {"__stretch": starts.cast("bigint")}, width)
+    numbered = running_sum(rows, labels, ts, {"__stretch": starts.cast("bigint")}, cut)
     is_true = F.col("__true")
     stretches = (
         numbered.where(is_true | F.col("__ends"))

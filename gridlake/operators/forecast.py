@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from gridlake.functions.timeaxis import micros, position, shift, slot_of_day, steps_after
 from gridlake.operators.least_squares import DAY, SEASONS, additive_forecast, solve_moments
 from gridlake.operators.lookup import lookup_join
-from gridlake.operators.ordered import ENTER, LEAVE, overlapping_chunks, sweep
+from gridlake.operators.ordered import ENTER, LEAVE, bucket_width, overlapping_chunks, sweep
 
 # History length, horizon, step and the smallest history that is fitted.
 WINDOW = "14 days"
@@ -26,13 +26,14 @@ MIN_POINTS = 2
 
 
 def history(
-    df: DataFrame, keys: Sequence[str], ts: str, y: str, window: str = WINDOW, width: str | int = "1 hour"
+    df: DataFrame, keys: Sequence[str], ts: str, y: str, window: str = WINDOW, width: str | int | None = None
 ) -> DataFrame:
     """Number, sum and mean of the non-NULL values in ``[ts - window, ts]`` for every distinct time of a series."""
+    cut = bucket_width(df, keys, ts, width or window)
     spans = df.withColumn("__leave", shift(F.col(ts), window))
     measures = {"n": F.count(y), "sum_y": F.coalesce(F.sum(y), F.lit(0.0))}
     totals = spans.groupBy(*keys, ts, "__leave").agg(*[v.alias(f"__{k}") for k, v in measures.items()])
-    found = sweep(totals, keys, ts, "__leave", {k: F.col(f"__{k}") for k in measures}, width)
+    found = sweep(totals, keys, ts, "__leave", {k: F.col(f"__{k}") for k in measures}, cut)
     return found.select(
         *keys, ts, "n", "sum_y", F.when(F.col("n") > 0, F.col("sum_y") / F.col("n")).alias("mean_y")
     )
@@ -44,10 +45,15 @@ def future_frame(origins: DataFrame, origin: str, step: str = STEP, horizon: int
     return numbered.withColumn("event_time", steps_after(F.col(origin), step, F.col("step")))
 
 
+def _usable(ts: str, y: str) -> Column:
+    """Rows with a time and a finite value; others are no points."""
+    return F.col(ts).isNotNull() & F.col(y).isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf"))
+
+
 def _points(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
-    """One row per (keys, ts): number and sum of the non-NULL values."""
+    """One row per (keys, ts): number and sum of the values."""
     return (
-        df.where(F.col(y).isNotNull() & F.col(ts).isNotNull())
+        df.where(_usable(ts, y))
         .groupBy(*keys, ts)
         .agg(F.count(F.lit(1)).alias("__n"), F.sum(y).alias("__y"))
     )
@@ -55,7 +61,7 @@ def _points(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
 
 def _last_history(df: DataFrame, keys: Sequence[str], ts: str, y: str, window: str) -> DataFrame:
     """Rows of each series within ``window`` of its last one, with that time as ``origin_time``."""
-    rows = df.where(F.col(y).isNotNull() & F.col(ts).isNotNull()).select(*keys, ts, y)
+    rows = df.where(_usable(ts, y)).select(*keys, ts, y)
     if keys:
         # A struct is never NULL itself, so series with NULL labels find their own last time.
         series = F.struct(*keys).alias("__series")
@@ -162,7 +168,7 @@ def seasonal_mean(
     horizon: int = HORIZON,
     min_points: int = MIN_POINTS,
     origins: str = "last",
-    width: str | int = "7 days",
+    width: str | int | None = None,
 ) -> DataFrame:
     """Forecast each future time by the mean of its time-of-day slot over the origin's trailing window.
 
@@ -186,14 +192,15 @@ def seasonal_mean(
         )
     points = _points(df, keys, ts, y).withColumnRenamed(ts, "__ts")
     points = points.withColumn("__leave", shift(F.col("__ts"), window))
-    counted = sweep(points, keys, "__ts", "__leave", {"n": F.col("__n")}, width)
+    cut = bucket_width(df, keys, ts, width or window)
+    counted = sweep(points, keys, "__ts", "__leave", {"n": F.col("__n")}, cut)
     origin_rows = counted.where(F.col("n") >= min_points).withColumn("origin_time", F.col("__ts"))
     frame = future_frame(origin_rows, "origin_time", step, horizon)
     probes = frame.withColumn("__slot", slot_of_day(position(frame, "event_time"), step))
     slotted = points.withColumn("__slot", slot_of_day(position(points, "__ts"), step))
     extra = ["origin_time", "n", "step", "event_time"]
     measures = {"__c": F.col("__n"), "__t": F.col("__y")}
-    means = sweep(slotted, [*keys, "__slot"], "__ts", "__leave", measures, width, probes, extra)
+    means = sweep(slotted, [*keys, "__slot"], "__ts", "__leave", measures, cut, probes, extra)
     return means.where("__c > 0").select(*keys, *extra, (F.col("__t") / F.col("__c")).alias("yhat"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.timeaxis import MICROS, floor_to, micros, position, shift
-from gridlake.operators.ordered import previous, sweep
+from gridlake.operators.ordered import bucket_width, previous, sweep
 from gridlake.operators.silver import dedupe
 
 
@@ -32,10 +32,12 @@ def select_metric(df: DataFrame, metric: str, **labels: str) -> DataFrame:
 
 
 def _increases(
-    df: DataFrame, series: Sequence[str], ts: str, value: str, window: str, ties: Sequence[str], width: str | int
+    df: DataFrame, series: Sequence[str], ts: str, value: str, window: str, ties: Sequence[str], width: str | int | Column
 ) -> DataFrame:
     """One span per pair of neighbouring samples: the increase counts while both samples lie in the window."""
-    samples = df.select(*series, ts, *ties, F.col(value).alias("__value"))
+    # A value that is no finite number is no sample: it would count as a reset, or poison the sums around it.
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf"))
+    samples = df.where(finite).select(*series, ts, *ties, F.col(value).alias("__value"))
     if ties:
         samples = dedupe(samples, [*series, ts], list(ties))
     else:
@@ -66,11 +68,11 @@ def rate(
     A drop is a reset. Only increases between two samples inside the window count; instants with fewer than two samples
     give no row. The increase is divided by the window; with ``extrapolate`` it is first stretched to the window's
     edges, as monitoring systems do for counters scraped at intervals (:func:`_stretch`). Of several samples of a series
-    at one time the last by ``ties`` is taken, or the largest. ``at`` has the series columns and ``ts``. One task gets
-    the samples of one series and ``width`` (by default the window, but an hour at least).
+    at one time the last by ``ties`` is taken, or the largest; NULL and values that are not finite are no samples.
+    ``at`` has the series columns and ``ts``. ``width`` is the coarsest cut of a series (by default the window).
     """
-    width = width or max(window, "1 hour", key=micros)
-    spans = _increases(df, series, ts, value, window, ties, width)
+    cut = bucket_width(df, series, ts, width or window)
+    spans = _increases(df, series, ts, value, window, ties, cut)
     measures = {"__n": F.lit(1).cast("bigint"), "__sum": F.col("__increase")}
     newest: list[str] = []
     if extrapolate:
@@ -78,9 +80,7 @@ def rate(
         measures["__covered"] = F.col("__last_at") - position(spans, "__since")
         measures["__net"] = F.col("__value") - F.col("__before")
         newest = ["__last_at", "__last"]
-    found = sweep(
-        spans, series, ts, "__leave", measures, width, probes=at, reach=window, merge=False, newest=newest
-    ).where("__n > 0")
+    found = sweep(spans, series, ts, "__leave", measures, cut, probes=at, merge=False, newest=newest).where("__n > 0")
     increase = F.greatest(F.col("__sum"), F.lit(0.0))
     if extrapolate:
         increase = increase * _stretch(position(found, ts), micros(window), increase)

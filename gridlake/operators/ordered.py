@@ -1,10 +1,13 @@
 """Exact ordered scans over long series: previous value, running sum, trailing-window sum.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` puts a whole series into one task, so one hot series decides the run
-time. Here every series is cut into buckets of a fixed width on its ordering axis, and the window runs inside the
-bucket. What crosses a bucket edge (the last value before it, the sum before it) comes from a table with one row per
-(series, bucket), built with a partial aggregate, and enters the window as the bucket's first row. The result is the
-same for every width; the width only sets how much work one task may get.
+time. Here every series is cut into buckets on its ordering axis, and the window runs inside the bucket. What crosses a
+bucket edge (the last value before it, the sum before it) comes from a table with one row per (series, bucket), built
+with a partial aggregate, and enters the window as the bucket's first row. The result is the same for every width.
+
+The ``width`` of a call is the coarsest cut. If some series has more than ``AIM`` rows in a stretch of that width, all
+stretches are cut finer, so that the work of a task follows the data and not the time covered. The count is a scalar
+subquery of the plan; no job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -19,9 +22,29 @@ from gridlake.functions.timeaxis import floor_to, position, span
 _BUCKET = "__bucket"
 _SEED = "__seed"
 
+# Rows of a series that one bucket is meant to hold, and the most parts into which a width is cut for that.
+AIM = 50_000
+PARTS = 1024
+
+
+def bucket_width(df: DataFrame, keys: Sequence[str], order: str, width: str | int | Column) -> Column:
+    """``width``, divided so that the fullest stretch of it has about ``AIM`` rows per part.
+
+    A column is a width found before: callers that scan what they derive from a table measure the table once.
+    """
+    if isinstance(width, Column):
+        return width
+    coarse = span(width)
+    stretch = floor_to(position(df, order), coarse).alias(_BUCKET)
+    counts = df.groupBy(*keys, stretch).agg(F.count(F.lit(1)).alias("__n"))
+    parts = F.least(F.greatest(F.ceil(F.max("__n") / F.lit(AIM)), F.lit(1)), F.lit(PARTS))
+    finer = F.greatest(F.floor(F.lit(coarse) / parts), F.lit(1)).cast("bigint")
+    return counts.agg(F.coalesce(finer, F.lit(coarse).cast("bigint")).alias("width")).scalar()
+
 
-def _with_bucket(df: DataFrame, order: str, width: str | int) -> DataFrame:
-    return df.withColumns({_BUCKET: floor_to(position(df, order), span(width)), _SEED: F.lit(0)})
+def _with_bucket(df: DataFrame, keys: Sequence[str], order: str, width: str | int | Column) -> DataFrame:
+    bucket = floor_to(position(df, order), bucket_width(df, keys, order, width))
+    return df.withColumns({_BUCKET: bucket, _SEED: F.lit(0)})
 
 
 def _seeded(rows: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -38,11 +61,11 @@ def previous(
     keys: Sequence[str],
     order: str,
     columns: Mapping[str, str],
-    width: str | int,
+    width: str | int | Column,
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add, for every ``new: old`` in ``columns``, the value of ``old`` in the row before (NULL in a series' first)."""
-    rows = _with_bucket(df, order, width)
+    rows = _with_bucket(df, keys, order, width)
     olds = list(dict.fromkeys(columns.values()))
     if ties:
         last = [F.max_by(F.struct(*olds), F.struct(order, *ties)).alias("__last")]
@@ -70,11 +93,11 @@ def running_sum(
     keys: Sequence[str],
     order: str,
     columns: Mapping[str, Column],
-    width: str | int,
+    width: str | int | Column,
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add running sums (up to and with the row itself) of the given expressions; NULL counts as 0."""
-    rows = _with_bucket(df, order, width)
+    rows = _with_bucket(df, keys, order, width)
     kinds = df.select(*[value.alias(name) for name, value in columns.items()]).agg(*[F.sum(n).alias(n) for n in columns])
     zero = {name: F.lit(0).cast(kinds.schema[name].dataType) for name in columns}
     rows = rows.withColumns(
@@ -90,9 +113,8 @@ def running_sum(
     return summed.where(F.col(_SEED) == 0).select(*df.columns, *columns)
 
 
-# Order of the kinds of rows that meet at one instant of a sweep: a span holds both its ends. BEFORE enters a span that
-# began in an earlier bucket.
-BEFORE, ENTER, PROBE, LEAVE = -1, 0, 1, 2
+# Order of the kinds of rows that meet at one instant of a sweep: a span holds both its ends.
+ENTER, PROBE, LEAVE = 0, 1, 2
 
 
 def sweep(
@@ -101,89 +123,103 @@ def sweep(
     enter: str,
     leave: str,
     measures: Mapping[str, Column],
-    width: str | int,
+    width: str | int | Column,
     probes: DataFrame | None = None,
     extra: Sequence[str] = (),
-    reach: str | int | None = None,
     merge: bool = True,
     newest: Sequence[str] = (),
 ) -> DataFrame:
     """Sums of ``measures`` over all spans that hold an instant, ends included.
 
-    Every span adds its measures when it is entered and takes them away after it is left, so a window of any length
-    costs two rows per span instead of one pass over the window per row. Without ``probes`` the result has one row per
-    span, and spans that enter at one instant must end at one instant. ``probes`` carries ``keys``, ``enter`` and the
-    ``extra`` columns, and gives one row per probe.
-
-    Equal spans are added up first, before the exchange, which also takes care of copies; ``merge=False`` skips that for
-    spans known to differ. When ``reach``, the length of the longest span, is no more than ``width``, a span meets at
-    most two buckets and is put into both; then no sums need to be carried from bucket to bucket, and ``newest`` adds
-    columns of the span that was entered last (with ``merge=False`` only).
+    For an instant in a bucket these are the spans entered in the bucket up to then, added up forwards; those left in
+    the bucket from then on, added up backwards; and those that cover the bucket, which are summed by the buckets of
+    their ends and arrive as one row. Nothing is carried from bucket to bucket and taken away later, so a value that
+    has left the window leaves no trace, be it NaN, infinite or very large. (A span that begins and ends in one bucket
+    is the exception: it is added and taken away there.)
+
+    Without ``probes`` the result has one row per span, and spans that enter at one instant must end at one instant.
+    ``probes`` carries ``keys``, ``enter`` and the ``extra`` columns, and gives one row per probe. Equal spans are added
+    up first, before the exchange, which also takes care of copies; ``merge=False`` skips that for spans known to
+    differ. ``newest`` adds columns of the last span entered before the instant (with ``merge=False`` only). ``width``
+    should be about the length of a span: a bucket is told of every pair of buckets whose spans cover it.
     """
+    if newest and merge:
+        raise ValueError("newest needs merge=False")
     names = list(measures)
-    short = reach is not None and span(reach) <= span(width)
-    if newest and (merge or not short):
-        raise ValueError("newest needs merge=False and a reach within the width")
     if merge:
         spans = spans.groupBy(*keys, enter, leave).agg(*[F.sum(value).alias(n) for n, value in measures.items()])
     else:
         last = [F.col(c).alias(f"__newest_{c}") for c in newest]
         spans = spans.select(*keys, enter, leave, *[value.alias(n) for n, value in measures.items()], *last)
-    events = _events(spans, keys, enter, leave, names, span(width) if short else None)
+    size = bucket_width(spans, keys, enter, width)
+    placed = spans.withColumns(
+        {"__from": floor_to(position(spans, enter), size), "__to": floor_to(position(spans, leave), size)}
+    )
+    events = _events(placed, keys, enter, leave, names).unionByName(
+        _covers(placed, keys, enter, names, newest, size), allowMissingColumns=True
+    )
     wanted = ENTER
     if probes is not None:
         wanted = PROBE
-        marks = probes.select(*keys, enter, *extra).withColumn("__side", F.lit(PROBE))
-        if short:
-            marks = marks.withColumn("__bucket", floor_to(position(marks, enter), span(width)))
-        events = events.unionByName(marks, allowMissingColumns=True)
-    if short:
-        window = (
-            Window.partitionBy(*keys, "__bucket")
-            .orderBy(enter, "__side")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        kinds = {n: events.schema[n].dataType for n in names}
-        seen = {c: F.last(f"__newest_{c}", ignorenulls=True).over(window) for c in newest}
-        sums = events.withColumns(
-            {**{n: F.coalesce(F.sum(n).over(window), F.lit(0).cast(kinds[n])) for n in names}, **seen}
+        marks = probes.select(*keys, enter, *extra).withColumns(
+            {"__side": F.lit(PROBE), _SEED: F.lit(0), _BUCKET: floor_to(position(probes, enter), size)}
         )
-    else:
-        moved = events.withColumnsRenamed({n: f"__m_{n}" for n in names})
-        sums = running_sum(moved, keys, enter, {n: F.col(f"__m_{n}") for n in names}, width, ties=["__side"])
-    return sums.where(F.col("__side") == wanted).select(*keys, enter, *extra, *names, *newest)
-
+        events = events.unionByName(marks, allowMissingColumns=True)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    forwards = Window.partitionBy(*keys, _BUCKET).orderBy(F.desc(_SEED), enter, "__side").rowsBetween(*so_far)
+    backwards = Window.partitionBy(*keys, _BUCKET).orderBy(F.desc(enter), F.desc("__side")).rowsBetween(*so_far)
+    sums = events.withColumns(
+        {
+            **{n: F.sum(f"__on_{n}").over(forwards) for n in names},
+            **{c: F.last(f"__newest_{c}", ignorenulls=True).over(forwards) for c in newest},
+            **{f"__back_{n}": F.sum(f"__off_{n}").over(backwards) for n in names},
+        }
+    )
+    zero = {n: F.lit(0).cast(sums.schema[n].dataType) for n in names}
+    total = [(F.coalesce(F.col(n), zero[n]) + F.coalesce(F.col(f"__back_{n}"), zero[n])).alias(n) for n in names]
+    return sums.where((F.col("__side") == wanted) & (F.col(_SEED) == 0)).select(*keys, enter, *extra, *total, *newest)
 
-def _events(
-    spans: DataFrame, keys: Sequence[str], enter: str, leave: str, names: Sequence[str], width: int | None
-) -> DataFrame:
-    """An entering and a leaving row per span; ``enter`` becomes the time of either.
 
-    With ``width`` the rows also get their bucket, and a span that ends in the next bucket is entered there too.
-    """
+def _events(placed: DataFrame, keys: Sequence[str], enter: str, leave: str, names: Sequence[str]) -> DataFrame:
+    """An entering and a leaving row per span; ``enter`` becomes the time of either."""
     side = F.col("__side")
-    if width is None:
-        rows = spans.withColumn("__side", F.explode(F.array(F.lit(ENTER), F.lit(LEAVE))))
-        placed = []
-    else:
-        first = floor_to(position(spans, enter), width)
-        last = floor_to(position(spans, leave), width)
-        own, carried, end = _place(ENTER, first), _place(BEFORE, last), _place(LEAVE, last)
-        places = F.when(first == last, F.array(own, end)).otherwise(F.array(own, carried, end))
-        rows = spans.withColumn("__place", F.explode(places)).select("*", "__place.*")
-        placed = ["__bucket"]
+    within = F.col("__from") == F.col("__to")
+    rows = placed.withColumn("__side", F.explode(F.array(F.lit(ENTER), F.lit(LEAVE))))
     return rows.select(
         *keys,
         F.when(side == LEAVE, F.col(leave)).otherwise(F.col(enter)).alias(enter),
         "__side",
-        *placed,
-        *[F.when(side == LEAVE, -F.col(n)).otherwise(F.col(n)).alias(n) for n in names],
-        *[F.when(side != LEAVE, F.col(c)).alias(c) for c in spans.columns if c.startswith("__newest_")],
+        F.when(side == LEAVE, F.col("__to")).otherwise(F.col("__from")).alias(_BUCKET),
+        F.lit(0).alias(_SEED),
+        *[F.when(side == ENTER, F.col(n)).when(within, -F.col(n)).alias(f"__on_{n}") for n in names],
+        *[F.when((side == LEAVE) & ~within, F.col(n)).alias(f"__off_{n}") for n in names],
+        *[F.when(side == ENTER, F.col(c)).alias(c) for c in placed.columns if c.startswith("__newest_")],
     )
 
 
-def _place(side: int, bucket: Column) -> Column:
-    return F.struct(F.lit(side).alias("__side"), bucket.alias("__bucket"))
+def _covers(
+    placed: DataFrame, keys: Sequence[str], enter: str, names: Sequence[str], newest: Sequence[str], size: Column
+) -> DataFrame:
+    """First rows of the buckets: the sums of the spans that cover them, and the last span entered before them."""
+    last = [f"__newest_{c}" for c in newest]
+    ends = placed.where("__from < __to").groupBy(*keys, "__from", "__to").agg(
+        *[F.sum(n).alias(n) for n in names],
+        F.max(enter).alias("__entered"),
+        *[F.max_by(c, enter).alias(c) for c in last],
+    )
+    # Only the last span entered may still matter in the bucket in which it is left.
+    until = F.col("__to") if newest else F.col("__to") - size
+    start = F.col("__from") + size
+    covered = ends.withColumn(_BUCKET, F.explode(F.when(start <= until, F.sequence(start, until, size))))
+    inside = F.col(_BUCKET) < F.col("__to")
+    return (
+        covered.groupBy(*keys, _BUCKET)
+        .agg(
+            *[F.sum(F.when(inside, F.col(n))).alias(f"__on_{n}") for n in names],
+            *[F.max_by(c, "__entered").alias(c) for c in last],
+        )
+        .withColumn(_SEED, F.lit(1))
+    )
 
 
 def overlapping_chunks(df: DataFrame, keys: Sequence[str], ts: str, window: str) -> DataFrame:

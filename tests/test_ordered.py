@@ -6,8 +6,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gridlake.operators import ordered
 from gridlake.operators.ordered import previous, running_sum, sweep
 from tests.conftest import plan, rows
 
@@ -62,13 +64,13 @@ def test_running_sum(spark, width):
 
 @pytest.mark.parametrize("width", ["10 minutes", "1 day"])
 @pytest.mark.parametrize("window", [timedelta(minutes=10), timedelta(hours=24), timedelta(hours=30)])
-@pytest.mark.parametrize("tell", [True, False])
-def test_sweep_is_the_inclusive_trailing_window(spark, width, window, tell):
+@pytest.mark.parametrize("aim", [50_000, 7])
+def test_sweep_is_the_inclusive_trailing_window(spark, width, window, aim, monkeypatch):
+    monkeypatch.setattr(ordered, "AIM", aim)
     data = series(3)
     df = frame(spark, data + data[:50])
     spans = df.withColumn("leave", F.col("ts") + F.lit(window))
-    reach = f"{int(window.total_seconds())} seconds" if tell else None
-    found = sweep(spans, ["key"], "ts", "leave", {"n": F.lit(1), "total": F.col("v")}, width, reach=reach)
+    found = sweep(spans, ["key"], "ts", "leave", {"n": F.lit(1), "total": F.col("v")}, width)
     expected = set()
     for key, group in by_key(data + data[:50]).items():
         for row in group:
@@ -77,16 +79,44 @@ def test_sweep_is_the_inclusive_trailing_window(spark, width, window, tell):
     assert rows(found) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("reach", [None, "5 minutes"])
-def test_sweep_probes_lie_between_entering_and_leaving(spark, reach):
+@pytest.mark.parametrize("width", ["7 minutes", "1 minute", "1 day"])
+def test_sweep_probes_lie_between_entering_and_leaving(spark, width):
     data = [(1, "a", START, 2.0), (2, "a", START + timedelta(minutes=5), 3.0)]
     spans = frame(spark, data).withColumn("leave", F.col("ts") + F.expr("INTERVAL 5 MINUTES"))
     times = [START - timedelta(1), START, START + timedelta(minutes=5), START + timedelta(minutes=10), START + timedelta(1)]
     probes = spark.createDataFrame([("a", t, i) for i, t in enumerate(times)], "key string, ts timestamp_ntz, tag int")
-    found = sweep(spans, ["key"], "ts", "leave", {"total": F.col("v")}, "7 minutes", probes, ["tag"], reach)
+    found = sweep(spans, ["key"], "ts", "leave", {"total": F.col("v")}, width, probes, ["tag"])
     assert sorted((r.tag, r.total) for r in found.collect()) == [(0, 0.0), (1, 2.0), (2, 5.0), (3, 3.0), (4, 0.0)]
 
 
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), 1e16])
+@pytest.mark.parametrize("width", ["3 days", "14 days"])
+def test_sweep_forgets_what_has_left(spark, odd, width):
+    data = [(k, "a", START + timedelta(days=k), odd if k == 3 else 0.1) for k in range(40)]
+    df = frame(spark, data)
+    spans = df.withColumn("leave", F.col("ts") + F.expr("INTERVAL 14 DAYS"))
+    found = sweep(spans, ["key"], "ts", "leave", {"total": F.col("v")}, width)
+    trailing = Window.partitionBy("key").orderBy("ts").rangeBetween(-14 * 86400, 0)
+    plain = df.withColumn("ts", F.col("ts").cast("timestamp").cast("bigint")).withColumn("total", F.sum("v").over(trailing))
+    got = [r.total for r in found.orderBy("ts").collect()]
+    want = [r.total for r in plain.orderBy("ts").collect()]
+    assert got == pytest.approx(want, rel=1e-12, nan_ok=True) and got[30] == pytest.approx(1.5)
+
+
+@pytest.mark.parametrize("aim", [3, 40])
+def test_buckets_follow_the_data(spark, aim, monkeypatch):
+    monkeypatch.setattr(ordered, "AIM", aim)
+    data = series(6)
+    df = frame(spark, data)
+    found = previous(df, ["key"], "ts", {"before": "v"}, "30 days", ["id"])
+    expected = []
+    for group in by_key(data).values():
+        expected += [(*row, last[3] if last else None) for last, row in zip([None, *group], group)]
+    assert rows(found) == sorted(expected, key=repr)
+    width = df.select(ordered.bucket_width(df, ["key"], "ts", "30 days").alias("w")).first().w
+    assert width < 30 * 86_400_000_000 / (100 / aim)
+
+
 def test_integer_axis_and_no_keys(spark):
     df = spark.createDataFrame([(i, i * i) for i in range(-20, 20)], "at long, v long")
     found = previous(df, [], "at", {"before": "v"}, 7)
