@@ -66,7 +66,9 @@ def _last_history(df: DataFrame, keys: Sequence[str], ts: str, y: str, window: s
         # A struct is never NULL itself, so series with NULL labels find their own last time.
         series = F.struct(*keys).alias("__series")
         last = rows.groupBy(series).agg(F.max(ts).alias("origin_time"))
-        joined = lookup_join(rows.select("*", series), last, ["__series"], ["origin_time"]).drop("__series")
+        joined = lookup_join(
+            rows.select("*", series), last, ["__series"], ["origin_time"], small=False, unique=True
+        ).drop("__series")
     else:
         joined = rows.withColumn("origin_time", rows.agg(F.max(ts)).scalar())
     return joined.where(F.col(ts) >= shift(F.col("origin_time"), "-" + window))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.operators.lookup import lookup_join
 from gridlake.operators.silver import dedupe
-from gridlake.session import scratch_dir
+from gridlake.session import discard, scratch_dir
 from gridlake.sources.sinks import TRANSACTIONAL, overwrite_table, replace_table
 
 # Fixed value: lower bound used while the target is empty.
@@ -22,16 +23,18 @@ def incremental_slice(
     column: str,
     lookback: str | None = None,
     date_column: str | None = None,
+    newest_date: DataFrame | None = None,
 ) -> DataFrame:
     """Source rows at or after the newest value in the target, less ``lookback`` (an interval such as ``"2 days"``).
 
     ``target=None`` (first load or full refresh) keeps every row, also those with a NULL ``column``. The bound stays a
     scalar subquery. When the tables are partitioned by the date of ``column``, name that column as ``date_column``: the
-    source then reads only partitions from the bound on, and the target only its last one.
+    source then reads only partitions from the bound on. ``newest_date`` (one value, such as :func:`newest_partition`
+    gives) says which partition of the target is its last; otherwise the date is looked for in all of them.
     """
     if target is None:
         return source
-    bound = _bound(target, column, lookback, date_column)
+    bound = _bound(target, column, lookback, date_column, newest_date)
     rows = source.where(F.col(column) >= bound.scalar())
     if date_column:
         rows = rows.where(F.col(date_column) >= bound.select(F.to_date("bound")).scalar())
@@ -46,10 +49,25 @@ def late_rows(
     return source.where((F.col(column) < bound) | F.col(column).isNull())
 
 
-def _bound(target: DataFrame, column: str, lookback: str | None, date_column: str | None = None) -> DataFrame:
+def newest_partition(spark: SparkSession, table: str, column: str) -> DataFrame:
+    """The largest value of a partition column, from the catalog's list of partitions; no file is opened."""
+    kind = spark.table(table).schema[column].dataType
+    value = F.regexp_extract("partition", rf"(?:^|/){column}=([^/]*)", 1)
+    known = F.when(value != "__HIVE_DEFAULT_PARTITION__", value).cast(kind)
+    return spark.sql(f"SHOW PARTITIONS {table}").agg(F.max(known).alias(column))
+
+
+def _bound(
+    target: DataFrame,
+    column: str,
+    lookback: str | None,
+    date_column: str | None = None,
+    newest_date: DataFrame | None = None,
+) -> DataFrame:
     kind = target.schema[column].dataType
-    if date_column and date_column != column:
-        target = target.where(F.col(date_column) == target.agg(F.max(date_column)).scalar())
+    if date_column and (date_column != column or newest_date is not None):
+        newest_date = target.agg(F.max(date_column)) if newest_date is None else newest_date
+        target = target.where(F.col(date_column) == newest_date.scalar())
     newest = F.coalesce(F.max(column), F.lit(EARLIEST).cast(kind))
     if lookback:
         newest = (newest - F.expr(f"INTERVAL {lookback}")).cast(kind)
@@ -132,35 +150,31 @@ def upsert_table(
         return
     target = spark.table(table)
     rewrite_all = key_moves or not partition_by
-    if rewrite_all:
-        overwrite_table(_staged(spark, upsert(target, batch, keys, on_duplicate, order_by)), table, "static")
-        return
-    batch = _staged(spark, unique_batch(batch, keys, on_duplicate, order_by, partition_by))
-    kept = _touched(target, batch, partition_by).join(batch.select(*keys), list(keys), "left_anti")
-    rewritten = _staged(spark, kept.unionByName(batch.select(*target.columns)))
-    overwrite_table(rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
-
-
-# Longest list of partition values put into a filter.
-LISTED = 1000
-
-
-def _touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    with ExitStack() as stack:
+        if rewrite_all:
+            rows = staged(spark, upsert(target, batch, keys, on_duplicate, order_by), stack)
+            overwrite_table(rows, table, "static")
+            return
+        batch = staged(spark, unique_batch(batch, keys, on_duplicate, order_by, partition_by), stack)
+        kept = touched(target, batch, partition_by).join(batch.select(*keys), list(keys), "left_anti")
+        rewritten = staged(spark, kept.unionByName(batch.select(*target.columns)), stack)
+        overwrite_table(rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
+
+
+def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Target rows that may have to be rewritten: those with a value of the first partition column that the batch names.
 
-    The values are put into the filter as a list, or as a range when there are too many, so only those partitions are
-    read. Partitions in between are written back as they are.
+    The values are put into the filter, so only those partitions are read. There are no more of them than the table has,
+    or gets, partitions, which the catalog lists for the driver anyway.
     """
     first = partition_by[0]
-    listed = [row[0] for row in batch.select(first).distinct().limit(LISTED + 1).collect()]
-    if len(listed) <= LISTED:
-        return target.where(F.col(first).isin(listed))
-    low, high = batch.agg(F.min(first), F.max(first)).first()
-    return target.where(F.col(first).between(low, high))
+    return target.where(F.col(first).isin([row[0] for row in batch.select(first).distinct().collect()]))
 
 
-def _staged(spark: SparkSession, df: DataFrame) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, stack: ExitStack) -> DataFrame:
+    """A copy on shared storage, deleted when ``stack`` is left."""
     folder = scratch_dir(spark, "stage")
+    stack.callback(discard, spark, folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
@@ -193,7 +207,8 @@ def build_incremental(
     if full_refresh or not exists:
         replace_table(unique_batch(source, keys, on_duplicate, order_by, partition_by), table, partition_by, fmt)
         return
-    rows = incremental_slice(source, spark.table(table), column, lookback, date_column)
+    newest = newest_partition(spark, table, date_column) if date_column and date_column in partition_by else None
+    rows = incremental_slice(source, spark.table(table), column, lookback, date_column, newest)
     upsert_table(spark, table, rows, keys, partition_by, on_duplicate, order_by, key_moves, fmt)
 
 
@@ -212,7 +227,7 @@ def dim_region_rows(register: DataFrame) -> DataFrame:
 
 
 def star(fact: DataFrame, dim_unit: DataFrame, dim_region: DataFrame) -> DataFrame:
-    """Fact rows with unit and region names. Both dimensions are unique on their key, so no row is multiplied."""
+    """Fact rows with unit and region names; a dimension that repeats a key fails the job, so no row is multiplied."""
     units = lookup_join(dim_unit.select("unit_id", "unit_name", "region_id"), dim_region, ["region_id"], ["region_name"])
     return lookup_join(fact, units, ["unit_id"], ["unit_name", "region_id", "region_name"])
 

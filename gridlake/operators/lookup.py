@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Lookups up to this size are broadcast. Beyond, keys with more than one in HOT_SHARE of all rows are joined apart; there
-# can be no more than HOT_SHARE of them.
+# Lookups up to this size are broadcast. Beyond, keys with more than one in HOT_SHARE of all rows are salted; there can be
+# no more than HOT_SHARE of them.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 1000
+SALTS = 64
 
 
 def is_small(df: DataFrame) -> bool:
@@ -31,38 +32,58 @@ def is_small(df: DataFrame) -> bool:
 
 
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: Sequence[str], columns: Sequence[str], small: bool | None = None
+    df: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    columns: Sequence[str],
+    small: bool | None = None,
+    unique: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """``df`` with ``columns`` of ``lookup``, which must be unique on ``on``; a NULL in ``on`` matches nothing.
+    """``df`` with ``columns`` of ``lookup``; a NULL in ``on`` matches nothing.
 
-    The lookup is measured first, unless the caller has measured what it comes from and says that it is ``small``. A
-    small one is broadcast. With a large one, rows of hot keys meet a broadcast of just those keys, rows without a key
-    skip the join, and the rest, in which no key is hot any more, goes through an ordinary shuffled join. (AQE alone
-    does not split such a join, as the lookup's own de-duplication already fixes its partitioning.)
+    A key that the lookup repeats fails the job, as it would multiply rows; ``unique`` says that the lookup has been
+    reduced already. ``small`` is what the caller knows: True broadcasts the lookup, None measures it first (for lookups
+    that are cheap to read), False leaves the choice to the adaptive planner, which sees the real size at run time.
+
+    Without a broadcast, rows of hot keys and rows without a key are spread over ``SALTS`` salts, and the hot keys'
+    lookup rows are repeated for each, so that one join does for all. (The adaptive planner alone does not split such a
+    join, as the lookup's own aggregate fixes its partitioning.) Hot keys are found by a count of the key columns,
+    combined before it is shuffled; ``counts`` (keys and ``n``) may bring one.
     """
     keys = list(on)
     lookup = lookup.where(_all_present(keys)).select(*keys, *columns)
-    if small or (small is None and is_small(lookup)):
+    if small is None:
+        small = is_small(lookup)
+    if not unique:
+        lookup = one_per_key(lookup, keys)
+    if small:
         return df.join(F.broadcast(lookup), keys, "left").select(*df.columns, *columns)
-    keyed = df.where(_all_present(keys))
-    hot = F.broadcast(hot_keys(keyed, keys))
-    near = lookup.join(hot, keys, "left_semi")
-    parts = [
-        keyed.join(hot, keys, "left_semi").join(F.broadcast(near), keys, "left"),
-        keyed.join(hot, keys, "left_anti").join(lookup.hint("merge"), keys, "left"),
-        df.where(~_all_present(keys)).withColumns({c: F.lit(None).cast(lookup.schema[c].dataType) for c in columns}),
-    ]
-    result = parts[0].select(*df.columns, *columns)
-    for part in parts[1:]:
-        result = result.unionAll(part.select(*df.columns, *columns))
-    return result
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than one in ``HOT_SHARE`` of all rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.where(F.col("__n") * HOT_SHARE > total).select(*keys)
+    hot = F.broadcast(hot_keys(df, keys, counts).withColumn("__hot", F.lit(True)))
+    spread = F.col("__hot") | ~_all_present(keys)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    rows = df.join(hot, keys, "left").withColumn("__salt", F.when(spread, salt).otherwise(F.lit(0).cast("bigint")))
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    every = F.coalesce(salts, F.array(F.lit(0).cast("bigint")))
+    repeated = lookup.join(hot, keys, "left").withColumn("__salt", F.explode(every)).drop("__hot")
+    return rows.join(repeated, [*keys, "__salt"], "left").select(*df.columns, *columns)
+
+
+def one_per_key(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The lookup itself; a key that comes again fails the job."""
+    others = [c for c in lookup.columns if c not in keys]
+    counted = lookup.groupBy(*keys).agg(F.any_value(F.struct(*others)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    message = F.concat(F.lit(f"repeated lookup key {list(keys)}: "), F.to_json(F.struct(*keys)))
+    alone = F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.where(alone).select(*keys, *[F.col("__row")[c].alias(c) for c in others])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
+    """Keys with more than one in ``HOT_SHARE`` of all rows that have a key: at most ``HOT_SHARE`` keys."""
+    if counts is None:
+        counts = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.where(F.col("n") * HOT_SHARE > total).select(*keys)
 
 
 def _all_present(keys: Sequence[str]) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -212,15 +213,21 @@ def run_checkpoint(
     results_table: str | None = None,
     run_id: str | None = None,
 ) -> DataFrame:
-    """Validate the rows of a SQL text; with ``results_table`` the result rows are also appended there."""
+    """Validate the rows of a SQL text; with ``results_table`` the result rows are also appended there.
+
+    Every call is an ``attempt`` of its own, and only its rows are returned, however often a run id comes again.
+    """
     result = validate(spark.sql(query), suite).select(
         F.lit(name).alias("checkpoint"), F.lit(suite["expectation_suite_name"]).alias("suite"), "*"
     )
     if results_table is None:
         return result
-    stamped = result.withColumns({"run_id": F.lit(run_id or ""), "run_at": F.current_timestamp()})
+    attempt = uuid.uuid4().hex
+    stamped = result.withColumns(
+        {"run_id": F.lit(run_id or ""), "run_at": F.current_timestamp(), "attempt": F.lit(attempt)}
+    )
     stamped.write.mode("append").saveAsTable(results_table)
-    return spark.table(results_table).where(F.col("run_id") == (run_id or ""))
+    return spark.table(results_table).where(F.col("attempt") == attempt)
 
 
 def run_job(

@@ -42,7 +42,7 @@ def enrich(
     """
     order, keep = (list(dim_order), "latest") if dim_order else (list(columns), "first")
     lookup = dedupe(dim.select(on, *dict.fromkeys([*columns, *order])), [on], order, keep)
-    return lookup_join(df, lookup, [on], columns, small=is_small(dim.select(on, *columns)) or None)
+    return lookup_join(df, lookup, [on], columns, small=is_small(dim.select(on, *columns)), unique=True)
 
 
 def share_expression(value: str, label: str, match: str, fill_zero: bool = False) -> Column:

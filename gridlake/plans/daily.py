@@ -155,7 +155,7 @@ def run(spark: SparkSession, chain: Chain, since: str | None = None) -> DataFram
         try:
             stage()
         except Exception as error:
-            _log(spark, chain, name, started, 0, str(error)[:1000])
+            _log(spark, chain, name, started, 0, str(error))
             raise
         _log(spark, chain, name, started, 1, "")
     return spark.table(chain.table("run_log")).where(F.col("run_id") == chain.run_id)

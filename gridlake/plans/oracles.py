@@ -484,7 +484,11 @@ ORACLES: dict[str, str] = {
                fuel_type = 'Wind' as quarantined
         from dispatch""",
     "feed_stream": f"with {DISPATCH} select {MESSAGE} from dispatch",
-    "stream_dedupe": f"with {DISPATCH} select distinct trading_interval, unit_id from dispatch",
+    "stream_dedupe": f"""with {DISPATCH}
+        select {MESSAGE}, cast(trading_interval as date) as trading_date, ingested_at, event_id
+        from (select *, row_number() over (partition by trading_interval, unit_id order by ingested_at, event_id) as rn
+              from dispatch) z where rn = 1""",
+    "stream_dedupe_watermark": f"with {DISPATCH} select distinct trading_interval, unit_id from dispatch",
     "changed_payloads_stream": """
         select event_id, user_id, event_type
         from (select *, lag(event_type) over (partition by user_id order by ts, event_id) as before from events) q
@@ -494,14 +498,11 @@ ORACLES: dict[str, str] = {
         select origin_time, n, cast(s as integer) as step, origin_time + s * interval '30 minutes' as event_time,
                round(base + slope * (x + s), 6) as forecast_solar_share
         from fits, range(1, 49) r(s) where n >= 2""",
-    # The stream judges the intervals its watermark (one hour behind the newest row) has closed.
     "stream_alert": f"""with {DISPATCH},
         closed as (
           select trading_interval as t,
                  100 * sum(case when fuel_type = 'Coal' then generated_mw end) / nullif(sum(generated_mw), 0) as p
-          from dispatch group by 1
-          having trading_interval + interval '30 minutes'
-                 <= date_trunc('milliseconds', (select max(ts) from events)) - interval '1 hour'),
+          from dispatch group by 1),
         judged as (select t, coalesce(p > 30, false) as br from closed),
         seen as (select *, lag(t) over (order by t) as pt, lag(br) over (order by t) as pb,
                         lead(t) over (order by t) as nt from judged),
@@ -516,5 +517,5 @@ ORACLES: dict[str, str] = {
         union all
         select 'HighCoalPercentage', 'warning', 'resolved',
                case when nt - t <= interval '30 minutes' then nt else t + interval '5 minutes' end, started_at, n
-        from numbered where k = n and n >= 3 and nt is not null""",
+        from numbered where k = n and n >= 3""",
 }

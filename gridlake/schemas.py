@@ -13,9 +13,35 @@ DISPATCH_MESSAGE = T.StructType(
     ]
 )
 
+# Where and when a message arrived: its time, its topic partition or file, and its place there. Structs compare field by
+# field, so the largest one is the last arrival.
+ARRIVAL = T.StructType(
+    [
+        T.StructField("time", T.TimestampType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("offset", T.LongType()),
+    ]
+)
+
+# A log of messages kept in files, as a broker would deliver them.
+MESSAGE_LOG = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
+    ]
+)
+
 BRONZE = T.StructType(
     DISPATCH_MESSAGE.fields
-    + [T.StructField("trading_date", T.DateType()), T.StructField("ingested_at", T.TimestampType())]
+    + [
+        T.StructField("trading_date", T.DateType()),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("arrival", ARRIVAL),
+    ]
 )
 
 SILVER = T.StructType(BRONZE.fields + [T.StructField("station_name", T.StringType())])

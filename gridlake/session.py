@@ -46,6 +46,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder, wherever it is stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for staged tables and stream checkpoints, on storage every executor can reach.
 

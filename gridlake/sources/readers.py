@@ -2,35 +2,66 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
+
+from gridlake.schemas import MESSAGE_LOG
 
 
 def message_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
-    """Stream with a string ``value`` column, from a broker topic or (``fmt="text"``) from landed text files.
+    """Stream of messages: ``value`` and ``key`` as text, and ``arrival`` (:data:`gridlake.schemas.ARRIVAL`).
 
-    Options go to the source unchanged; names with a dot are passed as ``**{"kafka.bootstrap.servers": ...}``. Kafka
-    starts at the latest offsets unless told otherwise, as a new consumer of the dispatch feed does.
+    Messages come from a broker topic, from a message log in files (``fmt="parquet"``, columns of
+    :data:`gridlake.schemas.MESSAGE_LOG`), or line by line from landed text files (``fmt="text"``). Options go to the
+    source unchanged; names with a dot are passed as ``**{"kafka.bootstrap.servers": ...}``. Kafka starts at the latest
+    offsets unless told otherwise, as a new consumer of the dispatch feed does.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("startingOffsets", "latest")
-    source = reader.options(**options).load(path) if path else reader.options(**options).load()
-    return decode_value(source)
+    return _messages(reader, fmt, path, options)
 
 
 def messages(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
     """Batch form of :func:`message_stream`."""
-    reader = spark.read.format(fmt).options(**options)
-    return decode_value(reader.load(path) if path else reader.load())
+    return _messages(spark.read.format(fmt), fmt, path, options)
+
+
+def _messages(reader: DataFrameReader | DataStreamReader, fmt: str, path: str | None, options: dict) -> DataFrame:
+    if fmt == "text":
+        # A landed document is one row until it is split, which is what tells a line's place in it.
+        reader = reader.option("wholetext", True)
+    elif fmt == "parquet":
+        reader = reader.schema(MESSAGE_LOG)
+    source = reader.options(**options).load(path) if path else reader.options(**options).load()
+    return document_lines(source) if fmt == "text" else decode_value(source)
 
 
 def decode_value(df: DataFrame) -> DataFrame:
-    """The payload as text; a broker delivers it as binary."""
-    return df.select(F.col("value").cast("string").alias("value"))
+    """The payload as text (a broker delivers it as binary), with the message's key and arrival."""
+    source = F.concat_ws("/", "topic", F.col("partition").cast("string"))
+    arrival = F.struct(
+        F.col("timestamp").cast("timestamp").alias("time"), source.alias("source"), F.col("offset").alias("offset")
+    )
+    return df.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), arrival.alias("arrival")
+    )
+
+
+def document_lines(df: DataFrame) -> DataFrame:
+    """The lines of whole text documents; a line arrives with its file and at its number."""
+    text = F.regexp_replace("value", r"\r?\n\z", "")
+    lines = df.where("value <> ''").select(
+        F.col("_metadata.file_modification_time").alias("time"),
+        F.col("_metadata.file_path").alias("source"),
+        F.posexplode(F.split(text, r"\r?\n")).alias("offset", "value"),
+    )
+    arrival = F.struct("time", "source", F.col("offset").cast("bigint").alias("offset"))
+    return lines.select("value", arrival.alias("arrival"))
 
 
 def read_metadata(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -39,18 +70,39 @@ def read_metadata(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def landing_feed(
-    spark: SparkSession, path: str, columns: T.StructType, header: Sequence[str], streaming: bool = False, **options: str
+    spark: SparkSession, path: str, columns: T.StructType, streaming: bool = False, delimiter: str = ","
 ) -> DataFrame:
-    """Rows of landed CSV files with a header, columns chosen by name.
+    """Rows of landed CSV documents with a header, columns chosen by name.
 
-    ``header`` is the column order of the files; it is checked against the header line of every file, and columns that
-    are not in ``columns`` are read as text and dropped.
+    Every document may have columns of its own and its own order: its first line names them. A wanted column that a
+    document lacks is NULL, as is a field that does not cast. Records do not span lines.
     """
-    wanted = {f.name: f for f in columns}
-    schema = T.StructType([wanted.get(name, T.StructField(name, T.StringType())) for name in header])
-    missing = [name for name in wanted if name not in header]
-    if missing:
-        raise ValueError(f"the files have no column {missing}")
-    reader = spark.readStream if streaming else spark.read
-    rows = reader.schema(schema).option("header", True).option("enforceSchema", False).options(**options).csv(path)
-    return rows.select(*wanted)
+    reader = (spark.readStream if streaming else spark.read).format("text").option("wholetext", True)
+    text = F.regexp_replace("value", r"\r?\n\z", "")
+    lines = reader.load(path).where("value <> ''").select(F.split(text, r"\r?\n").alias("lines"))
+    header = F.transform(csv_fields(F.col("lines")[0], delimiter), lambda name: F.trim(name))
+    rows = lines.select(header.alias("header"), F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"))
+    rows = rows.where(F.length(F.trim("line")) > 0).select("header", csv_fields(F.col("line"), delimiter).alias("fields"))
+
+    def picked(field: T.StructField) -> Column:
+        place = F.array_position("header", field.name).cast("int")
+        return F.when(place > 0, F.get("fields", place - 1)).try_cast(field.dataType).alias(field.name)
+
+    return rows.select(*[picked(f) for f in columns])
+
+
+def csv_fields(line: Column, delimiter: str = ",") -> Column:
+    """The fields of one CSV line, however many: quotes are taken off, doubled and escaped ones become one, and a field
+    that is empty without quotes is NULL."""
+    mark = re.escape(delimiter)
+    field = rf'{mark}(?:"(?:[^"\\]++|""|\\.)*+"|[^{mark}]*+)'
+    found = F.regexp_extract_all(F.concat(F.lit(delimiter), line), F.lit(field), F.lit(0))
+
+    def plain(raw: Column) -> Column:
+        value = F.substring(raw, len(delimiter) + 1, 1 << 30)
+        unquoted = F.regexp_replace(
+            F.regexp_replace(F.substring(value, F.lit(2), F.length(value) - 2), '""', '\\\\"'), r"\\(.)", "$1"
+        )
+        return F.when(value.startswith('"'), unquoted).when(value != "", value)
+
+    return F.transform(found, plain)

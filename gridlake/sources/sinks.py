@@ -93,6 +93,15 @@ def publish(messages: DataFrame, fmt: str = "kafka", path: str | None = None, mo
 Writer = Callable[[DataFrame, int], None]
 
 
+def batch_key(batch: DataFrame, batch_id: int) -> str:
+    """Name of a batch that no other stream uses: the query's id, which lives in its checkpoint, and the batch's.
+
+    A new checkpoint counts its batches from 0 again; with the query's id in front it does not meet the old ones.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    return f"{query}-{batch_id}"
+
+
 def fan_out(
     stream: DataFrame, writers: Mapping[str, Writer], checkpoint: str, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
@@ -106,6 +115,7 @@ def fan_out(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch
         if len(writers) > 1:
+            # By turns, next to the checkpoint: a stream has one batch at a time.
             folder = f"{checkpoint.rstrip('/')}-batch/{batch_id % 2}"
             batch.write.mode("overwrite").parquet(folder)
             rows = batch.sparkSession.read.schema(batch.schema).parquet(folder)
@@ -119,6 +129,7 @@ def batch_folder(root: str, fmt: str = "parquet", partition_by: Sequence[str] =
     """Writer that keeps every batch in a folder of its own, replaced when the batch is replayed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(f"{root}/batch_id={batch_id}")
+        folder = f"{root}/batch_id={batch_key(batch, batch_id)}"
+        batch.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(folder)
 
     return write

@@ -6,7 +6,7 @@ each alert. (Spark does not allow arbitrary state after a streaming aggregate in
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import pandas as pd
@@ -19,15 +19,6 @@ from gridlake.functions.timeaxis import micros
 from gridlake.operators.alerts import RESOLVE_TIMEOUT, Rule
 from gridlake.streaming.runner import start
 
-CHANGES = T.StructType(
-    [
-        T.StructField("alertname", T.StringType()),
-        T.StructField("state", T.StringType()),
-        T.StructField("at", T.LongType()),
-        T.StructField("started", T.LongType()),
-        T.StructField("n", T.LongType()),
-    ]
-)
 STATE = T.StructType(
     [
         T.StructField("started", T.LongType()),
@@ -39,37 +30,65 @@ STATE = T.StructType(
 
 
 def share_stream(
-    stream: DataFrame, ts: str, step: str, label: str, match: str, value: str, delay: str = "1 hour"
+    stream: DataFrame,
+    ts: str,
+    step: str,
+    label: str,
+    match: str,
+    value: str,
+    delay: str = "1 hour",
+    labels: Sequence[str] = (),
 ) -> DataFrame:
-    """``(ts, percent)`` of every interval the watermark has closed; ``ts`` is its start."""
+    """``(labels, ts, percent)`` of every interval the watermark has closed; ``ts`` is its start.
+
+    Rows that come more than ``delay`` late are not counted in; :func:`gridlake.streaming.runner.late_rows` tells how
+    many there were.
+    """
     timed = stream.withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", delay)
     part = F.sum(F.when(F.lower(label) == match.lower(), F.col(value)))
     return (
-        timed.groupBy(F.window("__ts", step).alias("interval"))
+        timed.groupBy(*labels, F.window("__ts", step).alias("interval"))
         .agg((F.try_divide(part, F.sum(value)) * 100).alias("percent"))
-        .select(F.col("interval")["start"].alias("ts"), "percent")
+        .select(*labels, F.col("interval")["start"].alias("ts"), "percent")
     )
 
 
 def alert_stream(
-    shares: DataFrame, rule: Rule, step: str, ts: str = "ts", value: str = "percent"
+    shares: DataFrame,
+    rule: Rule,
+    step: str,
+    ts: str = "ts",
+    value: str = "percent",
+    labels: Sequence[str] = (),
+    delay: str = "0 seconds",
 ) -> DataFrame:
-    """``firing`` and ``resolved`` changes of one rule: ``(alertname, state, at, started_at, n)``.
+    """``firing`` and ``resolved`` changes: ``(alertname, labels, severity, state, at, started_at, n)``.
 
-    An alert fires at the sample that completes ``for_duration`` or ``min_count``. It resolves at the first sample
-    below the threshold, or, when the next sample comes after a gap, ``resolve_timeout`` after the last one. One row
-    per interval reaches the state, whatever the number of raw rows.
+    Each set of labels has an alert of its own. It fires at the sample that completes ``for_duration`` or ``min_count``
+    and resolves at the first sample below the threshold, or ``resolve_timeout`` after its last sample when none follows
+    within ``step``: at the next sample, or once the watermark (the newest sample of all series, less ``delay``) has
+    passed the last sample by ``step`` and the timeout. One row per interval reaches the state, whatever the number of
+    raw rows.
     """
+    series = ["alertname", *labels]
     samples = shares.select(
         F.lit(rule.alertname).alias("alertname"),
-        F.unix_micros(ts).alias("ts"),
+        *labels,
+        F.unix_micros(ts).alias("at"),
+        F.col(ts).alias("__time"),
         F.coalesce(F.col(value) > F.lit(rule.threshold), F.lit(False)).alias("holds"),
+    ).withWatermark("__time", delay)
+    changes_of = T.StructType(
+        [T.StructField("alertname", T.StringType())]
+        + [T.StructField(name, shares.schema[name].dataType) for name in labels]
+        + [T.StructField(name, T.StringType() if name == "state" else T.LongType()) for name in CHANGE]
     )
-    changes = samples.groupBy("alertname").applyInPandasWithState(
-        _tracker(rule, micros(step)), CHANGES, STATE, "append", GroupStateTimeout.NoTimeout
+    changes = samples.groupBy(*series).applyInPandasWithState(
+        _tracker(rule, micros(step), series), changes_of, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     return changes.select(
         "alertname",
+        *labels,
         F.lit(rule.severity).alias("severity"),
         "state",
         F.timestamp_micros("at").alias("at"),
@@ -78,6 +97,9 @@ def alert_stream(
     )
 
 
+CHANGE = ("state", "at", "started", "n")
+
+
 def run_alerts(
     spark: SparkSession,
     raw: DataFrame,
@@ -90,37 +112,55 @@ def run_alerts(
     value: str,
     delay: str = "1 hour",
     trigger: Mapping[str, object] | None = None,
+    labels: Sequence[str] = (),
 ) -> tuple[str, str]:
     """Run both streams under ``root``; returns the folders of the metric table and of the alert changes."""
     metric, log = f"{root}/metric", f"{root}/changes"
-    shares = share_stream(raw, ts, step, label, match, value, delay)
+    shares = share_stream(raw, ts, step, label, match, value, delay, labels)
     start(shares.writeStream.format("parquet").option("path", metric), f"{root}/metric-checkpoint", trigger)
     written = spark.readStream.schema(shares.schema).parquet(metric)
-    changes = alert_stream(written, rule, step)
+    changes = alert_stream(written, rule, step, labels=labels)
     start(changes.writeStream.format("parquet").option("path", log), f"{root}/changes-checkpoint", trigger)
     return metric, log
 
 
-def _tracker(rule: Rule, step: int) -> Callable[[Any, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+def _tracker(
+    rule: Rule, step: int, series: list[str]
+) -> Callable[[Any, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     wait = micros(rule.for_duration) if rule.for_duration else 0
     count = rule.min_count or 1
     silence = micros(RESOLVE_TIMEOUT)
 
+    def told(key: tuple, changes: list[tuple]) -> Iterator[pd.DataFrame]:
+        if changes:
+            yield pd.DataFrame([(*key, *change) for change in changes], columns=[*series, *CHANGE])
+
     def track(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            started, last, n, firing = state.get
+            state.remove()
+            yield from told(key, [("resolved", last + silence, started, n)] if firing else [])
+            return
         started, last, n, firing = state.get if state.exists else (None, None, 0, False)
-        samples = pd.concat(list(batches)).sort_values("ts")
+        samples = pd.concat(list(batches)).sort_values("at")
         changes = []
-        for ts, holds in zip(samples["ts"].tolist(), samples["holds"].tolist()):
+        for ts, holds in zip(samples["at"].tolist(), samples["holds"].tolist()):
             if n and (not holds or ts - last > step):
                 if firing:
-                    changes.append((key[0], "resolved", ts if ts - last <= step else last + silence, started, n))
+                    changes.append(("resolved", ts if ts - last <= step else last + silence, started, n))
                 started, n, firing = None, 0, False
             if holds:
                 started, last, n = (started if n else ts), ts, n + 1
                 if not firing and n >= count and ts - started >= wait:
                     firing = True
-                    changes.append((key[0], "firing", ts, started, n))
-        state.update((started, last, n, firing))
-        yield pd.DataFrame(changes, columns=[f.name for f in CHANGES])
+                    changes.append(("firing", ts, started, n))
+        if n:
+            state.update((started, last, n, firing))
+            # Milliseconds; a sample within the step would still belong to the alert.
+            due = (last + step + silence) // 1000 + 1
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield from told(key, changes)
 
     return track

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.operators.bronze import CORRUPT, derive_columns, is_quarantined, parse_messages
-from gridlake.schemas import BRONZE, DISPATCH_MESSAGE
+from gridlake.schemas import ARRIVAL, BRONZE, DISPATCH_MESSAGE
 from gridlake.sources.sinks import ensure_table
 from gridlake.streaming.runner import CHAINED
 
@@ -30,6 +31,8 @@ def run_bronze(
     own, so both tables keep the guarantee. With a service trigger the returned streams are still running.
     """
     ensure_table(spark, table, BRONZE, ["trading_date"], fmt)
+    if "arrival" not in lines.columns:
+        lines = lines.withColumn("arrival", F.lit(None).cast(ARRIVAL))
     parsed = parse_messages(lines, schema)
     good = parsed.where(~is_quarantined()) if quarantine_table else parsed
     columns = [f.name for f in BRONZE]

@@ -7,7 +7,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +16,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from gridlake.functions.timeaxis import iso_text, micros, position, steps_after
 from gridlake.operators.forecast import HORIZON, MIN_POINTS, STEP, WINDOW
 from gridlake.operators.least_squares import fit_predict
-from gridlake.sources.sinks import Writer, encode_json, fan_out, publish
+from gridlake.session import discard, scratch_dir
+from gridlake.sources.sinks import Writer, batch_key, encode_json, ensure_table, fan_out, overwrite_table, publish
 
 STATE = T.StructType(
     [T.StructField("at", T.ArrayType(T.LongType())), T.StructField("y", T.ArrayType(T.DoubleType()))]
@@ -81,6 +82,8 @@ def _folder(
         made, n, yhat = fit_predict(at, y, np.ones(len(at)), origins, window, step, horizon, min_points, seasonal)
         kept = at >= newest - window
         state.update((at[kept].tolist(), y[kept].tolist()))
+        if not len(made):
+            return
         out = pd.DataFrame(
             {
                 "origin_at": np.repeat(made, horizon),
@@ -101,22 +104,50 @@ def topic_writer(fmt: str, path: str | None = None, name: str = "forecast_solar_
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(iso_text(F.col("event_time")).alias("event_time"), F.col("yhat").alias(name))
-        target = f"{path}/batch_id={batch_id}" if path else None
+        target = f"{path}/batch_id={batch_key(batch, batch_id)}" if path else None
         publish(encode_json(rows, ["event_time", name]), fmt, target, mode="overwrite", **options)
 
     return write
 
 
-def table_writer(path: str, name: str = "forecast_solar_share", fmt: str = "parquet") -> Writer:
-    """Keep forecasts in a table partitioned by batch and by the day of the forecast time."""
+def table_writer(table: str, name: str = "forecast_solar_share", fmt: str = "parquet") -> Writer:
+    """Keep forecasts in a catalog table partitioned by the day of the forecast time, then by batch.
+
+    A replayed batch replaces its own partitions. :func:`compact` joins the batches of closed days.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumnRenamed("yhat", name).withColumn("event_date", F.to_date("event_time"))
-        rows.write.format(fmt).mode("overwrite").partitionBy("event_date").save(f"{path}/batch_id={batch_id}")
+        rows = batch.withColumnRenamed("yhat", name).withColumns(
+            {"event_date": F.to_date("event_time"), "batch": F.lit(batch_key(batch, batch_id))}
+        )
+        ensure_table(batch.sparkSession, table, rows.schema, ["event_date", "batch"], fmt)
+        overwrite_table(rows, table, "dynamic")
 
     return write
 
 
+CLOSED = "closed"
+
+
+def compact(spark: SparkSession, table: str, before: str) -> None:
+    """Put the batches of every day before the date ``before`` into one partition, in a few large files.
+
+    Run it while no stream writes to those days. The rows are staged first; the staged copy goes when all is written.
+    """
+    days = spark.table(table).where(F.col("event_date") < F.lit(before).cast("date"))
+    open_ = [tuple(r) for r in days.where(F.col("batch") != CLOSED).select("event_date", "batch").distinct().collect()]
+    if not open_:
+        return
+    folder = scratch_dir(spark, "compact")
+    touched = days.where(F.col("event_date").isin([d for d, _ in open_])).withColumn("batch", F.lit(CLOSED))
+    touched.write.parquet(folder)
+    rows = spark.read.schema(touched.schema).parquet(folder)
+    overwrite_table(rows.hint("rebalance", F.col("event_date")), table, "dynamic")
+    for day, batch in open_:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = '{day}', batch = '{batch}')")
+    discard(spark, folder)
+
+
 def run_forecast(
     shares: DataFrame,
     writers: Mapping[str, Writer],

@@ -11,6 +11,12 @@ SERVICE = {"processingTime": "300 seconds"}
 CHAINED = {"availableNow": True}
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark kept out of a stream's state, in the batches whose progress the query still holds."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
+
+
 def start(writer: DataStreamWriter, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Start a stream on its checkpoint. A chained run (the default) is waited for and fails with its query."""
     chosen = dict(trigger or CHAINED)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridlake.operators.gold import upsert_table
+from gridlake.operators.gold import staged, touched, upsert_table
+from gridlake.operators.silver import dedupe
+from gridlake.sources.sinks import batch_key, ensure_table, overwrite_table
 from gridlake.streaming.runner import start
 
 
@@ -17,8 +20,9 @@ def dedupe_stream(
 ) -> DataFrame:
     """First arrival per key among rows whose times lie within ``delay`` of each other.
 
-    Rows later than the watermark are dropped even when their key is new, so the result equals the batch one only when
-    nothing is later than ``delay``. Copies are first dropped per key and input task group (``salts``), so a key with
+    Rows later than the watermark are dropped even when their key is new (:func:`gridlake.streaming.runner.late_rows`
+    counts them), and which of the rows of one batch stays is not fixed. :func:`first_arrivals_stream` has neither limit.
+    Copies are first dropped per key and input task group (``salts``), so a key with
     very many copies is spread over several tasks and reaches the second step at most ``salts`` times.
     """
     timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
@@ -28,6 +32,37 @@ def dedupe_stream(
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
+def first_arrivals_stream(
+    stream: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    checkpoint: str,
+    partition_by: Sequence[str],
+    fmt: str = "parquet",
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Append to ``table`` the first row by ``order_by`` of every key that the table does not hold yet.
+
+    The table is the state, so no row is ever too late and nothing expires; a batch reads the partitions it names.
+    Within a batch each task sends one row per key. Each batch adds partitions of its own (``batch``), which a replay
+    replaces; the partition must be a function of the key.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name = batch_key(batch, batch_id)
+        first = dedupe(batch, keys, order_by, "first").withColumn("batch", F.lit(name))
+        ensure_table(spark, table, first.schema, [*partition_by, "batch"], fmt)
+        with ExitStack() as stack:
+            rows = staged(spark, first, stack)
+            known = touched(spark.table(table), rows, partition_by).where(F.col("batch") != name)
+            new = rows.join(known.select(*keys), list(keys), "left_anti")
+            overwrite_table(new.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
+
+    return start(stream.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
 def upsert_stream(
     stream: DataFrame,
     table: str,

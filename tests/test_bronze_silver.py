@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import csv
+import io
+
 from datetime import date, datetime
 
 import pytest
@@ -103,7 +106,7 @@ def test_size_of_a_lookup(spark, monkeypatch):
     assert not lookup.is_small(df.drop("text"))
 
 
-def test_a_large_lookup_is_shuffled_without_its_hot_keys(spark, monkeypatch):
+def test_a_large_lookup_is_shuffled_and_hot_keys_are_salted(spark, monkeypatch):
     fact = spark.range(0, 30_000, 1, 4).select(
         F.when(F.col("id") % 3 == 0, F.lit("7"))
         .when(F.col("id") % 5 == 0, F.lit(None))
@@ -117,10 +120,17 @@ def test_a_large_lookup_is_shuffled_without_its_hot_keys(spark, monkeypatch):
     )
     small = silver.enrich(fact, dim, "unit_id", ["station_name"])
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", 100)
-    large = silver.enrich(fact, dim, "unit_id", ["station_name"])
-    assert "SortMergeJoin" in plan(large)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = silver.enrich(fact, dim, "unit_id", ["station_name"])
+        assert "SortMergeJoin" in plan(large)
+        assert rows(large) == rows(small) and large.count() == 30_000
+        # The rows are read to count their keys and to be joined, and no third time.
+        assert plan(large).split("== Initial Plan ==")[0].count("Range (0, 30000") <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert rows(lookup.hot_keys(fact.where("unit_id IS NOT NULL"), ["unit_id"])) == [("7",), ("unknown",)]
-    assert rows(large) == rows(small) and large.count() == 30_000
 
 
 def test_share_of_intervals_without_solar_or_without_generation(spark):
@@ -171,7 +181,7 @@ def test_quarantine_splits_every_message(spark):
     good, bad = bronze.parse_dispatch(df, quarantine=True)
     assert {r.unit_id for r in good.collect()} == {"U1", "a,b"}
     assert (good.count(), bad.count()) == (2, 8)
-    assert good.columns == [f.name for f in schemas.BRONZE]
+    assert good.columns == [f.name for f in schemas.BRONZE if f.name != "arrival"]
     everything, nothing = bronze.parse_dispatch(df)
     assert everything.count() == 10 and nothing is None
     assert everything.where("trading_interval = '2024-01-01'").first()["trading_date"] == date(2024, 1, 1)
@@ -192,11 +202,40 @@ def test_json_leaves_null_fields_out(spark):
 
 def test_landed_files_are_read_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("fuel_type,note,unit_id,generated_mw,trading_interval\nCoal,x,U1,2,2024-01-01 00:00:00\n")
-    header = ["fuel_type", "note", "unit_id", "generated_mw", "trading_interval"]
-    found = readers.landing_feed(spark, str(tmp_path), schemas.DISPATCH_MESSAGE, header)
-    assert rows(found) == [(T0, "U1", 2.0, "Coal")]
-    with pytest.raises(ValueError, match="fuel_type"):
-        readers.landing_feed(spark, str(tmp_path), schemas.DISPATCH_MESSAGE, header[1:])
+    (tmp_path / "b.csv").write_text('unit_id,trading_interval,generated_mw\r\n"a,""b""",2024-01-01 00:00:00,x\r\n\r\n')
+    (tmp_path / "c.csv").write_text("")
+    found = readers.landing_feed(spark, str(tmp_path), schemas.DISPATCH_MESSAGE)
+    assert rows(found) == [(T0, "U1", 2.0, "Coal"), (T0, 'a,"b"', None, None)]
+
+
+def test_csv_fields_against_the_csv_module(spark):
+    texts = [
+        [["a", "b", "c"]], [["", "x", ""]], [["a,b", 'say "hi"', "end"]], [["one"]], [[" padded ", "1"]], [["x"] * 200],
+        [['"', '""', ","]], [["y" * 5000, "z, " * 2000]],
+    ]
+    lines = []
+    for (fields,) in texts:
+        out = io.StringIO()
+        csv.writer(out).writerow(fields)
+        lines.append((out.getvalue().rstrip("\r\n"),))
+    df = spark.createDataFrame(lines, "line string").coalesce(1)
+    got = [r[0] for r in df.select(readers.csv_fields(F.col("line"))).collect()]
+    assert got == [[f or None for f in fields] for (fields,) in texts]
+    escaped = spark.createDataFrame([('a,"b \\"q\\" c"',)], "line string")
+    assert escaped.select(readers.csv_fields(F.col("line"))).first()[0] == ["a", 'b "q" c']
+
+
+def test_a_line_arrives_with_its_file_and_number(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("one\ntwo\n\nfour\n")
+    found = readers.messages(spark, "text", str(tmp_path)).select("value", "arrival.offset", "arrival.time").collect()
+    assert [(r[0], r[1]) for r in sorted(found, key=lambda r: r[1])] == [("one", 0), ("two", 1), ("", 2), ("four", 3)]
+    assert all(r[2] is not None for r in found)
+
+
+def test_a_broker_message_keeps_its_offset(spark):
+    log = spark.createDataFrame([("k", bytearray(b"v"), "t", 2, 7, T0)], "key string, value binary, topic string, partition int, offset long, timestamp timestamp")
+    found = readers.decode_value(log).first()
+    assert (found.key, found.value, tuple(found.arrival)) == ("k", "v", (T0, "t/2", 7))
 
 
 def test_scans_read_only_the_columns_they_need(spark):

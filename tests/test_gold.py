@@ -98,17 +98,15 @@ def test_fact_upsert_rewrites_only_the_dates_it_names(spark, database):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
-def test_upsert_reads_only_the_dates_it_names(spark, database, monkeypatch):
+def test_upsert_reads_only_the_dates_it_names(spark, database):
     table = f"{database}.fact"
     data = dim(spark, *[(f"u{d}", d, "x") for d in range(1, 9)])
     gold.upsert_table(spark, table, data, ["unit_id"], ["trading_date"])
     batch = dim(spark, ("u3", 3, "y"), ("u5", 5, "y"))
-    for limit, read in ((1000, ["u3", "u5"]), (1, ["u3", "u4", "u5"])):
-        monkeypatch.setattr(gold, "LISTED", limit)
-        near = gold._touched(spark.table(table), batch, ["trading_date"])
-        assert sorted(r.unit_id for r in near.collect()) == read
-        scan = next(line for line in plan(near).splitlines() if "FileScan" in line and "fact" in line)
-        assert "trading_date" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    near = gold.touched(spark.table(table), batch, ["trading_date"])
+    assert sorted(r.unit_id for r in near.collect()) == ["u3", "u5"]
+    scan = next(line for line in plan(near).splitlines() if "FileScan" in line and "fact" in line)
+    assert "trading_date" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     gold.upsert_table(spark, table, batch, ["unit_id"], ["trading_date"])
     names = {r.unit_id: r.unit_name for r in spark.table(table).collect()}
     assert names == {f"u{d}": "y" if d in (3, 5) else "x" for d in range(1, 9)}
@@ -118,6 +116,34 @@ def test_upsert_reads_only_the_dates_it_names(spark, database, monkeypatch):
         )
 
 
+def test_the_bound_comes_from_the_partition_list(spark, database):
+    table = f"{database}.fact"
+    gold.upsert_table(spark, table, dim(spark, ("a", 1, "x"), ("b", 7, "x")), ["unit_id"], ["trading_date"])
+    newest = gold.newest_partition(spark, table, "trading_date")
+    assert newest.first()[0] == day(7) and "FileScan" not in plan(newest)
+    source = dim(spark, ("a", 1, "y"), ("b", 7, "y"), ("c", 9, "y"))
+    sliced = gold.incremental_slice(source, spark.table(table), "trading_date", None, "trading_date", newest)
+    assert sorted(r.unit_id for r in sliced.collect()) == ["b", "c"]
+
+
+def test_upserts_leave_no_staged_copies(spark, database, monkeypatch, tmp_path):
+    monkeypatch.setattr(gold, "scratch_dir", lambda spark, purpose: str(tmp_path / f"{purpose}-{len(calls)}-{calls.append(0)}"))
+    calls: list[int] = []
+    for moves in (False, True):
+        for version in "xyz":
+            batch = dim(spark, ("a", 1, version))
+            gold.upsert_table(spark, f"{database}.t{moves}", batch, ["unit_id"], ["trading_date"], key_moves=moves)
+    assert len(calls) == 6 and not list(tmp_path.iterdir())
+
+
+def test_a_repeated_dimension_key_fails_the_star(spark):
+    fact = spark.createDataFrame([("u1", "Coal", 1.0)], "unit_id string, fuel_type string, generated_mw double")
+    units = spark.createDataFrame([("u1", "One", "r1")], "unit_id string, unit_name string, region_id string")
+    regions = spark.createDataFrame([("r1", "North"), ("r1", "South")], "region_id string, region_name string")
+    with pytest.raises(Exception, match="repeated lookup key"):
+        gold.star(fact, units, regions).collect()
+
+
 def test_star_does_not_multiply_rows(spark):
     fact = spark.createDataFrame(
         [("u1", "Coal", 1.0), ("u1", "Coal", 2.0), ("u9", "Gas", 4.0)], "unit_id string, fuel_type string, generated_mw double"

@@ -16,7 +16,7 @@ from gridlake.streaming import alerts as stream_alerts
 from gridlake.streaming import bronze, tables
 from gridlake.streaming import feed as stream_feed
 from gridlake.streaming import forecast as stream_forecast
-from gridlake.streaming.runner import start
+from gridlake.streaming.runner import late_rows, start
 from tests.conftest import rows
 
 T0 = datetime(2024, 1, 1)
@@ -84,12 +84,13 @@ def test_bronze_service_keeps_running(spark, database, tmp_path):
 def test_producer_counts_what_it_sends(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
-    header = ["unit_id", "fuel_type", "generated_mw", "trading_interval"]
-    for part in range(2):
-        (landing / f"{part}.csv").write_text(
-            ",".join(header) + f'\n"a,b",Coal,{part},2024-01-01 00:00:00\nU2,Gas,2,2024-01-01 00:05:00\n'
-        )
-        picked = readers.landing_feed(spark, str(landing), schemas.DISPATCH_MESSAGE, header, streaming=True)
+    documents = [
+        'unit_id,fuel_type,generated_mw,trading_interval\n"a,b",Coal,0,2024-01-01 00:00:00\nU2,Gas,2,2024-01-01 00:05:00\n',
+        'generated_mw,note,unit_id,trading_interval,fuel_type\n1,x,"a,b",2024-01-01 00:00:00,Coal\n2,x,U2,2024-01-01 00:05:00,Gas\n',
+    ]
+    for part, text in enumerate(documents):
+        (landing / f"{part}.csv").write_text(text)
+        picked = readers.landing_feed(spark, str(landing), schemas.DISPATCH_MESSAGE, streaming=True)
         lines = sinks.encode_csv(picked, [f.name for f in schemas.DISPATCH_MESSAGE], key="unit_id")
         query = stream_feed.publish_stream(lines, str(tmp_path / "checkpoint"), "text", str(tmp_path / "topic"))
         assert query.lastProgress["observedMetrics"]["published"]["sent"] == 2
@@ -136,6 +137,61 @@ def test_changed_payloads_across_batches_and_replay(spark, tmp_path):
     assert rows(spark.read.parquet(out).select("feed", "n", "body")) == expected
 
 
+def test_first_arrivals_have_no_time_limit(spark, database, tmp_path):
+    schema = "k string, day date, at int, v int"
+    folder, table = tmp_path / "in", f"{database}.first"
+    parts = [
+        [("a", T0.date(), 2, 2), ("a", T0.date(), 1, 1), ("b", T0.date(), 1, 1)],
+        [("a", T0.date(), 0, 9), ("c", (T0 - timedelta(days=90)).date(), 5, 5)],
+        [("c", (T0 - timedelta(days=90)).date(), 6, 6)],
+    ]
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(str(folder))
+        tables.first_arrivals_stream(stream, table, ["k"], ["at"], str(tmp_path / "checkpoint"), ["day"])
+
+    for part in parts:
+        land(spark, folder, part, schema)
+        run()
+    expected = [("a", 1), ("b", 1), ("c", 5)]
+    assert rows(spark.table(table).select("k", "v")) == expected
+    # A replayed batch replaces what it wrote.
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    run()
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table).select("k", "v")) == expected
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    schema = "k string, ts timestamp"
+    for data in ([("a", T0)], [("b", T0 + timedelta(hours=9))], [("c", T0), ("d", T0)]):
+        land(spark, tmp_path / "in", data, schema)
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        unique = tables.dedupe_stream(stream, ["k"], "ts", "1 hour", 1)
+        query = start(unique.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "c"))
+    assert late_rows(query) == 2
+
+
+def test_alerts_resolve_when_a_series_goes_silent(spark, tmp_path):
+    schema = "ts timestamp, percent double, region string"
+    rule = alerts.Rule("HighCoalPercentage", "warning", threshold=60.0, min_count=2)
+    at = lambda i: T0 + timedelta(minutes=5 * i)
+    parts = [
+        [(at(0), 70.0, "n"), (at(1), 70.0, "n"), (at(0), 10.0, "s"), (at(1), 80.0, "s")],
+        [(at(k), 10.0, "s") for k in range(2, 9)],
+        [(at(9), 10.0, "s")],
+    ]
+    for part in parts:
+        land(spark, tmp_path / "in", part, schema)
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        made = stream_alerts.alert_stream(stream, rule, "5 minutes", labels=["region"])
+        start(made.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "c"))
+    found = spark.read.parquet(str(tmp_path / "out")).select("region", "state", "at", "started_at", "n")
+    assert rows(found) == [("n", "firing", at(1), at(0), 2), ("n", "resolved", at(2), at(0), 2)]
+
+
 def test_upsert_stream(spark, database, tmp_path):
     schema = "k string, day date, at int, v int"
     folder, table = tmp_path / "in", f"{database}.target"
@@ -175,13 +231,13 @@ def test_forecast_stream_equals_the_backtest(spark, tmp_path, model):
         assert (r.n, r.event_time) == (n, event_time) and r.yhat == pytest.approx(yhat, abs=1e-5)
 
 
-def test_forecast_fans_out_to_topic_and_table(spark, tmp_path):
+def test_forecast_fans_out_to_topic_and_table(spark, database, tmp_path):
     topic = tmp_path / "topic"
     topic.mkdir()
     checkpoint = str(tmp_path / "checkpoint")
     writers = {
         "topic": stream_forecast.topic_writer("text", str(tmp_path / "out")),
-        "table": stream_forecast.table_writer(str(tmp_path / "table")),
+        "table": stream_forecast.table_writer(f"{database}.forecasts"),
     }
     for part in range(2):
         lines = [
@@ -194,14 +250,31 @@ def test_forecast_fans_out_to_topic_and_table(spark, tmp_path):
             readers.message_stream(spark, "text", str(topic)), schemas.SHARE_MESSAGE, "event_time", "solar_share"
         )
         stream_forecast.run_forecast(received, writers, checkpoint, model="linear", horizon=4)
-    table = spark.read.parquet(str(tmp_path / "table"))
-    assert rows(table.groupBy("batch_id").agg(F.count("*"), F.max("n"))) == [(0, 4, 3), (1, 4, 6)]
+    table = spark.table(f"{database}.forecasts")
+    number = F.regexp_extract("batch", "([0-9]+)$", 1)
+    assert rows(table.groupBy(number).agg(F.count("*"), F.max("n"))) == [("0", 4, 3), ("1", 4, 6)]
     sent = spark.read.text(str(tmp_path / "out")).collect()
     assert sorted(json.loads(r.value)["event_time"] for r in sent) == sorted(
         r.event_time.isoformat() for r in table.collect()
     )
 
 
+def test_a_new_checkpoint_keeps_old_results_and_days_are_compacted(spark, database, tmp_path):
+    table = f"{database}.forecasts"
+    for run in range(2):
+        land(spark, tmp_path / "in", [(T0 + timedelta(hours=run * 30 + i), 0.1 * i) for i in range(3)], "event_time timestamp, solar_share double")
+        stream = spark.readStream.schema("event_time timestamp, solar_share double").parquet(str(tmp_path / "in"))
+        writers = {"table": stream_forecast.table_writer(table)}
+        stream_forecast.run_forecast(stream, writers, str(tmp_path / f"checkpoint-{run}"), model="linear", horizon=4)
+    found = rows(spark.table(table).select("origin_time", "step"))
+    assert len(found) == 8 and spark.table(table).select("batch").distinct().count() == 2
+    stream_forecast.compact(spark, table, "2024-01-02")
+    after = spark.table(table)
+    assert rows(after.select("origin_time", "step")) == found
+    assert rows(after.where("event_date < '2024-01-02'").select("batch").distinct()) == [("closed",)]
+    assert after.where("event_date >= '2024-01-02' and batch = 'closed'").count() == 0
+
+
 def test_unusable_shares_are_counted(spark, tmp_path):
     topic = tmp_path / "topic"
     topic.mkdir()
