@@ -19,7 +19,7 @@ def parse_messages(df: DataFrame, schema: T.StructType = DISPATCH_MESSAGE, value
     """
     target = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     text = F.col(value).cast("string")
-    parsed = F.from_csv(text, target.simpleString()[len("struct<") : -1].replace(":", " "), _csv_options())
+    parsed = F.from_csv(text, ddl(target), _csv_options())
     kept = [c for c in df.columns if c != value]
     return df.select(*kept, parsed.alias("data"), text.alias("__text")).select(
         *kept,
@@ -31,6 +31,11 @@ def parse_messages(df: DataFrame, schema: T.StructType = DISPATCH_MESSAGE, value
     )
 
 
+def ddl(schema: T.StructType) -> str:
+    """Column definitions of a schema; names are quoted, whatever is in them."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+
+
 def _csv_options() -> dict[str, str]:
     return {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.timeaxis import micros, position, shift, slot_of_day, steps_after
-from gridlake.operators.least_squares import DAY, SEASONS, additive_forecast, solve_moments
+from gridlake.operators.least_squares import DAY, SEASONS, Seasons, additive_forecast, solve_moments
 from gridlake.operators.lookup import lookup_join
 from gridlake.operators.ordered import ENTER, LEAVE, bucket_width, overlapping_chunks, sweep
 
@@ -45,7 +45,7 @@ def future_frame(origins: DataFrame, origin: str, step: str = STEP, horizon: int
     return numbered.withColumn("event_time", steps_after(F.col(origin), step, F.col("step")))
 
 
-def _usable(ts: str, y: str) -> Column:
+def usable(ts: str, y: str) -> Column:
     """Rows with a time and a finite value; others are no points."""
     return F.col(ts).isNotNull() & F.col(y).isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf"))
 
@@ -53,7 +53,7 @@ def _usable(ts: str, y: str) -> Column:
 def _points(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
     """One row per (keys, ts): number and sum of the values."""
     return (
-        df.where(_usable(ts, y))
+        df.where(usable(ts, y))
         .groupBy(*keys, ts)
         .agg(F.count(F.lit(1)).alias("__n"), F.sum(y).alias("__y"))
     )
@@ -61,7 +61,7 @@ def _points(df: DataFrame, keys: Sequence[str], ts: str, y: str) -> DataFrame:
 
 def _last_history(df: DataFrame, keys: Sequence[str], ts: str, y: str, window: str) -> DataFrame:
     """Rows of each series within ``window`` of its last one, with that time as ``origin_time``."""
-    rows = df.where(_usable(ts, y)).select(*keys, ts, y)
+    rows = df.where(usable(ts, y)).select(*keys, ts, y)
     if keys:
         # A struct is never NULL itself, so series with NULL labels find their own last time.
         series = F.struct(*keys).alias("__series")
@@ -216,8 +216,12 @@ def additive(
     horizon: int = HORIZON,
     min_points: int = MIN_POINTS,
     origins: str = "last",
+    seasons: Seasons = SEASONS,
 ) -> DataFrame:
-    """Forecast by a straight trend plus daily and weekly Fourier terms, fitted by least squares.
+    """Forecast by a straight trend plus Fourier terms of the ``seasons``, fitted by least squares.
+
+    Every origin is fitted with the same terms, however long its history; a small ridge on the seasonal ones carries
+    short histories. By default a day and a week.
 
     ``"last"`` adds up the moments of the fit by a grouped aggregate, so only one small matrix per series reaches
     Python. ``"all"`` hands every (series, chunk) of two windows to one call, in which each point is an origin.
@@ -228,9 +232,9 @@ def additive(
         T.StructField("step", T.IntegerType()),
         T.StructField("yhat", T.DoubleType()),
     ]
-    sizes = (micros(window), micros(step), horizon, min_points)
+    sizes = (micros(window), micros(step), horizon, min_points, seasons)
     if origins == "last":
-        moments = _moments(_last_history(df, keys, ts, y, window), keys, ts, y, micros(window))
+        moments = _moments(_last_history(df, keys, ts, y, window), keys, ts, y, micros(window), seasons)
         found = moments.mapInPandas(solve_moments(list(keys), *sizes), T.StructType(fields))
     else:
         points = _points(df, keys, ts, y).withColumn("__y", F.col("__y") / F.col("__n"))
@@ -250,11 +254,11 @@ def additive(
     return timed.select(*keys, "origin_time", "n", "step", event_time, "yhat")
 
 
-def _moments(rows: DataFrame, keys: Sequence[str], ts: str, y: str, window: int) -> DataFrame:
+def _moments(rows: DataFrame, keys: Sequence[str], ts: str, y: str, window: int, seasons: Seasons) -> DataFrame:
     """Upper triangle of X'X, X'y, the number of rows and the time span of each series' history."""
     at, origin = position(rows, ts), position(rows, "origin_time")
     terms = [F.lit(1.0), (at - origin) / F.lit(float(window)) + 1]
-    for period, pairs, _ in SEASONS:
+    for period, pairs in seasons:
         length = int(period * DAY)
         angle = F.pmod(at, F.lit(length)) / F.lit(float(length)) * (2 * math.pi)
         for k in range(1, pairs + 1):

@@ -7,31 +7,27 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 
-# Period in days, number of sine/cosine pairs, and the history span in days from which a season is used.
-SEASONS = ((1.0, 4, 2.0), (7.0, 3, 14.0))
-RIDGE = 1e-8
+# Period in days and number of sine/cosine pairs of each season. Every origin is fitted with all seasons of the call; the
+# ridge on the seasonal terms keeps a short history from bending to them, the level and the trend are free.
+SEASONS = ((1.0, 4), (7.0, 3))
+RIDGE = 0.01
 DAY = 86_400_000_000
 
+Seasons = tuple[tuple[float, int], ...]
 
-def _features(at: np.ndarray, start: int, length: int, level: int) -> np.ndarray:
-    """Columns: 1, trend, then the Fourier pairs of the first ``level`` seasons."""
+
+def _features(at: np.ndarray, start: int, length: int, seasons: Seasons) -> np.ndarray:
+    """Columns: 1, trend, then the Fourier pairs of the seasons."""
     columns = [np.ones_like(at, dtype=float), (at - start) / length]
-    for period, pairs, _ in SEASONS[:level]:
+    for period, pairs in seasons:
         angle = 2 * np.pi * np.mod(at / DAY, period) / period
         for k in range(1, pairs + 1):
             columns += [np.sin(k * angle), np.cos(k * angle)]
     return np.stack(columns, axis=1)
 
 
-def _level(n: int, days: float) -> int:
-    """Seasons that the history is long enough for and has at least as many points as terms for."""
-    terms, level = 2, 0
-    for _, pairs, needed in SEASONS:
-        terms += 2 * pairs
-        if days < needed or n < terms:
-            break
-        level += 1
-    return level
+def _penalty(seasons: Seasons) -> np.ndarray:
+    return np.diag([0.0, 0.0, *[RIDGE] * (2 * sum(pairs for _, pairs in seasons))])
 
 
 def fit_predict(
@@ -43,7 +39,7 @@ def fit_predict(
     step: int,
     horizon: int,
     min_points: int,
-    seasonal: bool = True,
+    seasons: Seasons = SEASONS,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forecasts from every origin: ``(origin, n, yhat[origin, horizon])``. ``at`` must be ascending and unique.
 
@@ -55,37 +51,26 @@ def fit_predict(
     n = counts[last] - counts[first]
     keep = (n >= min_points) & (last - first >= 2)
     origins, first, last, n = origins[keep], first[keep], last[keep], n[keep]
-    yhat = np.empty((len(origins), horizon))
     if not len(origins):
-        return origins, n, yhat
-    spans = (at[last - 1] - at[first]) / DAY
-    levels = np.array([_level(count, days) if seasonal else 0 for count, days in zip(n, spans)])
-    ahead = step * np.arange(1, horizon + 1)
-    for level in np.unique(levels):
-        chosen = np.flatnonzero(levels == level)
-        x = _features(at, at[0], window, level)
-        gram = np.cumsum(weight[:, None, None] * x[:, :, None] * x[:, None, :], axis=0)
-        cross = np.cumsum((weight * y)[:, None] * x, axis=0)
-        gram = np.concatenate([np.zeros_like(gram[:1]), gram])
-        cross = np.concatenate([np.zeros_like(cross[:1]), cross])
-        left = gram[last[chosen]] - gram[first[chosen]]
-        right = cross[last[chosen]] - cross[first[chosen]]
-        if level:
-            left += RIDGE * np.eye(x.shape[1])
-        beta = np.linalg.solve(left, right[:, :, None])[:, :, 0]
-        times = origins[chosen][:, None] + ahead
-        future = _features(times.ravel(), at[0], window, level).reshape(len(chosen), horizon, -1)
-        yhat[chosen] = np.einsum("ohp,op->oh", future, beta)
-    return origins, n, yhat
+        return origins, n, np.empty((0, horizon))
+    x = _features(at, at[0], window, seasons)
+    gram = np.cumsum(weight[:, None, None] * x[:, :, None] * x[:, None, :], axis=0)
+    cross = np.cumsum((weight * y)[:, None] * x, axis=0)
+    gram = np.concatenate([np.zeros_like(gram[:1]), gram])
+    cross = np.concatenate([np.zeros_like(cross[:1]), cross])
+    beta = np.linalg.solve(gram[last] - gram[first] + _penalty(seasons), (cross[last] - cross[first])[:, :, None])[:, :, 0]
+    times = origins[:, None] + step * np.arange(1, horizon + 1)
+    future = _features(times.ravel(), at[0], window, seasons).reshape(len(origins), horizon, -1)
+    return origins, n, np.einsum("ohp,op->oh", future, beta)
 
 
 def solve_moments(
-    keys: Sequence[str], window: int, step: int, horizon: int, min_points: int
+    keys: Sequence[str], window: int, step: int, horizon: int, min_points: int, seasons: Seasons = SEASONS
 ) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Function for ``mapInPandas`` over one row of moments per series: solve, and predict from its origin."""
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = 2 + 2 * sum(pairs for _, pairs, _ in SEASONS)
+        size = 2 + 2 * sum(pairs for _, pairs in seasons)
         upper = np.triu_indices(size)
         ahead = step * np.arange(1, horizon + 1)
         for batch in batches:
@@ -96,14 +81,11 @@ def solve_moments(
             gram[:, upper[0], upper[1]] = np.stack(batch["__gram"].to_numpy())
             gram[:, upper[1], upper[0]] = gram[:, upper[0], upper[1]]
             cross = np.stack(batch["__cross"].to_numpy())
+            beta = np.linalg.solve(gram + _penalty(seasons), cross[:, :, None])[:, :, 0]
             origins = batch["__origin_at"].to_numpy(dtype=np.int64)
-            levels = np.array([_level(n, span / DAY) for n, span in zip(batch["n"], batch["__span"])])
-            yhat = np.empty((len(batch), horizon))
-            for row, level in enumerate(levels):
-                used = 2 + 2 * sum(pairs for _, pairs, _ in SEASONS[:level])
-                left = gram[row, :used, :used] + (RIDGE if level else 0.0) * np.eye(used)
-                future = _features(origins[row] + ahead, origins[row] - window, window, level)
-                yhat[row] = future @ np.linalg.solve(left, cross[row, :used])
+            yhat = np.stack(
+                [_features(o + ahead, o - window, window, seasons) @ b for o, b in zip(origins, beta, strict=True)]
+            )
             out = batch.loc[batch.index.repeat(horizon), [*keys, "__origin_at", "n"]].reset_index(drop=True)
             out["step"] = np.tile(np.arange(1, horizon + 1, dtype=np.int32), len(batch))
             out["yhat"] = yhat.ravel()
@@ -113,7 +95,7 @@ def solve_moments(
 
 
 def additive_forecast(
-    keys: Sequence[str], window: int, step: int, horizon: int, min_points: int
+    keys: Sequence[str], window: int, step: int, horizon: int, min_points: int, seasons: Seasons = SEASONS
 ) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Function for ``applyInPandas`` over the points of one series and chunk."""
 
@@ -129,6 +111,7 @@ def additive_forecast(
             step,
             horizon,
             min_points,
+            seasons,
         )
         out = pd.DataFrame(
             {

@@ -154,8 +154,9 @@ def generation_mix(
 
 
 def latest(df: DataFrame, series: Sequence[str], ts: str, value: str, ties: Sequence[str] = ()) -> DataFrame:
-    """Newest value of each series, kept by a partial aggregate."""
-    return df.groupBy(*series).agg(F.max_by(F.col(value), F.struct(ts, *ties)).alias(value))
+    """Newest value of each series: a task sends one row per series, whatever the number of samples."""
+    rows = df.where(F.col(ts).isNotNull()).select(*dict.fromkeys([*series, ts, *ties, value]))
+    return dedupe(rows, series, [ts, *ties]).select(*series, value)
 
 
 def instant(

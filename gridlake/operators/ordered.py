@@ -68,20 +68,21 @@ def previous(
     rows = _with_bucket(df, keys, order, width)
     olds = list(dict.fromkeys(columns.values()))
     if ties:
-        last = [F.max_by(F.struct(*olds), F.struct(order, *ties)).alias("__last")]
-        carried = ["__last"]
+        # A rank limits the rows that a task sends to one per bucket; an aggregate by a struct would sort them all.
+        latest = Window.partitionBy(*keys, _BUCKET).orderBy(*[F.desc_nulls_last(c) for c in (order, *ties)])
+        ranked = rows.select(*dict.fromkeys([*keys, _BUCKET, order, *ties, *olds]))
+        lasts = ranked.withColumn("__rank", F.row_number().over(latest)).where("__rank = 1")
+        lasts = lasts.select(*keys, _BUCKET, *[F.col(old).alias(f"__last_{old}") for old in olds])
     else:
-        # A plain ordering column lets Spark use a hash aggregate.
-        last = [F.max_by(old, order).alias(f"__last_{old}") for old in olds]
-        carried = [f"__last_{old}" for old in olds]
+        lasts = rows.groupBy(*keys, _BUCKET).agg(*[F.max_by(old, order).alias(f"__last_{old}") for old in olds])
     before = Window.partitionBy(*keys).orderBy(_BUCKET)
-    earlier = {name: F.lag(name).over(before) for name in carried}
-    seeds = rows.groupBy(*keys, _BUCKET).agg(*last).select(
-        *keys, _BUCKET, *[value.alias(name) for name, value in earlier.items()], F.lag(_BUCKET).over(before).alias("__at")
+    seeds = lasts.select(
+        *keys,
+        _BUCKET,
+        *[F.lag(f"__last_{old}").over(before).alias(f"__last_{old}") for old in olds],
+        F.lag(_BUCKET).over(before).alias("__at"),
     )
-    values = [
-        (F.col("__last")[old] if ties else F.col(f"__last_{old}")).alias(old) for old in olds if old not in keys
-    ]
+    values = [F.col(f"__last_{old}").alias(old) for old in olds if old not in keys]
     seeds = seeds.where("__at IS NOT NULL").select(*keys, _BUCKET, *values)
     inside = _inside(keys, order, ties)
     marked = _seeded(rows, seeds).withColumns({new: F.lag(old).over(inside) for new, old in columns.items()})

@@ -208,16 +208,17 @@ def check_results(rows: Sequence[Any], name: str, min_success_ratio: float = 1.0
 def run_checkpoint(
     spark: SparkSession,
     name: str,
-    query: str,
+    query: str | DataFrame,
     suite: Mapping[str, Any],
     results_table: str | None = None,
     run_id: str | None = None,
 ) -> DataFrame:
-    """Validate the rows of a SQL text; with ``results_table`` the result rows are also appended there.
+    """Validate the rows of a SQL text or a table; with ``results_table`` the result rows are also appended there.
 
     Every call is an ``attempt`` of its own, and only its rows are returned, however often a run id comes again.
     """
-    result = validate(spark.sql(query), suite).select(
+    rows = spark.sql(query) if isinstance(query, str) else query
+    result = validate(rows, suite).select(
         F.lit(name).alias("checkpoint"), F.lit(suite["expectation_suite_name"]).alias("suite"), "*"
     )
     if results_table is None:

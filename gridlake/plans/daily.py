@@ -1,7 +1,9 @@
 """The chain of layers in one run: metadata, bronze, gate, silver, shares, gate, gold, model tests.
 
-Stages hand over through tables only. A gate that fails stops the run before the next layer is built, and every stage
-leaves a row in the run log, which the run-status and run-duration alerts read.
+Stages hand over through tables only. A run works on what arrived since the last one that ended well: the dates of the
+new bronze rows are the dates of silver, shares and fact that are read and rewritten, and of the shares only those that
+changed are published. A gate judges the new rows, or the rewritten dates; one that fails stops the run before the next
+layer is built. Every stage leaves a row in the run log, which the run-status and run-duration alerts read.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +24,10 @@ from gridlake.streaming.bronze import run_bronze
 
 RUN_LOG = "run_id string, stage string, started_at timestamp, finished_at timestamp, status int, message string"
 KEY = ["trading_interval", "unit_id"]
-# Arrival decides between corrections; rows of one arrival batch are told apart by their reading.
-NEWEST = ["ingested_at", "generated_mw"]
+# The last arrival of a key wins.
+NEWEST = ["arrival"]
+# Digits to which a share must differ to be published again.
+DIGITS = 9
 
 
 @dataclass(frozen=True)
@@ -64,32 +68,84 @@ def load_bronze(spark: SparkSession, chain: Chain) -> None:
     )
 
 
-def build_silver(spark: SparkSession, chain: Chain, since: str | None = None) -> None:
-    """Rebuild the silver table, or with ``since`` only the dates from then on (bronze is pruned to them)."""
+@dataclass(frozen=True)
+class News:
+    """What a run has to do: bronze rows after ``after`` (None: all), up to ``upto``, and the dates they touch."""
+
+    after: datetime | None
+    upto: datetime | None
+    dates: list[date]
+
+
+def find_news(spark: SparkSession, chain: Chain, since: str | None = None) -> News:
+    """The bronze rows that no finished run has seen; with ``since`` also all dates from then on.
+
+    The filter reaches the files' statistics, so that old files are skipped. The dates are at most the partitions.
+    """
+    after = None
+    if spark.catalog.tableExists(chain.table("progress")):
+        after = spark.table(chain.table("progress")).agg(F.max("upto")).first()[0]
+    rows = new_rows(spark, chain, after)
+    upto = rows.agg(F.max("ingested_at")).first()[0]
+    dates = {r[0] for r in rows.select("trading_date").distinct().collect()}
+    if since is not None:
+        bronze = spark.table(chain.table("bronze_dispatch"))
+        older = bronze.where(F.col("trading_date") >= F.lit(since).cast("date")).select("trading_date").distinct()
+        dates |= {r[0] for r in older.collect()}
+    return News(after, upto, sorted(d for d in dates if d is not None))
+
+
+def new_rows(spark: SparkSession, chain: Chain, after: datetime | None) -> DataFrame:
     rows = spark.table(chain.table("bronze_dispatch"))
+    return rows if after is None else rows.where(F.col("ingested_at") > F.lit(after))
+
+
+def on_dates(df: DataFrame, news: News) -> DataFrame:
+    return df.where(F.col("trading_date").isin(news.dates))
+
+
+def build_silver(spark: SparkSession, chain: Chain, news: News) -> None:
+    """Rebuild the silver table's dates that the run touches; bronze is pruned to them."""
+    rows = on_dates(spark.table(chain.table("bronze_dispatch")), news)
     name = chain.table("silver_dispatch_clean")
-    partial = since is not None and spark.catalog.tableExists(name)
-    if partial:
-        rows = rows.where(F.col("trading_date") >= F.lit(since).cast("date"))
     clean = silver.clean_dispatch(rows, spark.table(chain.table("unit_metadata")), NEWEST, unit_order=["trading_date"])
-    if partial:
+    if spark.catalog.tableExists(name):
         sinks.overwrite_table(clean.hint("rebalance", F.col("trading_date")), name)
     else:
         sinks.replace_table(clean, name, ["trading_date"], chain.fmt)
 
 
-def publish_shares(spark: SparkSession, chain: Chain) -> None:
-    """Shares of the written silver table, so that topic and table always agree."""
-    shares = silver.fuel_share(spark.table(chain.table("silver_dispatch_clean")))
-    text = shares.withColumn("event_time", F.col("event_time").cast("string"))
+def publish_shares(spark: SparkSession, chain: Chain, news: News) -> None:
+    """Publish the shares of the written silver table that are new or changed, and keep what was published.
+
+    A run that dies in between publishes them again: at least once, as the topic has it.
+    """
+    rows = on_dates(spark.table(chain.table("silver_dispatch_clean")), news)
+    shares = silver.fuel_share(rows).withColumn("trading_date", F.to_date("event_time"))
+    name = chain.table("published_shares")
+    known = spark.catalog.tableExists(name)
+    changed = shares
+    if known:
+        sent = on_dates(spark.table(name), news).alias("sent")
+        # Sums of the same numbers in another order differ in their last digits, which is no change.
+        share = lambda side: F.round(f"{side}.solar_share", DIGITS)
+        same = (F.col("sent.event_time") == F.col("new.event_time")) & share("sent").eqNullSafe(share("new"))
+        changed = shares.alias("new").join(sent, same, "left_anti")
+    text = changed.withColumn("event_time", F.col("event_time").cast("string"))
     sinks.publish(sinks.encode_json(text, ["event_time", "solar_share"]), **chain.target)
+    if known:
+        sinks.overwrite_table(shares.hint("rebalance", F.col("trading_date")), name)
+    else:
+        sinks.replace_table(shares, name, ["trading_date"], chain.fmt)
 
 
-def gate(spark: SparkSession, chain: Chain, layer: str, table: str, suite: Mapping[str, Any], ratio: float) -> None:
+def gate(
+    spark: SparkSession, chain: Chain, layer: str, rows: DataFrame, suite: Mapping[str, Any], ratio: float
+) -> None:
     found = quality.run_checkpoint(
         spark,
         f"{layer}_checkpoint",
-        f"SELECT * FROM {chain.table(table)}",
+        rows,
         suite,
         results_table=chain.table("validations"),
         run_id=f"{chain.run_id}-{layer}",
@@ -97,10 +153,10 @@ def gate(spark: SparkSession, chain: Chain, layer: str, table: str, suite: Mappi
     quality.check_results(found.collect(), suite["expectation_suite_name"], ratio)
 
 
-def build_gold(spark: SparkSession, chain: Chain) -> None:
+def build_gold(spark: SparkSession, chain: Chain, news: News) -> None:
     units = silver.dedupe(spark.table(chain.table("unit_metadata")), ["unit_id"], ["trading_date"])
     regions = silver.dedupe(spark.table(chain.table("region_metadata")), ["region_id"], ["trading_date"])
-    fact = gold.fact_rows(spark.table(chain.table("silver_dispatch_clean")))
+    fact = gold.fact_rows(on_dates(spark.table(chain.table("silver_dispatch_clean")), news))
     by_date = {"partition_by": ["trading_date"], "fmt": chain.fmt}
     gold.build_incremental(
         spark, gold.dim_unit_rows(units), chain.table("dim_unit"), ["unit_id"], "trading_date", key_moves=True, **by_date
@@ -114,9 +170,8 @@ def build_gold(spark: SparkSession, chain: Chain) -> None:
         key_moves=True,
         **by_date,
     )
-    gold.build_incremental(
-        spark, fact, chain.table("fact_dispatch"), KEY, "trading_interval", date_column="trading_date", **by_date
-    )
+    # Corrections may lie anywhere in the touched dates, so these are upserted whole.
+    gold.upsert_table(spark, chain.table("fact_dispatch"), fact, KEY, **by_date)
 
 
 def check_models(spark: SparkSession, chain: Chain) -> None:
@@ -133,35 +188,44 @@ def check_models(spark: SparkSession, chain: Chain) -> None:
 
 
 def run(spark: SparkSession, chain: Chain, since: str | None = None) -> DataFrame:
-    """Run all stages; returns this run's log. Raises at the first failed stage, after logging it."""
+    """Run all stages; returns this run's log. Raises at the first failed stage, after logging it.
+
+    ``since`` builds all dates from then on again, besides those of the new rows.
+    """
+    found: list[News] = []
+
+    def silver_rows() -> DataFrame:
+        return on_dates(spark.table(chain.table("silver_dispatch_clean")), found[0])
+
+    def bronze_gate() -> None:
+        rows = new_rows(spark, chain, found[0].after)
+        gate(spark, chain, "bronze", rows, quality.BRONZE_SUITE, chain.bronze_ratio)
+
     stages: list[tuple[str, Callable[[], None]]] = [
         ("metadata", lambda: load_metadata(spark, chain)),
-        ("bronze", lambda: load_bronze(spark, chain)),
-        (
-            "bronze_gate",
-            lambda: gate(spark, chain, "bronze", "bronze_dispatch", quality.BRONZE_SUITE, chain.bronze_ratio),
-        ),
-        ("silver", lambda: build_silver(spark, chain, since)),
-        ("shares", lambda: publish_shares(spark, chain)),
-        (
-            "silver_gate",
-            lambda: gate(spark, chain, "silver", "silver_dispatch_clean", quality.SILVER_SUITE, chain.silver_ratio),
-        ),
-        ("gold", lambda: build_gold(spark, chain)),
+        ("bronze", lambda: (load_bronze(spark, chain), found.append(find_news(spark, chain, since)))),
+        ("bronze_gate", bronze_gate),
+        ("silver", lambda: build_silver(spark, chain, found[0])),
+        ("shares", lambda: publish_shares(spark, chain, found[0])),
+        ("silver_gate", lambda: gate(spark, chain, "silver", silver_rows(), quality.SILVER_SUITE, chain.silver_ratio)),
+        ("gold", lambda: build_gold(spark, chain, found[0])),
         ("model_tests", lambda: check_models(spark, chain)),
     ]
-    for name, stage in stages:
-        started = datetime.now(timezone.utc)
-        try:
-            stage()
-        except Exception as error:
-            _log(spark, chain, name, started, 0, str(error))
-            raise
-        _log(spark, chain, name, started, 1, "")
+    log: list[tuple] = []
+    try:
+        for name, stage in stages:
+            started, status, message = datetime.now(timezone.utc), 1, ""
+            try:
+                stage()
+            except Exception as error:
+                status, message = 0, str(error)
+                raise
+            finally:
+                log.append((chain.run_id, name, started, datetime.now(timezone.utc), status, message))
+    finally:
+        frame = spark.createDataFrame(log, RUN_LOG).coalesce(1)
+        frame.write.format(chain.fmt).mode("append").saveAsTable(chain.table("run_log"))
+    if found[0].upto is not None:
+        done = spark.createDataFrame([(chain.run_id, found[0].upto)], "run_id string, upto timestamp").coalesce(1)
+        done.write.format(chain.fmt).mode("append").saveAsTable(chain.table("progress"))
     return spark.table(chain.table("run_log")).where(F.col("run_id") == chain.run_id)
-
-
-def _log(spark: SparkSession, chain: Chain, stage: str, started: datetime, status: int, message: str) -> None:
-    row = (chain.run_id, stage, started, datetime.now(timezone.utc), status, message)
-    frame = spark.createDataFrame([row], RUN_LOG).coalesce(1)
-    frame.write.format(chain.fmt).mode("append").saveAsTable(chain.table("run_log"))

@@ -205,6 +205,51 @@ o as (select source, max(t) as origin_time from h group by source),
 w as (select h.*, o.origin_time from h join o on h.source = o.source and h.t >= o.origin_time - interval '14 days')"""
 
 
+TERMS = 16
+
+
+def features(at: str, age: str) -> list[str]:
+    """Level, trend, four pairs of a day and three of a week; ``at`` in seconds, ``age`` in windows."""
+    waves = [(86400, k) for k in range(1, 5)] + [(604800, k) for k in range(1, 4)]
+    return ["1.0", f"{age} + 1"] + [f"{f}(2 * pi() * {k} * ({at} % {p}) / {p})" for p, k in waves for f in ("sin", "cos")]
+
+
+def least_squares(points: str, by: str) -> str:
+    """Normal equations per group of ``points`` (``t``, ``y``, ``origin_time``), solved by elimination: CTE ``fits``."""
+    upper = [(i, j) for i in range(TERMS) for j in range(i, TERMS)]
+    xs = ", ".join(
+        f"{x} as x{i}"
+        for i, x in enumerate(features("epoch(t)", "(epoch(t) - epoch(origin_time)) / 1209600"))
+    )
+    ridge = lambda i, j: " + 0.01" if i == j and i > 1 else ""
+    sums = [f"sum(x{i} * x{j}){ridge(i, j)} as g{i}_{j}" for i, j in upper] + [f"sum(y * x{i}) as c{i}" for i in range(TERMS)]
+    steps = [
+        f"terms as (select {by}, origin_time, y, {xs} from {points})",
+        f"e0 as materialized (select {by}, origin_time, count(*) as n, {', '.join(sums)} from terms group by {by}, origin_time"
+        " having count(*) >= 2)",
+    ]
+    for p in range(TERMS - 1):
+        rows = [f"g{i}_{j} - g{p}_{i} * g{p}_{j} / g{p}_{p} as g{i}_{j}" if i > p else f"g{i}_{j}" for i, j in upper]
+        right = [f"c{i} - g{p}_{i} * c{p} / g{p}_{p} as c{i}" if i > p else f"c{i}" for i in range(TERMS)]
+        steps.append(f"e{p + 1} as materialized (select {by}, origin_time, n, {', '.join(rows + right)} from e{p})")
+    source = f"e{TERMS - 1}"
+    for i in reversed(range(TERMS)):
+        known = "".join(f" - g{i}_{j} * b{j}" for j in range(i + 1, TERMS))
+        steps.append(f"s{i} as materialized (select *, (c{i}{known}) / g{i}_{i} as b{i} from {source})")
+        source = f"s{i}"
+    return ",\n".join(steps)
+
+
+def additive(digits: int, by: str) -> str:
+    """Forecasts of the fits."""
+    future = features("(epoch(origin_time) + 1800 * s)", "s / 672.0")
+    yhat = " + ".join(f"b{i} * ({x})" for i, x in enumerate(future))
+    return f"""
+        select {by} origin_time, n, cast(s as integer) as step, origin_time + s * interval '30 minutes' as event_time,
+               round({yhat}, {digits}) as yhat
+        from s0, range(1, 49) r(s)"""
+
+
 def dim_upsert(source: str, key: str, name: str, extra: str) -> str:
     return f"""
 with {source},
@@ -279,15 +324,28 @@ ORACLES: dict[str, str] = {
         select r.region_name, s.fuel_type, round(sum(s.generated_mw), 4) as generated_mw, count(*) as n
         from silver s left join units u on s.unit_id = u.unit_id left join regions r on u.region_id = r.region_id
         group by all""",
-    "daily_run": f"""with {DISPATCH}, {UNITS}, {REGIONS},
-        f as (
-          select * from (
-            select *, row_number() over (partition by trading_interval, unit_id order by generated_mw desc) as rn
-            from dispatch) z
-          where rn = 1)
-        select f.trading_interval, f.unit_id, f.generated_mw, f.fuel_type, cast(f.trading_interval as date) as trading_date,
-               u.station_name as unit_name, r.region_name
-        from f left join units u on f.unit_id = u.unit_id left join regions r on u.region_id = r.region_id""",
+    "daily_run": f"""with {SILVER}, {REGIONS}
+        select s.trading_interval, s.unit_id, s.generated_mw, s.fuel_type, s.trading_date, s.station_name as unit_name,
+               r.region_name
+        from silver s left join units u on s.unit_id = u.unit_id left join regions r on u.region_id = r.region_id""",
+    "daily_run_rejected": f"""with {DISPATCH},
+        k as (select count(*) as n from dispatch group by trading_interval, unit_id)
+        select 'metadata' as stage, cast(1 as integer) as status union all select 'bronze', 1
+        union all select 'bronze_gate', cast(max(n) <= 1 as integer) from k""",
+    "daily_rerun": f"""with {DISPATCH},
+        parts as (select *, cast(ingested_at >= timestamp '2024-01-15 12:15:00' as integer) as run from dispatch),
+        seen as (select p.*, r.run as upto from parts p, (values (0), (1)) r(run) where p.run <= r.run),
+        newest as (select * from (select *, row_number() over (partition by upto, trading_interval, unit_id
+                                                             order by ingested_at desc, event_id desc) as rn from seen) z
+                 where rn = 1),
+        shares as (select upto, trading_interval,
+                          sum(case when fuel_type = 'Solar' then generated_mw end) / nullif(sum(generated_mw), 0) as s
+                   from newest group by all)
+        select n.upto as run, strftime(n.trading_interval, '%Y-%m-%d %H:%M:%S') as event_time,
+               round(n.s, 6) as solar_share
+        from shares n left join shares o on o.upto = n.upto - 1 and o.trading_interval = n.trading_interval
+        where o.upto is null or round(n.s, 9) is distinct from round(o.s, 9)""",
+    "silver_by_arrival": f"""with {SILVER} select {MESSAGE}, trading_date, station_name from silver""",
     "dq_bronze": f"with {DISPATCH} {BRONZE_CHECKS}",
     "dq_silver": f"""with {SILVER} {suite("silver", {"trading_interval": "0.99", "unit_id": "0.99",
                                                        "generated_mw": "0.98", "fuel_type": "0.95"})}""",
@@ -326,6 +384,11 @@ ORACLES: dict[str, str] = {
         from (select count(*) as n from lineitem group by l_orderkey, l_linenumber) q""",
     "dq_checkpoint": f"""with {DISPATCH}
         select 'bronze_checkpoint' as checkpoint, 'run-1' as run_id, q.* from ({BRONZE_CHECKS}) q""",
+    "dq_layer_job": f"with {SILVER} select {MESSAGE}, trading_date, station_name from silver",
+    "dq_layer_job_failed": f"""with {DISPATCH},
+        k as (select count(*) as n from dispatch group by trading_interval, unit_id)
+        select 'compound_columns_to_be_unique(trading_interval,unit_id): ' || sum(case when n > 1 then n end) || '/'
+               || sum(n) as failed from k""",
     "dbt_tests": f"with {SILVER}, {REGIONS} "
     + " union all ".join(
         model_test(*test)
@@ -379,8 +442,8 @@ ORACLES: dict[str, str] = {
           select *, case when to_start >= 1.1 * gap then gap / 2 else to_start end as l,
                  case when to_end >= 1.1 * gap then gap / 2 else to_end end as r from timed)
         select source, ts,
-               round(inc * (covered + case when inc > 0 and covered * v0 / inc < l then covered * v0 / inc else l end + r)
-                     / covered / 21600 + 1e-12, 8) as rate
+               cast(inc * (covered + case when inc > 0 and covered * v0 / inc < l then covered * v0 / inc else l end + r)
+                     / covered / 21600 as float) as rate
         from sides""",
     "coal_share_rate": f"""with {INSTANTS}
         select ts, round(100 * sum(case when source = 'coal' then rate end) / nullif(sum(rate), 0), 4) as percent
@@ -397,6 +460,17 @@ ORACLES: dict[str, str] = {
     "coal_alert_intervals": f"""with {coal_stretches(30, "count(*) >= 3")}
         select 'HighCoalPercentage' as alertname, 'warning' as severity, * exclude (peak), round(peak, 4) as peak
         from named""",
+    "coal_rate_alert": f"""with {stretches(
+        INSTANTS + """,
+judged as (select ts as t, p, coalesce(p > 30, false) as br
+           from (select ts, round(100 * sum(case when source = 'coal' then r end) / nullif(sum(r), 0), 6) as p
+                 from (select i.source, i.ts, sum(p.inc) / 21600 as r
+                       from instants i join pairs p
+                         on p.source = i.source and p.ts <= i.ts and p.pts >= i.ts - interval '6 hours'
+                       group by i.source, i.ts) q group by ts) z)""",
+        "", "30 minutes", "max(t) - min(t) >= interval '5 minutes'", "max(p) as peak,")}
+        select 'HighCoalPercentage' as alertname, 'warning' as severity, * exclude (peak), round(peak, 4) as peak
+        from named""",
     "run_failure_alert": f"""with {FAILURES}
         select 'PipelineFailure' as alertname, 'critical' as severity, * from named""",
     "batch_duration_alert": """
@@ -450,6 +524,15 @@ ORACLES: dict[str, str] = {
                      origin_time + s * interval '30 minutes' as event_time from fits, range(1, 49) r(s))
         select f.source, f.origin_time, f.n, f.step, f.event_time, round(m.m, 4) as yhat
         from f join means m on m.source = f.source and m.slot = (epoch(f.event_time) % 86400) // 1800""",
+    "forecast_additive": f"""with {SHARES},
+        h as (select event_time as t, solar_share as y from shares where solar_share is not null),
+        w as (select 0 as one, p.t, p.y, o.t as origin_time
+              from h o join h p on p.t between o.t - interval '14 days' and o.t),
+        {least_squares("w", "one")}
+        {additive(4, "")}""",
+    "forecast_additive_last": f"""with {MIX}, {BY_SOURCE_LAST},
+        {least_squares("w", "source")}
+        {additive(4, "source,")}""",
     "forecast_mape": f"""with {SHARES}, {LINEAR},
         p as (select solar_share as y, base + slope * (x + 1) as yhat
               from fits join shares on event_time = origin_time + interval '30 minutes'
@@ -474,6 +557,10 @@ ORACLES: dict[str, str] = {
         select page_id from (select page_id, html, lag(html) over (order by page_id) as before,
                                     row_number() over (order by page_id) as rn from pages) q
         where rn = 1 or html is distinct from before""",
+    "payload_text": "select page_id, html as content, md5(html) as digest from pages",
+    "model_view": f"""with {DISPATCH},
+        g as (select trading_interval, unit_id, fuel_type, sum(generated_mw) as mw from dispatch group by all)
+        select unit_id, fuel_type, round(max(mw), 4) as peak from g group by all""",
     "changed_payloads_by_feed": """
         select event_id, user_id, event_type
         from (select *, lag(event_type) over (partition by user_id order by ts, event_id) as before from events) q

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.operators.feed import with_checksum
 from gridlake.operators.ordered import previous
+from gridlake.operators.silver import dedupe
 from gridlake.sources.sinks import batch_key
 from gridlake.streaming.runner import start
 
@@ -43,8 +44,7 @@ def changed_payloads_stream(
         marked = previous(rows, feed, arrival, {"__before": "__crc"}, width, ties)
         changed = marked.where(~F.col("__known") & ~F.col("__crc").eqNullSafe(F.col("__before")))
         changed.select(*batch.columns).write.mode("overwrite").parquet(f"{output}/batch_id={batch_key(batch, batch_id)}")
-        newest = F.max_by(F.struct(arrival, *ties, "__crc"), F.struct(arrival, *ties)).alias("__last")
-        last = rows.select(*key, "__crc").groupBy(*feed).agg(newest).select(*feed, "__last.*")
+        last = dedupe(rows.select(*key, "__crc"), feed, [arrival, *ties])
         last.write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
 
     return start(stream.writeStream.foreachBatch(write), checkpoint, trigger)

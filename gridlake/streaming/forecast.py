@@ -14,8 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gridlake.functions.timeaxis import iso_text, micros, position, steps_after
-from gridlake.operators.forecast import HORIZON, MIN_POINTS, STEP, WINDOW
-from gridlake.operators.least_squares import fit_predict
+from gridlake.operators.forecast import HORIZON, MIN_POINTS, STEP, WINDOW, usable
+from gridlake.operators.least_squares import SEASONS, Seasons, fit_predict
 from gridlake.session import discard, scratch_dir
 from gridlake.sources.sinks import Writer, batch_key, encode_json, ensure_table, fan_out, overwrite_table, publish
 
@@ -35,6 +35,7 @@ def forecast_stream(
     min_points: int = MIN_POINTS,
     model: str = "additive",
     emit: str = "latest",
+    seasons: Seasons = SEASONS,
 ) -> DataFrame:
     """``(keys, origin_time, n, step, event_time, yhat)`` for new points of each series.
 
@@ -44,7 +45,8 @@ def forecast_stream(
     """
     series = list(keys) or ["series"]
     rows = stream if keys else stream.withColumn("series", F.lit(y))
-    points = rows.where(F.col(ts).isNotNull() & F.col(y).isNotNull()).select(
+    seasons = seasons if model == "additive" else ()
+    points = rows.where(usable(ts, y)).select(
         *series, position(rows, ts).alias("at"), F.col(y).cast("double").alias("y")
     )
     fields = [T.StructField(k, rows.schema[k].dataType) for k in series] + [
@@ -53,7 +55,7 @@ def forecast_stream(
         T.StructField("step", T.IntegerType()),
         T.StructField("yhat", T.DoubleType()),
     ]
-    fold = _folder(series, micros(window), micros(step), horizon, min_points, model == "additive", emit == "every")
+    fold = _folder(series, micros(window), micros(step), horizon, min_points, seasons, emit == "every")
     found = points.groupBy(*series).applyInPandasWithState(
         fold, T.StructType(fields), STATE, "append", GroupStateTimeout.NoTimeout
     )
@@ -63,7 +65,7 @@ def forecast_stream(
 
 
 def _folder(
-    series: list[str], window: int, step: int, horizon: int, min_points: int, seasonal: bool, every: bool
+    series: list[str], window: int, step: int, horizon: int, min_points: int, seasons: Seasons, every: bool
 ) -> Callable[[Any, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         known: dict[int, float] = dict(zip(*state.get)) if state.exists else {}
@@ -79,7 +81,7 @@ def _folder(
         at = np.array(sorted(known), dtype=np.int64)
         y = np.array([known[t] for t in at.tolist()])
         origins = np.array(sorted(new), dtype=np.int64) if every else at[-1:]
-        made, n, yhat = fit_predict(at, y, np.ones(len(at)), origins, window, step, horizon, min_points, seasonal)
+        made, n, yhat = fit_predict(at, y, np.ones(len(at)), origins, window, step, horizon, min_points, seasons)
         kept = at >= newest - window
         state.update((at[kept].tolist(), y[kept].tolist()))
         if not len(made):

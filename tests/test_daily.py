@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from gridlake.operators import alerts, quality
 from gridlake.plans import daily
 from tests.conftest import plan, rows
 
+T0 = datetime(2024, 1, 1)
 UNITS = "unit_id,fuel_type,station_name,region_id,trading_date\n{}"
 REGIONS = "region_id,region_name,trading_date\nNSW1,New South Wales,2024-01-01\nQLD1,Queensland,2024-01-01\n"
 
@@ -57,8 +58,11 @@ def test_two_runs(spark, chain, tmp_path):
         UNITS.format("UNIT1,Coal,StationA,NSW1,2024-01-01\nUNIT2,Solar,StationC,NSW1,2024-01-02\n")
     )
     send(tmp_path, "b.txt", "2024-01-01 00:05:00,UNIT2,60,Solar", "2024-01-02 00:00:00,UNIT1,70,Coal")
-    second = chain(run_id="r2", bronze_ratio=0.85)
-    daily.run(spark, second, since="2024-01-01")
+    second = chain(run_id="r2")
+    daily.run(spark, second)
+    sent = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "shares")).collect()]
+    # The share of 00:05 is still 1, so only the new interval was sent.
+    assert len(sent) == 3 and sum(m["event_time"].startswith("2024-01-02") for m in sent) == 1
     spark.catalog.refreshTable(first.table("fact_dispatch"))
     fact = spark.table(first.table("fact_dispatch"))
     assert rows(fact.select("unit_id", "generated_mw")) == [("UNIT1", 100.0), ("UNIT1", 70.0), ("UNIT2", 60.0)]
@@ -84,7 +88,16 @@ def test_a_failed_gate_stops_the_run_and_raises_an_alert(spark, chain, tmp_path)
     assert alerts.slow_runs(log, "started_at", "finished_at").count() == 0
 
 
-def test_a_partial_silver_run_reads_only_its_dates(spark, chain, tmp_path):
+def test_a_lower_correction_in_one_batch_wins(spark, chain, tmp_path):
+    run = chain()
+    send(tmp_path, "a.txt", "2024-01-01 00:00:00,UNIT1,100,Coal", "2024-01-01 00:00:00,UNIT1,60,Coal")
+    daily.load_metadata(spark, run)
+    daily.load_bronze(spark, run)
+    daily.build_silver(spark, run, daily.find_news(spark, run))
+    assert rows(spark.table(run.table("silver_dispatch_clean")).select("generated_mw")) == [(60.0,)]
+
+
+def test_a_run_reads_and_rewrites_only_the_dates_it_touches(spark, chain, tmp_path):
     run = chain()
     send(
         tmp_path,
@@ -94,8 +107,26 @@ def test_a_partial_silver_run_reads_only_its_dates(spark, chain, tmp_path):
         "2024-01-03 00:00:00,UNIT1,3,Coal",
     )
     daily.run(spark, run)
-    later = spark.table(run.table("bronze_dispatch")).where(F.col("trading_date") >= F.lit("2024-01-02").cast("date"))
-    scan = next(line for line in plan(later).splitlines() if "FileScan" in line)
+    files = lambda d: {r[0] for r in spark.table(run.table("silver_dispatch_clean")).where(f"trading_date = '{d}'").select("_metadata.file_path").collect()}  # noqa: E731,E501
+    before = {d: files(d) for d in ("2024-01-01", "2024-01-02")}
+    send(tmp_path, "b.txt", "2024-01-02 00:00:00,UNIT1,5,Coal")
+    daily.run(spark, run)
+    spark.catalog.refreshTable(run.table("silver_dispatch_clean"))
+    assert files("2024-01-01") == before["2024-01-01"] and files("2024-01-02") != before["2024-01-02"]
+    assert rows(spark.table(run.table("fact_dispatch")).select("generated_mw")) == [(1.0,), (3.0,), (5.0,)]
+    news = daily.find_news(spark, run)
+    assert news.dates == [] and news.upto is None
+    assert [str(d) for d in daily.find_news(spark, run, "2024-01-02").dates] == ["2024-01-02", "2024-01-03"]
+    dates = daily.News(None, None, [T0.date()])
+    scan = next(x for x in plan(daily.on_dates(spark.table(run.table("bronze_dispatch")), dates)).splitlines() if "FileScan" in x)
     assert "trading_date" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
-    daily.build_silver(spark, run, since="2024-01-02")
-    assert spark.table(run.table("silver_dispatch_clean")).count() == 3
+    later = daily.new_rows(spark, run, T0)
+    scan = next(line for line in plan(later).splitlines() if "FileScan" in line)
+    assert "ingested_at" in scan.split("PushedFilters: [")[1]
+
+
+def test_a_run_without_news_publishes_nothing(spark, chain, tmp_path):
+    send(tmp_path, "a.txt", "2024-01-01 00:00:00,UNIT2,1,Solar")
+    for _ in range(2):
+        daily.run(spark, chain())
+    assert spark.read.text(str(tmp_path / "shares")).count() == 1
