@@ -22,6 +22,18 @@ _ITEM = bytes.maketrans(
 )
 
 
+# Rows of text that one Arrow batch takes to Python. Batches are what a worker holds besides its own work.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> None:
+    """Let Arrow batches of the session hold at most ``BATCH_ROWS`` rows: texts are long, and memory is per batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import columns_of, free, item_words, text_or_empty
+from gridlake.llm.common import columns_of, free, item_words, small_batches, text_or_empty
 
 WINDOW = 10
 SHARD_BYTES = 4 << 20
@@ -230,6 +230,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, into: str = "match", most: in
     """
     if any(c.startswith(into) for c in docs.columns):
         raise ValueError(f"columns beginning with {into} are taken")
+    small_batches(docs)
     out = docs
     parts = []
     for number, items in enumerate(blocks(benchmark, most)):

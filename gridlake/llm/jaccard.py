@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import columns_of, free, measured, text_or_empty, written
+from gridlake.llm.common import columns_of, free, measured, small_batches, text_or_empty, written
 from gridlake.llm.components import components
 
 SHINGLE = 5
@@ -288,6 +288,7 @@ def in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Written tables: ``doc_id, node`` per row (node null without words), and ``node, rep, copies, class, links`` of
     every node with a copy or a link; ``class`` is the smallest node of the class."""
+    small_batches(docs)
     signature = F.arrow_udf(_signatures, "values binary, n_words bigint")
     rows = written(
         docs.select("doc_id", text_or_empty().alias("text"))

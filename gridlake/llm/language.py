@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import text_or_empty
+from gridlake.llm.common import small_batches, text_or_empty
 
 BUCKETS = 1 << 16
 SWITCH = 12.0
@@ -203,6 +203,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame) -> Model:
     """A model of all ``text`` with a label ``lang``."""
+    small_batches(docs)
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = labelled.select(F.col("text").cast("string"), F.col("lang").cast("string"))
     counts = rows.mapInArrow(_count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n"))

@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import A_TO_Z, BROADCAST_ROWS, LOWER, SPACES, columns_of, free, measured, text_or_empty, written
+from gridlake.llm.common import A_TO_Z, BROADCAST_ROWS, LOWER, SPACES, columns_of, free, measured, small_batches, text_or_empty, written
 
 LEAST = 10
 BITS = 1 << 27
@@ -203,6 +203,7 @@ def without_repeats(docs: DataFrame, into: str, most: int = BITS, broadcast: int
     If more than ``broadcast`` digests are lost in all, they are not broadcast, and the documents that hold a suspect
     are shuffled by id to meet them; the others never are.
     """
+    small_batches(docs)
     bits, sent = twice_seen(docs.select(text_or_empty().alias("text")), most)
     id_, lost_, flag = free(docs, "id_"), free(docs, "lost_"), free(docs, "suspect_")
     gone = lost(docs, bits, sent).select(F.col("doc_id").alias(id_), F.col("lost").alias(lost_))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import SPACES, columns_of, free
+from gridlake.llm.common import SPACES, columns_of, free, small_batches
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters", "n_upper", "n_bangs",
@@ -119,6 +119,7 @@ def ledger(docs: DataFrame, text: str = "text", into: str = "ledger") -> DataFra
     """``docs`` with the struct ``into``: all measurements and ``failed``, the bits of the rules that the text fails."""
     if into in docs.columns:
         raise ValueError(f"the column {into} is taken")
+    small_batches(docs)
     out = docs.withColumn(into, measurements(F.col(text)))
     failed = F.lit(0).cast("bigint")
     for name, rule in RULES.items():

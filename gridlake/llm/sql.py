@@ -185,6 +185,27 @@ from d left join told using (rid)
 
 
 
+_OP9 = r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+    select distinct doc_id, w[i:i + 4] as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+    select a, b
+    from (select x.doc_id as a, y.doc_id as b, count(*) as common
+          from shingles x join shingles y on x.s = y.s and x.doc_id <> y.doc_id group by all) p
+    join sizes m on m.doc_id = a join sizes n on n.doc_id = b
+    where 5 * common >= 4 * (m.n + n.n - common)),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+classes as (select a, min(b) as first from reach group by a),
+counts as (select a, count(*) as n_links from links group by a)
+select doc_id, least(doc_id, coalesce(first, doc_id)) as class_id, coalesce(n_links, 0) as n_links
+from documents d left join classes c on c.a = d.doc_id left join counts n on n.a = d.doc_id
+"""
+
+
 def _smoothed(k: int) -> str:
     """Probabilities after contexts of ``k`` signs, from those after one sign less."""
     size = 32 ** (k + 1)
@@ -250,4 +271,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_pii": _OP5,
     "op7_secrets": _OP7,
     "op8_url_filter": _OP8,
+    "op9_jaccard_join": _OP9,
 }
