@@ -55,11 +55,13 @@ def decode_value(df: DataFrame) -> DataFrame:
 def document_lines(df: DataFrame) -> DataFrame:
     """The lines of whole text documents; a line arrives with its file and at its number."""
     text = F.regexp_replace("value", r"\r?\n\z", "")
-    lines = df.where("value <> ''").select(
+    # Apart from the explode, whose rows would otherwise each carry what these columns are made from.
+    whole = df.where("value <> ''").select(
         F.col("_metadata.file_modification_time").alias("time"),
         F.col("_metadata.file_path").alias("source"),
-        F.posexplode(F.split(text, r"\r?\n")).alias("offset", "value"),
+        F.split(text, r"\r?\n").alias("lines"),
     )
+    lines = whole.select("time", "source", F.posexplode("lines").alias("offset", "value"))
     arrival = F.struct("time", "source", F.col("offset").cast("bigint").alias("offset"))
     return lines.select("value", arrival.alias("arrival"))
 
@@ -81,7 +83,9 @@ def landing_feed(
     text = F.regexp_replace("value", r"\r?\n\z", "")
     lines = reader.load(path).where("value <> ''").select(F.split(text, r"\r?\n").alias("lines"))
     header = F.transform(csv_fields(F.col("lines")[0], delimiter), lambda name: F.trim(name))
-    rows = lines.select(header.alias("header"), F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"))
+    # The header is made before the explode: after it every line would carry the whole document.
+    whole = lines.select(header.alias("header"), F.slice("lines", 2, F.size("lines")).alias("records"))
+    rows = whole.select("header", F.explode("records").alias("line"))
     rows = rows.where(F.length(F.trim("line")) > 0).select("header", csv_fields(F.col("line"), delimiter).alias("fields"))
 
     def picked(field: T.StructField) -> Column:

@@ -16,7 +16,7 @@ from gridlake.streaming import alerts as stream_alerts
 from gridlake.streaming import bronze, tables
 from gridlake.streaming import feed as stream_feed
 from gridlake.streaming import forecast as stream_forecast
-from gridlake.streaming.runner import late_rows, start
+from gridlake.streaming.runner import SERVICE, late_rows, start
 from tests.conftest import rows
 
 T0 = datetime(2024, 1, 1)
@@ -81,6 +81,17 @@ def test_bronze_service_keeps_running(spark, database, tmp_path):
             q.stop()
 
 
+def test_service_trigger_takes_what_is_there_at_once(spark, tmp_path):
+    land(spark, tmp_path / "in", [("a", 1)], "k string, v int")
+    stream = spark.readStream.schema("k string, v int").parquet(str(tmp_path / "in"))
+    query = start(stream.writeStream.format("parquet").option("path", str(tmp_path / "out")), str(tmp_path / "c"), SERVICE)
+    try:
+        query.processAllAvailable()
+        assert query.isActive and spark.read.parquet(str(tmp_path / "out")).count() == 1
+    finally:
+        query.stop()
+
+
 def test_producer_counts_what_it_sends(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
