@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.timeaxis import shift
@@ -41,7 +41,7 @@ def sustained(
     for_duration: str | None = None,
     min_count: int | None = None,
     value: str | None = None,
-    width: str = "1 day",
+    width: str | Column = "1 day",
     resolve_timeout: str = RESOLVE_TIMEOUT,
 ) -> DataFrame:
     """Stretches in which ``condition`` (boolean; NULL is false) holds in every sample and no gap exceeds ``step``.
@@ -84,7 +84,7 @@ def sustained(
 
 
 def threshold_alert(
-    df: DataFrame, labels: Sequence[str], ts: str, value: str, rule: Rule, step: str, width: str = "1 day"
+    df: DataFrame, labels: Sequence[str], ts: str, value: str, rule: Rule, step: str, width: str | Column = "1 day"
 ) -> DataFrame:
     """Alert rows of a rule "value above threshold, sustained"."""
     judged = df.withColumn("__over", F.col(value) > F.lit(rule.threshold))
@@ -93,7 +93,7 @@ def threshold_alert(
 
 
 def status_alert(
-    df: DataFrame, labels: Sequence[str], ts: str, status: str, step: str, rule: Rule = RUN_FAILURE, width: str = "1 day"
+    df: DataFrame, labels: Sequence[str], ts: str, status: str, step: str, rule: Rule = RUN_FAILURE, width: str | Column = "1 day"
 ) -> DataFrame:
     """Alert rows of a rule "status equals the threshold, sustained"."""
     judged = df.withColumn("__failed", F.col(status) == F.lit(rule.threshold))

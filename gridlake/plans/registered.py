@@ -17,6 +17,7 @@ from gridlake import schemas
 from gridlake.functions.payloads import parse_json, parse_shares
 from gridlake.operators import alerts, bronze, feed, forecast, gold, metrics, quality, silver
 from gridlake.operators.lookup import lookup_join
+from gridlake.operators.ordered import bucket_width
 from gridlake.plans import daily
 from gridlake.plans.views import dispatch, payloads, regions, table, units
 from gridlake.session import apply_settings, scratch_dir
@@ -566,7 +567,8 @@ COAL_30 = alerts.Rule("HighCoalPercentage", "warning", threshold=30.0, min_count
 
 def _coal_alerts(spark: SparkSession, sf_dir: str, rule: alerts.Rule) -> DataFrame:
     rows = coal_percent_rows(spark, sf_dir)
-    return alerts.threshold_alert(rows, [], "trading_interval", "percent", rule, "30 minutes")
+    cut = bucket_width(dispatch(spark, sf_dir), [], "trading_interval", "1 day")
+    return alerts.threshold_alert(rows, [], "trading_interval", "percent", rule, "30 minutes", cut)
 
 
 @query
@@ -587,7 +589,9 @@ def coal_rate_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = metrics.rate_by(rows, ["source"], ["source"], "ts", "value", RATE_WINDOW, instants)
     share = metrics.label_share(rates, ["ts"], "source", "coal", "rate").withColumn("percent", rounded("percent", 6))
     rule = replace(alerts.HIGH_COAL, threshold=COAL_RATE)
-    found = alerts.threshold_alert(share, [], "ts", "percent", rule, "30 minutes")
+    # The raw rows tell how fine to cut; measuring the shares would compute the rates once more.
+    cut = bucket_width(rows, [], "ts", "1 day")
+    found = alerts.threshold_alert(share, [], "ts", "percent", rule, "30 minutes", cut)
     return found.withColumn("peak", rounded("peak", 4))
 
 
