@@ -1,8 +1,9 @@
 """Personal data: regular expressions propose spans, checksums confirm them, context words adjust the score.
 
 Kinds, in order: ``email``, ``ip``, ``card`` (Luhn), ``phone``, which always count; ``iban`` (mod-97); ``ssn``, whose
-pattern alone is too weak, so that it counts only with a context word within ``REACH`` code points before it. Every span
-has a score between 0 and 1: the kind's prior, raised by a context word of the kind.
+pattern alone is too weak, so that it counts only with a context word within ``REACH`` code points before or after it.
+Every span has a score between 0 and 1: the kind's prior, raised by a context word of the kind. Matches of a kind with
+neither letters nor digits between them (a list) share the words before the first and after the last.
 
 Patterns are written so that no match attempt runs over a stretch more than once (possessive quantifiers, a start only
 where the stretch before it ends): long runs of letters or digits cost linear time, and deep recursion cannot occur.
@@ -70,8 +71,8 @@ def mod_97(code: Column) -> Column:
 def scored(kind: str):
     words = "|".join(any_case(w) for w in CONTEXT[kind])
 
-    def score(_: Column, before: Column) -> Column:
-        near = F.substring(before, -REACH, REACH).rlike(words)
+    def score(before: Column, after: Column) -> Column:
+        near = before.rlike(words) | after.rlike(words)
         points = F.least(F.lit(PRIOR[kind]) + F.when(near, RAISE).otherwise(0.0), F.lit(1.0))
         return points if kind in BASE else F.when(points >= NEEDED, points)
 
@@ -81,22 +82,22 @@ def scored(kind: str):
 def spans(text: Column) -> dict[str, Column]:
     """The spans of each kind."""
     length = F.length
+
+    def of(kind: str, pattern: str, hint: Column | None = None, valid=None) -> Column:
+        return find(text, kind, pattern, hint, valid, scored(kind), REACH)
+
     return {
-        "email": find(text, "email", EMAIL, text.contains("@"), None, scored("email")),
-        "ip": find(text, "ip", IP, None, lambda m: m.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"), scored("ip")),
-        "card": find(
-            text,
+        "email": of("email", EMAIL, text.contains("@")),
+        "ip": of("ip", IP, None, lambda m: m.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$")),
+        "card": of(
             "card",
             CARD,
             text.rlike(r"[0-9](?:[\x20-]?[0-9]){15}"),
             lambda m: length(digits(m)).between(16, 19) & luhn(digits(m)),
-            scored("card"),
-        ),
-        "phone": find(
-            text, "phone", PHONE, text.contains("+"), lambda m: length(digits(m)).between(8, 15), scored("phone")
         ),
-        "iban": find(text, "iban", IBAN, None, lambda m: mod_97(F.replace(m, F.lit(" "), F.lit(""))), scored("iban")),
-        "ssn": find(text, "ssn", SSN, None, None, scored("ssn")),
+        "phone": of("phone", PHONE, text.contains("+"), lambda m: length(digits(m)).between(8, 15)),
+        "iban": of("iban", IBAN, None, lambda m: mod_97(F.replace(m, F.lit(" "), F.lit("")))),
+        "ssn": of("ssn", SSN),
     }
 
 

@@ -23,37 +23,67 @@ def find(
     hint: Column | None = None,
     valid: Callable[[Column], Column] | None = None,
     score: Callable[[Column, Column], Column] | None = None,
+    reach: int = 0,
 ) -> Column:
     """The leftmost non-overlapping matches of ``pattern`` that are ``valid``, as ``SPAN`` in order of place.
 
-    ``hint`` is a cheap condition that every text with a match meets. ``score`` gets the match and the stretch between it
-    and the match before; a null score drops the span. Places are code points, the end exclusive.
+    ``hint`` is a cheap condition that every text with a match meets. Matches with neither letters nor digits and at most
+    ``reach`` code points between them are a list. ``score`` gets the ``reach`` code points of the text before the list
+    and those after it; a null score drops its spans. Places are code points, the end exclusive.
     """
     marked = F.regexp_replace(F.translate(text, MARK, OTHER), F.lit(pattern), F.lit(f"{MARK}$0{MARK}"))
-    pieces = F.split(marked, MARK, -1)
     start = F.struct(
         F.lit(0).cast("bigint").alias("at"),
-        F.lit(False).alias("match"),
+        F.lit(0).alias("n"),
+        F.lit("").alias("tail"),
         F.lit("").alias("before"),
+        F.lit(False).alias("inside"),
+        F.array().cast(SPAN).alias("list"),
         F.array().cast(SPAN).alias("found"),
     )
-
-    def step(state: Column, piece: Column) -> Column:
-        end = state["at"] + F.length(piece)
-        points = score(piece, state["before"]) if score else F.lit(1.0)
-        passes = state["match"] & (valid(piece) if valid else F.lit(True)) & points.isNotNull()
-        span = F.struct(
-            F.lit(kind).alias("kind"), state["at"].alias("start"), end.alias("end"), points.cast("double").alias("score")
-        )
-        return F.struct(
-            end.alias("at"),
-            (~state["match"]).alias("match"),
-            piece.alias("before"),
-            F.when(passes, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
-        )
-
-    found = F.aggregate(pieces, start, step, lambda state: state["found"])
-    return F.when(hint if hint is not None else text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
+    nothing = F.array().cast(SPAN)
+
+    def spans_of(pieces: Column) -> Column:
+        def step(state: Column, piece: Column) -> Column:
+            match = state["n"] % 2 == 1
+            end = state["at"] + F.length(piece)
+            span = F.struct(
+                F.lit(kind).alias("kind"), state["at"].alias("start"), end.alias("end"), F.lit(1.0).alias("score")
+            )
+            passes = match & (valid(piece) if valid else F.lit(True))
+            # Every match is at least one code point long, so that the reach lies in so many pieces.
+            near = F.transform(F.slice(pieces, state["n"] + 1, 2 * reach + 1), lambda p: F.substring(p, 1, reach))
+            points = score(state["before"], F.substring(F.array_join(near, ""), 1, reach)) if score else F.lit(1.0)
+            told = F.transform(
+                F.array(points.cast("double")),
+                lambda x: F.when(
+                    x.isNotNull(), F.transform(state["list"], lambda s: s.withField("score", x))
+                ).otherwise(nothing),
+            )[0]
+            # Without a score nothing depends on lists.
+            short = F.lit(score is not None) & (F.length(piece) <= reach) & (state["n"] + 1 < F.size(pieces))
+            joins = short & ~piece.rlike(r"[\p{L}\p{N}]")
+            ends = ~match & ~joins
+            return F.struct(
+                end.alias("at"),
+                (state["n"] + 1).alias("n"),
+                F.substring(F.concat(state["tail"], F.substring(piece, -reach, reach)), -reach, reach).alias("tail"),
+                F.when(match & ~state["inside"], state["tail"]).otherwise(state["before"]).alias("before"),
+                F.when(match, True).when(ends, False).otherwise(state["inside"]).alias("inside"),
+                F.when(passes, F.concat(state["list"], F.array(span)))
+                .when(ends, nothing)
+                .otherwise(state["list"])
+                .alias("list"),
+                F.when(ends & (F.size(state["list"]) > 0), F.concat(state["found"], told))
+                .otherwise(state["found"])
+                .alias("found"),
+            )
+
+        return F.aggregate(pieces, start, step, lambda state: state["found"])
+
+    # As a lambda's variable the pieces are made once for the text and not again for every match.
+    found = F.transform(F.array(F.split(marked, MARK, -1)), spans_of)[0]
+    return F.when(hint if hint is not None else text.rlike(pattern), found).otherwise(nothing)
 
 
 def written_out(spans: Column) -> Column:

@@ -80,6 +80,42 @@ def test_context_raises_the_score(spark):
     assert scores[0] > scores[1] == pii.PRIOR["phone"]
 
 
+SSN = "123-45-6789"
+
+
+@pytest.mark.parametrize(
+    ("text", "n"),
+    [
+        (f"SSNs: {SSN}, {SSN}, {SSN}", 3),
+        (f"SSNs: {', '.join([SSN] * 30)}", 30),
+        (f"{', '.join([SSN] * 30)} (SSN)", 30),
+        (f"ssn\n- {SSN}\n- {SSN}\n", 2),
+        (f"{SSN} (SSN)", 1),
+        (f"SSN 111-11-1111 and also {SSN}", 2),
+        (f"{SSN} or part no {SSN}", 0),
+        (f"ssn {'x' * 60} {SSN}, {SSN}", 0),
+        (f"{SSN}, {SSN} {'x' * 60} ssn", 0),
+        (f"SSN {SSN}, {SSN}{' ' * 41}{SSN}", 2),
+        (f"\U0001f600SSN {'é' * 36} {SSN}", 0),
+        (f"\U0001f600SSN {'é' * 35} {SSN}", 1),
+        (f"{SSN} {'é' * 36}SSN", 1),
+        (f"{SSN} {'é' * 37}SSN", 0),
+        ("123-45-6780" * 2 + " ssn", 2),
+    ],
+)
+def test_context_reaches_past_other_matches(spark, text, n):
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    want = [f"ssn:{m.start()}:{m.end()}" for m in re.finditer("[0-9]{3}-[0-9]{2}-[0-9]{4}", text)][:n]
+    assert pii.counted(docs).first().spans == ",".join(want)
+    assert pii.redact(docs).first().text == re.sub("[0-9]{3}-[0-9]{2}-[0-9]{4}", "<ssn>", text, count=n) if n else text
+
+
+def test_context_after_and_in_lists_raises_every_score(spark):
+    docs = spark.createDataFrame([(1, "1.2.3.4, 4.3.2.1 are the hosts"), (2, "1.2.3.4, 4.3.2.1")], "doc_id bigint, text string")
+    scores = [list(r[0]) for r in pii.found(docs).orderBy("doc_id").selectExpr("pii.ip.score").collect()]
+    assert scores == [[pytest.approx(0.9)] * 2, [pii.PRIOR["ip"]] * 2]
+
+
 def test_redact(spark, docs):
     text = "write a@b.co or +1 234 567 89 from 1.2.3.4, é end"
     own = spark.createDataFrame([(1, text), (2, None), (3, "none")], "doc_id bigint, text string")
