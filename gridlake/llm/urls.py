@@ -9,8 +9,10 @@ largest sum of the shares of both classes judged right.
 A model is dense, ``32 ** (ORDER + 1)`` numbers whatever the data, so scoring a URL is array lookups in its own row: no
 URL's signs are shuffled to be scored, and what is sent to the tasks has a fixed size.
 
-Defined cases: a null URL, or one without ``://``, has empty host and path, fits no rule, and is judged as an empty
-string; repeated rows are judged alike; without accepted or without rejected URLs the ratio is that of the class there
+The models read the whole URL behind its scheme, query and fragment too; host and path are for the rules and the result.
+
+Defined cases: a URL without ``://`` has empty host and path, fits no rule, and is judged as it is; a null URL likewise,
+as an empty string; repeated rows are judged alike; without accepted or without rejected URLs the ratio is that of the class there
 is against even odds, and the threshold 0; an empty table gives no rows; extra columns stay.
 """
 
@@ -38,6 +40,11 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), "://[^/?#]*([^?#]*)", 1)
 
 
+def signs_of(url: Column) -> Column:
+    """What the models read: all behind the scheme, or all of a URL that has none."""
+    return F.regexp_replace(F.coalesce(url, F.lit("")), "^[^/?#]*?://", "")
+
+
 def ruled(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
     """``pages`` with ``host, path``, the longest fitting ``rule`` and its ``ruling`` (both null without one)."""
     out = pages.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
@@ -126,8 +133,7 @@ def threshold(scored: DataFrame) -> float:
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, order: int = ORDER) -> DataFrame:
     """Per page: host, path, the rule that fits, and the verdict of the rule or else of the model."""
-    text = F.concat("host", "path")
-    rows = ruled(pages.select("page_id", "url"), rules).withColumn("grams", grams(text, order))
+    rows = ruled(pages.select("page_id", "url"), rules).withColumn("grams", grams(signs_of(F.col("url")), order))
     labelled = rows.filter("ruling is not null").select(
         (F.col("ruling") == "allow").alias("accepted"),
         "grams",

@@ -77,6 +77,40 @@ def test_verdicts(spark):
     assert sum(k == 502 for k, _ in got) == 2
 
 
+def test_the_whole_url_is_judged(spark):
+    # Half of the trained URLs differ in the path alone, so that the threshold lies between the words.
+    rows = [(k, f"http://a{k}.example.net/en/{k}" + "?topic=garden#topic" * (k % 2)) for k in range(80)]
+    rows += [(100 + k, f"http://a{k}.example.net/de/{k}" + "?casino-win#casino" * (k % 2)) for k in range(80)]
+    rows += [
+        (500, "http://a.example.info/?topic=garden"),
+        (501, "http://a.example.info/?casino-win"),
+        (502, "http://a.example.info/#topic"),
+        (503, "http://a.example.info/#casino"),
+        (504, "?topic=garden"),
+        (505, "?casino-win"),
+        (506, "//a.example.info/?topic=garden"),
+        (507, "//a.example.info/?casino-win"),
+        (508, "a.example.info/?topic=garden&to=http://a.example.info"),
+        (509, "a.example.info/?casino-win&to=http://a.example.info"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    found = {r.page_id: r.verdict for r in urls.judged(pages, order=2).collect()}
+    assert [found[k] for k in range(500, 510)] == ["allow", "block"] * 5
+
+
+def test_only_the_scheme_is_left_out(spark):
+    cases = {
+        "http://A.b/c?d#e": "A.b/c?d#e",
+        "//host/x": "//host/x",
+        "a.b/c?to=http://d": "a.b/c?to=http://d",
+        "http://a/?to=http://d": "a/?to=http://d",
+        None: "",
+    }
+    df = spark.createDataFrame([(u,) for u in cases], "url string")
+    got = {r.url: r.text for r in df.select("url", urls.signs_of(df["url"]).alias("text")).collect()}
+    assert got == cases
+
+
 def test_one_class_only_and_empty_table(spark):
     pages = spark.createDataFrame([(1, "http://a.net/x"), (2, "http://b.com/")], "page_id bigint, url string")
     found = {r.page_id: r.verdict for r in urls.judged(pages, order=1).collect()}
