@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import free, text_or_empty
-from gridlake.llm.spans import any_case, digits, find, written_out
+from gridlake.llm.spans import MARK, OTHER, any_case, digits, find, written_out
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _LABEL = "[A-Za-z0-9-]++"
@@ -28,9 +28,22 @@ EMAIL = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_LABEL}(?:\.{_LABEL})++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+# Where an account number can begin, and one of a country without a length below.
+IBAN_START = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){8}"
 IBAN = r"[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_COUNTRY = f"^(?:{'|'.join(c for names in IBAN_LENGTHS.values() for c in names.split())})"
+IBAN_EXACT = "|".join(
+    f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items()
+)
+
 BASE = ("email", "ip", "card", "phone")
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.5, "iban": 0.9, "ssn": 0.3}
 CONTEXT = {
@@ -68,6 +81,58 @@ def mod_97(code: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1
 
 
+def iban_length(ahead: Column) -> Column:
+    """Code points of the valid account number that ``ahead`` begins with, 0 without one.
+
+    A number of a known country has that country's length. Else mod-97 chooses: the longest proposal, and where the
+    country is not known, one that ends at an earlier blank.
+    """
+    words = F.split(F.regexp_extract(ahead, f"^(?:{IBAN})", 0), " ")
+    known = ahead.rlike(IBAN_COUNTRY)
+
+    def proposals(words: Column) -> Column:
+        fewer = F.sequence(F.lit(0), F.when(known, 0).otherwise(F.greatest(F.size(words) - 3, F.lit(0))))
+        return F.transform(fewer, lambda k: F.array_join(F.slice(words, 1, F.size(words) - k), " "))
+
+    exact = F.array(F.regexp_extract(ahead, f"^(?:{IBAN_EXACT})", 0))
+    every = F.concat(exact, F.transform(F.array(words), proposals)[0])
+    valid = F.filter(every, lambda m: (m != "") & mod_97(F.replace(m, F.lit(" "), F.lit(""))))
+    return F.coalesce(F.length(F.get(valid, F.lit(0))), F.lit(0))
+
+
+def marked_ibans(text: Column) -> Column:
+    """``text`` with marks around its account numbers. Every place where one can begin is tried, from left to right, so
+    that a proposal that fails hides none that begins inside it."""
+    length = F.length
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("left"), F.lit("").alias("out"))
+
+    def marks(pieces: Column) -> Column:
+        def step(state: Column, piece: Column) -> Column:
+            # Places are at least four code points apart, and a number with blanks has at most 68.
+            ahead = F.substring(F.array_join(F.slice(pieces, state["n"] + 1, 18), ""), 1, 68)
+
+            def placed(own: Column) -> Column:
+                # ``left`` is what this piece holds of a number, at most all of it; the rest lies in the next pieces.
+                left = F.when(state["left"] > 0, state["left"]).otherwise(own)
+                begun = F.when(own > 0, F.concat(F.lit(MARK), piece)).otherwise(piece)
+                at = left + F.when(own > 0, 1).otherwise(0)
+                ended = F.concat(F.substring(begun, F.lit(1), at), F.lit(MARK), F.substring(begun, at + 1, length(begun)))
+                inside = (left > 0) & (left <= length(piece))
+                return F.struct(
+                    (state["n"] + 1).alias("n"),
+                    F.when(left > length(piece), left - length(piece)).otherwise(0).alias("left"),
+                    F.concat(state["out"], F.when(inside, ended).otherwise(begun)).alias("out"),
+                )
+
+            own = F.when((state["left"] == 0) & piece.rlike("^[A-Z]{2}[0-9]{2}"), iban_length(ahead)).otherwise(0)
+            return F.transform(F.array(own), placed)[0]
+
+        return F.aggregate(pieces, start, step, lambda state: state["out"])
+
+    pieces = F.split(F.translate(text, MARK, OTHER), f"(?={IBAN_START})", -1)
+    return F.transform(F.array(pieces), marks)[0]
+
+
 def scored(kind: str):
     words = "|".join(any_case(w) for w in CONTEXT[kind])
 
@@ -83,8 +148,8 @@ def spans(text: Column) -> dict[str, Column]:
     """The spans of each kind."""
     length = F.length
 
-    def of(kind: str, pattern: str, hint: Column | None = None, valid=None) -> Column:
-        return find(text, kind, pattern, hint, valid, scored(kind), REACH)
+    def of(kind: str, pattern: str, hint: Column | None = None, valid=None, marked: Column | None = None) -> Column:
+        return find(text, kind, pattern, hint, valid, scored(kind), REACH, marked)
 
     return {
         "email": of("email", EMAIL, text.contains("@")),
@@ -96,7 +161,7 @@ def spans(text: Column) -> dict[str, Column]:
             lambda m: length(digits(m)).between(16, 19) & luhn(digits(m)),
         ),
         "phone": of("phone", PHONE, text.contains("+"), lambda m: length(digits(m)).between(8, 15)),
-        "iban": of("iban", IBAN, None, lambda m: mod_97(F.replace(m, F.lit(" "), F.lit("")))),
+        "iban": of("iban", IBAN_START, None, None, marked_ibans(text)),
         "ssn": of("ssn", SSN),
     }
 

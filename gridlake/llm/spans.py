@@ -24,14 +24,17 @@ def find(
     valid: Callable[[Column], Column] | None = None,
     score: Callable[[Column, Column], Column] | None = None,
     reach: int = 0,
+    marked: Column | None = None,
 ) -> Column:
     """The leftmost non-overlapping matches of ``pattern`` that are ``valid``, as ``SPAN`` in order of place.
 
     ``hint`` is a cheap condition that every text with a match meets. Matches with neither letters nor digits and at most
     ``reach`` code points between them are a list. ``score`` gets the ``reach`` code points of the text before the list
-    and those after it; a null score drops its spans. Places are code points, the end exclusive.
+    and those after it; a null score drops its spans. Places are code points, the end exclusive. ``marked`` is the text
+    with marks around other matches than the leftmost.
     """
-    marked = F.regexp_replace(F.translate(text, MARK, OTHER), F.lit(pattern), F.lit(f"{MARK}$0{MARK}"))
+    if marked is None:
+        marked = F.regexp_replace(F.translate(text, MARK, OTHER), F.lit(pattern), F.lit(f"{MARK}$0{MARK}"))
     start = F.struct(
         F.lit(0).cast("bigint").alias("at"),
         F.lit(0).alias("n"),

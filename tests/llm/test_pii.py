@@ -80,6 +80,44 @@ def test_context_raises_the_score(spark):
     assert scores[0] > scores[1] == pii.PRIOR["phone"]
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("IBAN BE68 5390 0754 7034 BIC GKCCBEBB", "5:24"),
+        ("BE68 5390 0754 7034.", "0:19"),
+        ("ES91 2100 0418 4502 0005 1332 BIC CAIXESBB", "0:29"),
+        ("AT61 1904 3002 3457 3201 BIC X", "0:24"),
+        ("BE68 5390 0754 7034 BE68 5390 0754 7034 BE68 5390 0754 7034 1", "0:19 20:39 40:59"),
+        ("NO93 8601 1117 947 TEL 12", "0:18"),
+        ("GB82WEST12345698765432 BIC", "0:22"),
+        ("BE68539007547034 BIC", "0:16"),
+        ("BE68 539007547034 BIC", "0:17"),
+        ("MT84 MALT 0110 0001 2345 MTLC AST0 01S AND", "0:38"),
+        ("REF AB12 0001 BE68 5390 0754 7034 BIC", "14:33"),
+        ("BE12 3456 7890 BE68 5390 0754 7034", "15:34"),
+        ("BE67 5390 0754 7034 BIC GKCCBEBB", ""),
+        ("\U0001f600 DE89370400440532013000 é BE68 5390 0754 7034 TO é", "2:24 27:46"),
+        ("AB12" * 3000, ""),
+        (" ".join(["BE68 5390 0754 7034"] * 200), " ".join(f"{20 * k}:{20 * k + 19}" for k in range(200))),
+    ],
+)
+def test_ibans_of_any_length_before_other_words(spark, text, want):
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    found = [f"{s.start}:{s.end}" for s in pii.found(docs).first().pii.iban]
+    assert " ".join(found) == want
+
+
+def test_iban_of_a_country_without_a_length(spark):
+    def made(country, rest):
+        digits = "".join(str(int(c, 36)) for c in f"{rest}{country}00")
+        return f"{country}{98 - int(digits) % 97:02d}{rest}"
+
+    code = made("ZZ", "123456789012")
+    text = " ".join(code[k : k + 4] for k in range(0, 16, 4))
+    docs = spark.createDataFrame([(1, f"IBAN {text} BIC ABCDZZ2X")], "doc_id bigint, text string")
+    assert [(s.start, s.end) for s in pii.found(docs).first().pii.iban] == [(5, 24)]
+
+
 SSN = "123-45-6789"
 
 
