@@ -5,12 +5,15 @@ node clockwise. Arcs are dealt largest first; one whose shard would pass ``(1 +
 clockwise to the next virtual node of a shard with room. If no shard has room (an arc larger than every gap, as in tiny
 tables), it goes to the least loaded one. Only the arcs' sums, a fixed number set by ``arcs``, reach the driver.
 
-A slot is the place of a document in its shard: rows before its arc plus its rank within it, so that no task ever
-numbers a whole shard.
+Rows equal in id and text are one key, counted once. A key with more bytes than the slack of a shard is cut into pieces
+of at most that, or of one row, each with an arc of its own, so that repeated rows fill no shard.
+
+A slot is the place of a document in its shard: rows before its arc, rows before its piece there, and its number in the
+piece, so that no task ever numbers a whole shard or a whole key.
 
 Defined cases: a null text has size 1 and the checksum of the empty text; null or repeated doc_ids are spread by the
-hash of id and text; rows equal in both are one key, lie in one arc and have successive slots in any order; an
-empty table gives no rows; extra columns are not read.
+hash of id and text; the rows of a piece have successive slots in any order; an empty table gives no rows; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -73,16 +76,30 @@ def arc_of(key: list[Column], arcs: int = ARCS) -> Column:
 def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard``; the law is ``bytes``: sizes are near equal."""
     text = text_or_empty().cast("binary")
-    rows = written(
+    keys = written(
         docs.select(
             "doc_id",
             (F.octet_length(text) + 1).cast("bigint").alias("size"),
             F.crc32(text).alias("text_crc32"),
             arc_of([F.col("doc_id"), F.col("text")]).alias("arc"),
-        ),
-        "shard-rows",
+        )
+        .groupBy("doc_id", "size", "text_crc32", "arc")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "shard-keys",
     )
-    totals = rows.groupBy("arc").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
+    room = int(slack * (keys.agg(F.sum(F.col("size") * F.col("n"))).first()[0] or 0) / shards)
+    most = F.greatest(F.floor(F.lit(room) / F.col("size")), F.lit(1))
+    # The first piece stays in the arc of its key.
+    elsewhere = arc_of([F.col("doc_id"), F.col("text_crc32"), F.col("size"), F.col("piece")])
+    pieces = written(
+        keys.withColumn("most", most)
+        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / F.col("most")))))
+        .withColumn("n", F.least(F.col("most"), F.col("n") - F.col("piece") * F.col("most")))
+        .withColumn("arc", F.when(F.col("piece") == 0, F.col("arc")).otherwise(elsewhere))
+        .drop("most"),
+        "shard-pieces",
+    )
+    totals = pieces.groupBy("arc").agg(F.sum(F.col("size") * F.col("n")).alias("size"), F.sum("n").alias("n")).collect()
     owner = place({r["arc"]: r["size"] for r in totals}, range(shards), slack)
     counts = {r["arc"]: r["n"] for r in totals}
     shard_of, before = np.zeros(ARCS, int), np.zeros(ARCS, np.int64)
@@ -94,17 +111,20 @@ def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK) -> DataFrame:
     arcs = spark.createDataFrame(
         [(a, int(shard_of[a]), int(before[a])) for a in sorted(owner)], "arc int, shard int, before bigint"
     )
-    rank = F.row_number().over(Window.partitionBy("arc").orderBy("doc_id", "text_crc32", "size"))
+    upto = Window.partitionBy("arc").orderBy("doc_id", "text_crc32", "size", "piece").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     return (
-        rows.withColumn("rank", rank)
+        pieces.withColumn("start", F.sum("n").over(upto) - F.col("n"))
         .join(F.broadcast(arcs), "arc")
+        .withColumn("number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)))
         .select(
             "doc_id",
             "size",
             "text_crc32",
             F.lit("bytes").alias("law"),
             "shard",
-            (F.col("before") + F.col("rank") - 1).alias("slot"),
+            (F.col("before") + F.col("start") + F.col("number")).alias("slot"),
             F.lit(None).cast("int").alias("grown_shard"),
         )
     )

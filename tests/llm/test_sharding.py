@@ -24,6 +24,22 @@ def test_sizes_are_near_equal(spark):
     assert len(loads) == 8 and loads[-1] - loads[0] < 0.01 * loads[0]
 
 
+def test_repeated_rows_fill_no_shard(spark):
+    docs = spark.range(30000).selectExpr(
+        "if(id % 3 = 0, null, id) as doc_id", "if(id % 3 = 0, 'one text', repeat('x', 8)) as text"
+    )
+    got = sharding.assign(docs)
+    loads = sorted(r["sum(size)"] for r in got.groupBy("shard").sum("size").collect())
+    assert len(loads) == 8 and sum(loads) == 270000 and loads[-1] - loads[0] < 0.01 * loads[0]
+    for r in got.groupBy("shard").agg({"slot": "max", "*": "count"}).collect():
+        assert r["max(slot)"] + 1 == r["count(1)"]
+    assert got.select("shard", "slot").distinct().count() == 30000
+    rows = got.groupBy("doc_id", "size", "text_crc32").count().filter("doc_id is null").collect()
+    assert [tuple(r) for r in rows] == [(None, 9, zlib.crc32(b"one text"), 10000)]
+    again = sharding.assign(docs.repartition(7))
+    assert Counter(got.drop("slot").collect()) == Counter(again.drop("slot").collect())
+
+
 def test_reruns_agree(docs):
     one, two = (Counter(sharding.assign(d).drop("slot").collect()) for d in (docs, docs.repartition(7)))
     assert one == two
