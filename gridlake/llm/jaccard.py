@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import columns_of, free, measured, small_batches, text_or_empty, written
+from gridlake.llm.common import BROADCAST_ROWS, columns_of, free, measured, small_batches, text_or_empty, written
 from gridlake.llm.components import components
 
 SHINGLE = 5
@@ -227,8 +227,6 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     over, under = THRESHOLD
     for rows, _ in whole_groups(batches, ["label", "i", "j"]):
-        # A repeated row brings its text again.
-        rows = rows.take(pa.array(group_bounds(rows, ["label", "i", "j", "node"])[:-1]))
         bounds = group_bounds(rows, ["label", "i", "j"])
         node = rows["node"].combine_chunks()
         center = np.arange(rows.num_rows)
@@ -337,11 +335,18 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("words") / BLOCK_WORDS)).alias("blocks")
     members = written(members.join(sizes.select("label", blocks), "label"), "jaccard-members")
-    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("node", digest(F.col("text"))).alias("d")
-    small = measured(members).alias("m")
-    found = texts.join(small, (F.col("d.node") == F.col("m.node")) & F.col("d.doc_id").eqNullSafe(F.col("m.rep"))).select(
+    texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("node", digest(F.col("text")))
+    # One row per node: a repeated row brings its text again. The members' rows alone are reduced if they are found by a
+    # broadcast, else all rows, before the join deals them out by node.
+    n_members = members.count()
+    if n_members > BROADCAST_ROWS:
+        texts = texts.groupBy("node", "doc_id").agg(F.any_value("text").alias("text"))
+    d, m = texts.alias("d"), measured(members, n_members).alias("m")
+    found = d.join(m, (F.col("d.node") == F.col("m.node")) & F.col("d.doc_id").eqNullSafe(F.col("m.rep"))).select(
         "d.text", "m.node", "m.label", "m.copies", "m.blocks"
     )
+    if n_members <= BROADCAST_ROWS:
+        found = found.groupBy("node", "label", "copies", "blocks").agg(F.any_value("text").alias("text"))
     checked = written(
         in_blocks(found, F.col("blocks"))
         .select("label", "i", "j", "own", "node", "copies", "text")

@@ -48,6 +48,24 @@ def test_cases(docs, rows):
     assert got == brute([(i, t) for i, t, _ in rows])
 
 
+@pytest.mark.parametrize("broadcast_rows", [jaccard.BROADCAST_ROWS, 0])
+def test_a_repeated_row_brings_its_text_once(spark, monkeypatch, broadcast_rows):
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(7, text)] * 50 + [(None, text + " more")] * 50 + [(9, text + " again")]
+    counts, blocked = [], jaccard.in_blocks
+
+    def in_blocks(found, blocks):
+        if "text" in found.columns:
+            counts.append((found.count(), found.select("node").distinct().count()))
+        return blocked(found, blocks)
+
+    monkeypatch.setattr(jaccard, "in_blocks", in_blocks)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", broadcast_rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = Counter(tuple(r) for r in jaccard.classes(docs).collect())
+    assert counts == [(3, 3)] and got == brute(rows)
+
+
 def test_keep_one(docs, rows):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
