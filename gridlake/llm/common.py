@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.session import scratch_dir
+from gridlake.session import discard, scratch_dir
 
 # ASCII white space of the word contracts; ``bytes.split`` and ``bytes.strip`` use the same six.
 SPACE = rb" \t\n\v\f\r"
@@ -68,3 +71,14 @@ def text_or_empty(name: str = "text") -> Column:
 def item_words(text: str | None) -> list[bytes]:
     """Runs of ASCII letters and digits and of anything beyond ASCII, with A-Z lower-cased."""
     return text.encode("utf-8", "replace").translate(_ITEM).split() if text else []
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """Like ``written``, for a table that is deleted when the block ends."""
+    path = scratch_dir(df.sparkSession, purpose)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        discard(df.sparkSession, path)

@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.llm import credentials, decontaminate, jaccard, language, lines, mixing, pii, quality, sharding, urls
+from gridlake.llm import (
+    credentials,
+    decontaminate,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    substrings,
+    urls,
+)
 from gridlake.llm.common import table
 from gridlake.llm.sql import ORACLE_SQL
 
@@ -49,6 +61,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.marked(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
@@ -62,4 +78,5 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
+    "op11_substring_dedup": op11_substring_dedup,
 }

@@ -264,6 +264,24 @@ select page_id, host, path, rule,
 from ruled join scores using (rid), cut
 """
 
+_OP11 = r"""
+with words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+    select doc_id, i, array_to_string(w[i:i + 12], ' ') as s
+    from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from words)),
+firsts as (select s, min(doc_id) as holder from windows group by s having count(distinct doc_id) > 1),
+gone as (
+    select distinct doc_id, unnest(range(i, i + 13)) as p from windows join firsts using (s) where holder < doc_id),
+placed as (
+    select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from words),
+kept as (
+    select doc_id, count(*) as n_kept, string_agg(word, ' ' order by p) as text
+    from placed anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n_kept, 0))::bigint as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _OP2,
     "op3_line_dedup": _OP3,
@@ -272,4 +290,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_secrets": _OP7,
     "op8_url_filter": _OP8,
     "op9_jaccard_join": _OP9,
+    "op11_substring_dedup": _OP11,
 }
