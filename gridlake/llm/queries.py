@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.llm import (
+    collocations,
     credentials,
     decontaminate,
+    divergence,
     jaccard,
     language,
     lines,
@@ -65,6 +67,14 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.marked(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {
@@ -79,4 +89,6 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_collocations": op13_collocations,
 }

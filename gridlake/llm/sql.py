@@ -282,6 +282,72 @@ select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n_kept, 0))::bigint
 from words left join kept using (doc_id)
 """
 
+_OP12 = r"""
+with docs as (
+    select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           coalesce(text, '') as text
+    from documents),
+tokens as (
+    select rid, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+counts as (select lang, source, term, count(*) as n from tokens group by all),
+kept as (select lang, term, count(*) as n from tokens group by all having count(distinct rid) >= 30),
+langs as (select lang, count(*) as v, sum(n) as total from kept group by lang),
+groups as (select distinct lang, source from docs),
+cells as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as n, k.n as n_lang
+    from groups g join kept k using (lang) left join counts c using (lang, source, term)),
+sizes as (select lang, source, sum(n) as total from cells group by all),
+shares as (
+    select c.lang, c.source, term, n,
+           (1 + 1000000000::hugeint * (n + 5) // (s.total + 5 * v)::hugeint)::bigint as p,
+           (1 + 1000000000::hugeint * (n_lang + 5) // (l.total + 5 * v)::hugeint)::bigint as q
+    from cells c join sizes s using (lang, source) join langs l using (lang)),
+apart as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from shares a join shares b using (lang, term) where a.source <> b.source group by all),
+pairs as (
+    select a.lang, a.source, b.source as item, coalesce(value, 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+every as (
+    select lang, source, 'pair' as part, item, value from pairs
+    union all select lang, source, 'term', term, p - q from shares where n > 0 and p > q),
+ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, encode(item))::int as rank from every)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""
+
+_OP13 = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from words group by lang),
+grams as (
+    select lang, k, w[i:i + k - 1] as g
+    from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from words, (select unnest([1, 2, 3, 4]) as k))),
+found as (select lang, k, g, array_to_string(g, ' ') as phrase, count(*) as f from grams group by all having count(*) >= 30),
+cuts as (
+    select lang, k, g, phrase, f as a, c, array_to_string(g[1:c], ' ') as head, array_to_string(g[c + 1:k], ' ') as tail
+    from (select *, unnest(range(1, k)) as c from found where k > 1)),
+scores as (
+    select t.lang, t.phrase, t.k, a, c, x.f as l, y.f as r, (2000000::hugeint * a // (x.f + y.f)::hugeint)::bigint as score
+    from cuts t join found x on x.lang = t.lang and x.phrase = t.head join found y on y.lang = t.lang and y.phrase = t.tail),
+lowest as (
+    select * from scores qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+inside as (
+    select lang, array_to_string(g[i:i + s - 1], ' ') as phrase, max(f) as cover
+    from (select *, unnest(range(1, k - s + 2)) as i from (select *, unnest(range(2, k)) as s from found where k > 2))
+    group by all),
+ranked as (
+    select lang, phrase, a, l, r, score,
+           row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank
+    from lowest left join inside using (lang, phrase) where cover is null or 100 * cover < 80 * a)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _OP2,
     "op3_line_dedup": _OP3,
@@ -291,4 +357,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_url_filter": _OP8,
     "op9_jaccard_join": _OP9,
     "op11_substring_dedup": _OP11,
+    "op12_source_divergence": _OP12,
+    "op13_collocations": _OP13,
 }

@@ -20,6 +20,8 @@ FIRST = {
     "op9_jaccard_join": "doc_id class_id n_links",
     "op10_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op11_substring_dedup": "doc_id n_words n_removed kept_sha256",
+    "op12_source_divergence": "lang source part item value rank",
+    "op13_collocations": "lang rank phrase a l r n score",
 }
 # Hashes of the operators that the other engine does not have, and a trained labelling.
 WITHOUT_SQL = {"op1_mixing", "op6_language_id", "op10_sharding"}
