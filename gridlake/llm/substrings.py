@@ -76,18 +76,21 @@ def crowded_slots(texts: DataFrame, parts: int) -> np.ndarray:
 
 def _send(parts: int, crowded: Broadcast, most_held: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list] = {}
+        held: dict[bytes, int] = {}
+        least, most, to = [], [], []
 
         def rows() -> pa.RecordBatch:
-            packer = zstandard.ZstdCompressor(level=3)
-            columns = [[], [], [], []]
-            for part, group in itertools.groupby(sorted(held.items(), key=lambda x: x[1][0]), lambda x: x[1][0]):
-                strings, known = zip(*group, strict=True)
-                ids = np.array([k[1:] for k in known], np.int64)
-                columns[0].append(part)
-                columns[1].append(packer.compress(b"\n".join(strings)))
-                for c, i in ((2, 0), (3, 1)):
-                    columns[c].append(packer.compress(np.diff(ids[:, i], prepend=0).tobytes()))
+            packer = zstandard.ZstdCompressor(level=1)
+            order = np.argsort(to, kind="stable")
+            dealt, low, high = (np.array(x, np.int64)[order] for x in (to, least, most))
+            strings = list(held)
+            strings = [strings[i] for i in order.tolist()]
+            edges = [0, *(np.flatnonzero(np.diff(dealt)) + 1).tolist(), len(dealt)]
+            columns = [dealt[edges[:-1]].tolist(), [], [], []]
+            for a, b in itertools.pairwise(edges):
+                columns[1].append(packer.compress(b"\n".join(strings[a:b])))
+                columns[2].append(packer.compress(np.diff(low[a:b], prepend=0).tobytes()))
+                columns[3].append(packer.compress(np.diff(high[a:b], prepend=0).tobytes()))
             types = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["part", "strings", "least", "most"]
@@ -96,22 +99,22 @@ def _send(parts: int, crowded: Broadcast, most_held: int):
         for texts, keys in _blocks(batches):
             words = words_of(texts)
             runs = runs_of(words, parts * SLOTS, crowded.value)
-            ends = runs.first + runs.size + (WINDOW - 1)
-            part = (runs.key % np.uint64(parts)).astype(np.int64)
-            for first, end, to, text in zip(
-                runs.first.tolist(), ends.tolist(), part.tolist(), runs.text.tolist(), strict=True
-            ):
-                string, key = words.cut(first, end), keys[text]
-                known = held.get(string)
-                if known is None:
-                    held[string] = [to, key, key]
-                elif key < known[1]:
-                    known[1] = key
-                elif key > known[2]:
-                    known[2] = key
+            part = (runs.key % np.uint64(parts)).tolist()
+            for string, p, text in zip(runs.strings(words), part, runs.text.tolist(), strict=True):
+                key = keys[text]
+                at = held.setdefault(string, len(to))
+                if at == len(to):
+                    to.append(p)
+                    least.append(key)
+                    most.append(key)
+                elif key < least[at]:
+                    least[at] = key
+                elif key > most[at]:
+                    most[at] = key
             if len(held) >= most_held:
                 yield rows()
-                held = {}
+                for x in (held, least, most, to):
+                    x.clear()
         if held:
             yield rows()
 
@@ -125,9 +128,12 @@ def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes], list[in
         yield part, reader.decompress(strings).split(b"\n"), *ids
 
 
-def first_documents(strings: list[bytes], least: np.ndarray, most: np.ndarray) -> Iterator[tuple[int, list, list]]:
-    """Strings with windows of two documents: number, places of those windows, and the first document of each."""
-    hashes, holder, place, texts = [], [], [], []
+def first_documents(strings: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of two documents or more: the number of their string, their first document, and a bit for each place.
+
+    One entry to a string and a first document; most strings have only one.
+    """
+    hashes, holder, place, windows = [], [], [], []
     at = 0
     while at < len(strings):
         upto, size = at, 0
@@ -135,14 +141,15 @@ def first_documents(strings: list[bytes], least: np.ndarray, most: np.ndarray) -
             size += len(strings[upto])
             upto += 1
         words = words_of(strings[at:upto])
-        texts.append((at, words))
         n = np.diff(words.firsts) - (WINDOW - 1)
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         first = np.repeat(words.firsts[:-1], n) + inside
         hashes.append(words.hashes(first, first + WINDOW))
         holder.append(np.repeat(np.arange(at, upto), n))
         place.append(inside)
+        windows.append((words, first))
         at = upto
+    bounds = np.cumsum([0, *map(len, hashes)])
     hashes, holder, place = (np.concatenate(x) for x in (hashes, holder, place))
     first, last = least[holder], most[holder]
     order = np.argsort(hashes, kind="stable")
@@ -150,70 +157,71 @@ def first_documents(strings: list[bytes], least: np.ndarray, most: np.ndarray) -
     again = np.sort(order[np.concatenate([same, [False]]) | np.concatenate([[False], same])])
     # Equal windows have equal hashes; those with equal hashes are told apart by their words.
     groups: dict[bytes, int] = {}
-    group = np.zeros(len(again), np.int64)
-    starts = [at for at, _ in texts]
-    block = np.searchsorted(starts, holder[again], side="right") - 1
-    for i, (b, h, p) in enumerate(zip(block.tolist(), holder[again].tolist(), place[again].tolist(), strict=True)):
-        at, words = texts[b]
-        begin = int(words.firsts[h - at]) + p
-        group[i] = groups.setdefault(words.cut(begin, begin + WINDOW), len(groups))
+    group = []
+    for (words, begins), low, high in zip(windows, bounds[:-1], bounds[1:], strict=True):
+        begin = begins[again[np.searchsorted(again, low) : np.searchsorted(again, high)] - low]
+        group += [groups.setdefault(w, len(groups)) for w in words.cut(begin, begin + WINDOW)]
+    group = np.array(group, np.int64)
     low, high = np.full(len(groups), LAST, np.int64), np.full(len(groups), -LAST - 1, np.int64)
     np.minimum.at(low, group, first[again])
     np.maximum.at(high, group, last[again])
     first[again], last[again] = low[group], high[group]
     shared = np.flatnonzero(first < last)
-    owners = holder[shared]
-    edges = [0, *(np.flatnonzero(np.diff(owners)) + 1).tolist(), len(owners)]
-    for a, b in itertools.pairwise(edges):
-        if a < b:
-            yield int(owners[a]), place[shared[a:b]].tolist(), first[shared[a:b]].tolist()
+    shared = shared[np.lexsort((first[shared], holder[shared]))]
+    owner, who = holder[shared], first[shared]
+    if not len(owner):
+        return owner, who, owner
+    edges = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(who) != 0)]))
+    bits = np.bitwise_or.reduceat(np.left_shift(np.int64(1), place[shared]), edges)
+    return owner[edges], who[edges], bits
 
 
-def digest(string: bytes) -> tuple[int, int]:
-    """Both halves of the string's 128-bit hash, as signed numbers."""
-    whole = xxhash.xxh3_128_intdigest(string)
-    return (whole >> 64) - (1 << 63), (whole & ((1 << 64) - 1)) - (1 << 63)
+def digests(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of each string's 128-bit hash."""
+    halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, strings)), np.int64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
 
 
-SHARED = "id bigint, proof bigint, places array<int>, firsts array<bigint>"
+SHARED = "id bigint, proof bigint, who bigint, bits bigint"
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parts one after the other; of each, the strings with windows of two documents."""
-    types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
     packed = (x for batch in batches for x in _unpacked(batch))
     for _, blobs in itertools.groupby(packed, lambda x: x[0]):
-        known: dict[bytes, tuple[int, int]] = {}
-        for _, strings, least, most in blobs:
-            for string, low, high in zip(strings, least, most, strict=True):
-                if (old := known.get(string)) is not None:
-                    low, high = min(low, old[0]), max(high, old[1])
-                known[string] = (low, high)
+        known: dict[bytes, int] = {}
+        least, most = [], []
+        for _, strings, lows, highs in blobs:
+            for string, low, high in zip(strings, lows, highs, strict=True):
+                at = known.setdefault(string, len(least))
+                if at == len(least):
+                    least.append(low)
+                    most.append(high)
+                else:
+                    least[at], most[at] = min(low, least[at]), max(high, most[at])
         strings = list(known)
-        least, most = np.array(list(known.values()), np.int64).T.copy()
-        known.clear()
-        rows = [(*digest(strings[i]), places, firsts) for i, places, firsts in first_documents(strings, least, most)]
-        columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+        owner, who, bits = first_documents(strings, np.array(least, np.int64), np.array(most, np.int64))
+        id_, proof = digests([strings[i] for i in owner.tolist()])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id", "proof", "places", "firsts"]
+            [pa.array(c, pa.int64()) for c in (id_, proof, who, bits)], ["id", "proof", "who", "bits"]
         )
 
 
 def _occurrences(slots: int, crowded: Broadcast):
+    """The super-k-mers of each text, once for all its copies that a task reads one after the other or nearly so."""
+
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for texts, keys in _blocks(batches):
-            words = words_of(texts)
+            marks = list(map(xxhash.xxh3_128_digest, texts))
+            new = [i for i, mark in enumerate(marks) if mark not in seen and not seen.add(mark)]
+            words = words_of([texts[i] for i in new])
             runs = runs_of(words, slots, crowded.value)
-            ends = runs.first + runs.size + (WINDOW - 1)
-            found = {
-                (digest(words.cut(first, end))[0], keys[text])
-                for first, end, text in zip(runs.first.tolist(), ends.tolist(), runs.text.tolist(), strict=True)
-            }
-            columns = list(zip(*found, strict=True)) or [[], []]
-            types = [pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id", "text_key"]
-            )
+            key = np.array([keys[i] for i in new], np.int32)[runs.text]
+            id_, _ = digests(runs.strings(words))
+            yield pa.RecordBatch.from_arrays([pa.array(id_, pa.int64()), pa.array(key)], ["id", "text_key"])
+            if len(seen) >= HELD:
+                seen.clear()
 
     return occurrences
 
@@ -222,29 +230,46 @@ KEPT = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", p
 
 
 def _kept(slots: int, crowded: Broadcast):
-    def marks(text: bytes, key: int, shared: dict) -> np.ndarray:
-        """Whether each word of a text is covered by a window that starts in a document before ``key``."""
-        gone = np.zeros(len(text.split()) + 1, np.int64)
-        for at, piece in pieces(text):
-            words = words_of([piece])
+    def covered(texts: list[bytes], keys: list[int], lists: list[pa.Array]) -> list[np.ndarray]:
+        """For each text, whether each word is covered by a window that starts in a document before ``key``."""
+        gone = [np.zeros(len(text.split()) + 1, np.int32) for text in texts]
+        shared: list[dict[tuple[int, int], int]] = []
+        for key, found in zip(keys, lists, strict=True):
+            columns = [x.to_numpy(zero_copy_only=False) for x in found.flatten()]
+            before = columns[2] < key
+            bits: dict[tuple[int, int], int] = {}
+            for id_, proof, bit in zip(*(columns[c][before].tolist() for c in (0, 1, 3)), strict=True):
+                bits[id_, proof] = bits.get((id_, proof), 0) | bit
+            shared.append(bits)
+        cut = [(i, at, piece) for i, text in enumerate(texts) if shared[i] for at, piece in pieces(text)]
+        for block in _by_size(cut):
+            words = words_of([piece for _, _, piece in block])
             runs = runs_of(words, slots, crowded.value)
-            for first, size in zip(runs.first.tolist(), runs.size.tolist(), strict=True):
-                places, firsts = shared.get(digest(words.cut(first, first + size + WINDOW - 1)), ((), ()))
-                for place, who in zip(places, firsts, strict=True):
-                    if who < key:
-                        gone[at + first + place] += 1
-                        gone[at + first + place + WINDOW] -= 1
-        return np.cumsum(gone[:-1]) > 0
-
-    def kept(texts: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch, keys, lists in texts:
+            id_, proof = digests(runs.strings(words))
+            inside = runs.first - words.firsts[runs.text]
+            for text, first, *key in zip(
+                runs.text.tolist(), inside.tolist(), id_.tolist(), proof.tolist(), strict=True
+            ):
+                i, at, _ = block[text]
+                bits = shared[i].get(tuple(key), 0) & ((1 << 64) - 1)
+                while bits:
+                    place = at + first + (bits & -bits).bit_length() - 1
+                    gone[i][place] += 1
+                    gone[i][place + WINDOW] -= 1
+                    bits &= bits - 1
+        return [np.cumsum(x[:-1]) > 0 for x in gone]
+
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, keys, lists in batches:
+            texts = [x.as_py().encode("utf-8", "replace") for x in batch]
+            listed = np.flatnonzero(lists.is_valid()).tolist()
+            marks = covered([texts[i] for i in listed], [keys[i].as_py() for i in listed], [lists[i].values for i in listed])
+            marks = dict(zip(listed, marks, strict=True))
             rows = []
-            for text, key, found in zip(batch, keys.to_pylist(), lists, strict=True):
-                text = text.as_py().encode("utf-8", "replace")
+            for i, text in enumerate(texts):
                 words = left = text.split()
-                if found.is_valid:
-                    shared = {(x["id"], x["proof"]): (x["places"], x["firsts"]) for x in found.as_py()}
-                    left = list(itertools.compress(words, ~marks(text, key, shared)))
+                if i in marks:
+                    left = list(itertools.compress(words, ~marks[i]))
                 rows.append({
                     "n_words": len(words),
                     "n_removed": len(words) - len(left),
@@ -255,12 +280,25 @@ def _kept(slots: int, crowded: Broadcast):
     return F.arrow_udf(kept, "n_words bigint, n_removed bigint, text string")
 
 
+def _by_size(cut: list[tuple[int, int, bytes]]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Pieces in blocks of about ``BLOCK`` bytes."""
+    block, size = [], 0
+    for row in cut:
+        block.append(row)
+        size += len(row[2])
+        if size >= BLOCK:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
 def _key() -> Column:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST))
 
 
 def shared_runs(docs: DataFrame, parts: int, crowded: Broadcast, held: int = HELD) -> DataFrame:
-    """``id, proof, places, firsts``: the super-k-mers with windows of two documents or more."""
+    """``id, proof, who, bits``: super-k-mers, the first document of windows of theirs, and which windows these are."""
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts // 8)
     sent = docs.select(text_or_empty().alias("text"), _key().alias("key")).mapInArrow(
         _send(parts, crowded, held), "part bigint, strings binary, least binary, most binary"
@@ -279,7 +317,7 @@ def without_repeats(docs: DataFrame, into: str, part: int = PART, held: int = HE
     crowded = spark.sparkContext.broadcast(crowded_slots(texts, parts))
     with staged(shared_runs(docs, parts, crowded, held), "substring-shared") as shared:
         found = texts.mapInArrow(_occurrences(parts * SLOTS, crowded), "id bigint, text_key int").join(shared, "id")
-        lists = found.groupBy("text_key").agg(F.collect_set(F.struct("id", "proof", "places", "firsts")).alias("shared"))
+        lists = found.groupBy("text_key").agg(F.collect_set(F.struct("id", "proof", "who", "bits")).alias("shared"))
         lists = written(lists, "substring-lists")
     key, list_ = free(docs, "text_key"), free(docs, "shared")
     lists = lists.select(F.col("text_key").alias(key), F.col("shared").alias(list_))

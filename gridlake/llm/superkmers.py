@@ -55,9 +55,10 @@ class Words(NamedTuple):
     starts: np.ndarray
     firsts: np.ndarray
 
-    def cut(self, first: int, last: int) -> bytes:
-        """The words from ``first`` up to ``last``, joined by spaces."""
-        return self.bytes[self.starts[first] : self.starts[last] - 1]
+    def cut(self, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The stretches of words from ``first`` up to ``last``, each joined by spaces."""
+        whole = self.bytes
+        return [whole[a:b] for a, b in zip(self.starts[first].tolist(), (self.starts[last] - 1).tolist(), strict=True)]
 
     def hashes(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Hashes of the stretches of words from ``first`` up to ``last``."""
@@ -105,6 +106,9 @@ class Runs(NamedTuple):
     key: np.ndarray
     text: np.ndarray
 
+    def strings(self, words: Words) -> list[bytes]:
+        return words.cut(self.first, self.first + self.size + (WINDOW - 1))
+
 
 def runs_of(words: Words, slots: int = 1, crowded: np.ndarray | None = None) -> Runs:
     """The super-k-mers of all windows; those of the ``crowded`` ones among ``slots`` are dealt by their own hash."""
