@@ -240,7 +240,8 @@ ruled as (
                    when {_fits("org", "/fr/")} then 'org/fr/' when {_fits("net", "/")} then 'net/' end as rule
     from u),
 signs as (
-    select rid, list_transform(string_split('```' || translate(regexp_replace(translate(host || path,
+    select rid, list_transform(string_split('```' || translate(regexp_replace(translate(
+           regexp_replace(coalesce(url, ''), '^[^/?#]*?://', ''),
            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9./_-]', chr(127), 'g'),
            '0123456789./-_', '{{{{{{{{{{{{{{{{{{{{|}}~~') || '`', ''), lambda c: ascii(c) - 96) as s
     from u),

@@ -79,5 +79,5 @@ def test_contract_without_the_package(tmp_path):
         names.append([set(x) for x in json.loads(said.stdout)])
     (less, less_sql), (full, full_sql) = names
     own = {x for x in full - less}
-    assert {"pipeline"} | {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in own}
+    assert {"pipeline"} | {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in own}
     assert less_sql == full_sql - own and "solar_share" in less
