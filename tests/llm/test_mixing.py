@@ -51,6 +51,37 @@ def test_taken_is_near_target(spark):
         assert abs(r.t - r.target) <= 2 * 37 + 0.01 * r.target
 
 
+@pytest.mark.parametrize("seed", range(10))
+def test_repeated_rows_are_taken_one_by_one(spark, seed):
+    """A source of 90 000 words, of which two thirds are one row without a doc_id."""
+    docs = spark.range(9000).selectExpr(
+        "case when id < 2000 then null else id end as doc_id",
+        "repeat('w ', case when id < 2000 then 30 when id < 4000 then 15 else 12 end) as text",
+        "case when id < 4000 then 'c' when id < 6000 then 'a' else 'b' end as source",
+    )
+    rows = mixing.schedule(docs, seed=seed)
+    words = rows.groupBy("source_size", "target").agg(F.sum(F.col("size") * F.col("copies")).alias("t"), F.count("*").alias("n"))
+    found = words.collect()
+    assert sorted(r.n for r in found) == [2000, 3000, 4000]
+    for r in found:
+        assert abs(r.t - r.target) <= 30
+    if seed > 1:
+        return
+    mixed = mixing.mix(docs, seed=seed).groupBy("source", "doc_id").count()
+    by_source = mixed.groupBy("source").agg(F.sum("count").alias("n")).collect()
+    want = rows.groupBy(F.when(F.col("doc_id").isNull() | (F.col("doc_id") < 4000), "c").when(F.col("doc_id") < 6000, "a").otherwise("b").alias("source")).agg(F.sum("copies").alias("n"))
+    assert sorted(map(tuple, by_source)) == sorted(map(tuple, want.collect()))
+
+
+def test_one_repeated_row_alone(spark):
+    docs = spark.range(5000).selectExpr("1L as doc_id", "'w w w' as text", "case when id < 4000 then 'a' else 'b' end as source")
+    found = mixing.mixed(docs)
+    assert found.count() == 5000
+    for r in found.groupBy("source_size", "target").agg(F.sum("taken").alias("t"), F.max("taken").alias("m")).collect():
+        assert abs(r.t - r.target) <= 3 and r.m <= 9
+    assert mixing.mix(docs).count() == found.agg(F.sum("taken")).first()[0] // 3
+
+
 def test_mix_repeats_rows(docs):
     copies = mixing.schedule(docs).groupBy("doc_id").agg(F.sum("copies").alias("n"))
     want = {r.doc_id: r.n for r in copies.collect() if r.n}
