@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import A_TO_Z, LOWER, small_batches, staged, text_or_empty, written
-from gridlake.llm.lines import PROBES, get, positions
+from gridlake.llm.lines import PROBES, positions
+from gridlake.llm.superkmers import words_of
 
 LEAST = 30
 WORDS = 4
@@ -117,57 +118,78 @@ def _count(k: int):
 def _cut(k: int, bits: int, sent: Broadcast):
     """The relation of length ``k``: runs of neighbouring phrases that the filter holds."""
 
-    def member(lang: str) -> Callable[[list[bytes]], np.ndarray]:
-        seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "replace"), 42)
-        return lambda found: get(
-            sent.value, positions(np.array([xxhash.xxh64_intdigest(p, seed) for p in found], np.uint64), bits)
-        )
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in _texts(batches):
-            kept = b"\n".join(map(b" ".join, frequent_runs(runs_of(text), k, member(lang))))
+            seed = _seed(lang)
+            kept = frequent_runs(text, k, lambda hashes, seed=seed: held(sent.value, bits, hashes ^ seed))
             if kept:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang], pa.string()), pa.array([kept], pa.binary())], ["lang", "runs"]
+                    [pa.array([lang], pa.string()), pa.array([b"\n".join(kept)], pa.binary())], ["lang", "runs"]
                 )
 
     return cut
 
 
-def frequent_runs(runs: list[Run], k: int, member: Callable[[list[bytes]], np.ndarray]) -> list[Run]:
-    """Parts of ``runs`` of at least two neighbouring phrases of ``k`` words that are all members."""
-    sizes = np.array([max(0, len(run) - k + 1) for run in runs], np.int64)
-    places = np.arange(sizes.sum()) + np.repeat(np.arange(len(runs)), sizes)
-    known: dict[bytes, int] = {}
-    numbers = np.array([known.setdefault(p, len(known)) for run in runs for p in phrases(run, k)], np.int64)
-    begins = np.cumsum(sizes + 1) - (sizes + 1)
-    marks = np.zeros(len(places) + len(runs) + 1, np.int8)
-    if len(numbers):
-        marks[places] = member(list(known))[numbers]
+def frequent_runs(text: bytes, k: int, member: Callable[[np.ndarray], np.ndarray]) -> list[bytes]:
+    """Stretches of the pieces of ``text`` with at least two neighbouring phrases of ``k`` words that are all members."""
+    words = words_of(text.split(b"\n"))
+    piece = np.repeat(np.arange(len(words.firsts) - 1), np.diff(words.firsts))
+    n = len(piece)
+    if n <= k:
+        return []
+    first = np.flatnonzero(piece[: n - k + 1] == piece[k - 1 :])
+    # One place is left free between pieces, so that no run goes on from one into the next.
+    marks = np.zeros(n + len(words.firsts) + 1, np.int8)
+    chosen = first[member(words.hashes(first, first + k))]
+    marks[chosen + piece[chosen]] = 1
     edges = np.flatnonzero(np.diff(marks, prepend=0))
-    first, last = edges[::2], edges[1::2]
-    long = last - first > 1
-    owner = np.searchsorted(begins, first[long], side="right") - 1
-    return [
-        runs[o][a : b + k - 1]
-        for o, a, b in zip(
-            owner.tolist(), (first[long] - begins[owner]).tolist(), (last[long] - begins[owner]).tolist(), strict=True
-        )
-    ]
+    begin, end = edges[::2], edges[1::2]
+    begin, size = begin[end - begin > 1], (end - begin)[end - begin > 1]
+    # Where a place belongs: pieces begin at their first word plus their number.
+    offset = np.searchsorted(words.firsts + np.arange(len(words.firsts)), begin, side="right") - 1
+    return words.cut(begin - offset, begin - offset + size + k - 1)
+
+
+def _seed(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "replace")))
+
+
+def held(filter_: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
+    """Whether the filter holds each hash; most are out at the first probe."""
+    step, left = (hashes >> np.uint64(32)) | np.uint64(1), np.arange(len(hashes))
+    for probe in range(PROBES):
+        at = (hashes[left] + step[left] * np.uint64(probe)) & np.uint64(bits - 1)
+        left = left[(filter_[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+    found = np.zeros(len(hashes), bool)
+    found[left] = True
+    return found
+
+
+def _bits(bits: int):
+    """The filter's words that phrases set bits of, with those bits."""
+
+    def set_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds = np.array([_seed(lang) for lang in batch.column(0).to_pylist()], np.uint64)
+            words = words_of([phrase.as_py().encode("utf-8", "replace") for phrase in batch.column(1)])
+            at = positions(words.hashes(words.firsts[:-1], words.firsts[1:]) ^ seeds, bits).ravel()
+            order = np.argsort(at >> np.uint64(6), kind="stable")
+            place, bit = (at >> np.uint64(6))[order], (np.uint64(1) << (at & np.uint64(63)))[order]
+            begins = np.flatnonzero(np.concatenate([[True], np.diff(place) != 0]))
+            columns = [pa.array(place[begins].astype(np.int64)), pa.array(np.bitwise_or.reduceat(bit, begins).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "bits"])
+
+    return set_
 
 
 def bloom(frequent: DataFrame, most: int = BITS) -> tuple[int, Broadcast]:
     """Size and bits of a filter of ``lang, phrase``."""
     n = max(1, frequent.count())
     bits = int(min(most, max(1 << 13, 1 << math.ceil(math.log2(n * BITS_PER_PHRASE)))))
-    hash_, mask = F.xxhash64("lang", "phrase"), F.lit(bits - 1).cast("bigint")
-    step = F.shiftrightunsigned(hash_, 32).bitwiseOR(F.lit(1).cast("bigint")).bitwiseAND(mask)
-    at = F.explode(F.array(*(((hash_.bitwiseAND(mask)) + i * step).bitwiseAND(mask) for i in range(PROBES))))
-    byte = F.shiftright("at", 3).cast("int").alias("byte")
-    bit = F.call_function("shiftleft", F.lit(1), F.col("at").bitwiseAND(F.lit(7)).cast("int"))
-    found = frequent.select(at.alias("at")).groupBy(byte).agg(F.bit_or(bit).alias("bits")).toArrow()
-    filter_ = np.zeros(bits // 8, np.uint8)
-    filter_[found.column("byte").to_numpy()] = found.column("bits").to_numpy().astype(np.uint8)
+    found = frequent.mapInArrow(_bits(bits), "place bigint, bits bigint")
+    found = found.groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    filter_ = np.zeros(bits // 64, np.uint64)
+    filter_[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return bits, frequent.sparkSession.sparkContext.broadcast(filter_)
 
 
@@ -177,7 +199,8 @@ def frequent_phrases(docs: DataFrame, least: int, words: int, bits: int, stack:
     relation = docs.select(lang, text_or_empty().alias("runs"))
     found = []
     for k in range(1, words + 1):
-        counts = relation.mapInArrow(_count(k), "lang string, phrase string, n bigint")
+        # Tasks have added up what they could; a second aggregate before the exchange would find little to add.
+        counts = relation.mapInArrow(_count(k), "lang string, phrase string, n bigint").repartition("lang", "phrase")
         counts = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
         enough = counts.filter((F.col("n") >= least) | (F.col("phrase") == ""))
         found.append(stack.enter_context(staged(enough, f"collocation-counts{k}")))
