@@ -41,10 +41,8 @@ def fit_predict(
     min_points: int,
     seasons: Seasons = SEASONS,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forecasts from every origin: ``(origin, n, yhat[origin, horizon])``. ``at`` must be ascending and unique.
-
-    Moments are summed once along the series; the window of an origin is the difference of two of them.
-    """
+    """Forecasts from every origin: ``(origin, n, yhat[origin, horizon])``. ``at`` must be ascending and unique, ``origins``
+    ascending."""
     first = np.searchsorted(at, origins - window, side="left")
     last = np.searchsorted(at, origins, side="right")
     counts = np.concatenate([[0], np.cumsum(weight)])
@@ -53,15 +51,46 @@ def fit_predict(
     origins, first, last, n = origins[keep], first[keep], last[keep], n[keep]
     if not len(origins):
         return origins, n, np.empty((0, horizon))
-    x = _features(at, at[0], window, seasons)
-    gram = np.cumsum(weight[:, None, None] * x[:, :, None] * x[:, None, :], axis=0)
-    cross = np.cumsum((weight * y)[:, None] * x, axis=0)
-    gram = np.concatenate([np.zeros_like(gram[:1]), gram])
-    cross = np.concatenate([np.zeros_like(cross[:1]), cross])
-    beta = np.linalg.solve(gram[last] - gram[first] + _penalty(seasons), (cross[last] - cross[first])[:, :, None])[:, :, 0]
-    times = origins[:, None] + step * np.arange(1, horizon + 1)
-    future = _features(times.ravel(), at[0], window, seasons).reshape(len(origins), horizon, -1)
-    return origins, n, np.einsum("ohp,op->oh", future, beta)
+    yhat = np.empty((len(origins), horizon))
+    ahead = step * np.arange(1, horizon + 1)
+    for chosen, gram, cross in window_moments(at, y, weight, first, last, window, seasons):
+        # Only a window's own moments are in them, and time is counted from its neighbourhood, not from the series' start.
+        beta = np.linalg.solve(gram + _penalty(seasons), cross[:, :, None])[:, :, 0]
+        times = origins[chosen][:, None] + ahead
+        future = _features(times.ravel(), at[first[chosen.start]], window, seasons).reshape(len(beta), horizon, -1)
+        yhat[chosen] = np.einsum("ohp,op->oh", future, beta)
+    return origins, n, yhat
+
+
+def window_moments(
+    at: np.ndarray,
+    y: np.ndarray,
+    weight: np.ndarray,
+    first: np.ndarray,
+    last: np.ndarray,
+    window: int,
+    seasons: Seasons = SEASONS,
+) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Gram matrices and cross moments of the points ``first[i]`` to ``last[i]``, for a slice of windows at a time.
+
+    Both ends only move on. Windows that hold one common place, the end of the first of them, are a slice: each is what
+    lies before that place, added up backwards from it, and what lies behind, added up forwards. Every point is added at
+    most twice, and nothing is ever subtracted, so that a huge value leaves no trace in windows without it.
+    """
+    begin = 0
+    while begin < len(first):
+        middle = last[begin]
+        end = begin + int(np.searchsorted(first[begin:], middle, side="right"))
+        low, high = first[begin], last[end - 1]
+        x = _features(at[low:high], at[low], window, seasons)
+        weighted = weight[low:high, None] * x
+        points = np.concatenate([weighted[:, :, None] * x[:, None, :], (weighted * y[low:high, None])[:, :, None]], axis=2)
+        nothing = np.zeros_like(points[:1])
+        before = np.concatenate([np.cumsum(points[: middle - low][::-1], axis=0)[::-1], nothing])
+        behind = np.concatenate([nothing, np.cumsum(points[middle - low :], axis=0)])
+        sums = before[first[begin:end] - low] + behind[last[begin:end] - middle]
+        yield slice(begin, end), sums[:, :, :-1], sums[:, :, -1]
+        begin = end
 
 
 def solve_moments(

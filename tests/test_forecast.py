@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridlake.operators import forecast
+from gridlake.operators import forecast, least_squares
 from gridlake.operators.least_squares import RIDGE, SEASONS, _features, fit_predict
 from tests.conftest import rows
 
@@ -158,3 +158,35 @@ def test_score_leaves_zero_actuals_out(spark):
     )
     assert rows(forecast.score(made, actual, ["key"], "ts", "y")) == [("a", 2, 25.0, True)]
     assert rows(forecast.score(made, actual, ["key"], "ts", "y", threshold=25.0)) == [("a", 2, 25.0, False)]
+
+
+def test_moments_forget_what_has_left_the_window():
+    rng = np.random.default_rng(3)
+    step, window = least_squares.DAY // 48, 14 * least_squares.DAY
+    at = np.arange(0, 40 * 48) * step
+    y = 10 + rng.random(len(at))
+    weight = np.ones(len(at))
+    origins = at[at >= 27 * least_squares.DAY]
+    clean = least_squares.fit_predict(at, y, weight, origins, window, step, 3, 2)
+    spoilt = y.copy()
+    spoilt[5] = 1e16
+    found = least_squares.fit_predict(at, spoilt, weight, origins, window, step, 3, 2)
+    assert np.array_equal(found[2], clean[2]) and len(found[0]) == len(origins)
+
+
+@pytest.mark.parametrize("gap", [1, 40, 700])
+def test_moments_of_windows_equal_their_plain_sums(gap):
+    rng = np.random.default_rng(gap)
+    at = np.cumsum(rng.integers(1, gap * 3_600_000_000, 300)).astype(np.int64)
+    y, weight = rng.random(300), rng.integers(1, 4, 300).astype(float)
+    window = 100 * 3_600_000_000
+    first, last = np.searchsorted(at, at - window, side="left"), np.searchsorted(at, at, side="right")
+    seen = 0
+    for chosen, gram, cross in least_squares.window_moments(at, y, weight, first, last, window):
+        assert chosen.start == seen
+        for i in range(chosen.start, chosen.stop):
+            x = least_squares._features(at[first[i] : last[i]], at[first[chosen.start]], window, least_squares.SEASONS)
+            w = weight[first[i] : last[i], None]
+            assert np.allclose(gram[i - seen], (w * x).T @ x) and np.allclose(cross[i - seen], (w * x).T @ y[first[i] : last[i]])
+        seen = chosen.stop
+    assert seen == 300
