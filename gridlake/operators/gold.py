@@ -8,6 +8,7 @@ from contextlib import ExitStack
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.operators import keyindex
 from gridlake.operators.lookup import lookup_join
 from gridlake.operators.silver import dedupe
 from gridlake.session import discard, scratch_dir
@@ -134,31 +135,70 @@ def upsert_table(
     order_by: Sequence[str] = (),
     key_moves: bool = False,
     fmt: str = "parquet",
-) -> None:
+) -> list | None:
     """Upsert ``batch`` into ``table``, creating it on first use.
 
     Formats with MERGE use it. Otherwise only the partitions named in the batch are read and rewritten, which needs the
     partition to be a function of the key. ``key_moves=True`` is for tables where a key may change partition (dimension
-    snapshots): the whole table is rewritten, since the old copy lies in a partition the batch does not name. New rows
-    are staged on shared storage before the table is touched, as a job must not overwrite what it reads.
+    snapshots): the partitions that hold the batch's keys now are rewritten as well, as the table's index of keys tells
+    (:mod:`gridlake.operators.keyindex`). A table without partitions is rewritten whole. New rows are staged on shared
+    storage before the table is touched, as a job must not overwrite what it reads.
+
+    Returns the values of the first partition column whose partitions were written, or None for the whole table.
     """
     if not spark.catalog.tableExists(table):
+        keyindex.drop(spark, table)
         replace_table(unique_batch(batch, keys, on_duplicate, order_by, partition_by), table, partition_by, fmt)
-        return
+        return None
     if fmt in TRANSACTIONAL:
         _merge(spark, table, unique_batch(batch, keys, on_duplicate, order_by), keys)
-        return
+        return None
     target = spark.table(table)
-    rewrite_all = key_moves or not partition_by
     with ExitStack() as stack:
-        if rewrite_all:
+        if not partition_by:
             rows = staged(spark, upsert(target, batch, keys, on_duplicate, order_by), stack)
             overwrite_table(rows, table, "static")
-            return
+            return None
         batch = staged(spark, unique_batch(batch, keys, on_duplicate, order_by, partition_by), stack)
-        kept = touched(target, batch, partition_by).join(batch.select(*keys), list(keys), "left_anti")
+        if key_moves:
+            return _upsert_moving(spark, table, batch, keys, partition_by, fmt, stack)
+        values = named(batch, partition_by)
+        kept = target.where(F.col(partition_by[0]).isin(values)).join(batch.select(*keys), list(keys), "left_anti")
         rewritten = staged(spark, kept.unionByName(batch.select(*target.columns)), stack)
         overwrite_table(rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
+        return values
+
+
+def _upsert_moving(
+    spark: SparkSession,
+    table: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    fmt: str,
+    stack: ExitStack,
+) -> list:
+    """Rewrite the partitions that the batch names and those that hold its keys now; drop the ones that this empties."""
+    first, copy = partition_by[0], lambda df: staged(spark, df, stack)
+    buckets = keyindex.open_index(spark, table, keys, first, fmt)
+    old = keyindex.moved_from(spark, table, batch, keys, first, buckets)
+    new = named(batch, partition_by)
+    keyindex.note(spark, batch, table, keys, first, buckets, copy)
+    target = spark.table(table)
+    kept = target.where(F.col(first).isin({*old, *new})).join(batch.select(*keys), list(keys), "left_anti")
+    rewritten = copy(kept.unionByName(batch.select(*target.columns)))
+    overwrite_table(rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
+    left = {tuple(row) for row in rewritten.select(*partition_by).distinct().collect()}
+    if len(partition_by) == 1:
+        gone = [(value,) for value in {*old, *new} if (value,) not in left]
+    else:
+        before = target.where(F.col(first).isin({*old, *new})).select(*partition_by).distinct().collect()
+        gone = [tuple(row) for row in before if tuple(row) not in left]
+    for values in gone:
+        spec = ", ".join(f"{c} = '{v}'" for c, v in zip(partition_by, values, strict=True))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    keyindex.forget(spark, batch, table, keys, first, buckets, copy)
+    return sorted({*old, *new})
 
 
 def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -167,8 +207,12 @@ def touched(target: DataFrame, batch: DataFrame, partition_by: Sequence[str]) ->
     The values are put into the filter, so only those partitions are read. There are no more of them than the table has,
     or gets, partitions, which the catalog lists for the driver anyway.
     """
-    first = partition_by[0]
-    return target.where(F.col(first).isin([row[0] for row in batch.select(first).distinct().collect()]))
+    return target.where(F.col(partition_by[0]).isin(named(batch, partition_by)))
+
+
+def named(batch: DataFrame, partition_by: Sequence[str]) -> list:
+    """The values of the first partition column in the batch."""
+    return [row[0] for row in batch.select(partition_by[0]).distinct().collect()]
 
 
 def staged(spark: SparkSession, df: DataFrame, stack: ExitStack) -> DataFrame:
@@ -201,15 +245,19 @@ def build_incremental(
     order_by: Sequence[str] = (),
     key_moves: bool = False,
     fmt: str = "parquet",
-) -> None:
-    """An incremental model: slice the source against the table as it is, then upsert the slice."""
+) -> list | None:
+    """An incremental model: slice the source against the table as it is, then upsert the slice.
+
+    Returns what :func:`upsert_table` returns.
+    """
     exists = spark.catalog.tableExists(table)
     if full_refresh or not exists:
+        keyindex.drop(spark, table)
         replace_table(unique_batch(source, keys, on_duplicate, order_by, partition_by), table, partition_by, fmt)
-        return
+        return None
     newest = newest_partition(spark, table, date_column) if date_column and date_column in partition_by else None
     rows = incremental_slice(source, spark.table(table), column, lookback, date_column, newest)
-    upsert_table(spark, table, rows, keys, partition_by, on_duplicate, order_by, key_moves, fmt)
+    return upsert_table(spark, table, rows, keys, partition_by, on_duplicate, order_by, key_moves, fmt)
 
 
 def fact_rows(silver: DataFrame) -> DataFrame:

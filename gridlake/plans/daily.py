@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.operators import gold, quality, silver
+from gridlake.operators import gold, keyindex, quality, silver
 from gridlake.sources import readers, sinks
 from gridlake.streaming.bronze import run_bronze
 
 RUN_LOG = "run_id string, stage string, started_at timestamp, finished_at timestamp, status int, message string"
 KEY = ["trading_interval", "unit_id"]
+DIM_KEYS = {"dim_unit": ["unit_id"], "dim_region": ["region_id"]}
+MODELS = ("fact_dispatch", *DIM_KEYS)
 # The last arrival of a key wins.
 NEWEST = ["arrival"]
 # Digits to which a share must differ to be published again.
@@ -153,46 +155,66 @@ def gate(
     quality.check_results(found.collect(), suite["expectation_suite_name"], ratio)
 
 
-def build_gold(spark: SparkSession, chain: Chain, news: News) -> None:
+def build_gold(spark: SparkSession, chain: Chain, news: News) -> dict[str, list | None]:
+    """Upsert the star schema; returns the dates that each table was written at, None for all of them."""
     units = silver.dedupe(spark.table(chain.table("unit_metadata")), ["unit_id"], ["trading_date"])
     regions = silver.dedupe(spark.table(chain.table("region_metadata")), ["region_id"], ["trading_date"])
     fact = gold.fact_rows(on_dates(spark.table(chain.table("silver_dispatch_clean")), news))
     by_date = {"partition_by": ["trading_date"], "fmt": chain.fmt}
-    gold.build_incremental(
-        spark, gold.dim_unit_rows(units), chain.table("dim_unit"), ["unit_id"], "trading_date", key_moves=True, **by_date
-    )
-    gold.build_incremental(
-        spark,
-        gold.dim_region_rows(regions),
-        chain.table("dim_region"),
-        ["region_id"],
-        "trading_date",
-        key_moves=True,
-        **by_date,
-    )
+    dims = {"dim_unit": gold.dim_unit_rows(units), "dim_region": gold.dim_region_rows(regions)}
+    written = {
+        name: gold.build_incremental(
+            spark, rows, chain.table(name), DIM_KEYS[name], "trading_date", key_moves=True, **by_date
+        )
+        for name, rows in dims.items()
+    }
     # Corrections may lie anywhere in the touched dates, so these are upserted whole.
-    gold.upsert_table(spark, chain.table("fact_dispatch"), fact, KEY, **by_date)
+    written["fact_dispatch"] = gold.upsert_table(spark, chain.table("fact_dispatch"), fact, KEY, **by_date)
+    return written
 
 
-def check_models(spark: SparkSession, chain: Chain) -> None:
-    """Column tests of the gold tables, and the fact's grain."""
+def check_models(spark: SparkSession, chain: Chain, written: Mapping[str, list | None] | None = None) -> None:
+    """Column tests of the gold tables, and the fact's grain, on the dates that were ``written`` (None: all).
+
+    The fact's key holds its date, so a repeated one lies in one of them. A dimension's key may also be in another
+    date, and is looked for where the table's index of keys says that it may be.
+    """
     found: list[Any] = []
-    for model in ("fact_dispatch", "dim_unit", "dim_region"):
-        found += quality.model_tests(spark.table(chain.table(model)), model, quality.MODEL_TESTS[model]).collect()
+    for model in MODELS:
+        found += model_results(spark, chain.table(model), model, (written or {}).get(model)).collect()
     failed = [f"{r['model']}.{r['column']} {r['test']}: {r['failures']}" for r in found if not r["passed"]]
-    repeated = quality.duplicate_counts(spark.table(chain.table("fact_dispatch")), KEY).first()["bad"]
+    fact = written_rows(spark, chain.table("fact_dispatch"), (written or {}).get("fact_dispatch"))
+    repeated = quality.duplicate_counts(fact, KEY).first()["bad"]
     if repeated:
         failed.append(f"fact_dispatch grain: {repeated}")
     if failed:
         raise quality.QualityError("; ".join(failed))
 
 
+def written_rows(spark: SparkSession, table: str, dates: list | None) -> DataFrame:
+    rows = spark.table(table)
+    return rows if dates is None else rows.where(F.col("trading_date").isin(dates))
+
+
+def model_results(spark: SparkSession, table: str, model: str, dates: list | None) -> DataFrame:
+    """The model's column tests on the rows of ``dates``, and of its keys on all rows that may share one."""
+    tests = quality.MODEL_TESTS[model]
+    rows = written_rows(spark, table, dates)
+    if dates is None or model not in DIM_KEYS:
+        return quality.model_tests(rows, model, tests)
+    values = [t for t in tests if t["test"] != "unique"]
+    unique = [t for t in tests if t["test"] == "unique"]
+    rivals = keyindex.rivals(spark, table, DIM_KEYS[model], "trading_date", dates)
+    return quality.model_tests(rows, model, values).unionAll(quality.model_tests(rivals, model, unique))
+
+
 def run(spark: SparkSession, chain: Chain, since: str | None = None) -> DataFrame:
     """Run all stages; returns this run's log. Raises at the first failed stage, after logging it.
 
     ``since`` builds all dates from then on again, besides those of the new rows.
     """
     found: list[News] = []
+    written: dict[str, list | None] = {}
 
     def silver_rows() -> DataFrame:
         return on_dates(spark.table(chain.table("silver_dispatch_clean")), found[0])
@@ -208,8 +230,8 @@ def run(spark: SparkSession, chain: Chain, since: str | None = None) -> DataFram
         ("silver", lambda: build_silver(spark, chain, found[0])),
         ("shares", lambda: publish_shares(spark, chain, found[0])),
         ("silver_gate", lambda: gate(spark, chain, "silver", silver_rows(), quality.SILVER_SUITE, chain.silver_ratio)),
-        ("gold", lambda: build_gold(spark, chain, found[0])),
-        ("model_tests", lambda: check_models(spark, chain)),
+        ("gold", lambda: written.update(build_gold(spark, chain, found[0]))),
+        ("model_tests", lambda: check_models(spark, chain, written)),
     ]
     log: list[tuple] = []
     try:
