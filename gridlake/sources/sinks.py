@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from gridlake.session import discard
 from gridlake.streaming.runner import start
 
 # Table formats with row-level MERGE and atomic replacement.
@@ -133,3 +134,28 @@ def batch_folder(root: str, fmt: str = "parquet", partition_by: Sequence[str] =
         batch.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(folder)
 
     return write
+
+
+def outbox(
+    root: str, encode: Callable[[DataFrame], DataFrame], fmt: str = "kafka", path: str | None = None, **options: str
+) -> Writer:
+    """Writer that publishes each batch as messages which a replay sends again with the same keys.
+
+    A batch is encoded once, into a folder under ``root``, and its messages numbered there: a key is the query, the batch
+    and the row. A replay finds the folder and sends what is in it. :func:`gridlake.sources.readers.once` drops what comes
+    a second time, so that a topic with at-least-once delivery holds every message once for its readers.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, name = batch.sparkSession, batch_key(batch, batch_id)
+        folder = f"{root.rstrip('/')}/{name}"
+        done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+        if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+            number = F.monotonically_increasing_id().cast("string")
+            rows = encode(batch).withColumn("key", F.concat(F.lit(f"{name}-"), number))
+            rows.write.mode("overwrite").parquet(folder)
+        publish(spark.read.parquet(folder), fmt, path, **options)
+        if batch_id:
+            discard(spark, f"{root.rstrip('/')}/{batch_key(batch, batch_id - 1)}")
+
+    return write

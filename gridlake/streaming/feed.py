@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import ExitStack
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.operators.feed import with_checksum
+from gridlake.operators.gold import staged
 from gridlake.operators.ordered import previous
 from gridlake.operators.silver import dedupe
-from gridlake.sources.sinks import batch_key
+from gridlake.sources.readers import picked_rows, placed_lines
+from gridlake.sources.sinks import Writer, batch_key, publish
 from gridlake.streaming.runner import start
 
 
@@ -41,15 +45,53 @@ def changed_payloads_stream(
         if batch_id:
             known = spark.read.parquet(f"{state}/{(batch_id - 1) % 2}").withColumn("__known", F.lit(True))
             rows = rows.unionByName(known, allowMissingColumns=True)
-        marked = previous(rows, feed, arrival, {"__before": "__crc"}, width, ties)
-        changed = marked.where(~F.col("__known") & ~F.col("__crc").eqNullSafe(F.col("__before")))
-        changed.select(*batch.columns).write.mode("overwrite").parquet(f"{output}/batch_id={batch_key(batch, batch_id)}")
-        last = dedupe(rows.select(*key, "__crc"), feed, [arrival, *ties])
-        last.write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
+        with ExitStack() as stack:
+            # Read for its changes, for its last checksums and to find the width of the scan's buckets.
+            rows = staged(spark, rows, stack)
+            marked = previous(rows, feed, arrival, {"__before": "__crc"}, width, ties)
+            changed = marked.where(~F.col("__known") & ~F.col("__crc").eqNullSafe(F.col("__before")))
+            target = f"{output}/batch_id={batch_key(batch, batch_id)}"
+            changed.select(*batch.columns).write.mode("overwrite").parquet(target)
+            last = dedupe(rows.select(*key, "__crc"), feed, [arrival, *ties])
+            last.write.mode("overwrite").parquet(f"{state}/{batch_id % 2}")
 
     return start(stream.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
+def run_feed(
+    spark: SparkSession,
+    path: str,
+    columns: T.StructType,
+    writer: Writer,
+    checkpoint: str,
+    delimiter: str = ",",
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Give the records of newly landed CSV documents (:func:`gridlake.sources.readers.landing_feed`) to ``writer``.
+
+    Documents may be of any size: a batch holds whole files, whose blocks are read by different tasks.
+    """
+    lines = placed_lines(spark.readStream.format("text").option("lineSep", "\n").load(path))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer(picked_rows(batch, columns, delimiter), batch_id)
+
+    return start(lines.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
+def topic_writer(
+    encode: Callable[[DataFrame], DataFrame], fmt: str = "kafka", path: str | None = None, **options: str
+) -> Writer:
+    """Publish each batch as messages. Text folders are per batch, and a replay replaces its own; a broker gets at least
+    once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        target = f"{path}/batch_id={batch_key(batch, batch_id)}" if path else None
+        publish(encode(batch), fmt, target, mode="overwrite", **options)
+
+    return write
+
+
 def publish_stream(
     messages: DataFrame,
     checkpoint: str,

@@ -12,7 +12,10 @@ CHAINED = {"availableNow": True}
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that the watermark kept out of a stream's state, in the batches whose progress the query still holds."""
+    """Rows that the watermark kept out of a stream's state, in the batches whose progress the query still holds.
+
+    :class:`gridlake.streaming.late.DroppedRows` keeps the numbers of all batches.
+    """
     states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
     return sum(state["numRowsDroppedByWatermark"] for state in states)
 
