@@ -605,4 +605,30 @@ judged as (select ts as t, p, coalesce(p > 30, false) as br
         select 'HighCoalPercentage', 'warning', 'resolved',
                case when nt - t <= interval '30 minutes' then nt else t + interval '5 minutes' end, started_at, n
         from numbered where k = n and n >= 3""",
+    "landed_lines": """
+        select event_id, row_number() over (partition by cast(ts as date) order by event_id) - 1 as line from events""",
+    "bronze_compacted": f"""with {DISPATCH}
+        select {MESSAGE}, cast(trading_interval as date) as trading_date from dispatch""",
+    "late_arrivals": """
+        with a as (
+          select event_id, cast(user_id as varchar) as unit_id, ts as ingested_at,
+                 least(2, date_diff('day', date '2024-01-01', cast(ts as date)) // 10) + (event_id % 7 = 0)::int as part
+          from events),
+        m as (select part, max(ingested_at) as newest from a group by part)
+        select event_id, unit_id, ingested_at from a
+        where ingested_at < (select max(newest) from m where m.part < a.part) - interval '5 days'""",
+    "topic_once": f"""with {SHARES}
+        select strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time, round(solar_share, 6) as solar_share
+        from shares""",
 }
+
+ORACLES["coal_alert_coded"] = " union all ".join(
+    f"""select 'HighCoalPercentage' as alertname, 'warning' as severity, started_at, ended_at, n, resolved_at,
+               round(2 * peak, 4) as peak, cast({threshold} as double) as threshold
+        from (with {coal_stretches(threshold // 2, having)} select * from named) z{threshold}"""
+    for threshold, having in ((60, "max(t) - min(t) >= interval '5 minutes'"), (70, "count(*) >= 3"))
+)
+ORACLES["stream_rate_alert"] = (
+    f"select alertname, severity, started_at, n, resolved_at from ({ORACLES['coal_rate_alert']}) z"
+)
+ORACLES["stream_forecast_error"] = ORACLES["forecast_mape"]

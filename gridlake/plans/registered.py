@@ -24,8 +24,10 @@ from gridlake.session import apply_settings, scratch_dir
 from gridlake.sources import readers, sinks
 from gridlake.streaming import alerts as stream_alerts
 from gridlake.streaming import bronze as stream_bronze
+from gridlake.streaming import compaction, late
 from gridlake.streaming import feed as stream_feed
 from gridlake.streaming import forecast as stream_forecasts
+from gridlake.streaming import rates as stream_rates
 from gridlake.streaming import tables as stream_tables
 from gridlake.streaming.runner import start
 
@@ -581,9 +583,24 @@ def coal_alert_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _coal_alerts(spark, sf_dir, COAL_30).withColumn("peak", rounded("peak", 4))
 
 
+@query
+def coal_alert_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both coded rules with their own numbers (60 % for five minutes, 70 % for three intervals), on doubled percentages:
+    the given coal shares are about half of what the rules were made for."""
+    rows = coal_percent_rows(spark, sf_dir).withColumn("percent", F.col("percent") * 2)
+    cut = bucket_width(dispatch(spark, sf_dir), [], "trading_interval", "1 day")
+    found = [
+        alerts.threshold_alert(rows, [], "trading_interval", "percent", rule, "30 minutes", cut).withColumn(
+            "threshold", F.lit(rule.threshold)
+        )
+        for rule in (alerts.HIGH_COAL, alerts.HIGH_COAL_INTERVALS)
+    ]
+    return found[0].unionByName(found[1]).withColumn("peak", rounded("peak", 4))
+
+
 @query
 def coal_rate_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The coded rule: the coal series' share of all counter rates above 60 % for five minutes."""
+    """The coded rule on counter rates: the coal series' share of them all above ``COAL_RATE`` for five minutes."""
     rows = power_metric(spark, sf_dir)
     instants = metrics.evaluation_times(rows, ["source"], "ts", "30 minutes")
     rates = metrics.rate_by(rows, ["source"], ["source"], "ts", "value", RATE_WINDOW, instants)
@@ -794,16 +811,108 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(kept.unionByName(bad))
 
 
+@query
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed file for each day, read in many blocks: the number of every line in its file."""
+    root = scratch_dir(spark, "landed")
+    rows = table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("day"), "event_id", F.concat_ws(",", "event_id", "event_type").alias("value")
+    )
+    ordered = rows.repartition("day").sortWithinPartitions("day", "event_id").drop("event_id")
+    ordered.write.partitionBy("day").text(f"{root}/files")
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(16 << 10))
+    try:
+        found = readers.messages(spark, "text", f"{root}/files")
+        lines = found.select(
+            F.split("value", ",")[0].cast("bigint").alias("event_id"), F.col("arrival.offset").alias("line")
+        )
+        lines.write.parquet(f"{root}/lines")
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(lines.schema).parquet(f"{root}/lines")
+
+
+@query
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze table after its closed days were compacted, by a run that stopped half way and one that ended it."""
+    root, database = scratch_dir(spark, "bronze"), new_database(spark)
+    source, target = f"{root}/topic", f"{database}.bronze_dispatch"
+
+    def run() -> None:
+        lines = readers.message_stream(spark, "text", source)
+        stream_bronze.run_bronze(spark, lines, target, f"{root}/checkpoint")
+
+    rows = dispatch(spark, sf_dir).withColumn("value", F.to_csv(F.struct(*MESSAGE)))
+    for part in range(PARTS):
+        rows.where(F.col("event_id") % PARTS == part).select("value").write.mode("append").text(source)
+        run()
+    stopped = compaction.steps(spark, target, "trading_date", "2024-01-20")
+    for step in stopped:
+        if step == "added":
+            break
+    stopped.close()
+    stream_bronze.compact(spark, target, "2024-01-20")
+    return zoneless(spark.table(target).select(*MESSAGE, "trading_date"))
+
+
+@query
+def late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that come ten days after their time, of which those behind the newest by over five days are kept apart."""
+    root = scratch_dir(spark, "late")
+    rows = dispatch(spark, sf_dir).select("event_id", "unit_id", "ingested_at")
+    stretch = F.least(F.lit(2), F.floor(F.datediff("ingested_at", F.lit("2024-01-01").cast("date")) / 10))
+    arrival = stretch + (F.col("event_id") % 7 == 0).cast("int")
+    for part in range(4):
+        rows.where(arrival == part).write.mode("append").parquet(f"{root}/topic")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        writers = [sinks.batch_folder(f"{root}/{name}") for name in ("on-time", "late")]
+        late.split_late(stream, "ingested_at", "5 days", *writers, f"{root}/marks", f"{root}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{root}/late").select(*rows.columns)
+
+
+@query
+def topic_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares sent twice each, as by a stream that fails after sending, and read once."""
+    root = scratch_dir(spark, "outbox")
+    rows = shares(spark, sf_dir)
+
+    def encode(batch: DataFrame) -> DataFrame:
+        return sinks.encode_json(batch.withColumn("event_time", F.col("event_time").cast("string")), rows.columns).select(
+            "value",
+            F.lit("shares").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.monotonically_increasing_id().alias("offset"),
+            F.current_timestamp().alias("timestamp"),
+        )
+
+    send = sinks.outbox(f"{root}/outbox", encode, "parquet", f"{root}/sent")
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        send(batch, batch_id)
+        send(batch, batch_id)
+
+    def run() -> None:
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        sinks.fan_out(stream, {"topic": twice}, f"{root}/checkpoint")
+
+    in_parts(rows, "event_time", f"{root}/topic", run)
+    received = readers.once(readers.messages(spark, "parquet", f"{root}/sent"))
+    found = parse_json(received, schemas.SHARE_MESSAGE)
+    return found.select("event_time", rounded("solar_share").alias("solar_share"))
+
+
 @query
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed CSV documents to a topic, one line per record, as they arrive; the topic's records."""
     root = scratch_dir(spark, "producer")
     rows = dispatch(spark, sf_dir)
 
+    topic = stream_feed.topic_writer(lambda rows: sinks.encode_csv(rows, MESSAGE, key="unit_id"), "text", f"{root}/topic")
+
     def run() -> None:
-        picked = readers.landing_feed(spark, f"{root}/landing", NTZ_MESSAGE, streaming=True)
-        lines = sinks.encode_csv(picked, MESSAGE, key="unit_id")
-        stream_feed.publish_stream(lines, f"{root}/checkpoint", "text", f"{root}/topic")
+        stream_feed.run_feed(spark, f"{root}/landing", NTZ_MESSAGE, topic, f"{root}/checkpoint")
 
     for part, header in enumerate(HEADERS):
         half = rows.where(F.col("event_id") % len(HEADERS) == part)
@@ -917,11 +1026,57 @@ def stream_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     in_parts(rows, "ingested_at", f"{root}/topic", run)
-    # Two rows after all others, of no fuel: the first moves the watermark of the raw rows past the last interval, the
-    # second closes the interval of the first, whose sample tells the alerts that time has gone on.
+    # Rows after all others, of no fuel, move the watermark past the last interval.
     last = rows.agg(F.max("ingested_at")).first()[0]
     ends = [(last + timedelta(hours=h), None, None) for h in (3, 6)]
     fields = "ingested_at timestamp_ntz, fuel_type string, generated_mw double"
     spark.createDataFrame(ends, fields).coalesce(1).write.mode("append").parquet(f"{root}/topic")
     run()
     return zoneless(spark.read.parquet(f"{root}/changes"))
+
+
+@query
+def stream_rate_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate alert of :func:`coal_rate_alert`, evaluated as the samples come: rates, then shares and alerts."""
+    root = scratch_dir(spark, "rates")
+    rows = power_metric(spark, sf_dir).select("source", "ts", "value")
+    rule = replace(alerts.HIGH_COAL, threshold=COAL_RATE)
+
+    def run() -> None:
+        samples = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        found = stream_rates.rate_stream(samples, ["source"], "ts", "value", RATE_WINDOW, "30 minutes")
+        sinks.fan_out(found, {"rates": sinks.batch_folder(f"{root}/rates")}, f"{root}/rates-checkpoint")
+
+    in_parts(rows, "ts", f"{root}/topic", run)
+    # Rows without a value, after all others, move the watermarks on.
+    last = rows.agg(F.max("ts")).first()[0]
+    end = lambda hours, kind: spark.createDataFrame([(None, last + timedelta(hours=hours), None)], kind).coalesce(1)
+    end(3, rows.schema).write.mode("append").parquet(f"{root}/topic")
+    run()
+    rated = "source string, ts timestamp, rate double"
+    for hours in (3, 6):
+        end(hours, rated).write.parquet(f"{root}/rates/batch_id=end-{hours}")
+        rates = spark.readStream.schema(rated).option("recursiveFileLookup", True).parquet(f"{root}/rates")
+        _, log = stream_alerts.run_alerts(spark, rates, rule, "30 minutes", root, "ts", "source", "coal", "rate")
+    changes = zoneless(spark.read.parquet(log)).where("state = 'resolved'")
+    return changes.select("alertname", "severity", "started_at", "n", F.col("at").alias("resolved_at"))
+
+
+@query
+def stream_forecast_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of one-step forecasts, joined to the shares as these come; their mean over all that came."""
+    root = scratch_dir(spark, "errors")
+    rows = shares(spark, sf_dir)
+    made = forecast.linear(rows, [], "event_time", "solar_share", horizon=1, origins="all")
+
+    def run() -> None:
+        forecasts = spark.readStream.schema(made.schema).parquet(f"{root}/made")
+        came = spark.readStream.schema(rows.schema).parquet(f"{root}/shares")
+        found = stream_forecasts.error_stream(forecasts, came, [], "event_time", "solar_share")
+        start(found.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint")
+
+    in_parts(made, "event_time", f"{root}/made", lambda: None)
+    in_parts(rows, "event_time", f"{root}/shares", run)
+    error = (F.avg("error") * 100).alias("mape")
+    scored = spark.read.parquet(f"{root}/out").agg(F.count("error").alias("pairs"), error)
+    return scored.withColumn("drifted", F.col("mape") > 20).withColumn("mape", rounded("mape", 4))

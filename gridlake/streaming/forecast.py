@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
@@ -10,18 +10,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from gridlake.functions.timeaxis import iso_text, micros, position, steps_after
 from gridlake.operators.forecast import HORIZON, MIN_POINTS, STEP, WINDOW, usable
 from gridlake.operators.least_squares import SEASONS, Seasons, fit_predict
-from gridlake.session import discard, scratch_dir
 from gridlake.sources.sinks import Writer, batch_key, encode_json, ensure_table, fan_out, overwrite_table, publish
+from gridlake.streaming import compaction
 
-STATE = T.StructType(
-    [T.StructField("at", T.ArrayType(T.LongType())), T.StructField("y", T.ArrayType(T.DoubleType()))]
-)
+STATE = "at array<bigint>, y array<double>, due bigint"
 
 
 def forecast_stream(
@@ -36,18 +34,26 @@ def forecast_stream(
     model: str = "additive",
     emit: str = "latest",
     seasons: Seasons = SEASONS,
+    silence: str | None = None,
 ) -> DataFrame:
     """``(keys, origin_time, n, step, event_time, yhat)`` for new points of each series.
 
     ``emit="every"`` forecasts from every new point, ``"latest"`` once per series and batch from its newest. The state
-    of a series is its points of the last window, one per distinct time: a point sent twice replaces itself. There is
-    no watermark; a point older than the window of the newest one is used for its own batch only.
+    of a series is its points of the last window, one per distinct time: a point sent twice replaces itself. A point older
+    than the window of the newest one is used for its own batch only.
+
+    ``silence`` (by default the window) is how far a series may stay behind the newest time of all series: then a timer
+    removes its state, and points that old are dropped by the watermark.
     """
+    silence = silence or window
     series = list(keys) or ["series"]
     rows = stream if keys else stream.withColumn("series", F.lit(y))
     seasons = seasons if model == "additive" else ()
-    points = rows.where(usable(ts, y)).select(
-        *series, position(rows, ts).alias("at"), F.col(y).cast("double").alias("y")
+    points = (
+        rows.where(usable(ts, y))
+        .select(*series, position(rows, ts).alias("at"), F.col(y).cast("double").alias("y"))
+        .withColumn("__time", F.timestamp_micros("at"))
+        .withWatermark("__time", silence)
     )
     fields = [T.StructField(k, rows.schema[k].dataType) for k in series] + [
         T.StructField("origin_at", T.LongType()),
@@ -55,50 +61,106 @@ def forecast_stream(
         T.StructField("step", T.IntegerType()),
         T.StructField("yhat", T.DoubleType()),
     ]
-    fold = _folder(series, micros(window), micros(step), horizon, min_points, seasons, emit == "every")
-    found = points.groupBy(*series).applyInPandasWithState(
-        fold, T.StructType(fields), STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    state = SeriesState(series, micros(window), micros(step), horizon, min_points, seasons, emit == "every")
+    found = points.groupBy(*series).transformWithStateInPandas(state, T.StructType(fields), "append", "EventTime")
     timed = found.withColumn("origin_time", F.timestamp_micros("origin_at"))
     event_time = steps_after(F.col("origin_time"), step, F.col("step")).alias("event_time")
     return timed.select(*keys, "origin_time", "n", "step", event_time, "yhat")
 
 
-def _folder(
-    series: list[str], window: int, step: int, horizon: int, min_points: int, seasons: Seasons, every: bool
-) -> Callable[[Any, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known: dict[int, float] = dict(zip(*state.get)) if state.exists else {}
+class SeriesState(StatefulProcessor):
+    """The points of a series' last window, and the timer that forgets a series that has fallen silent."""
+
+    def __init__(
+        self, series: list[str], window: int, step: int, horizon: int, min_points: int, seasons: Seasons, every: bool
+    ):
+        self.series, self.window, self.step, self.horizon = series, window, step, horizon
+        self.min_points, self.seasons, self.every = min_points, seasons, every
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.points = handle.getValueState("points", STATE)
+
+    def handleInputRows(
+        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
+    ) -> Iterator[pd.DataFrame]:
+        known: dict[int, float] = {}
+        due = None
+        if self.points.exists():
+            times, values, due = self.points.get()
+            known = dict(zip(times, values, strict=True))
         new: set[int] = set()
         newest = max(known, default=None)
-        for batch in batches:
-            known.update(zip(batch["at"].tolist(), batch["y"].tolist()))
-            if every:
+        for batch in rows:
+            known.update(zip(batch["at"].tolist(), batch["y"].tolist(), strict=True))
+            if self.every:
                 new.update(batch["at"].tolist())
             newest = max(known)
-            if not every:
-                known = {t: v for t, v in known.items() if t >= newest - window}
+            if not self.every:
+                known = {t: v for t, v in known.items() if t >= newest - self.window}
         at = np.array(sorted(known), dtype=np.int64)
         y = np.array([known[t] for t in at.tolist()])
-        origins = np.array(sorted(new), dtype=np.int64) if every else at[-1:]
-        made, n, yhat = fit_predict(at, y, np.ones(len(at)), origins, window, step, horizon, min_points, seasons)
-        kept = at >= newest - window
-        state.update((at[kept].tolist(), y[kept].tolist()))
+        origins = np.array(sorted(new), dtype=np.int64) if self.every else at[-1:]
+        made, n, yhat = fit_predict(
+            at, y, np.ones(len(at)), origins, self.window, self.step, self.horizon, self.min_points, self.seasons
+        )
+        kept = at >= newest - self.window
+        if due is not None:
+            self.handle.deleteTimer(due)
+        # The watermark, that much behind the newest time of all series, passes the newest point of this one.
+        due = newest // 1000 + 1
+        self.handle.registerTimer(due)
+        self.points.update((at[kept].tolist(), y[kept].tolist(), due))
         if not len(made):
             return
         out = pd.DataFrame(
             {
-                "origin_at": np.repeat(made, horizon),
-                "n": np.repeat(n.astype(np.int64), horizon),
-                "step": np.tile(np.arange(1, horizon + 1, dtype=np.int32), len(made)),
+                "origin_at": np.repeat(made, self.horizon),
+                "n": np.repeat(n.astype(np.int64), self.horizon),
+                "step": np.tile(np.arange(1, self.horizon + 1, dtype=np.int32), len(made)),
                 "yhat": yhat.ravel(),
             }
         )
-        for index, name in enumerate(series):
+        for index, name in enumerate(self.series):
             out.insert(index, name, key[index])
         yield out
 
-    return fold
+    def handleExpiredTimer(
+        self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
+    ) -> Iterator[pd.DataFrame]:
+        if self.points.exists() and self.points.get()[2] == expiredTimerInfo.getExpiryTimeInMs():
+            self.points.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def error_stream(
+    forecasts: DataFrame,
+    actuals: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    y: str,
+    step: int = 1,
+    delay: str = "1 day",
+) -> DataFrame:
+    """``(keys, ts, yhat, actual, error)`` of the forecasts made ``step`` steps ahead, when the value has come.
+
+    Both streams have a watermark of ``delay``: a forecast waits for its value, or a value for its forecast, until the
+    newest time of either stream is that far beyond it, and is then forgotten. ``error`` is relative, and NULL where the
+    value is zero; its mean is :func:`gridlake.operators.forecast.mape`.
+    """
+    made = forecasts.where(F.col("step") == step).select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.col("event_time").cast("timestamp").alias("__for"), "yhat"
+    )
+    came = actuals.select(*keys, F.col(ts).cast("timestamp").alias(ts), F.col(y).cast("double").alias("actual"))
+    same = F.col("__for") == F.col(ts)
+    for key in keys:
+        same = same & (F.col(f"__{key}") == F.col(key))
+    joined = made.withWatermark("__for", delay).join(came.withWatermark(ts, delay), same)
+    error = F.abs(F.try_divide(F.col("actual") - F.col("yhat"), F.col("actual")))
+    return joined.select(*keys, ts, "yhat", "actual", error.alias("error"))
 
 
 def topic_writer(fmt: str, path: str | None = None, name: str = "forecast_solar_share", **options: str) -> Writer:
@@ -128,26 +190,12 @@ def table_writer(table: str, name: str = "forecast_solar_share", fmt: str = "par
     return write
 
 
-CLOSED = "closed"
-
-
-def compact(spark: SparkSession, table: str, before: str) -> None:
+def compact(spark: SparkSession, table: str, before: str, **options: Any) -> None:
     """Put the batches of every day before the date ``before`` into one partition, in a few large files.
 
-    Run it while no stream writes to those days. The rows are staged first; the staged copy goes when all is written.
+    Run it while no stream writes to those days; :mod:`gridlake.streaming.compaction` says what a stop leaves behind.
     """
-    days = spark.table(table).where(F.col("event_date") < F.lit(before).cast("date"))
-    open_ = [tuple(r) for r in days.where(F.col("batch") != CLOSED).select("event_date", "batch").distinct().collect()]
-    if not open_:
-        return
-    folder = scratch_dir(spark, "compact")
-    touched = days.where(F.col("event_date").isin([d for d, _ in open_])).withColumn("batch", F.lit(CLOSED))
-    touched.write.parquet(folder)
-    rows = spark.read.schema(touched.schema).parquet(folder)
-    overwrite_table(rows.hint("rebalance", F.col("event_date")), table, "dynamic")
-    for day, batch in open_:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (event_date = '{day}', batch = '{batch}')")
-    discard(spark, folder)
+    compaction.compact(spark, table, "event_date", before, batch="batch", **options)
 
 
 def run_forecast(
