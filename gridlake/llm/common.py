@@ -60,6 +60,13 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def check_free(df: DataFrame, *names: str) -> None:
+    """Refuse to overwrite columns of the input."""
+    taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} would be overwritten")
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 

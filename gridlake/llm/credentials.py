@@ -6,8 +6,9 @@ run). Weak kinds are common in clean text and count only as parts of a credentia
 points around it, and parts are joined by overlapping intervals: a key needs an identifier in scope, an endpoint an
 identifier and a secret, an identifier a secret and an endpoint.
 
-Defined cases: a null or empty text has no spans; repeated rows are judged alike; an empty table gives no rows; extra
-columns are not read.
+Defined cases: a null or empty text has no spans; texts of any length are read whole, in time in proportion to their length;
+repeated rows are judged alike; an empty table gives no rows; extra columns are not read by ``counted`` and stay in
+``found``; a column named like its result is an error.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import text_or_empty
-from gridlake.llm.spans import any_case, find, written_out
+from gridlake.llm.common import check_free, text_or_empty
+from gridlake.llm.spans import State, any_case, find, fold, written_out
 
 SCOPE = 200
 STRONG = ("assign", "access", "hex")
@@ -56,40 +57,82 @@ def parts(text: Column) -> dict[str, Column]:
     }
 
 
-def linked(kind: str, column: Column, others: dict[str, Column], scope: int = SCOPE) -> Column:
-    """The weak spans of a kind whose complementary parts lie within their scope."""
-
-    def complete(span: Column) -> Column:
+def linked(have: dict[str, Column], scope: int = SCOPE) -> Column:
+    """A struct of the spans of each kind, of weak ones those whose complementary parts lie within their scope.
+
+    An interval join by merging: parts of all kinds in order of their start are passed twice, forwards with the furthest
+    end of each kind so far, which says whether an earlier part reaches into a scope, and backwards with the nearest start,
+    which says whether a later one does.
+    """
+    order = {kind: n for n, kind in enumerate(KINDS)}
+    keyed = [numbered(c, order[k]) for k, c in have.items()]
+    # A kind that has been met nowhere is too far away.
+    far = 1 << 60
+
+    def reached(parts: Column, backwards: bool) -> Column:
+        def step(state: Column, p: Column) -> tuple[State, State]:
+            own = lambda k: p["n"] == order[k]
+            if backwards:
+                after = {k: F.when(own(k), p["s"]["start"]).otherwise(state[k]) for k in KINDS}
+                near = {k: state[k] < p["s"]["end"] + scope for k in KINDS}
+            else:
+                after = {k: F.when(own(k), F.greatest(state[k], p["s"]["end"])).otherwise(state[k]) for k in KINDS}
+                near = {k: state[k] > p["s"]["start"] - scope for k in KINDS}
+            return after, {"near": F.struct(*(c.alias(k) for k, c in near.items()))}
+
+        edge = {k: F.lit(far if backwards else -far).cast("bigint") for k in KINDS}
+        kind = f"struct<{','.join(f'{k}:boolean' for k in KINDS)}>"
+        return fold(F.reverse(parts) if backwards else parts, edge, step, {"near": kind})["near"]
+
+    def complete(kind: str, part: Column) -> Column:
         needs = F.lit(True)
-        for group in NEEDS[kind]:
+        for group in NEEDS.get(kind, ()):
             met = F.lit(False)
             for other in group:
-                met = met | F.exists(
-                    others[other], lambda o: (o["start"] < span["end"] + scope) & (o["end"] > span["start"] - scope)
-                )
+                met = met | part["before"][other] | part["behind"][other]
             needs = needs & met
         return needs
 
-    return F.filter(column, complete)
+    def kept(parts: Column) -> Column:
+        both = F.struct(reached(parts, False).alias("before"), F.reverse(reached(parts, True)).alias("behind"))
+        # Named once: the passes are not made again for every part.
+        met = F.transform(
+            F.array(both),
+            lambda b: F.transform(
+                parts, lambda p, i: F.struct(p.alias("part"), b["before"][i].alias("before"), b["behind"][i].alias("behind"))
+            ),
+        )[0]
+
+        def split(all_: Column) -> Column:
+            def of(kind: str) -> Column:
+                mine = F.filter(all_, lambda x: (x["part"]["n"] == order[kind]) & complete(kind, x))
+                return F.transform(mine, lambda x: x["part"]["s"]).alias(kind)
+
+            return F.struct(*map(of, KINDS))
+
+        return F.transform(F.array(met), split)[0]
+
+    return F.transform(F.array(F.array_sort(F.concat(*keyed))), kept)[0]
 
 
 def found(docs: DataFrame, into: str = "secrets", scope: int = SCOPE) -> DataFrame:
     """``docs`` with the struct ``into``: one array of spans per kind."""
+    check_free(docs, into)
     rows = docs.withColumn(into, F.struct(*(c.alias(k) for k, c in parts(text_or_empty()).items())))
-    have = {k: F.col(f"{into}.{k}") for k in KINDS}
-    kept = {k: linked(k, have[k], have, scope) if k in WEAK else have[k] for k in KINDS}
-    return rows.withColumn(into, F.struct(*(c.alias(k) for k, c in kept.items())))
+    return rows.withColumn(into, linked({k: F.col(f"{into}.{k}") for k in KINDS}, scope))
 
 
 def by_place(columns: list[Column]) -> Column:
     """Spans of several kinds by start, then by kind as given."""
-    keyed = [
-        F.transform(c, lambda s, n=n: F.struct(s["start"].alias("start"), F.lit(n).alias("n"), s.alias("s")))
-        for n, c in enumerate(columns)
-    ]
+    keyed = (numbered(c, n) for n, c in enumerate(columns))
     return F.transform(F.array_sort(F.concat(*keyed)), lambda x: x["s"])
 
 
+def numbered(spans: Column, n: int) -> Column:
+    """Spans with their start and the number of their kind, by which they are sorted."""
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(n).alias("n"), s.alias("s")))
+
+
 def counted(docs: DataFrame) -> DataFrame:
     """Per document the number of spans of the strong kinds, a digest of them, and all spans written out."""
     rows = found(docs.select("doc_id", "text"))

@@ -8,8 +8,9 @@ neither letters nor digits between them (a list) share the words before the firs
 Patterns are written so that no match attempt runs over a stretch more than once (possessive quantifiers, a start only
 where the stretch before it ends): long runs of letters or digits cost linear time, and deep recursion cannot occur.
 
-Defined cases: a null or empty text has no spans; repeated rows are judged alike; an empty table gives no rows; extra
-columns are not read by ``counted`` and stay in ``redact``.
+Defined cases: a null or empty text has no spans; texts of any length are read whole, in time in proportion to their length;
+repeated rows are judged alike; an empty table gives no rows; extra columns are not read by ``counted`` and stay in
+``found`` and ``redact``; a column named like the result of ``found`` is an error.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import free, text_or_empty
-from gridlake.llm.spans import MARK, OTHER, any_case, digits, find, written_out
+from gridlake.llm.common import check_free, free, text_or_empty
+from gridlake.llm.spans import MARK, OTHER, State, any_case, digits, find, fold, written_out
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _LABEL = "[A-Za-z0-9-]++"
@@ -57,6 +58,8 @@ CONTEXT = {
 RAISE = 0.3
 REACH = 40
 NEEDED = 0.5
+# Code points of the blocks from which ``redact`` puts a text together.
+STRETCH = 4096
 
 
 def luhn(number: Column) -> Column:
@@ -104,10 +107,10 @@ def marked_ibans(text: Column) -> Column:
     """``text`` with marks around its account numbers. Every place where one can begin is tried, from left to right, so
     that a proposal that fails hides none that begins inside it."""
     length = F.length
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("left"), F.lit("").alias("out"))
+    start = {"n": F.lit(0), "left": F.lit(0)}
 
     def marks(pieces: Column) -> Column:
-        def step(state: Column, piece: Column) -> Column:
+        def step(state: Column, piece: Column) -> tuple[State, State]:
             # Places are at least four code points apart, and a number with blanks has at most 68.
             ahead = F.substring(F.array_join(F.slice(pieces, state["n"] + 1, 18), ""), 1, 68)
 
@@ -119,15 +122,15 @@ def marked_ibans(text: Column) -> Column:
                 ended = F.concat(F.substring(begun, F.lit(1), at), F.lit(MARK), F.substring(begun, at + 1, length(begun)))
                 inside = (left > 0) & (left <= length(piece))
                 return F.struct(
-                    (state["n"] + 1).alias("n"),
                     F.when(left > length(piece), left - length(piece)).otherwise(0).alias("left"),
-                    F.concat(state["out"], F.when(inside, ended).otherwise(begun)).alias("out"),
+                    F.when(inside, ended).otherwise(begun).alias("out"),
                 )
 
             own = F.when((state["left"] == 0) & piece.rlike("^[A-Z]{2}[0-9]{2}"), iban_length(ahead)).otherwise(0)
-            return F.transform(F.array(own), placed)[0]
+            made = F.transform(F.array(own), placed)[0]
+            return {"n": state["n"] + 1, "left": made["left"]}, {"out": made["out"]}
 
-        return F.aggregate(pieces, start, step, lambda state: state["out"])
+        return F.array_join(fold(pieces, start, step, {"out": "string"})["out"], "")
 
     pieces = F.split(F.translate(text, MARK, OTHER), f"(?={IBAN_START})", -1)
     return F.transform(F.array(pieces), marks)[0]
@@ -168,6 +171,7 @@ def spans(text: Column) -> dict[str, Column]:
 
 def found(docs: DataFrame, into: str = "pii") -> DataFrame:
     """``docs`` with the struct ``into``: one array of spans per kind."""
+    check_free(docs, into)
     return docs.withColumn(into, F.struct(*(c.alias(k) for k, c in spans(text_or_empty()).items())))
 
 
@@ -193,21 +197,32 @@ def redact(docs: DataFrame, least: float = NEEDED) -> DataFrame:
         F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
     )
     text = F.col("text").cast("string")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        overlaps = s["start"] < state["at"]
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(overlaps, state["out"])
-            .otherwise(F.concat(state["out"], gap, F.lit("<"), s["kind"], F.lit(">")))
-            .alias("out"),
-        )
-
-    done = F.aggregate(
-        F.col(into), start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))
-    )
+
+    def replaced(found: Column) -> Column:
+        def between(blocks: Column, low: Column, high: Column) -> Column:
+            """Code points of the text, from the blocks that hold them."""
+            first = F.floor(low / STRETCH)
+            chosen = F.slice(blocks, (first + 1).cast("int"), (F.ceil(high / STRETCH) - first).cast("int"))
+            inside = F.substring(F.array_join(chosen, ""), (low - first * STRETCH + 1).cast("int"), (high - low).cast("int"))
+            return F.when(high > low, inside).otherwise("")
+
+        def written(blocks: Column) -> Column:
+            def step(state: Column, s: Column) -> tuple[State, State]:
+                told = F.concat(between(blocks, state["at"], s["start"]), F.lit("<"), s["kind"], F.lit(">"))
+                return (
+                    {"at": F.greatest(state["at"], s["end"])},
+                    {"out": F.when(s["start"] >= state["at"], told)},
+                )
+
+            done = fold(found, {"at": F.lit(0).cast("bigint")}, step, {"out": "string"})
+            length = F.length(text).cast("bigint")
+            return F.transform(
+                F.array(done), lambda d: F.concat(F.array_join(d["out"], ""), between(blocks, d["state"]["at"], length))
+            )[0]
+
+        return F.transform(F.array(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0))), written)[0]
+
+    done = F.transform(F.array(F.col(into)), replaced)[0]
     return (
         docs.withColumn(into, order)
         .withColumn("text", F.when(F.size(into) > 0, done).otherwise(F.col("text")))

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -171,3 +172,33 @@ def test_cases(docs, rows, empty):
 def test_no_python_runs(docs):
     plan = pii.counted(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize(
+    "of",
+    [
+        lambda n: ", ".join(f"a{i}@b{i}.com" for i in range(n)),
+        lambda n: "\n".join(f"+49 30 {1000000 + i}" for i in range(n)),
+        lambda n: "; ".join(["DE89 3704 0044 0532 0130 00"] * n),
+    ],
+)
+def test_long_texts_take_time_in_proportion(spark, of):
+    took = []
+    for n in (50, 5_000, 40_000):
+        docs = spark.createDataFrame([(1, of(n))], "doc_id bigint, text string")
+        begun = time.monotonic()
+        assert len(pii.counted(docs).first().spans.split(",")) == n
+        took.append(time.monotonic() - begun)
+    assert took[2] < 12 * took[1]
+
+
+def test_redact_puts_long_texts_together(spark):
+    text = ("é" * 5000 + " a@b.com " + "x" * 9000 + "\U0001f600 c@d.org") * 3
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert pii.redact(docs).first().text == re.sub(r"[ac]@[bd]\.[a-z]{3}", "<email>", text)
+
+
+def test_taken_names_are_refused(spark):
+    docs = spark.createDataFrame([(1, "x", 2)], "doc_id bigint, text string, PII int")
+    with pytest.raises(ValueError, match="pii"):
+        pii.found(docs)
