@@ -183,7 +183,7 @@ def _upsert_moving(
     buckets = keyindex.open_index(spark, table, keys, first, fmt)
     old = keyindex.moved_from(spark, table, batch, keys, first, buckets)
     new = named(batch, partition_by)
-    keyindex.note(spark, batch, table, keys, first, buckets, copy)
+    keyindex.announce(spark, batch, table, keys, first, buckets, copy)
     target = spark.table(table)
     kept = target.where(F.col(first).isin({*old, *new})).join(batch.select(*keys), list(keys), "left_anti")
     rewritten = copy(kept.unionByName(batch.select(*target.columns)))
@@ -197,7 +197,7 @@ def _upsert_moving(
     for values in gone:
         spec = ", ".join(f"{c} = '{v}'" for c, v in zip(partition_by, values, strict=True))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    keyindex.forget(spark, batch, table, keys, first, buckets, copy)
+    keyindex.settle(spark, batch, table, keys, first, buckets, copy)
     return sorted({*old, *new})
 
 

@@ -20,7 +20,7 @@ from gridlake.operators.lookup import lookup_join
 from gridlake.operators.ordered import bucket_width
 from gridlake.plans import daily
 from gridlake.plans.views import dispatch, payloads, regions, table, units
-from gridlake.session import apply_settings, scratch_dir
+from gridlake.session import apply_settings, scratch_dir, settings
 from gridlake.sources import readers, sinks
 from gridlake.streaming import alerts as stream_alerts
 from gridlake.streaming import bronze as stream_bronze
@@ -820,17 +820,12 @@ def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ordered = rows.repartition("day").sortWithinPartitions("day", "event_id").drop("event_id")
     ordered.write.partitionBy("day").text(f"{root}/files")
-    setting = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(16 << 10))
-    try:
+    with settings(spark, files_maxPartitionBytes=str(16 << 10)):
         found = readers.messages(spark, "text", f"{root}/files")
         lines = found.select(
             F.split("value", ",")[0].cast("bigint").alias("event_id"), F.col("arrival.offset").alias("line")
         )
         lines.write.parquet(f"{root}/lines")
-    finally:
-        spark.conf.set(setting, before)
     return spark.read.schema(lines.schema).parquet(f"{root}/lines")
 
 
@@ -1021,17 +1016,15 @@ def stream_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run() -> None:
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+        # There is one set of labels.
         stream_alerts.run_alerts(
-            spark, stream, COAL_30, "30 minutes", root, "ingested_at", "fuel_type", "coal", "generated_mw"
+            spark, stream, COAL_30, "30 minutes", root, "ingested_at", "fuel_type", "coal", "generated_mw", partitions=1
         )
 
-    in_parts(rows, "ingested_at", f"{root}/topic", run)
     # Rows after all others, of no fuel, move the watermark past the last interval.
     last = rows.agg(F.max("ingested_at")).first()[0]
-    ends = [(last + timedelta(hours=h), None, None) for h in (3, 6)]
-    fields = "ingested_at timestamp_ntz, fuel_type string, generated_mw double"
-    spark.createDataFrame(ends, fields).coalesce(1).write.mode("append").parquet(f"{root}/topic")
-    run()
+    ends = spark.createDataFrame([(last + timedelta(hours=h),) for h in (3, 6)], "ingested_at timestamp_ntz")
+    in_parts(rows.unionByName(ends, allowMissingColumns=True), "ingested_at", f"{root}/topic", run)
     return zoneless(spark.read.parquet(f"{root}/changes"))
 
 
@@ -1045,19 +1038,22 @@ def stream_rate_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> None:
         samples = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
         found = stream_rates.rate_stream(samples, ["source"], "ts", "value", RATE_WINDOW, "30 minutes")
-        sinks.fan_out(found, {"rates": sinks.batch_folder(f"{root}/rates")}, f"{root}/rates-checkpoint")
+        # There are five series.
+        with settings(spark, shuffle_partitions="5"):
+            sinks.fan_out(found, {"rates": sinks.batch_folder(f"{root}/rates")}, f"{root}/rates-checkpoint")
 
-    in_parts(rows, "ts", f"{root}/topic", run)
     # Rows without a value, after all others, move the watermarks on.
     last = rows.agg(F.max("ts")).first()[0]
-    end = lambda hours, kind: spark.createDataFrame([(None, last + timedelta(hours=hours), None)], kind).coalesce(1)
-    end(3, rows.schema).write.mode("append").parquet(f"{root}/topic")
-    run()
+    later = [last + timedelta(hours=h) for h in (3, 6)]
+    ends = spark.createDataFrame([(later[0],)], "ts timestamp_ntz")
+    in_parts(rows.unionByName(ends, allowMissingColumns=True), "ts", f"{root}/topic", run)
     rated = "source string, ts timestamp, rate double"
-    for hours in (3, 6):
-        end(hours, rated).write.parquet(f"{root}/rates/batch_id=end-{hours}")
-        rates = spark.readStream.schema(rated).option("recursiveFileLookup", True).parquet(f"{root}/rates")
-        _, log = stream_alerts.run_alerts(spark, rates, rule, "30 minutes", root, "ts", "source", "coal", "rate")
+    end = spark.createDataFrame([(None, t, None) for t in later], rated).coalesce(1)
+    end.write.parquet(f"{root}/rates/batch_id=end")
+    rates = spark.readStream.schema(rated).option("recursiveFileLookup", True).parquet(f"{root}/rates")
+    _, log = stream_alerts.run_alerts(
+        spark, rates, rule, "30 minutes", root, "ts", "source", "coal", "rate", partitions=1
+    )
     changes = zoneless(spark.read.parquet(log)).where("state = 'resolved'")
     return changes.select("alertname", "severity", "started_at", "n", F.col("at").alias("resolved_at"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,20 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Runtime options for a block; ``_`` stands for the dots of a name below ``spark.sql``."""
+    names = {f"spark.sql.{name.replace('_', '.')}": value for name, value in values.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def discard(spark: SparkSession, folder: str) -> None:
     """Delete a scratch folder, wherever it is stored."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

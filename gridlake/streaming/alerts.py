@@ -13,6 +13,7 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValu
 
 from gridlake.functions.timeaxis import micros
 from gridlake.operators.alerts import RESOLVE_TIMEOUT, Rule
+from gridlake.session import settings
 from gridlake.streaming.runner import start
 
 STATE = "started bigint, last bigint, n bigint, firing boolean, due bigint"
@@ -110,12 +111,19 @@ def run_alerts(
     delay: str = "1 hour",
     trigger: Mapping[str, object] | None = None,
     labels: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> tuple[str, str]:
-    """Run shares and alerts as one query under ``root``; returns the folders of its checkpoint and of the changes."""
+    """Run shares and alerts as one query under ``root``; returns the folders of its checkpoint and of the changes.
+
+    Map tasks add the raw rows up, so that few rows reach the state. ``partitions`` is into how many parts it is dealt when
+    the checkpoint is made (by default the session's number); one to a few hundred sets of labels is plenty.
+    """
     checkpoint, log = f"{root}/checkpoint", f"{root}/changes"
     shares = _shares(raw, ts, step, label, match, value, delay, labels)
     changes = alert_stream(shares, rule, step, labels=labels)
-    start(changes.writeStream.format("parquet").option("path", log), checkpoint, trigger)
+    parts = str(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    with settings(spark, shuffle_partitions=parts):
+        start(changes.writeStream.format("parquet").option("path", log), checkpoint, trigger)
     return checkpoint, log
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 import numpy as np
@@ -10,16 +10,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gridlake.functions.timeaxis import iso_text, micros, position, steps_after
 from gridlake.operators.forecast import HORIZON, MIN_POINTS, STEP, WINDOW, usable
 from gridlake.operators.least_squares import SEASONS, Seasons, fit_predict
+from gridlake.session import settings
 from gridlake.sources.sinks import Writer, batch_key, encode_json, ensure_table, fan_out, overwrite_table, publish
 from gridlake.streaming import compaction
 
-STATE = "at array<bigint>, y array<double>, due bigint"
+STATE = T.StructType(
+    [T.StructField("at", T.ArrayType(T.LongType())), T.StructField("y", T.ArrayType(T.DoubleType()))]
+)
 
 
 def forecast_stream(
@@ -42,8 +45,8 @@ def forecast_stream(
     of a series is its points of the last window, one per distinct time: a point sent twice replaces itself. A point older
     than the window of the newest one is used for its own batch only.
 
-    ``silence`` (by default the window) is how far a series may stay behind the newest time of all series: then a timer
-    removes its state, and points that old are dropped by the watermark.
+    ``silence`` (by default the window) is how far a series may stay behind the newest time of all series: then its state
+    times out, with the next batch, and points that old are dropped by the watermark.
     """
     silence = silence or window
     series = list(keys) or ["series"]
@@ -61,79 +64,55 @@ def forecast_stream(
         T.StructField("step", T.IntegerType()),
         T.StructField("yhat", T.DoubleType()),
     ]
-    state = SeriesState(series, micros(window), micros(step), horizon, min_points, seasons, emit == "every")
-    found = points.groupBy(*series).transformWithStateInPandas(state, T.StructType(fields), "append", "EventTime")
+    fold = _folder(series, micros(window), micros(step), horizon, min_points, seasons, emit == "every")
+    found = points.groupBy(*series).applyInPandasWithState(
+        fold, T.StructType(fields), STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
     timed = found.withColumn("origin_time", F.timestamp_micros("origin_at"))
     event_time = steps_after(F.col("origin_time"), step, F.col("step")).alias("event_time")
     return timed.select(*keys, "origin_time", "n", "step", event_time, "yhat")
 
 
-class SeriesState(StatefulProcessor):
-    """The points of a series' last window, and the timer that forgets a series that has fallen silent."""
-
-    def __init__(
-        self, series: list[str], window: int, step: int, horizon: int, min_points: int, seasons: Seasons, every: bool
-    ):
-        self.series, self.window, self.step, self.horizon = series, window, step, horizon
-        self.min_points, self.seasons, self.every = min_points, seasons, every
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.points = handle.getValueState("points", STATE)
-
-    def handleInputRows(
-        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
-    ) -> Iterator[pd.DataFrame]:
-        known: dict[int, float] = {}
-        due = None
-        if self.points.exists():
-            times, values, due = self.points.get()
-            known = dict(zip(times, values, strict=True))
+def _folder(
+    series: list[str], window: int, step: int, horizon: int, min_points: int, seasons: Seasons, every: bool
+) -> Callable[[Any, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known: dict[int, float] = dict(zip(*state.get)) if state.exists else {}
         new: set[int] = set()
         newest = max(known, default=None)
-        for batch in rows:
-            known.update(zip(batch["at"].tolist(), batch["y"].tolist(), strict=True))
-            if self.every:
+        for batch in batches:
+            known.update(zip(batch["at"].tolist(), batch["y"].tolist()))
+            if every:
                 new.update(batch["at"].tolist())
             newest = max(known)
-            if not self.every:
-                known = {t: v for t, v in known.items() if t >= newest - self.window}
+            if not every:
+                known = {t: v for t, v in known.items() if t >= newest - window}
         at = np.array(sorted(known), dtype=np.int64)
         y = np.array([known[t] for t in at.tolist()])
-        origins = np.array(sorted(new), dtype=np.int64) if self.every else at[-1:]
-        made, n, yhat = fit_predict(
-            at, y, np.ones(len(at)), origins, self.window, self.step, self.horizon, self.min_points, self.seasons
-        )
-        kept = at >= newest - self.window
-        if due is not None:
-            self.handle.deleteTimer(due)
-        # The watermark, that much behind the newest time of all series, passes the newest point of this one.
-        due = newest // 1000 + 1
-        self.handle.registerTimer(due)
-        self.points.update((at[kept].tolist(), y[kept].tolist(), due))
+        origins = np.array(sorted(new), dtype=np.int64) if every else at[-1:]
+        made, n, yhat = fit_predict(at, y, np.ones(len(at)), origins, window, step, horizon, min_points, seasons)
+        kept = at >= newest - window
+        state.update((at[kept].tolist(), y[kept].tolist()))
+        # The watermark, so far behind the newest time of all series, passes the newest point of this one.
+        state.setTimeoutTimestamp(max(newest // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         if not len(made):
             return
         out = pd.DataFrame(
             {
-                "origin_at": np.repeat(made, self.horizon),
-                "n": np.repeat(n.astype(np.int64), self.horizon),
-                "step": np.tile(np.arange(1, self.horizon + 1, dtype=np.int32), len(made)),
+                "origin_at": np.repeat(made, horizon),
+                "n": np.repeat(n.astype(np.int64), horizon),
+                "step": np.tile(np.arange(1, horizon + 1, dtype=np.int32), len(made)),
                 "yhat": yhat.ravel(),
             }
         )
-        for index, name in enumerate(self.series):
+        for index, name in enumerate(series):
             out.insert(index, name, key[index])
         yield out
 
-    def handleExpiredTimer(
-        self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
-    ) -> Iterator[pd.DataFrame]:
-        if self.points.exists() and self.points.get()[2] == expiredTimerInfo.getExpiryTimeInMs():
-            self.points.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+    return fold
 
 
 def error_stream(
@@ -209,4 +188,7 @@ def run_forecast(
     **options: Any,
 ) -> StreamingQuery:
     """Forecast a stream of shares into all ``writers`` from one run of the model."""
-    return fan_out(forecast_stream(shares, keys, ts, y, **options), writers, checkpoint, trigger)
+    made = forecast_stream(shares, keys, ts, y, **options)
+    # A batch without rows would only look for series to forget, which the next one with rows does as well.
+    with settings(shares.sparkSession, streaming_noDataMicroBatches_enabled="false"):
+        return fan_out(made, writers, checkpoint, trigger)

@@ -4,6 +4,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridlake.operators import alerts, quality
 from gridlake.plans import daily
@@ -130,3 +131,40 @@ def test_a_run_without_news_publishes_nothing(spark, chain, tmp_path):
     for _ in range(2):
         daily.run(spark, chain())
     assert spark.read.text(str(tmp_path / "shares")).count() == 1
+
+
+def test_model_tests_read_what_a_run_wrote(spark, chain, tmp_path):
+    units = "".join(f"UNIT{i},Coal,Station{i},NSW1,2024-01-0{1 + i % 5}\n" for i in range(10))
+    (tmp_path / "units.csv").write_text(UNITS.format(units))
+    send(tmp_path, "a.txt", *[f"2024-01-0{d} 00:00:00,UNIT{d},{d},Coal" for d in range(1, 6)])
+    run = chain()
+    daily.run(spark, run)
+    # The next snapshot moves UNIT1 from the 2nd to the 5th, and a reading of the 3rd is corrected.
+    (tmp_path / "units.csv").write_text(UNITS.format("UNIT1,Coal,Station1,NSW1,2024-01-05\nUNIT4,Coal,Station4,NSW1,2024-01-05\n"))
+    send(tmp_path, "b.txt", "2024-01-03 00:00:00,UNIT3,30,Coal")
+    seen = {}
+    original = daily.check_models
+    try:
+        daily.check_models = lambda spark, chain, written: (seen.update(written), original(spark, chain, written))
+        daily.run(spark, run)
+    finally:
+        daily.check_models = original
+    assert {k: sorted(map(str, v)) for k, v in seen.items()} == {
+        "fact_dispatch": ["2024-01-03"],
+        "dim_unit": ["2024-01-02", "2024-01-05"],
+        "dim_region": ["2024-01-01"],
+    }
+    for model in daily.MODELS:
+        found = daily.model_results(spark, run.table(model), model, seen[model])
+        dates = {p.split("trading_date=")[1].split("/")[0] for p in found.inputFiles() if "trading_date=" in p}
+        assert dates <= {str(d) for d in seen[model]} and all(r["passed"] for r in found.collect())
+        scans = [x for x in plan(found).splitlines() if "FileScan" in x]
+        assert scans and all("trading_date" in x.split("PartitionFilters: [")[1].split("PushedFilters")[0] for x in scans)
+    # A key that came to a written date by another way is found in the date that holds it too.
+    twice = spark.table(run.table("dim_unit")).where("unit_id = 'UNIT2'").withColumn("trading_date", F.lit("2024-01-05").cast("date"))
+    twice.write.insertInto(run.table("dim_unit"))
+    spark.catalog.refreshTable(run.table("dim_unit"))
+    failed = [tuple(r) for r in daily.model_results(spark, run.table("dim_unit"), "dim_unit", seen["dim_unit"]).collect() if not r["passed"]]
+    assert failed == [("dim_unit", "unit_id", "unique", 1, False)]
+    with pytest.raises(quality.QualityError, match="dim_unit.unit_id unique: 1"):
+        daily.check_models(spark, run, seen)
