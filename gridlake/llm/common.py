@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +42,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_TABLES: ContextVar[list[str] | None] = ContextVar("tables", default=None)
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what operators write on the way inside the block; results must have been written elsewhere."""
+    paths: list[str] = []
+    token = _TABLES.set(paths)
+    try:
+        yield
+    finally:
+        _TABLES.reset(token)
+        for path in paths:
+            discard(spark, path)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts its lineage, survives lost executors, and is read column by column."""
+    """``df`` as a table in the shared folder: cuts its lineage, survives lost executors, and is read column by column.
+
+    A lazy result may read it later, so that it stays, unless the caller works inside :func:`cleared`.
+    """
     path = scratch_dir(df.sparkSession, purpose)
+    if (paths := _TABLES.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

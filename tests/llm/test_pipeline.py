@@ -43,9 +43,13 @@ def test_each_stage_against_plain_python(spark):
         before = after
 
 
-def test_run(spark):
+def test_run_leaves_only_its_result(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns[:3] == ["doc_id", "size", "text_crc32"] and out.count() > 50
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before}
+    assert left == {"pipeline-shards"}
 
 
 def test_stages_of_empty_documents(spark):
