@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridlake.llm import decontaminate, jaccard, mixing, quality, sharding
-from gridlake.llm.common import table, written
+from gridlake.llm.common import cleared, table
+from gridlake.session import discard, scratch_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +53,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. What the stages write on the way, and each stage's output but the last, is deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name}")
+        with cleared(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
