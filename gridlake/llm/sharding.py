@@ -6,12 +6,12 @@ clockwise to the next virtual node of a shard with room. If no shard has room (a
 tables), it goes to the least loaded one. Only the arcs' sums, a fixed number set by ``arcs``, reach the driver.
 
 Rows equal in id and text are one key, counted once. A key with more bytes than the slack of a shard is cut into pieces
-of at most that, or of one row, each with an arc of its own, so that repeated rows fill no shard.
+of at most that and of ``PIECE`` rows, or of one row, each with an arc of its own, so that repeated rows fill no shard.
 
 A slot is the place of a document in its shard: rows before its arc, rows before its piece there, and its number in the
 piece, so that no task ever numbers a whole shard or a whole key.
 
-Defined cases: a null text has size 1 and the checksum of the empty text; null or repeated doc_ids are spread by the
+Defined cases: a null text has size 1 and the checksum of the empty text; a text of any length is hashed whole; null or repeated doc_ids are spread by the
 hash of id and text; the rows of a piece have successive slots in any order; an empty table gives no rows; extra columns
 are not read.
 """
@@ -31,6 +31,8 @@ from gridlake.llm.common import text_or_empty, written
 ARCS = 1 << 15
 VIRTUAL_NODES = 256
 SLACK = 0.001
+# Rows of a piece at most, which one task lists.
+PIECE = 100_000
 
 
 def ring(shards: Iterable[int], virtual_nodes: int = VIRTUAL_NODES, arcs: int = ARCS) -> list[tuple[int, int]]:
@@ -88,7 +90,7 @@ def assign(docs: DataFrame, shards: int = 8, slack: float = SLACK) -> DataFrame:
         "shard-keys",
     )
     room = int(slack * (keys.agg(F.sum(F.col("size") * F.col("n"))).first()[0] or 0) / shards)
-    most = F.greatest(F.floor(F.lit(room) / F.col("size")), F.lit(1))
+    most = F.least(F.greatest(F.floor(F.lit(room) / F.col("size")), F.lit(1)), F.lit(PIECE))
     # The first piece stays in the arc of its key.
     elsewhere = arc_of([F.col("doc_id"), F.col("text_crc32"), F.col("size"), F.col("piece")])
     pieces = written(

@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 from gridlake.llm import sharding
+from tests.llm.conftest import sentence
 
 
 def test_rows_and_slots(docs, rows):
@@ -45,6 +50,49 @@ def test_reruns_agree(docs):
     assert one == two
 
 
+def signed(n):
+    return n - (1 << 64) if n >> 63 else n
+
+
+def plain_ring(rows, shards=8):
+    """Every row on its own: the arc of its hash, arcs largest first, each walked clockwise to a shard with room."""
+    nodes = defaultdict(list)
+    for shard in range(shards):
+        for node in range(256):
+            nodes[xxhash.xxh64_intdigest(f"{shard}/{node}") % 32768].append(shard)
+    arcs = {}
+    for i, t in rows:
+        first = 42 if i is None else xxhash.xxh64_intdigest(struct.pack("<q", i), 42)
+        whole = first if t is None else xxhash.xxh64_intdigest(t.encode(), first)
+        arcs[i, t] = signed(whole) % 32768
+    loads = Counter()
+    for i, t in rows:
+        loads[arcs[i, t]] += len((t or "").encode()) + 1
+    most, held, owner = 1.001 * sum(loads.values()) / shards, [0] * shards, {}
+    for arc, size in sorted(loads.items(), key=lambda x: (-x[1], x[0])):
+        clockwise = [shard for step in range(32768) for shard in sorted(nodes.get((arc + step) % 32768, ()))]
+        fits = [shard for shard in clockwise if held[shard] + size <= most]
+        owner[arc] = fits[0] if fits else min(range(shards), key=lambda s: (held[s], s))
+        held[owner[arc]] += size
+    return Counter((i, len((t or "").encode()) + 1, owner[arcs[i, t]]) for i, t in rows)
+
+
+def test_shards_equal_those_of_a_plain_ring(spark):
+    rng = random.Random(10)
+    rows = [(i, sentence(rng, rng.choice([0, 1, 5, 40, 300]))) for i in range(400)]
+    rows += [(None, "no id"), (None, None), (7000, None), (7001, "é\U0001f600")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert Counter((r.doc_id, r.size, r.shard) for r in sharding.assign(docs).collect()) == plain_ring(rows)
+
+
+def test_pieces_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE", 7)
+    docs = spark.range(30000).selectExpr("if(id < 100, 1L, id) as doc_id", "if(id < 100, 'a', repeat('x', 900)) as text")
+    got = sharding.assign(docs)
+    assert got.count() == 30000 and got.select("shard", "slot").distinct().count() == 30000
+    assert got.filter("doc_id = 1").select("shard").distinct().count() > 3
+
+
 def test_one_more_shard_moves_little():
     loads = {arc: 100 for arc in range(sharding.ARCS)}
     one = sharding.place(loads, range(8), slack=0.25)
