@@ -187,14 +187,12 @@ def _upsert_moving(
     target = spark.table(table)
     kept = target.where(F.col(first).isin({*old, *new})).join(batch.select(*keys), list(keys), "left_anti")
     rewritten = copy(kept.unionByName(batch.select(*target.columns)))
+    # A partition that the batch names has its rows; with one column, only the others can be emptied.
+    chosen = sorted({*old, *new} if len(partition_by) > 1 else {*old} - {*new})
+    held = lambda df: {tuple(r) for r in df.where(F.col(first).isin(chosen)).select(*partition_by).distinct().collect()}
+    gone = held(target) - held(rewritten) if chosen else set()
     overwrite_table(rewritten.hint("rebalance", *[F.col(c) for c in partition_by]), table, "dynamic")
-    left = {tuple(row) for row in rewritten.select(*partition_by).distinct().collect()}
-    if len(partition_by) == 1:
-        gone = [(value,) for value in {*old, *new} if (value,) not in left]
-    else:
-        before = target.where(F.col(first).isin({*old, *new})).select(*partition_by).distinct().collect()
-        gone = [tuple(row) for row in before if tuple(row) not in left]
-    for values in gone:
+    for values in sorted(gone):
         spec = ", ".join(f"{c} = '{v}'" for c, v in zip(partition_by, values, strict=True))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     keyindex.settle(spark, batch, table, keys, first, buckets, copy)

@@ -46,6 +46,17 @@ def test_an_emptied_partition_goes(spark, database):
     assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["day=d2"]
 
 
+def test_an_emptied_partition_below_another_goes(spark, database):
+    table, schema = f"{database}.t", "k int, day string, hour string, v int"
+    options = {"keys": ["k"], "partition_by": ["day", "hour"], "key_moves": True}
+    first = [(1, "d1", "h1", 0), (2, "d1", "h2", 0), (3, "d2", "h1", 0)]
+    gold.upsert_table(spark, table, spark.createDataFrame(first, schema), **options)
+    assert gold.upsert_table(spark, table, spark.createDataFrame([(1, "d1", "h2", 5)], schema), **options) == ["d1"]
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table).select("k", "day", "hour", "v")) == [(1, "d1", "h2", 5), (2, "d1", "h2", 0), (3, "d2", "h1", 0)]
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 2
+
+
 def test_many_moves_against_a_dictionary(spark, database, monkeypatch):
     monkeypatch.setattr(keyindex, "BUCKET_KEYS", 10)
     rng, table, want = random.Random(6), f"{database}.t", {}
